@@ -1,0 +1,277 @@
+"""Ordered windows and lookups that stay balanced when one key holds a large
+share of the rows.
+
+A window partitioned by a key sends all rows of that key to one task. Here the
+rows of a hot key are cut into consecutive chunks of its sort order, the window
+runs per (key, chunk), and what crosses a chunk edge (the previous value, the
+rows or the sum before) is carried over from a table with one row per chunk.
+Results are those of the plain window.
+
+Which keys are hot, and where to cut them, is estimated from a hash sample; the
+estimate only affects balance. Inputs whose total size, as Catalyst knows it
+without running a job, is below ``pulse.split.minInputBytes`` cannot hold a
+group too large for a task, so they take the plain window.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from pulse.session import input_bytes, setting
+
+CHUNK = "_chunk"
+_HASH_RANGE = 1 << 20
+_SAMPLE = 64  # one row in 64 plans the split
+_PER_CHUNK = 16  # sampled rows kept per chunk edge
+_MAX_CHUNKS = 4096
+
+
+def is_small(df: DataFrame) -> bool:
+    limit = setting(df.sparkSession, "pulse.split.minInputBytes", 256 << 20)
+    return input_bytes(df) < limit
+
+
+def _rows_per_chunk(spark: SparkSession) -> int:
+    return setting(spark, "pulse.split.rowsPerChunk", 5_000_000)
+
+
+@dataclass(frozen=True)
+class Split:
+    """Where the hot keys of a frame are cut.
+
+    ``bounds`` holds one row per hot key; together at most
+    total rows / rowsPerChunk edges, which is what makes broadcasting it safe.
+    """
+
+    keys: tuple[str, ...]
+    order: tuple[Column, ...]
+    bounds: DataFrame | None
+
+    def tag(self, df: DataFrame) -> DataFrame:
+        """Add the chunk number: 0 for ordinary keys, 1.. within hot keys."""
+        if self.bounds is None:
+            return df.withColumn(CHUNK, F.lit(0))
+        joined = df.join(F.broadcast(self.bounds), list(self.keys), "left")
+        here = _order_struct(self.order)
+        steps = F.array(*[F.lit(1 << k) for k in range(12, -1, -1)])
+        edges = F.col("_edges")
+        # Binary search: how many edges are <= this row.
+        position = F.aggregate(
+            steps,
+            F.lit(0),
+            lambda at, step: F.when(
+                (at + step <= F.size(edges)) & (F.get(edges, at + step - 1) <= here), at + step
+            ).otherwise(at),
+        )
+        return joined.withColumn(
+            CHUNK, F.when(edges.isNull(), F.lit(0)).otherwise(position + 1)
+        ).drop("_edges")
+
+    def spread(self, dim: DataFrame) -> DataFrame:
+        """Copy the dimension rows of hot keys to every chunk, for an equi join
+        on keys + chunk that reuses the window's partitioning."""
+        if self.bounds is None:
+            return dim.withColumn(CHUNK, F.lit(0))
+        counted = self.bounds.select(*self.keys, F.size("_edges").alias("_cuts"))
+        return (
+            dim.join(F.broadcast(counted), list(self.keys), "left")
+            .withColumn(
+                CHUNK,
+                F.explode(
+                    F.when(F.col("_cuts").isNull(), F.array(F.lit(0))).otherwise(
+                        F.sequence(F.lit(1), F.col("_cuts") + 1)
+                    )
+                ),
+            )
+            .drop("_cuts")
+        )
+
+
+def _order_struct(order: Sequence[Column]) -> Column:
+    return F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+
+
+def _sampled_counts(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    """Keys whose estimated row count is above ``limit``, with the estimate."""
+    return (
+        df.groupBy(*keys)
+        .agg((F.count(F.lit(1)) * _SAMPLE).alias("_rows"))
+        .filter(F.col("_rows") > limit)
+    )
+
+
+def plan_split(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Split:
+    """Decide the cuts. ``order`` is ascending; negate a number to descend."""
+    keys, order = tuple(keys), tuple(order)
+    if is_small(df):
+        return Split(keys, order, None)
+    limit = _rows_per_chunk(df.sparkSession)
+    hashed = df.select(*keys, _order_struct(order).alias("_at")).withColumn(
+        "_h", F.pmod(F.xxhash64(*keys, "_at"), F.lit(_HASH_RANGE))
+    )
+    sample = hashed.filter(F.col("_h") < _HASH_RANGE // _SAMPLE)
+    hot = (
+        _sampled_counts(sample, keys, limit)
+        .withColumn("_n", F.least(F.lit(_MAX_CHUNKS), F.ceil(F.col("_rows") / limit)).cast("int"))
+        .withColumn("_keep", F.col("_n") * _PER_CHUNK * _HASH_RANGE / F.col("_rows"))
+    )
+    picked = (
+        sample.join(F.broadcast(hot), list(keys))
+        .filter(F.col("_h") < F.col("_keep"))
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_list("_at")).alias("_points"), F.first("_n").alias("_n"))
+    )
+    every = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.col("_n") - 1, F.lit(1))),
+        lambda i: F.get(
+            F.col("_points"), F.floor(i * F.size("_points") / F.col("_n")).cast("int")
+        ),
+    )
+    bounds = picked.select(
+        *keys, F.array_sort(F.array_distinct(F.filter(every, lambda e: e.isNotNull()))).alias("_edges")
+    ).filter(F.size("_edges") > 0)
+    return Split(keys, order, bounds)
+
+
+def _chunk_window(split: Split):
+    return Window.partitionBy(*split.keys, CHUNK).orderBy(*split.order)
+
+
+def _carried(chunks: DataFrame, split: Split, value: Column, name: str) -> DataFrame:
+    """One row per hot chunk, so a window over the key is bounded by the chunks."""
+    return chunks.select(*split.keys, CHUNK, value.alias(name))
+
+
+def _by_chunk(split: Split):
+    return Window.partitionBy(*split.keys).orderBy(CHUNK)
+
+
+def lag_over(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    value: str,
+    out: str,
+    split: Split | None = None,
+    keep_chunk: bool = False,
+) -> DataFrame:
+    """``lag(value)`` per key in ``order``."""
+    split = split or plan_split(df, keys, order)
+    window = _chunk_window(split)
+    tagged = split.tag(df)
+    result = tagged.withColumn(out, F.lag(value).over(window))
+    if split.bounds is not None:
+        last = (
+            tagged.filter(F.col(CHUNK) > 0)
+            .groupBy(*split.keys, CHUNK)
+            .agg(F.max_by(F.struct(F.col(value).alias("v")), _order_struct(split.order)).alias("_last"))
+        )
+        carry = _carried(last, split, F.lag("_last.v").over(_by_chunk(split)), "_carry")
+        result = (
+            result.withColumn("_first", F.row_number().over(window) == 1)
+            .join(F.broadcast(carry), [*split.keys, CHUNK], "left")
+            .withColumn(
+                out,
+                F.when(F.col("_first") & (F.col(CHUNK) > 0), F.col("_carry")).otherwise(F.col(out)),
+            )
+            .drop("_first", "_carry")
+        )
+    return result if keep_chunk else result.drop(CHUNK)
+
+
+def row_number_over(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    out: str,
+    split: Split | None = None,
+) -> DataFrame:
+    """``row_number()`` per key in ``order``."""
+    split = split or plan_split(df, keys, order)
+    tagged = split.tag(df)
+    result = tagged.withColumn(out, F.row_number().over(_chunk_window(split)))
+    if split.bounds is not None:
+        sizes = tagged.filter(F.col(CHUNK) > 0).groupBy(*split.keys, CHUNK).agg(
+            F.count(F.lit(1)).alias("_rows")
+        )
+        result = _add_before(result, sizes, split, "_rows", out)
+    return result.withColumn(out, F.col(out).cast("bigint")).drop(CHUNK)
+
+
+def running_sum_over(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    value: str,
+    out: str,
+    split: Split | None = None,
+) -> DataFrame:
+    """``sum(value)`` up to and including the current row, per key in ``order``."""
+    split = split or plan_split(df, keys, order)
+    tagged = split.tag(df)
+    window = _chunk_window(split).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    result = tagged.withColumn(out, F.sum(value).over(window))
+    if split.bounds is not None:
+        sums = tagged.filter(F.col(CHUNK) > 0).groupBy(*split.keys, CHUNK).agg(
+            F.sum(value).alias("_rows")
+        )
+        result = _add_before(result, sums, split, "_rows", out)
+    return result.drop(CHUNK)
+
+
+def _add_before(
+    result: DataFrame, per_chunk: DataFrame, split: Split, amount: str, out: str
+) -> DataFrame:
+    before = _by_chunk(split).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = _carried(per_chunk, split, F.sum(amount).over(before), "_before")
+    return (
+        result.join(F.broadcast(offsets), [*split.keys, CHUNK], "left")
+        .withColumn(out, F.col(out) + F.coalesce("_before", F.lit(0)))
+        .drop("_before")
+    )
+
+
+def lookup_join(
+    fact: DataFrame, dim: DataFrame, keys: Sequence[str], spread_by: Sequence[str], how: str = "left"
+) -> DataFrame:
+    """Equi join of a large side to a side with few rows per key.
+
+    Rows of hot keys get a salt from ``spread_by``; the other side's rows of
+    those keys, and only those, are copied once per salt. Rows without a key
+    match nothing and are spread as well, not sent to one task.
+    """
+    keys = list(keys)
+    if is_small(fact):
+        return fact.join(dim, keys, how)
+    limit = _rows_per_chunk(fact.sparkSession)
+    sample = fact.select(*keys, *[c for c in spread_by if c not in keys]).filter(
+        F.pmod(F.xxhash64(*spread_by), F.lit(_SAMPLE)) == 0
+    )
+    hot = F.broadcast(
+        _sampled_counts(sample, keys, limit).select(
+            *keys,
+            F.least(F.lit(_MAX_CHUNKS), F.ceil(F.col("_rows") / limit)).cast("int").alias("_salts"),
+        )
+    )
+    keyless = F.lit(False)
+    for k in keys:
+        keyless = keyless | F.col(k).isNull()
+    salts = F.when(keyless, F.lit(_MAX_CHUNKS)).otherwise(F.coalesce("_salts", F.lit(1)))
+    salted = (
+        fact.join(hot, keys, "left")
+        .withColumn("_salt", F.pmod(F.xxhash64(*spread_by), salts).cast("int"))
+        .drop("_salts")
+    )
+    copied = (
+        dim.join(hot, keys, "left")
+        .withColumn(
+            "_salt",
+            F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)),
+        )
+        .drop("_salts")
+    )
+    return salted.join(copied, [*keys, "_salt"], how).drop("_salt")

@@ -1,0 +1,42 @@
+"""Tables kept by micro-batch.
+
+Each batch owns the folder ``batch=<id>`` of every table it writes and replaces
+it when it is run again, so a batch repeated after a failure changes nothing.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+COMPACT_EVERY = 20
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(where)
+
+
+def read_batches(
+    spark: SparkSession, path: str, schema: str, first: int, last: int
+) -> DataFrame:
+    """Rows of the batches ``first`` .. ``last``; empty when nothing is stored."""
+    full = f"{schema}, batch bigint"
+    if last < first or not _exists(spark, path):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(path).filter(F.col("batch").between(first, last))
+
+
+def log_start(batch_id: int) -> int:
+    """The newest batch before ``batch_id`` whose log folder holds every key."""
+    return max((batch_id - 1) // COMPACT_EVERY * COMPACT_EVERY, 0)
+
+
+def is_full(batch_id: int) -> bool:
+    return batch_id % COMPACT_EVERY == 0
