@@ -6,53 +6,53 @@ functions cannot tell 3 from "3", so the fields are read as VARIANT.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pulse.rules import TITLE_CORRECTIONS
 
 
-def _field(json: Column, path: str) -> Column:
-    return F.try_variant_get(F.try_parse_json(json), path, "variant")
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and hand it to ``use``; branches of a ``when``
+    would otherwise parse the JSON again each."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _kind(variant: Column) -> Column:
-    return F.schema_of_variant(variant)
+def _get(parsed: Column, path: str) -> Column:
+    return F.try_variant_get(parsed, path, "variant")
 
 
-def _is_list(kind: Column) -> Column:
-    return kind.startswith("ARRAY")
+def _kind(variant: Column) -> Column:
+    return F.schema_of_variant(variant)
 
 
 def _as(variant: Column, target: str) -> Column:
     return F.try_variant_get(variant, "$", target)
 
 
-def aggregation_episode(json: Column) -> Column:
-    """Episode for counting: lists are batches (null); text that reads as an
-    integer counts, a fraction is truncated."""
-    value = _field(json, "$.episode")
-    kind = _kind(value)
-    text = F.trim(_as(value, "string"))
-    from_text = F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint"))
-    return F.when(_is_list(kind) | kind.startswith("OBJECT"), F.lit(None)).when(
-        kind == "STRING", from_text
-    ).otherwise(_as(value, "bigint"))
+def _is_list(kind: Column) -> Column:
+    return kind.startswith("ARRAY")
 
 
 def _only_int(variant: Column) -> Column:
     return F.when(_kind(variant).isin("BIGINT", "BOOLEAN"), _as(variant, "bigint"))
 
 
-def _plain_title(json: Column) -> Column:
-    value = _field(json, "$.title")
-    return F.when(_kind(value) == "STRING", _as(value, "string"))
+def aggregation_episode(json: Column) -> Column:
+    """Episode for counting: lists are batches (null); text that reads as an
+    integer counts, a fraction is truncated."""
 
+    def number(value: Column) -> Column:
+        kind, text = _kind(value), F.trim(_as(value, "string"))
+        return (
+            F.when(_is_list(kind) | kind.startswith("OBJECT"), F.lit(None).cast("bigint"))
+            .when(kind == "STRING", F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint")))
+            .otherwise(_as(value, "bigint"))
+        )
 
-def _title_usable(json: Column) -> Column:
-    """A title of another type makes the whole record unusable."""
-    kind = _kind(_field(json, "$.title"))
-    return kind.isNull() | kind.isin("STRING", "VOID")
+    return _once(_get(F.try_parse_json(json), "$.episode"), number)
 
 
 def corrected_title(title: Column) -> Column:
@@ -66,24 +66,32 @@ def corrected_title(title: Column) -> Column:
 
 def matching_fields(json: Column) -> Column:
     """title, season and episode for title matching: integers only, a list of
-    episodes counts as its first."""
-    episode = _field(json, "$.episode")
-    first = F.try_variant_get(episode, "$[0]", "variant")
-    number = F.when(_is_list(_kind(episode)), _only_int(first)).otherwise(_only_int(episode))
-    usable = _title_usable(json)
-    return F.struct(
-        F.when(usable, corrected_title(_plain_title(json))).alias("title"),
-        F.when(usable, _only_int(_field(json, "$.season"))).alias("season"),
-        F.when(usable, number).alias("episode"),
-    )
+    episodes counts as its first. A title that is not text makes the whole
+    record unusable."""
+
+    def fields(parsed: Column) -> Column:
+        title, episode = _get(parsed, "$.title"), _get(parsed, "$.episode")
+        first = F.when(_is_list(_kind(episode)), _get(parsed, "$.episode[0]")).otherwise(episode)
+        usable = F.coalesce(_kind(title).isin("STRING", "VOID"), F.lit(True))
+        text = F.when(_kind(title) == "STRING", _as(title, "string"))
+        return F.struct(
+            corrected_title(text).alias("title"),
+            F.when(usable, _only_int(_get(parsed, "$.season"))).alias("season"),
+            F.when(usable, _only_int(first)).alias("episode"),
+        )
+
+    return _once(F.try_parse_json(json), fields)
 
 
 def report_fields(json: Column) -> Column:
     """Fields of an unmatched name: text as written, numbers only if integers."""
-    return F.struct(
-        F.try_variant_get(F.try_parse_json(json), "$.title", "string").alias("parsed_title"),
-        _only_int(_field(json, "$.season")).alias("season"),
-        _only_int(_field(json, "$.episode")).alias("episode"),
+    return _once(
+        F.try_parse_json(json),
+        lambda parsed: F.struct(
+            _as(_get(parsed, "$.title"), "string").alias("parsed_title"),
+            _only_int(_get(parsed, "$.season")).alias("season"),
+            _only_int(_get(parsed, "$.episode")).alias("episode"),
+        ),
     )
 
 

@@ -8,9 +8,17 @@ that native filters could not rule out.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+# Executors need not have this package: its functions travel with the tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+PARTIAL_FROM = 8  # fixed value: both texts at least this long
+
 
 def _masks(text: str) -> dict[str, int]:
     masks: dict[str, int] = {}
@@ -73,10 +81,15 @@ def ratio(left: pd.Series, right: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf("int")
-def partial_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series(
-        [round(window_ratio(a, b)) for a, b in zip(left, right, strict=True)], dtype="int32"
-    )
+def likeness(left: pd.Series, right: pd.Series) -> pd.Series:
+    """The ratio, or for longer texts the best stretch if that is higher."""
+    scores = []
+    for a, b in zip(left, right, strict=True):
+        score = round(indel_ratio(a, b))
+        if min(len(a), len(b)) >= PARTIAL_FROM:
+            score = max(score, round(window_ratio(a, b)))
+        scores.append(score)
+    return pd.Series(scores, dtype="int32")
 
 
 @F.pandas_udf("string")

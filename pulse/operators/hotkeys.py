@@ -9,7 +9,7 @@ Results are those of the plain window.
 
 Which keys are hot, and where to cut them, is estimated from a hash sample; the
 estimate only affects balance. Inputs whose total size, as Catalyst knows it
-without running a job, is below ``pulse.split.minInputBytes`` cannot hold a
+without running a job, is below ``spark.pulse.split.minInputBytes`` cannot hold a
 group too large for a task, so they take the plain window.
 """
 
@@ -31,12 +31,19 @@ _MAX_CHUNKS = 4096
 
 
 def is_small(df: DataFrame) -> bool:
-    limit = setting(df.sparkSession, "pulse.split.minInputBytes", 256 << 20)
+    limit = setting(df.sparkSession, "spark.pulse.split.minInputBytes", 256 << 20)
     return input_bytes(df) < limit
 
 
+def broadcast_if_small(df: DataFrame, sized_by: DataFrame) -> DataFrame:
+    """Ask for a broadcast when the rows can be no more than those of
+    ``sized_by`` and that reads little; otherwise leave the join to Spark."""
+    limit = setting(df.sparkSession, "spark.pulse.broadcast.maxInputBytes", 16 << 20)
+    return F.broadcast(df) if input_bytes(sized_by) < limit else df
+
+
 def _rows_per_chunk(spark: SparkSession) -> int:
-    return setting(spark, "pulse.split.rowsPerChunk", 5_000_000)
+    return setting(spark, "spark.pulse.split.rowsPerChunk", 5_000_000)
 
 
 @dataclass(frozen=True)
@@ -141,12 +148,8 @@ def _chunk_window(split: Split):
     return Window.partitionBy(*split.keys, CHUNK).orderBy(*split.order)
 
 
-def _carried(chunks: DataFrame, split: Split, value: Column, name: str) -> DataFrame:
-    """One row per hot chunk, so a window over the key is bounded by the chunks."""
-    return chunks.select(*split.keys, CHUNK, value.alias(name))
-
-
 def _by_chunk(split: Split):
+    """For tables with one row per chunk: at most 4096 rows per key."""
     return Window.partitionBy(*split.keys).orderBy(CHUNK)
 
 
@@ -170,7 +173,9 @@ def lag_over(
             .groupBy(*split.keys, CHUNK)
             .agg(F.max_by(F.struct(F.col(value).alias("v")), _order_struct(split.order)).alias("_last"))
         )
-        carry = _carried(last, split, F.lag("_last.v").over(_by_chunk(split)), "_carry")
+        carry = last.select(
+            *split.keys, CHUNK, F.lag("_last.v").over(_by_chunk(split)).alias("_carry")
+        )
         result = (
             result.withColumn("_first", F.row_number().over(window) == 1)
             .join(F.broadcast(carry), [*split.keys, CHUNK], "left")
@@ -189,16 +194,20 @@ def row_number_over(
     order: Sequence[Column],
     out: str,
     split: Split | None = None,
+    size: str | None = None,
 ) -> DataFrame:
-    """``row_number()`` per key in ``order``."""
+    """``row_number()`` per key in ``order``; ``size`` adds the rows per key."""
     split = split or plan_split(df, keys, order)
     tagged = split.tag(df)
     result = tagged.withColumn(out, F.row_number().over(_chunk_window(split)))
+    if size:
+        whole = Window.partitionBy(*split.keys, CHUNK)
+        result = result.withColumn(size, F.count(F.lit(1)).over(whole))
     if split.bounds is not None:
         sizes = tagged.filter(F.col(CHUNK) > 0).groupBy(*split.keys, CHUNK).agg(
             F.count(F.lit(1)).alias("_rows")
         )
-        result = _add_before(result, sizes, split, "_rows", out)
+        result = _add_before(result, sizes, split, "_rows", out, size)
     return result.withColumn(out, F.col(out).cast("bigint")).drop(CHUNK)
 
 
@@ -224,15 +233,29 @@ def running_sum_over(
 
 
 def _add_before(
-    result: DataFrame, per_chunk: DataFrame, split: Split, amount: str, out: str
+    result: DataFrame,
+    per_chunk: DataFrame,
+    split: Split,
+    amount: str,
+    out: str,
+    total: str | None = None,
 ) -> DataFrame:
+    """Add the earlier chunks' amounts to ``out``, and put the key's whole
+    amount in ``total``. One row per hot chunk is broadcast."""
     before = _by_chunk(split).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = _carried(per_chunk, split, F.sum(amount).over(before), "_before")
-    return (
-        result.join(F.broadcast(offsets), [*split.keys, CHUNK], "left")
-        .withColumn(out, F.col(out) + F.coalesce("_before", F.lit(0)))
-        .drop("_before")
+    whole = Window.partitionBy(*split.keys)
+    offsets = per_chunk.select(
+        *split.keys,
+        CHUNK,
+        F.sum(amount).over(before).alias("_before"),
+        F.sum(amount).over(whole).alias("_whole"),
+    )
+    joined = result.join(F.broadcast(offsets), [*split.keys, CHUNK], "left").withColumn(
+        out, F.col(out) + F.coalesce("_before", F.lit(0))
     )
+    if total:
+        joined = joined.withColumn(total, F.coalesce("_whole", total))
+    return joined.drop("_before", "_whole")
 
 
 def lookup_join(

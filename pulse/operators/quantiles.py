@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulse.operators.hotkeys import lookup_join, row_number_over
+from pulse.operators.hotkeys import row_number_over
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -32,9 +32,7 @@ def quantiles(
     """
     group = list(group)
     valued = df.filter(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("_v"), tie.alias("_t"))
-    numbered = row_number_over(valued, group, [F.col("_v"), F.col("_t")], "_n")
-    sizes = valued.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
-    placed = lookup_join(numbered, sizes, group, ["_t"], "inner")
+    placed = row_number_over(valued, group, [F.col("_v"), F.col("_t")], "_n", size="_size")
     at = F.col("_n") - 1
     picks: list[Column] = []
     wanted = F.lit(False)

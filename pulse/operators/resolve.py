@@ -15,7 +15,7 @@ from pulse.functions.text import (
     sort_tokens,
     title_before_dash,
 )
-from pulse.operators.hotkeys import lookup_join
+from pulse.operators.hotkeys import broadcast_if_small, lookup_join
 from pulse.operators.similarity import similar_pairs
 from pulse.rules import MATCH_THRESHOLD, SEASON_BONUS
 
@@ -141,8 +141,8 @@ def _fuzzy_decisions(wanted: DataFrame, shows: DataFrame, overrides: DataFrame,
     raw, lifted = best_matches(texts, seasons, shows, threshold)
     by_text = raw.select("text", F.col("_best").alias("_raw"))
     by_prefix = raw.select(F.col("text").alias("_prefix_text"), F.col("_best").alias("_prefix_raw"))
-    prefix_override = F.broadcast(
-        overrides.select(F.col("normalized").alias("prefix"), F.col("override_id").alias("_prefix_id"))
+    prefix_override = overrides.select(
+        F.col("normalized").alias("prefix"), F.col("override_id").alias("_prefix_id")
     )
     joined = (
         wanted.withColumn("text", sort_tokens(F.col("normalized")))
@@ -197,8 +197,8 @@ def resolve(
     """Match (key, title, season, episode) rows against the catalogue.
 
     Returns every row with anilist_id, score, method, matched_title and
-    season_matched; all null when nothing matched. Rules are fixed lists and are
-    broadcast; similarity runs once per distinct title and season.
+    season_matched; all null when nothing matched. Similarity runs once per
+    distinct title and season.
     """
     usable = override_rules(overrides, shows)
     dash = title_before_dash(F.col("title"))
@@ -208,8 +208,8 @@ def resolve(
         titles.withColumn("normalized", normalize_title(F.col("title")))
         .withColumn("prefix", F.coalesce(F.when(keep_prefix, prefix), F.lit("")))
         .withColumn("_informative", is_informative(F.col("normalized")))
-        .join(F.broadcast(range_rules(ranges, shows)), "normalized", "left")
-        .join(F.broadcast(usable), "normalized", "left")
+        .join(broadcast_if_small(range_rules(ranges, shows), ranges), "normalized", "left")
+        .join(broadcast_if_small(usable, overrides), "normalized", "left")
         .withColumn("_range_id", range_target(F.col("episode"), F.col("_ranges")))
     )
     hundred, none = F.lit(100), F.lit(None).cast("bigint")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pulse.functions.numbers import round_binary
 from pulse.functions.text import season_slug
-from pulse.operators.hotkeys import lookup_join, row_number_over
+from pulse.operators.hotkeys import broadcast_if_small, lookup_join, row_number_over
 from pulse.operators.quantiles import QUARTILES, quantiles
 
 # Ordinals that count as one season, and the days an episode has
@@ -43,7 +43,8 @@ def season_rankings(rankings: DataFrame, seasons: DataFrame, members: DataFrame)
     both seasons, membership tells their shows apart.
     """
     of_show = rankings.join(members.select("season", "anilist_id"), "anilist_id")
-    return of_show.join(F.broadcast(season_weeks(seasons)), ["season", "week"], "left_semi")
+    weeks = broadcast_if_small(season_weeks(seasons), seasons)
+    return of_show.join(weeks, ["season", "week"], "left_semi")
 
 
 def running_totals(rankings: DataFrame) -> DataFrame:
@@ -293,9 +294,8 @@ def normalised_rank(df: DataFrame, metrics, by=("season",)) -> DataFrame:
         valued = df.filter(F.col(metric).isNotNull()).select(
             *by, "anilist_id", F.col(metric).cast("double").alias("_v")
         )
-        numbered = row_number_over(valued, list(by), [-F.col("_v"), F.col("anilist_id")], "_n")
-        sizes = valued.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
-        placed = lookup_join(numbered, sizes, list(by), ["anilist_id"])
+        order = [-F.col("_v"), F.col("anilist_id")]
+        placed = row_number_over(valued, list(by), order, "_n", size="_size")
         share = F.when(F.col("_size") > 1, 1 - (F.col("_n") - 1) / (F.col("_size") - 1)).otherwise(1.0)
         name = f"{metric}_norm"
         scored = placed.select(*by, "anilist_id", share.alias(name))

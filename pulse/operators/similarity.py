@@ -16,18 +16,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulse.functions.ratios import indel_ratio, ratio, window_ratio
+from pulse.functions.ratios import PARTIAL_FROM, likeness, ratio
 from pulse.operators.hotkeys import lookup_join
 
 # Letters from common to rare; later letters make a gram sort earlier. Any fixed
 # order gives the same result, this one keeps the candidate lists short.
 _COMMON_FIRST = " aeionrtshuldkmycgpbwfvzjxq0123456789"
 _SLACK = 1e-9
-PARTIAL_FROM = 8  # fixed value: both texts at least this long
 
 
 def lowest_ratio(threshold: int) -> float:
@@ -113,17 +111,6 @@ def similar_pairs(
     return candidates.withColumn("score", ratio(F.col(a), F.col(b))).filter(F.col("score") >= threshold)
 
 
-@F.pandas_udf("int")
-def _likeness(left: pd.Series, right: pd.Series) -> pd.Series:
-    scores = []
-    for a, b in zip(left, right, strict=True):
-        score = round(indel_ratio(a, b))
-        if min(len(a), len(b)) >= PARTIAL_FROM:
-            score = max(score, round(window_ratio(a, b)))
-        scores.append(score)
-    return pd.Series(scores, dtype="int32")
-
-
 def containing_pairs(left: DataFrame, right: DataFrame, a: str, b: str, threshold: int) -> DataFrame:
     """Every pair whose ratio, or for texts of eight or more characters the best
     ratio of the shorter within the longer, is >= threshold.
@@ -153,4 +140,4 @@ def containing_pairs(left: DataFrame, right: DataFrame, a: str, b: str, threshol
         ).drop("gram", "_llead", "_lgrams", "_rgrams")
 
     both = branch(left, a, right, b, False).unionByName(branch(right, b, left, a, True))
-    return both.withColumn("score", _likeness(F.col(a), F.col(b))).filter(F.col("score") >= threshold)
+    return both.withColumn("score", likeness(F.col(a), F.col(b))).filter(F.col("score") >= threshold)

@@ -12,6 +12,7 @@ from pulse.operators.hotkeys import lookup_join
 from pulse.operators.similarity import containing_pairs
 from pulse.operators.store import first_per_key
 from pulse.rules import SURVEY_MATCH_THRESHOLD
+from pulse.session import literal_rows
 from pulse.sources.surveys import PERCENTAGES
 
 
@@ -98,4 +99,4 @@ def match_surveys(
 
 
 def title_map(spark: SparkSession, entries: dict[str, int] | None = None) -> DataFrame:
-    return spark.createDataFrame(list((entries or {}).items()), "title string, listed_id bigint")
+    return literal_rows(spark, (entries or {}).items(), "title string, listed_id bigint")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pulse.functions.metadata import json_or_error, report_fields
 from pulse.functions.text import normalize_title, season_slug
 from pulse.functions.times import week_label
-from pulse.operators.hotkeys import Split, lookup_join, row_number_over
+from pulse.operators.hotkeys import Split, broadcast_if_small, lookup_join, row_number_over
 from pulse.operators.movies import movie_totals, torrent_counts
 from pulse.operators.ranking import grown_shows, top_ranked, without_week_of
 from pulse.operators.reception import rank_deltas
@@ -30,6 +30,7 @@ from pulse.operators.season import (
     season_totals,
 )
 from pulse.operators.series import deltas_of, show_labels, with_show_labels
+from pulse.session import cut
 
 PART_ROWS = 10_000
 _LABELS = ("title", "title_romaji", "cover_image_url", "cover_image_color")
@@ -88,7 +89,8 @@ def season_weeks_report(rankings: DataFrame) -> DataFrame:
 def season_shows_report(
     rankings: DataFrame, series: DataFrame, shows: DataFrame, metrics: DataFrame
 ) -> DataFrame:
-    """One row per season and show, with retention, ratings and rank deltas."""
+    """One row per season and show, with retention, ratings and rank deltas.
+    The rows are ranked on four metrics, so they are stored once first."""
     totals = season_totals(rankings)
     aired = rounded_retention(retention(episode_totals(series)))
     rows = (
@@ -97,7 +99,7 @@ def season_shows_report(
         .join(metrics, "anilist_id", "left")
         .withColumns({c: F.coalesce(c, F.lit(0)) for c in ("episodes_aired", "ep1_downloads")})
     )
-    return rank_deltas(rows).withColumn("slug", season_slug(F.col("season")))
+    return rank_deltas(cut(rows)).withColumn("slug", season_slug(F.col("season")))
 
 
 def season_percentiles_report(rankings: DataFrame, series: DataFrame) -> DataFrame:
@@ -239,5 +241,5 @@ def unmatched_report(
         "max_downloads", "stat_count",
     )
     return named.withColumn("normalized", normalize_title(F.col("guessit_title"))).join(
-        F.broadcast(ignored), "normalized", "left_anti"
+        broadcast_if_small(ignored, ignored), "normalized", "left_anti"
     ).drop("normalized")

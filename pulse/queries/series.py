@@ -10,6 +10,7 @@ from pulse.operators import series as ops
 from pulse.operators.ranking import weekly_rankings
 from pulse.queries import registry
 from pulse.queries import views as v
+from pulse.session import cut
 from pulse.sources.tables import stats_of, usable_torrents
 
 
@@ -55,6 +56,15 @@ def rankings_of(spark, sf_dir):
     return weekly_rankings(ops.weekly_totals(series_of(spark, sf_dir)))
 
 
+def stored_series(spark, sf_dir):
+    """The series checkpointed, for queries that read it more than once."""
+    return cut(series_of(spark, sf_dir))
+
+
+def stored_rankings(spark, sf_dir):
+    return cut(rankings_of(spark, sf_dir))
+
+
 @registry.add(f"WITH {v.WEEKLY} SELECT week, anilist_id, downloads, rank FROM rankings")
 def top_shows_per_week(spark, sf_dir):
     return rankings_of(spark, sf_dir)

@@ -73,15 +73,15 @@ rankings AS (
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.array_position(F.array(*[F.lit(t) for t in EVENT_TYPES]), F.col("event_type"))
-    return table(spark, sf_dir, "events").select(
-        F.concat(F.col("user_id").cast("string"), F.lit("/"), "event_type").alias("infohash"),
-        utc("ts").alias("timestamp"),
-        F.round(F.col("value") * 100).cast("bigint").alias("downloads"),
-        (F.col("user_id") % 40).alias("anilist_id"),
-        kind.cast("bigint").alias("episode"),
+    kinds = ", ".join(f"'{t}'" for t in EVENT_TYPES)
+    return table(spark, sf_dir, "events").selectExpr(
+        "concat(user_id, '/', event_type) AS infohash",
+        "cast(ts AS timestamp) AS timestamp",
+        "cast(round(value * 100) AS bigint) AS downloads",
+        "user_id % 40 AS anilist_id",
+        f"cast(array_position(array({kinds}), event_type) AS bigint) AS episode",
         "user_id",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        "cast(get_json_object(props, '$.k') AS int) AS k",
     )
 
 

@@ -1,5 +1,4 @@
-"""Rule tables of title resolution. Lists here are fixed in the code, which is
-the size bound that lets them be broadcast."""
+"""Rule tables of title resolution, fixed in the code."""
 
 from __future__ import annotations
 
@@ -7,6 +6,8 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pulse.session import literal_rows
+
 # Seasons (name, season, year, first day, last day).
 SEASONS = (
     ("Fall 2025", "FALL", 2025, date(2025, 10, 1), date(2025, 12, 31)),
@@ -79,29 +80,29 @@ SURVEY_TTL_DAYS = 1
 
 
 def seasons(spark: SparkSession, rows=SEASONS) -> DataFrame:
-    return spark.createDataFrame(
-        list(rows), "name string, season string, year int, start_date date, end_date date"
+    return literal_rows(
+        spark, rows, "name string, season string, year int, start_date date, end_date date"
     )
 
 
 def overrides(spark: SparkSession, rules: dict[str, int] | None = None) -> DataFrame:
     """An empty rule set means the defaults."""
-    return spark.createDataFrame(
-        list((rules or TITLE_OVERRIDES).items()), "normalized string, override_id bigint"
+    return literal_rows(
+        spark, (rules or TITLE_OVERRIDES).items(), "normalized string, override_id bigint"
     )
 
 
 def episode_ranges(spark: SparkSession, rows=EPISODE_RANGES) -> DataFrame:
-    numbered = [(i, *row) for i, row in enumerate(rows)]
-    return spark.createDataFrame(
-        numbered,
+    return literal_rows(
+        spark,
+        [(i, *row) for i, row in enumerate(rows)],
         "rule_seq int, normalized string, min_episode bigint, max_episode bigint, range_id bigint",
     )
 
 
 def titles(spark: SparkSession, rows) -> DataFrame:
-    return spark.createDataFrame([(r,) for r in rows], "normalized string")
+    return literal_rows(spark, [(r,) for r in rows], "normalized string")
 
 
 def ids(spark: SparkSession, rows) -> DataFrame:
-    return spark.createDataFrame([(r,) for r in rows], "anilist_id bigint")
+    return literal_rows(spark, [(r,) for r in rows], "anilist_id bigint")

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # UTC so that epoch arithmetic and calendar weeks agree on every host; AQE so
 # that joins are re-planned (broadcast, skew split, coalesce) on measured sizes.
@@ -42,9 +46,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise a frame several sinks read, in storage that outlives executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write a frame several plans read to the shared folder and read it back.
+
+    The table outlives executors, keeps column pruning and filter pushdown, and
+    its real size is known to the plans that use it.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/pulse-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def literal_rows(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
+    """A table written in the code. Built from literals rather than a Python
+    RDD, so Catalyst knows how small it is."""
+    fields = T.StructType.fromDDL(schema).fields
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields, strict=True)])
+        for row in rows
+    ]
+    if not structs:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
 
 
 def input_bytes(df: DataFrame) -> int:

@@ -18,6 +18,7 @@ from pulse.operators.hotkeys import lag_over, plan_split
 from pulse.operators.schedule import DEAD_AFTER, dead_keys
 from pulse.operators.store import insert_if_absent, last_per_key, latest_per_key
 from pulse.schema import STATS
+from pulse.session import literal_rows
 from pulse.streaming.tables import is_full, log_start, read_batches, write_batch
 
 _READING = "infohash string, timestamp timestamp, downloads bigint"
@@ -106,7 +107,7 @@ def incremental_deltas(
 def release_held(spark: SparkSession, root: str, batch_id: int) -> None:
     """Count what is still held, once the stream has ended. ``batch_id`` is the
     number after the stream's last batch."""
-    _delta_step(spark, root, spark.createDataFrame([], _READING), batch_id, None)
+    _delta_step(spark, root, literal_rows(spark, [], _READING), batch_id, None)
 
 
 def dead_detection(stream: DataFrame, root: str, checkpoint: str) -> StreamingQuery:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulse.session import literal_rows
+
 COMPACT_EVERY = 20
 
 
@@ -29,7 +31,7 @@ def read_batches(
     """Rows of the batches ``first`` .. ``last``; empty when nothing is stored."""
     full = f"{schema}, batch bigint"
     if last < first or not _exists(spark, path):
-        return spark.createDataFrame([], full)
+        return literal_rows(spark, [], full)
     return spark.read.schema(full).parquet(path).filter(F.col("batch").between(first, last))
 
 
