@@ -1,0 +1,15 @@
+"""Naming an intermediate value inside one column expression."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and hand it to ``use``. Without this, every
+    mention of a value repeats its whole expression, and the branches of a
+    ``when`` evaluate it again each."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

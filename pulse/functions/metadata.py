@@ -6,20 +6,13 @@ functions cannot tell 3 from "3", so the fields are read as VARIANT.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pulse.functions.binding import once
 from pulse.rules import TITLE_CORRECTIONS
 
 
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and hand it to ``use``; branches of a ``when``
-    would otherwise parse the JSON again each."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _get(parsed: Column, path: str) -> Column:
     return F.try_variant_get(parsed, path, "variant")
 
@@ -52,7 +45,7 @@ def aggregation_episode(json: Column) -> Column:
             .otherwise(_as(value, "bigint"))
         )
 
-    return _once(_get(F.try_parse_json(json), "$.episode"), number)
+    return once(_get(F.try_parse_json(json), "$.episode"), number)
 
 
 def corrected_title(title: Column) -> Column:
@@ -80,12 +73,12 @@ def matching_fields(json: Column) -> Column:
             F.when(usable, _only_int(first)).alias("episode"),
         )
 
-    return _once(F.try_parse_json(json), fields)
+    return once(F.try_parse_json(json), fields)
 
 
 def report_fields(json: Column) -> Column:
     """Fields of an unmatched name: text as written, numbers only if integers."""
-    return _once(
+    return once(
         F.try_parse_json(json),
         lambda parsed: F.struct(
             _as(_get(parsed, "$.title"), "string").alias("parsed_title"),

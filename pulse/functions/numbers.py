@@ -7,6 +7,8 @@ from fractions import Fraction
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pulse.functions.binding import once
+
 # Feed sizes, where KB and KiB are both 1024 bytes.
 FEED_UNITS = {
     "B": 1,
@@ -58,25 +60,31 @@ def compact(number: Column) -> Column:
     )
 
 
-def _scaled(value: Column, unit: Column, units: dict[str, int]) -> Column:
-    factor = F.lit(None).cast("bigint")
-    for name, size in units.items():
-        factor = F.when(unit == name, F.lit(size).cast("bigint")).otherwise(factor)
-    return (value.try_cast("double") * factor).cast("bigint")
+def _factor(unit: Column, units: dict[str, int]) -> Column:
+    """Bytes per unit; null for a unit not listed."""
+    table = F.create_map(*[F.lit(x) for name, size in units.items() for x in (name, size)])
+    return F.try_element_at(table, unit).cast("bigint")
 
 
 def feed_size(text: Column) -> Column:
     """Two tokens, number and unit in any case; anything else is 0 bytes."""
-    tokens = F.split(F.trim(text), r"\s+")
-    size = _scaled(F.get(tokens, F.lit(0)), F.upper(F.get(tokens, F.lit(1))), FEED_UNITS)
-    return F.when(F.size(tokens) == 2, F.coalesce(size, F.lit(0))).otherwise(F.lit(0))
+    return once(
+        F.split(F.trim(text), r"\s+"),
+        lambda tokens: F.when(
+            F.size(tokens) == 2,
+            F.coalesce(
+                (F.get(tokens, F.lit(0)).try_cast("double") * _factor(F.upper(F.get(tokens, F.lit(1))), FEED_UNITS)).cast("bigint"),
+                F.lit(0),
+            ),
+        ).otherwise(F.lit(0)),
+    )
 
 
 def listing_size(text: Column) -> Column:
     """Number then unit, case-sensitive; null when it cannot be read."""
     pattern = r"^\s*([-+0-9.eE_]+)\s*(TiB|GiB|MiB|KiB|TB|GB|MB|KB|B)\s*$"
-    unit = F.regexp_extract(text, pattern, 2)
-    return _scaled(F.regexp_extract(text, pattern, 1), unit, LISTING_UNITS)
+    number = F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.lit(0)).try_cast("double")
+    return (number * _factor(F.regexp_extract(text, pattern, 2), LISTING_UNITS)).cast("bigint")
 
 
 def weighted_mean(parts: list[Column]) -> Column:

@@ -84,19 +84,18 @@ def is_infohash(text: Column) -> Column:
 
 
 def view_id(href: Column) -> Column:
-    return F.regexp_extract(href, r"/view/(\d+)", 1).try_cast("bigint")
+    return F.get(F.regexp_extract_all(href, F.lit(r"/view/(\d+)"), F.lit(1)), F.lit(0)).try_cast("bigint")
 
 
 def last_path_number(url: Column) -> Column:
     """The last path segment of a URL when it is an integer, else null."""
-    path = F.regexp_replace(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*|[?#].*$", "")
-    return F.regexp_extract(path, r"(?:^|/)([^/]*)$", 1).try_cast("bigint")
+    pattern = r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/|/?)(?:[^?#]*/)?(\d+)(?:[?#].*)?$"
+    return F.get(F.regexp_extract_all(url, F.lit(pattern), F.lit(1)), F.lit(0)).try_cast("bigint")
 
 
 def magnet_infohash(magnet: Column) -> Column:
-    decoded = F.try_url_decode(F.regexp_extract(magnet, r"[?&]xt=([^&]*)", 1))
-    found = F.regexp_extract(decoded, r"^urn:btih:(.+)$", 1)
-    return F.when(found != "", found)
+    topic = F.try_url_decode(F.regexp_extract(magnet, r"[?&]xt=([^&]*)", 1))
+    return F.get(F.regexp_extract_all(topic, F.lit("^urn:btih:(.+)$"), F.lit(1)), F.lit(0))
 
 
 def escape_html(text: Column) -> Column:

@@ -1 +1,86 @@
-"""."""
+"""Streaming jobs over the readings, in files by day, against the batch SQL."""
+
+from __future__ import annotations
+
+import uuid
+from datetime import timedelta
+
+from pyspark.sql import functions as F
+
+from pulse.queries import registry
+from pulse.queries import views as v
+from pulse.session import ensure_checkpoint_dir
+from pulse.streaming import jobs
+from pulse.streaming.tables import read_batches
+
+_DELTAS = "infohash string, timestamp timestamp, downloads_delta bigint"
+
+
+def _source(spark, rows, root):
+    """The rows as a folder of files, each of which becomes a micro-batch."""
+    folder = f"{root}/source"
+    day = F.floor(F.unix_seconds("timestamp") / (10 * 86400))
+    rows.repartition(3, day).sortWithinPartitions("timestamp").write.parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def _root(spark):
+    return f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+
+
+def _run(query):
+    query.awaitTermination()
+    progress = query.recentProgress
+    return progress[-1]["batchId"] if progress else -1
+
+
+def _incremental(spark, sf_dir, root):
+    rows = v.readings(spark, sf_dir).select("infohash", "timestamp", "downloads")
+    # Files arrive in any order, so readings are held for the whole history.
+    query = jobs.incremental_deltas(_source(spark, rows, root), root, f"{root}/state", timedelta(days=40))
+    last = _run(query)
+    jobs.release_held(spark, root, last + 1)
+    return read_batches(spark, f"{root}/deltas", _DELTAS, 0, last + 1)
+
+
+@registry.add(f"""WITH {v.DELTAS}
+SELECT infohash, epoch_us(ts) AS at, CAST(delta AS BIGINT) AS downloads_delta FROM deltas""")
+def stream_counter_deltas(spark, sf_dir):
+    deltas = _incremental(spark, sf_dir, _root(spark))
+    return deltas.select("infohash", v.micros("timestamp").alias("at"), "downloads_delta")
+
+
+@registry.add(f"""WITH {v.READINGS}
+SELECT {v.week_sql('ts')} AS week, anilist_id, CAST(sum(downloads) AS BIGINT) AS downloads FROM readings GROUP BY ALL""")
+def stream_weekly_totals(spark, sf_dir):
+    root = _root(spark)
+    rows = v.readings(spark, sf_dir).select(
+        "timestamp", "anilist_id", F.col("downloads").alias("downloads_delta")
+    )
+    last = _run(jobs.weekly_totals_stream(_source(spark, rows, root), f"{root}/totals", f"{root}/state"))
+    return jobs.current_totals(spark, f"{root}/totals", last)
+
+
+@registry.add(f"WITH {v.READINGS} SELECT DISTINCT infohash, anilist_id, episode FROM readings")
+def stream_first_rows(spark, sf_dir):
+    root = _root(spark)
+    rows = v.readings(spark, sf_dir).select("infohash", "anilist_id", "episode", "timestamp")
+    schema = "infohash string, anilist_id bigint, episode bigint, timestamp timestamp"
+    query = jobs.first_rows(
+        _source(spark, rows, root), f"{root}/torrents", f"{root}/state", schema, ["infohash"], [F.col("timestamp")]
+    )
+    last = _run(query)
+    return read_batches(spark, f"{root}/torrents", schema, 0, last).select("infohash", "anilist_id", "episode")
+
+
+@registry.add(f"""WITH {v.COUNTERS},
+recent AS (SELECT *, row_number() OVER (PARTITION BY infohash ORDER BY ts DESC) AS n FROM counters)
+SELECT infohash, epoch_us(ts) AS at, seeders, leechers, downloads FROM recent WHERE n <= 3""")
+def stream_recent_readings(spark, sf_dir):
+    """What the dead detection keeps: each key's three newest readings."""
+    root = _root(spark)
+    stream = _source(spark, v.counters(spark, sf_dir), root)
+    last = _run(jobs.dead_detection(stream, root, f"{root}/state"))
+    kept = read_batches(spark, f"{root}/recent", jobs.STATS, 0, last)
+    rows = jobs.latest_per_key(kept.drop("batch").distinct(), ["infohash"], [F.col("timestamp")], 3)
+    return rows.select("infohash", v.micros("timestamp").alias("at"), "seeders", "leechers", "downloads")

@@ -9,67 +9,103 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pulse.functions.binding import once
+
 _CONTAINER = r"\.(mkv|mp4|avi|ts|m2ts|webm)$"
 _RESOLUTION = r"(?i)\b(\d{3,4}p|\d{3,4}x\d{3,4}|4k)\b"
 _GROUP = r"^\[([^\]]+)\]"
 _SEASON_EPISODE = r"(?i)\bS(\d{1,2})\s?E(\d{1,4})\b"
 _RANGE = r"(?:-\s*|\b)(\d{1,4})\s*[-~]\s*(\d{1,4})(?:\s*$|\s*[\[(])"
 _DASH_EPISODE = r"\s-\s+(\d{1,4})(?:v\d+)?(?:\s|$|\[|\()"
-_TITLE_SEASON = r"(?i)\s(?:S(\d{1,2})|(\d{1,2})(?:st|nd|rd|th) Season|Season (\d{1,2}))$"
+_TITLE_SEASONS = (
+    r"(?i)\sS(\d{1,2})$", r"(?i)\s(\d{1,2})(?:st|nd|rd|th) Season$", r"(?i)\sSeason (\d{1,2})$"
+)
+_TITLE_SEASON = r"(?i)\s(?:S\d{1,2}|\d{1,2}(?:st|nd|rd|th) Season|Season \d{1,2})$"
 
 
 def _group(text: Column, pattern: str, index: int = 1) -> Column:
-    found = F.regexp_extract(text, pattern, index)
-    return F.when(found != "", found)
+    """A group of the first match, null without a match. (``regexp_extract``
+    gives empty text, and casting that to a number costs an exception per row.)"""
+    return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(index)), F.lit(0))
 
 
-def parsed(filename: Column) -> Column:
-    """Struct of title, season, episode(s), release_group, screen_size, container."""
-    bare = F.trim(F.regexp_replace(F.regexp_replace(filename, "(?i)" + _CONTAINER, ""), "_", " "))
+def _number(text: Column, pattern: str, index: int = 1) -> Column:
+    return _group(text, pattern, index).try_cast("int")
+
+
+def _numbers(name: Column) -> Column:
+    """Name without extension and group, with the numbers found in it."""
+    bare = F.trim(F.regexp_replace(F.regexp_replace(name, "(?i)" + _CONTAINER, ""), "_", " "))
     body = F.trim(F.regexp_replace(bare, _GROUP, ""))
-    first = _group(body, _RANGE, 1).try_cast("int")
-    last = _group(body, _RANGE, 2).try_cast("int")
-    is_batch = first.isNotNull() & (last > first)
-    season_in_name = _group(body, _SEASON_EPISODE, 1).try_cast("int")
-    episode = F.coalesce(
-        _group(body, _SEASON_EPISODE, 2).try_cast("int"), _group(body, _DASH_EPISODE).try_cast("int")
+    return once(
+        F.struct(bare.alias("bare"), body.alias("body")),
+        lambda n: F.struct(
+            n["bare"].alias("bare"),
+            n["body"].alias("body"),
+            _number(n["body"], _RANGE, 1).alias("first"),
+            _number(n["body"], _RANGE, 2).alias("last"),
+            _number(n["body"], _SEASON_EPISODE, 1).alias("season"),
+            F.coalesce(
+                _number(n["body"], _SEASON_EPISODE, 2), _number(n["body"], _DASH_EPISODE)
+            ).alias("episode"),
+        ),
     )
-    head = F.regexp_replace(body, _SEASON_EPISODE + r".*$", "")
-    head = F.when(is_batch, F.regexp_replace(head, _RANGE + r".*$", "")).otherwise(
+
+
+def _head(n: Column, is_batch: Column) -> Column:
+    """What comes before the episode and the bracketed tags."""
+    head = F.regexp_replace(n["body"], _SEASON_EPISODE + r".*$", "")
+    cut = F.when(is_batch, F.regexp_replace(head, _RANGE + r".*$", "")).otherwise(
         F.regexp_replace(head, _DASH_EPISODE + r".*$", "")
     )
-    head = F.regexp_replace(head, r"[\[(].*$", "")
-    head = F.trim(F.regexp_replace(F.trim(head), r"\s*-$", ""))
-    title = F.trim(F.regexp_replace(head, _TITLE_SEASON, ""))
-    season = F.coalesce(
-        season_in_name,
-        *[_group(head, _TITLE_SEASON, i).try_cast("int") for i in (1, 2, 3)],
-    )
-    return F.when(
-        title != "",
-        F.struct(
-            title.alias("title"),
-            season.alias("season"),
-            F.when(is_batch, F.lit(None)).otherwise(episode).alias("episode"),
-            F.when(is_batch, F.sequence(first, F.greatest(first, last))).alias("episodes"),
-            _group(bare, _GROUP).alias("release_group"),
-            _group(bare, _RESOLUTION).alias("screen_size"),
-            F.lower(_group(filename, "(?i)" + _CONTAINER)).alias("container"),
-        ),
+    bare = F.trim(F.regexp_replace(cut, r"[\[(].*$", ""))
+    return F.trim(F.regexp_replace(bare, r"\s*-$", ""))
+
+
+def parsed(filename: Column) -> Column:
+    """Struct of title, season, episode(s), release_group, screen_size, container."""
+
+    def fields(n: Column) -> Column:
+        is_batch = F.coalesce(n["last"] > n["first"], F.lit(False))
+
+        def with_head(head: Column) -> Column:
+            named = [_number(head, p) for p in _TITLE_SEASONS]
+            return F.struct(
+                F.trim(F.regexp_replace(head, _TITLE_SEASON, "")).alias("title"),
+                F.coalesce(n["season"], *named).alias("season"),
+                F.when(~is_batch, n["episode"]).alias("episode"),
+                F.when(is_batch, F.sequence(n["first"], n["last"])).alias("episodes"),
+                _group(n["bare"], _GROUP).alias("release_group"),
+                _group(n["bare"], _RESOLUTION).alias("screen_size"),
+                F.lower(_group(filename, "(?i)" + _CONTAINER)).alias("container"),
+            )
+
+        return once(_head(n, is_batch), with_head)
+
+    return once(
+        once(_numbers(filename), fields), lambda p: F.when(F.coalesce(p["title"], F.lit("")) != "", p)
     )
 
 
+_TAGS = ("release_group", "screen_size", "container")
+
+
 def metadata_json(filename: Column) -> Column:
     """The parsed name as JSON; a batch writes ``episode`` as a list."""
-    p = parsed(filename)
-    single = F.to_json(
-        F.struct(*[p[f].alias(f) for f in (
-            "title", "season", "episode", "release_group", "screen_size", "container")])
-    )
-    batch = F.to_json(
-        F.struct(
-            p["title"].alias("title"), p["season"].alias("season"), p["episodes"].alias("episode"),
-            *[p[f].alias(f) for f in ("release_group", "screen_size", "container")],
+
+    def record(p: Column, episode: str) -> Column:
+        return F.to_json(
+            F.struct(
+                p["title"].alias("title"),
+                p["season"].alias("season"),
+                p[episode].alias("episode"),
+                *[p[t].alias(t) for t in _TAGS],
+            )
         )
+
+    return once(
+        parsed(filename),
+        lambda p: F.when(p["episodes"].isNotNull(), record(p, "episodes")).when(
+            p["title"].isNotNull(), record(p, "episode")
+        ),
     )
-    return F.when(p.isNull(), F.lit(None)).when(p["episodes"].isNotNull(), batch).otherwise(single)

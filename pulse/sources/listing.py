@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulse.functions.binding import once
 from pulse.functions.numbers import listing_size
 from pulse.functions.text import magnet_infohash, unescape_html, view_id
 from pulse.sources.feed import ROW
@@ -24,13 +25,12 @@ _LINK = r"(?s)(<a\b[^>]*>.*?</a>)"
 
 
 def attribute(tag: Column, name: str) -> Column:
-    """An attribute of the first tag in the text; null when absent or empty."""
-    opening = F.regexp_extract(tag, r"(?s)^\s*(<[^>]*>)", 1)
-    value = F.coalesce(
-        F.nullif(F.regexp_extract(opening, rf'(?s)\b{name}\s*=\s*"([^"]*)"', 1), F.lit("")),
-        F.nullif(F.regexp_extract(opening, rf"(?s)\b{name}\s*=\s*'([^']*)'", 1), F.lit("")),
+    """An attribute of the tag the text starts with; null when absent."""
+    pattern = rf"""(?s)^\s*<[^>]*?\s{name}\s*=\s*(["'])(.*?)\1"""
+    return once(
+        F.get(F.regexp_extract_all(tag, F.lit(pattern), F.lit(2)), F.lit(0)),
+        lambda value: F.when(F.contains(value, F.lit("&")), unescape_html(value)).otherwise(value),
     )
-    return unescape_html(value)
 
 
 def inner_text(html: Column) -> Column:
@@ -47,12 +47,15 @@ def links(html: Column) -> Column:
 
 def view_links(html: Column) -> Column:
     """Links to an item page, comment links left out."""
-    return F.filter(
-        links(html),
-        lambda a: F.coalesce(attribute(a, "href").rlike(r"/view/\d+"), F.lit(False))
-        & ~F.contains(attribute(a, "href"), F.lit("#comments"))
-        & ~_has_class(a, "comments"),
-    )
+
+    def leads_to_item(link: Column) -> Column:
+        return once(
+            attribute(link, "href"),
+            lambda href: F.coalesce(href.rlike(r"/view/\d+"), F.lit(False))
+            & ~F.contains(href, F.lit("#comments")),
+        ) & ~_has_class(link, "comments")
+
+    return F.filter(links(html), leads_to_item)
 
 
 def listing_rows(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -76,7 +79,8 @@ def listing_rows(pages: DataFrame, html: str = "html") -> DataFrame:
           for i, c in enumerate(("seeders", "leechers", "downloads"))],
     )
     named = picked.withColumn(
-        "filename", F.coalesce(attribute(F.col("_view"), "title"), inner_text(F.col("_view")))
+        "filename",
+        F.coalesce(F.nullif(attribute(F.col("_view"), "title"), F.lit("")), inner_text(F.col("_view"))),
     )
     out = named.select(
         magnet_infohash(attribute(F.col("_magnet"), "href")).alias("infohash"),

@@ -35,7 +35,10 @@ def survey_rows(raw: DataFrame) -> DataFrame:
             text(TITLE).alias("title"),
             _digits(text(EPISODE)).alias("episode"),
             text(AIRED).alias("aired_at"),
-            *[text(a).try_cast("double").alias(p) for a, p in zip(ANSWERS, PERCENTAGES, strict=True)],
+            *[
+                F.nullif(text(a), F.lit("")).try_cast("double").alias(p)
+                for a, p in zip(ANSWERS, PERCENTAGES, strict=True)
+            ],
         )
         .filter(F.col("episode").isNotNull() & (F.col("title") != ""))
     )
