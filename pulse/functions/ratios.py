@@ -13,6 +13,7 @@ import sys
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Executors need not have this package: its functions travel with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -67,7 +68,7 @@ def _best_window(short: str, long: str) -> float:
     return best
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     cache: dict[str, dict[str, int]] = {}
     scores = []
@@ -80,7 +81,7 @@ def ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(scores, dtype="int32")
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def likeness(left: pd.Series, right: pd.Series) -> pd.Series:
     """The ratio, or for longer texts the best stretch if that is higher."""
     scores = []
@@ -92,7 +93,7 @@ def likeness(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(scores, dtype="int32")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def fold_width(text: pd.Series) -> pd.Series:
     """NFKC, for which Spark has no built-in."""
     return text.str.normalize("NFKC")

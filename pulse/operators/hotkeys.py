@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pulse.session import input_bytes, setting
+from pulse.session import cut, input_bytes, setting
 
 CHUNK = "_chunk"
 _HASH_RANGE = 1 << 20
@@ -35,6 +35,20 @@ def is_small(df: DataFrame) -> bool:
     return input_bytes(df) < limit
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """Store a large derived frame before it is read several times.
+
+    Small inputs and plain scans are returned as they are. What remains is the
+    result of joins or aggregates over a lot of data: planning a split would
+    compute it again, and only once written is its own size known.
+    """
+    if is_small(df):
+        return df
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    derived = any(node in plan for node in ("Aggregate [", "Join ", "Window [", "Deduplicate ["))
+    return cut(df) if derived else df
+
+
 def broadcast_if_small(df: DataFrame, sized_by: DataFrame) -> DataFrame:
     """Ask for a broadcast when the rows can be no more than those of
     ``sized_by`` and that reads little; otherwise leave the join to Spark."""
@@ -163,7 +177,9 @@ def lag_over(
     keep_chunk: bool = False,
 ) -> DataFrame:
     """``lag(value)`` per key in ``order``."""
-    split = split or plan_split(df, keys, order)
+    if split is None:
+        df = settle(df)
+        split = plan_split(df, keys, order)
     window = _chunk_window(split)
     tagged = split.tag(df)
     result = tagged.withColumn(out, F.lag(value).over(window))
@@ -197,7 +213,9 @@ def row_number_over(
     size: str | None = None,
 ) -> DataFrame:
     """``row_number()`` per key in ``order``; ``size`` adds the rows per key."""
-    split = split or plan_split(df, keys, order)
+    if split is None:
+        df = settle(df)
+        split = plan_split(df, keys, order)
     tagged = split.tag(df)
     result = tagged.withColumn(out, F.row_number().over(_chunk_window(split)))
     if size:
@@ -220,7 +238,9 @@ def running_sum_over(
     split: Split | None = None,
 ) -> DataFrame:
     """``sum(value)`` up to and including the current row, per key in ``order``."""
-    split = split or plan_split(df, keys, order)
+    if split is None:
+        df = settle(df)
+        split = plan_split(df, keys, order)
     tagged = split.tag(df)
     window = _chunk_window(split).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     result = tagged.withColumn(out, F.sum(value).over(window))
@@ -268,6 +288,7 @@ def lookup_join(
     match nothing and are spread as well, not sent to one task.
     """
     keys = list(keys)
+    fact = settle(fact)
     if is_small(fact):
         return fact.join(dim, keys, how)
     limit = _rows_per_chunk(fact.sparkSession)

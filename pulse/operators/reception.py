@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulse.functions.numbers import round_binary
-from pulse.operators.hotkeys import row_number_over
+from pulse.operators.hotkeys import row_number_over, settle
 
 # Output column and the reception metric it compares with.
 RANK_DELTAS = {
@@ -67,6 +67,7 @@ def rank_deltas(
 ) -> DataFrame:
     """Download rank minus reception rank within the season; positive means
     better received than downloaded, null without the metric."""
+    shows = settle(shows)
     keys = [*by, "anilist_id"]
     result = shows.join(metric_rank(shows, total, by, total, "_dl"), keys, "left")
     for name, metric in deltas.items():

@@ -15,11 +15,14 @@ from pulse.functions.text import (
     sort_tokens,
     title_before_dash,
 )
-from pulse.operators.hotkeys import broadcast_if_small, lookup_join
+from pulse.operators.hotkeys import broadcast_if_small, lookup_join, settle
 from pulse.operators.similarity import similar_pairs
 from pulse.rules import MATCH_THRESHOLD, SEASON_BONUS
+from pulse.session import cut
 
-_DECISION = "struct<anilist_id:bigint,score:double,method:string,season_matched:bigint>"
+_DECISION = (
+    "struct<anilist_id:bigint,score:double,method:string,season_matched:bigint,matched_title:string>"
+)
 
 
 def title_variants(shows: DataFrame) -> DataFrame:
@@ -60,37 +63,38 @@ def bonus_seasons(shows: DataFrame) -> DataFrame:
     )
 
 
-def _decision(show: Column, score: Column, method: Column, season: Column) -> Column:
+def _decision(show: Column, score: Column, method: Column, season: Column, title: Column) -> Column:
     return F.struct(
         show.alias("anilist_id"),
         score.cast("double").alias("score"),
         method.alias("method"),
         season.cast("bigint").alias("season_matched"),
+        title.alias("matched_title"),
     )
 
 
 def range_rules(ranges: DataFrame, shows: DataFrame) -> DataFrame:
     """Ranges of listed shows, as one array per title in rule order."""
     listed = ranges.join(
-        shows.select(F.col("anilist_id").alias("range_id")), "range_id", "left_semi"
-    )
-    return listed.groupBy("normalized").agg(
-        F.array_sort(
-            F.collect_list(F.struct("rule_seq", "min_episode", "max_episode", "range_id"))
-        ).alias("_ranges")
+        shows.select(F.col("anilist_id").alias("range_id"), F.col("title_romaji").alias("range_title")),
+        "range_id",
     )
+    rule = F.struct("rule_seq", "min_episode", "max_episode", "range_id", "range_title")
+    return listed.groupBy("normalized").agg(F.array_sort(F.collect_list(rule)).alias("_ranges"))
 
 
 def range_target(episode: Column, ranges: Column) -> Column:
+    """The first range that holds the episode; its ``range_id`` is the show."""
     hit = F.filter(ranges, lambda r: (r["min_episode"] <= episode) & (episode <= r["max_episode"]))
-    return F.get(hit, F.lit(0))["range_id"]
+    return F.get(hit, F.lit(0))
 
 
 def override_rules(overrides: DataFrame, shows: DataFrame) -> DataFrame:
     """Overrides whose target the catalogue has."""
-    return overrides.join(
-        shows.select(F.col("anilist_id").alias("override_id")), "override_id", "left_semi"
+    named = shows.select(
+        F.col("anilist_id").alias("override_id"), F.col("title_romaji").alias("override_title")
     )
+    return overrides.join(named, "override_id")
 
 
 def _first_best(pairs: DataFrame, by: list[str], bonus: int) -> DataFrame:
@@ -139,6 +143,7 @@ def _fuzzy_decisions(wanted: DataFrame, shows: DataFrame, overrides: DataFrame,
         .distinct()
     )
     raw, lifted = best_matches(texts, seasons, shows, threshold)
+    raw = cut(raw)  # read for the title and for its part before the dash
     by_text = raw.select("text", F.col("_best").alias("_raw"))
     by_prefix = raw.select(F.col("text").alias("_prefix_text"), F.col("_best").alias("_prefix_raw"))
     prefix_override = overrides.select(
@@ -155,35 +160,28 @@ def _fuzzy_decisions(wanted: DataFrame, shows: DataFrame, overrides: DataFrame,
     lifted_wins = F.col("_lifted").isNotNull() & (
         F.col("_raw").isNull() | (F.col("_lifted") < F.col("_raw"))
     )
-    none = F.lit(None).cast("bigint")
-    fuzzy = F.lit("fuzzy")
-    return joined.select(
+    plain = F.when(F.col("_raw").isNotNull(), F.col("_raw"))
+    by_rule = plain.isNull() & F.col("_prefix_id").isNotNull() & ~lifted_wins
+    best = F.when(lifted_wins, F.col("_lifted")).otherwise(F.coalesce("_raw", "_prefix_raw"))
+    chosen = joined.select(
         "normalized",
         "prefix",
         "season",
-        F.when(
-            lifted_wins,
-            _decision(
-                F.col("_lifted.anilist_id"),
-                -F.col("_lifted.s"),
-                F.when(F.col("season") != 0, F.lit("season_aware")).otherwise(fuzzy),
-                F.col("season"),
-            ),
-        )
-        .when(
-            F.col("_raw").isNotNull(),
-            _decision(F.col("_raw.anilist_id"), -F.col("_raw.s"), fuzzy, none),
-        )
-        .when(
-            F.col("_prefix_id").isNotNull(),
-            _decision(F.col("_prefix_id"), F.lit(100), F.lit("manual_override"), F.col("season")),
-        )
-        .when(
-            F.col("_prefix_raw").isNotNull(),
-            _decision(F.col("_prefix_raw.anilist_id"), -F.col("_prefix_raw.s"), fuzzy, none),
-        )
-        .alias("_fuzzy"),
-    ).filter(F.col("_fuzzy").isNotNull())
+        F.when(by_rule, F.col("_prefix_id")).otherwise(best["anilist_id"]).alias("anilist_id"),
+        F.when(by_rule, F.lit(100)).otherwise(-best["s"]).alias("_score"),
+        F.when(by_rule, "manual_override")
+        .when(lifted_wins & (F.col("season") != 0), "season_aware")
+        .otherwise("fuzzy")
+        .alias("_method"),
+        F.when(by_rule | lifted_wins, F.col("season")).alias("_matched_season"),
+    ).filter(F.col("anilist_id").isNotNull())
+    named = lookup_join(
+        chosen, shows.select("anilist_id", "title_romaji"), ["anilist_id"], ["normalized", "prefix", "season"]
+    )
+    columns = ("anilist_id", "_score", "_method", "_matched_season", "title_romaji")
+    return named.select(
+        "normalized", "prefix", "season", _decision(*[F.col(c) for c in columns]).alias("_fuzzy")
+    )
 
 
 def resolve(
@@ -198,7 +196,8 @@ def resolve(
 
     Returns every row with anilist_id, score, method, matched_title and
     season_matched; all null when nothing matched. Similarity runs once per
-    distinct title and season.
+    distinct title and season; the rows after the rules, those distinct titles and
+    their scores are stored, as each is read more than once.
     """
     usable = override_rules(overrides, shows)
     dash = title_before_dash(F.col("title"))
@@ -210,23 +209,29 @@ def resolve(
         .withColumn("_informative", is_informative(F.col("normalized")))
         .join(broadcast_if_small(range_rules(ranges, shows), ranges), "normalized", "left")
         .join(broadcast_if_small(usable, overrides), "normalized", "left")
-        .withColumn("_range_id", range_target(F.col("episode"), F.col("_ranges")))
+        .withColumn("_range", range_target(F.col("episode"), F.col("_ranges")))
     )
     hundred, none = F.lit(100), F.lit(None).cast("bigint")
     by_rule = (
         F.when(~F.col("_informative"), F.lit(None).cast(_DECISION))
         .when(
-            F.col("_range_id").isNotNull(),
-            _decision(F.col("_range_id"), hundred, F.lit("episode_range"), none),
+            F.col("_range").isNotNull(),
+            _decision(
+                F.col("_range.range_id"), hundred, F.lit("episode_range"), none, F.col("_range.range_title")
+            ),
         )
         .when(
             F.col("override_id").isNotNull(),
-            _decision(F.col("override_id"), hundred, F.lit("manual_override"), F.col("season")),
+            _decision(
+                F.col("override_id"), hundred, F.lit("manual_override"), F.col("season"), F.col("override_title")
+            ),
         )
     )
-    ruled = rows.withColumn("_rule", by_rule).drop("_ranges", "_range_id", "override_id")
+    ruled = cut(
+        rows.withColumn("_rule", by_rule).drop("_ranges", "_range", "override_id", "override_title")
+    )
     open_rows = F.col("_informative") & F.col("_rule").isNull()
-    wanted = ruled.filter(open_rows).select("normalized", "prefix", "season").distinct()
+    wanted = cut(ruled.filter(open_rows).select("normalized", "prefix", "season").distinct())
     fuzzy = _fuzzy_decisions(wanted, shows, usable, threshold)
     # Seasons are compared null-safely through a code no season has.
     no_season = F.lit(-(2**62)).cast("bigint")
@@ -238,9 +243,7 @@ def resolve(
         [key],
     )
     final = F.coalesce("_rule", F.when(open_rows, F.col("_fuzzy")))
-    resolved = decided.withColumn("_d", final).select(*titles.columns, "normalized", "_d.*")
-    names = shows.select("anilist_id", F.col("title_romaji").alias("matched_title"))
-    return lookup_join(resolved, names, ["anilist_id"], [key])
+    return decided.withColumn("_d", final).select(*titles.columns, "normalized", "_d.*")
 
 
 def matched(resolved: DataFrame) -> DataFrame:
@@ -264,6 +267,7 @@ def best_scores(misses: DataFrame, shows: DataFrame, levels=(50, 1)) -> DataFram
         .select(sort_tokens(F.col("normalized")).alias("text"))
         .distinct()
     )
+    misses, texts = settle(misses), settle(texts)
     found = None
     for level in levels:
         left = texts if found is None else texts.join(found.select("text"), "text", "left_anti")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pulse.functions.numbers import round_binary
 from pulse.functions.text import season_slug
-from pulse.operators.hotkeys import broadcast_if_small, lookup_join, row_number_over
+from pulse.operators.hotkeys import broadcast_if_small, lookup_join, row_number_over, settle
 from pulse.operators.quantiles import QUARTILES, quantiles
 
 # Ordinals that count as one season, and the days an episode has
@@ -218,6 +218,7 @@ def nearest_bands(df: DataFrame, group, value: str, tie: Column) -> DataFrame:
 def premiere_size(shows: DataFrame, by=("season",), value: str = "ep1_downloads") -> DataFrame:
     """small / medium / big by the 0.33 and 0.66 quantiles of positive premieres.
     A show without one is small."""
+    shows = settle(shows)
     cuts = quantiles(
         shows.filter(F.col(value) > 0), by, value, F.col("anilist_id"), PREMIERE_CUTS, "linear"
     )
@@ -268,6 +269,7 @@ def download_trend(shows: DataFrame, score: str, by=("season",)) -> DataFrame:
 
 def trend_residuals(shows: DataFrame, score: str, by=("season",)) -> DataFrame:
     """Fitted downloads and the residual in log space (0 without a fit)."""
+    shows = settle(shows)
     usable = shows.filter(F.col(score).isNotNull() & (F.col("total_downloads") > 0))
     line = F.col("intercept") + F.col("slope") * F.col(score)
     return (
@@ -289,6 +291,7 @@ def outliers(residuals: DataFrame, by=("season",), limit: int = 8) -> DataFrame:
 
 def normalised_rank(df: DataFrame, metrics, by=("season",)) -> DataFrame:
     """1 for the best, 0 for the worst and for a missing value, per metric."""
+    df = settle(df)
     result = df
     for metric in metrics:
         valued = df.filter(F.col(metric).isNotNull()).select(

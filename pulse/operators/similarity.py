@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulse.functions.ratios import PARTIAL_FROM, likeness, ratio
-from pulse.operators.hotkeys import lookup_join
+from pulse.operators.hotkeys import lookup_join, settle
 
 # Letters from common to rare; later letters make a gram sort earlier. Any fixed
 # order gives the same result, this one keeps the candidate lists short.
@@ -97,6 +97,7 @@ def similar_pairs(
 ) -> DataFrame:
     """Every pair with ratio(a, b) >= threshold, as left and right columns plus
     ``score``. ``on`` adds columns that must be equal."""
+    left, right = settle(left), settle(right)
     cut = lowest_ratio(threshold)
     q = _gram_size(cut)
     lhs = _leading(_indexed(left, a, cut, q, "_l"), "_l")
@@ -120,6 +121,7 @@ def containing_pairs(left: DataFrame, right: DataFrame, a: str, b: str, threshol
     may be the shorter; each pair is found in the branch of its length order.
     Identical texts are the caller's exact join, so single characters may be left out.
     """
+    left, right = settle(left), settle(right)
     cut = lowest_ratio(threshold)
     q = _gram_size(cut)
 

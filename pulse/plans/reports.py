@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pulse.functions.metadata import json_or_error, report_fields
 from pulse.functions.text import normalize_title, season_slug
 from pulse.functions.times import week_label
-from pulse.operators.hotkeys import Split, broadcast_if_small, lookup_join, row_number_over
+from pulse.operators.hotkeys import Split, broadcast_if_small, lookup_join, row_number_over, settle
 from pulse.operators.movies import movie_totals, torrent_counts
 from pulse.operators.ranking import grown_shows, top_ranked, without_week_of
 from pulse.operators.reception import rank_deltas
@@ -195,6 +195,7 @@ def diagnostics_report(
     per_torrent: DataFrame, rankings: DataFrame, matches: DataFrame, shows: DataFrame
 ) -> DataFrame:
     """Per show and week the torrents behind the total, largest first."""
+    per_torrent = settle(per_torrent)
     kept = per_torrent.join(noteworthy_shows(per_torrent, rankings), "anilist_id", "left_semi")
     info = matches.select(
         "infohash", F.col("method").alias("match_method"), F.col("score").alias("match_score")

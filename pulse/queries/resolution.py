@@ -206,7 +206,7 @@ def episode_range_matches(spark, sf_dir):
     shows = catalogue(spark, sf_dir)
     spans = ops.range_rules(rules(shows)[1], shows)
     rows = titles(spark, sf_dir).withColumn("normalized", normalize_title(F.col("title"))).join(spans, "normalized")
-    target = ops.range_target(F.col("episode"), F.col("_ranges")).alias("anilist_id")
+    target = ops.range_target(F.col("episode"), F.col("_ranges"))["range_id"].alias("anilist_id")
     return rows.select("infohash", target).filter(F.col("anilist_id").isNotNull())
 
 

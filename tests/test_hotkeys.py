@@ -1,0 +1,83 @@
+"""Split windows and joins give what the plain ones give."""
+
+import random
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from pulse.operators.hotkeys import lag_over, lookup_join, plan_split, row_number_over, running_sum_over
+from pulse.operators.quantiles import quantiles
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """One key holds half of the rows; values repeat, and some are null."""
+    pick = random.Random(7)
+    rows = []
+    for i in range(6000):
+        key = "hot" if pick.random() < 0.5 else f"k{pick.randrange(300)}"
+        rows.append((key, i, pick.choice([None, *range(40)])))
+    pick.shuffle(rows)
+    return spark.createDataFrame(rows, "key string, at bigint, value bigint")
+
+
+def compare(got, expected):
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.select(*got.columns).collect()))
+
+
+def test_hot_key_is_cut(skewed, split_everything):
+    split = plan_split(skewed, ["key"], [F.col("at")])
+    chunks = split.tag(skewed).filter("key = 'hot'").groupBy("_chunk").count().collect()
+    assert len(chunks) > 10
+    assert max(r["count"] for r in chunks) < 1500
+
+
+def test_lag(skewed, split_everything):
+    window = Window.partitionBy("key").orderBy("at")
+    expected = skewed.withColumn("before", F.lag("value").over(window))
+    compare(lag_over(skewed, ["key"], [F.col("at")], "value", "before"), expected)
+
+
+def test_row_number_with_size(skewed, split_everything):
+    window = Window.partitionBy("key").orderBy(F.col("value"), F.col("at"))
+    expected = skewed.withColumn("n", F.row_number().over(window).cast("bigint")).withColumn(
+        "size", F.count("*").over(Window.partitionBy("key"))
+    )
+    got = row_number_over(skewed, ["key"], [F.col("value"), F.col("at")], "n", size="size")
+    compare(got, expected)
+
+
+def test_running_sum(skewed, split_everything):
+    window = Window.partitionBy("key").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    expected = skewed.withColumn("total", F.sum("value").over(window))
+    got = running_sum_over(skewed.na.fill(0), ["key"], [F.col("at")], "value", "total")
+    compare(got.select("key", "at", "total"), skewed.na.fill(0).withColumn("total", F.sum("value").over(window)))
+    assert expected.count() == got.count()
+
+
+def test_lookup_join_spreads_hot_and_missing_keys(spark, skewed, split_everything):
+    fact = skewed.withColumn("key", F.when(F.col("at") % 10 != 0, F.col("key")))
+    dim = skewed.select("key").distinct().withColumn("name", F.upper("key"))
+    compare(lookup_join(fact, dim, ["key"], ["at"]), fact.join(dim, "key", "left"))
+
+
+@pytest.mark.parametrize("method", ["linear", "nearest"])
+def test_quantiles(skewed, split_everything, method):
+    got = {r["key"]: (r["p25"], r["p50"], r["p75"]) for r in
+           quantiles(skewed, ["key"], "value", F.col("at"), method=method).collect()}
+    values = {}
+    for row in skewed.filter("value is not null").collect():
+        values.setdefault(row["key"], []).append(row["value"])
+    for key, found in values.items():
+        found.sort()
+
+        def at(q):
+            position = (len(found) - 1) * q
+            if method == "nearest":
+                return float(found[int(position + 0.5)])
+            low = int(position)
+            high = min(low + 1, len(found) - 1)
+            return found[low] + (found[high] - found[low]) * (position - low)
+
+        assert got[key] == pytest.approx((at(0.25), at(0.5), at(0.75)))
