@@ -21,7 +21,7 @@ def utc(column: Column | str) -> Column:
 def elapsed_seconds(later: Column, earlier: Column) -> Column:
     """Whole seconds between two instants, truncated."""
     micros = F.unix_micros(utc(later)) - F.unix_micros(utc(earlier))
-    return F.signum(micros).cast("bigint") * F.floor(F.abs(micros) / 1_000_000)
+    return F.call_function("div", micros, F.lit(1_000_000))
 
 
 def hours_since(later: Column, earlier: Column) -> Column:

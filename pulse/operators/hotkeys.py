@@ -175,13 +175,18 @@ def lag_over(
     out: str,
     split: Split | None = None,
     keep_chunk: bool = False,
+    only: DataFrame | None = None,
 ) -> DataFrame:
-    """``lag(value)`` per key in ``order``."""
+    """``lag(value)`` per key in ``order``. ``only`` limits the rows to the keys
+    it lists, with a semi join that shares the window's partitioning."""
     if split is None:
         df = settle(df)
         split = plan_split(df, keys, order)
     window = _chunk_window(split)
     tagged = split.tag(df)
+    if only is not None:
+        listed = split.spread(only.select(*split.keys).distinct())
+        tagged = tagged.join(listed, [*split.keys, CHUNK], "left_semi")
     result = tagged.withColumn(out, F.lag(value).over(window))
     if split.bounds is not None:
         last = (

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pulse.functions.metadata import aggregation_episode
 from pulse.functions.times import hours_since, time_bucket, utc, week_label
-from pulse.operators.hotkeys import CHUNK, Split, lag_over, lookup_join, plan_split
+from pulse.operators.hotkeys import CHUNK, Split, lag_over, lookup_join, plan_split, settle
 from pulse.sources.tables import usable_torrents
 
 SHOW_FIELDS = ("title", "title_romaji", "cover_image_url", "cover_image_color")
@@ -22,12 +22,15 @@ def plan_readings(readings: DataFrame) -> Split:
 
 
 def counter_deltas(
-    readings: DataFrame, split: Split | None = None, keep_chunk: bool = False
+    readings: DataFrame,
+    split: Split | None = None,
+    keep_chunk: bool = False,
+    only: DataFrame | None = None,
 ) -> DataFrame:
-    """infohash, timestamp, downloads_delta."""
+    """infohash, timestamp, downloads_delta; of the keys in ``only``, if given."""
     narrow = readings.select("infohash", utc("timestamp").alias("timestamp"), "downloads")
     lagged = lag_over(
-        narrow, ["infohash"], [F.col("timestamp")], "downloads", "_previous", split, keep_chunk
+        narrow, ["infohash"], [F.col("timestamp")], "downloads", "_previous", split, keep_chunk, only
     )
     grown = F.col("downloads") - F.col("_previous")
     columns = ["infohash", "timestamp", F.when(grown > 0, grown).otherwise(0).alias("downloads_delta")]
@@ -49,17 +52,19 @@ def first_release(torrents: DataFrame, by=("anilist_id", "episode")) -> DataFram
 
 
 def with_first_release(torrents: DataFrame, by=("anilist_id", "episode")) -> DataFrame:
+    torrents = settle(torrents)
     return lookup_join(torrents, first_release(torrents, by), list(by), ["infohash"])
 
 
 def deltas_of(readings: DataFrame, torrents: DataFrame, split: Split | None = None) -> DataFrame:
-    """Deltas with the columns of their torrent.
+    """Deltas of the given torrents, with their columns.
 
-    The readings are shuffled once, by key (and chunk, for hot keys); the join
-    reuses that partitioning.
+    The readings are shuffled once, by key (and chunk, for hot keys): the filter
+    to these torrents, the window and the join share that partitioning. Few
+    torrents are broadcast by Spark, and then filter before the shuffle.
     """
     split = split or plan_readings(readings)
-    deltas = counter_deltas(readings, split, keep_chunk=True)
+    deltas = counter_deltas(readings, split, keep_chunk=True, only=torrents)
     return deltas.join(split.spread(torrents), ["infohash", CHUNK]).drop(CHUNK)
 
 

@@ -66,7 +66,7 @@ def mark_status(target: DataFrame, keys: DataFrame, status: str, key: str = "inf
 def feed_to_tables(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Ingested rows as a torrent row and a first reading taken at publication."""
     torrents = rows.select(
-        "infohash", "filename", "pubdate", "size_bytes", "nyaa_id", "trusted", "remake",
+        "infohash", "filename", "pubdate", "size_bytes", "source_id", "trusted", "remake",
         F.lit("active").alias("status"), "guessit_data",
     )
     stats = rows.select(

@@ -30,7 +30,7 @@ from pulse.operators.series import (
 from pulse.plans import reports
 from pulse.session import cut
 from pulse.sources.catalogue import movie_shows
-from pulse.sources.tables import stats_of, usable_torrents
+from pulse.sources.tables import usable_torrents
 
 
 @dataclass(frozen=True)
@@ -71,12 +71,11 @@ def run(inputs: Inputs, out: str, now: datetime, first_day, threshold: int = rul
     )
 
     torrents = cut(matched_torrents(usable, matches))
-    readings = stats_of(inputs.stats, torrents)
     split = plan_readings(inputs.stats)
-    series = cut(episode_series(readings, torrents, split))
+    series = cut(episode_series(inputs.stats, torrents, split))
     rankings = cut(with_show_labels(weekly_rankings(weekly_totals(series)), inputs.shows))
 
-    per_torrent = reports.torrent_weeks(readings, torrents, now, split)
+    per_torrent = reports.torrent_weeks(inputs.stats, torrents, now, split)
     reports.write_json(
         reports.diagnostics_report(cut(per_torrent), rankings, matches, inputs.shows),
         f"{out}/torrent_downloads_report",
@@ -118,7 +117,5 @@ def run_movies(inputs: Inputs, titles: DataFrame, out: str, threshold: int, min_
     reports.write_json(
         reports.movie_match_report(torrents, matches, catalogue), f"{out}/movie_match_report"
     )
-    series = movie_series(
-        stats_of(inputs.stats, torrents), torrents, plan_readings(inputs.stats)
-    )
+    series = movie_series(inputs.stats, torrents, plan_readings(inputs.stats))
     reports.write_json(reports.movies_report(cut(series), catalogue), f"{out}/movies")

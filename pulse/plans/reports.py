@@ -52,6 +52,11 @@ def nested(
     return rows.groupBy(*group, part).agg(ordered.alias(name))
 
 
+def flattened(report: DataFrame, name: str, keep: Sequence[str]) -> DataFrame:
+    """The child rows of a nested report with columns of their parent."""
+    return report.select(*keep, F.inline(name))
+
+
 def write_json(df: DataFrame, path: str, partition: Sequence[str] = ()) -> None:
     df.write.mode("overwrite").partitionBy(*partition).json(path, ignoreNullFields=False)
 

@@ -28,7 +28,7 @@ def _orders(spark, sf_dir):
 
 LISTED = f"""
   SELECT {_HASH} AS infohash, concat('[G] Order & Co ', o_orderkey, ' - 05 [720p].mkv') AS filename, epoch_us(o_orderdate) AS published,
-         CAST(trunc(o_orderkey * 1.5 * 1048576) AS BIGINT) AS size_bytes, o_orderkey AS nyaa_id,
+         CAST(trunc(o_orderkey * 1.5 * 1048576) AS BIGINT) AS size_bytes, o_orderkey AS source_id,
          o_orderkey % 5 = 0 AS trusted, o_orderkey % 5 = 1 AS remake, o_orderkey % 90 AS seeders, o_orderkey % 7 AS leechers, o_custkey AS downloads
   FROM orders"""
 
@@ -64,7 +64,7 @@ def listing_rows(spark, sf_dir):
         ).alias("html")
     )
     return listing.listing_rows(pages).select(
-        "infohash", "filename", v.micros("pubdate").alias("published"), "size_bytes", "nyaa_id", "trusted",
+        "infohash", "filename", v.micros("pubdate").alias("published"), "size_bytes", "source_id", "trusted",
         "remake", "seeders", "leechers", "downloads",
     )
 
@@ -90,7 +90,7 @@ def _feed_items(spark, sf_dir):
 FED = f"""
   SELECT {_HASH} AS infohash, concat('[G] Order & Co ', o_orderkey, ' - 05 [720p].mkv') AS filename,
          CASE WHEN o_orderkey % 13 = 0 THEN 946684800000000 ELSE epoch_us(o_orderdate) END AS published,
-         CAST(1610612736 AS BIGINT) AS size_bytes, o_orderkey AS nyaa_id, o_orderkey % 5 = 0 AS trusted, false AS remake,
+         CAST(1610612736 AS BIGINT) AS size_bytes, o_orderkey AS source_id, o_orderkey % 5 = 0 AS trusted, false AS remake,
          CASE WHEN o_orderkey % 9 = 0 THEN 0 ELSE o_orderkey % 90 END AS seeders, CAST(0 AS BIGINT) AS leechers, o_custkey AS downloads
   FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 17 <> 0"""
 
@@ -100,21 +100,21 @@ def feed_rows(spark, sf_dir):
     """Items without hash or with unreadable counts are left out; unreadable
     dates become the time of reading."""
     return feed.feed_rows(_feed_items(spark, sf_dir), _FEED_NOW).select(
-        "infohash", "filename", v.micros("pubdate").alias("published"), "size_bytes", "nyaa_id", "trusted",
+        "infohash", "filename", v.micros("pubdate").alias("published"), "size_bytes", "source_id", "trusted",
         "remake", "seeders", "leechers", "downloads",
     )
 
 
 @registry.add(f"""WITH fed AS ({FED})
-SELECT infohash, nyaa_id, CASE WHEN nyaa_id % 3 = 0 THEN 'dead' ELSE 'active' END AS status, 1 AS readings FROM fed""")
+SELECT infohash, source_id, CASE WHEN source_id % 3 = 0 THEN 'dead' ELSE 'active' END AS status, 1 AS readings FROM fed""")
 def ingest_feed(spark, sf_dir):
     """The feed on top of a store that has every third order already, as dead."""
     rows = feed.feed_rows(_feed_items(spark, sf_dir), _FEED_NOW)
-    known = rows.filter(F.col("nyaa_id") % 3 == 0)
+    known = rows.filter(F.col("source_id") % 3 == 0)
     stored, stats = feed_to_tables(known)
     torrents, readings = collector.ingest(stored.withColumn("status", F.lit("dead")), stats, rows)
     counts = readings.groupBy("infohash").agg(F.count(F.lit(1)).cast("int").alias("readings"))
-    return torrents.join(counts, "infohash").select("infohash", "nyaa_id", "status", "readings")
+    return torrents.join(counts, "infohash").select("infohash", "source_id", "status", "readings")
 
 
 @registry.add("""SELECT l_orderkey, l_linenumber, l_partkey, concat('Show ', l_partkey % 50, ' Part') AS title,
@@ -254,29 +254,29 @@ def movie_query(spark, sf_dir):
 
 @registry.add(f"""WITH {CATALOGUE},
 kept AS (SELECT anilist_id FROM media WHERE (episodes IS NULL OR episodes <= 1) AND status IN ('FINISHED', 'RELEASING')
-         AND anilist_id NOT IN (3, 5, 8) AND anilist_id % 2 = 0)
+         AND anilist_id NOT IN (3, 5, 8))
 SELECT anilist_id, false AS added FROM kept
 UNION ALL SELECT anilist_id, true FROM media WHERE anilist_id IN (7, 8, 9, 10) AND anilist_id NOT IN (SELECT anilist_id FROM kept)""")
 def movie_catalogue(spark, sf_dir):
-    """Even entries are the movie catalogue, all entries the TV one."""
+    """All entries as the movie and as the TV catalogue: override targets that
+    the movie filters drop come back from the latter."""
     media = catalogue.with_order(_media(spark, sf_dir))
     overrides = rules.overrides(spark, {"a": 7, "b": 8, "c": 9, "d": 10, "e": 10**12})
-    movies = catalogue.movie_shows(
-        media.filter(F.col("anilist_id") % 2 == 0), rules.ids(spark, (3, 5, 8)), overrides, media
-    )
+    movies = catalogue.movie_shows(media, rules.ids(spark, (3, 5, 8)), overrides, media)
     return movies.select("anilist_id", F.col("show_seq.last").alias("added"))
 
 
-@registry.add("""SELECT season, count(*) AS members, (SELECT count(*) FROM part WHERE p_partkey % 2 = 0 OR p_partkey % 3 = 0) AS shows FROM (
-  SELECT 'Even' AS season FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT 'Third' FROM part WHERE p_partkey % 3 = 0) GROUP BY ALL""")
+@registry.add(f"""WITH {CATALOGUE}
+SELECT season, count(*) AS members, (SELECT count(*) FROM media) AS shows
+FROM (SELECT 'Year' AS season FROM media UNION ALL SELECT 'Movies' FROM media WHERE format = 'MOVIE') GROUP BY ALL""")
 def season_catalogues(spark, sf_dir):
     """Two overlapping season catalogues as one."""
     media = catalogue.with_order(_media(spark, sf_dir))
-    parts = {n: media.filter(F.col("anilist_id") % k == 0) for n, k in (("Even", 2), ("Third", 3))}
+    parts = {"Movies": media.filter(F.col("format") == "MOVIE"), "Year": media}
     shows, members = catalogue.season_catalogues(parts)
     sizes = members.groupBy("season").agg(F.count(F.lit(1)).alias("members"))
     total = shows.agg(F.count(F.lit(1)).alias("shows"))
-    tagged = total.select("shows", F.explode(F.array(F.lit("Even"), F.lit("Third"))).alias("season"))
+    tagged = total.select("shows", F.explode(F.array(F.lit("Movies"), F.lit("Year"))).alias("season"))
     return sizes.join(tagged, "season").select("season", "members", "shows")
 
 

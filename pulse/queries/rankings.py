@@ -108,7 +108,7 @@ def rankings_report(spark, sf_dir):
     """The nested report, flattened again."""
     labelled = with_show_labels(rankings_of(spark, sf_dir), v.shows(spark, sf_dir))
     nested = reports.rankings_report(labelled, v.READ_NOW)
-    return nested.select("week", F.inline("rankings")).select(
+    return reports.flattened(nested, "rankings", ["week"]).select(
         "week", "anilist_id", "rank", "downloads", "title"
     )
 

@@ -210,7 +210,7 @@ FROM in_season LEFT JOIN shows USING (anilist_id)""")
 def season_weeks_report(spark, sf_dir):
     labelled = with_show_labels(in_season(spark, sf_dir), v.shows(spark, sf_dir))
     nested = reports.season_weeks_report(labelled)
-    return nested.select("slug", "week", F.inline("rankings")).select(
+    return reports.flattened(nested, "rankings", ["slug", "week"]).select(
         "slug", "week", "anilist_id", "rank", "downloads", "downloads_cumulative", "title_romaji"
     )
 

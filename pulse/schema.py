@@ -1,7 +1,7 @@
 """Table schemas. Times are UTC instants; parsed-name metadata stays JSON text."""
 
 TORRENTS = (
-    "infohash string, filename string, pubdate timestamp, size_bytes bigint, nyaa_id bigint, "
+    "infohash string, filename string, pubdate timestamp, size_bytes bigint, source_id bigint, "
     "trusted boolean, remake boolean, status string, guessit_data string"
 )
 STATS = "infohash string, timestamp timestamp, seeders int, leechers int, downloads bigint"

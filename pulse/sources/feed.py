@@ -14,7 +14,7 @@ from pulse.schema import FEED_ITEM
 from pulse.sources.filenames import metadata_json
 
 ROW = (
-    "infohash", "filename", "pubdate", "size_bytes", "nyaa_id", "trusted", "remake",
+    "infohash", "filename", "pubdate", "size_bytes", "source_id", "trusted", "remake",
     "guessit_data", "seeders", "leechers", "downloads",
 )
 
@@ -43,7 +43,7 @@ def feed_rows(items: DataFrame, now: datetime) -> DataFrame:
         name.alias("filename"),
         rfc822(F.col("pubDate"), F.lit(now).cast("timestamp")).alias("pubdate"),
         feed_size(F.coalesce(F.nullif("size", F.lit("")), F.lit("0 B"))).alias("size_bytes"),
-        last_path_number(F.trim("guid")).alias("nyaa_id"),
+        last_path_number(F.trim("guid")).alias("source_id"),
         (F.coalesce("trusted", F.lit("No")) == "Yes").alias("trusted"),
         (F.coalesce("remake", F.lit("No")) == "Yes").alias("remake"),
         metadata_json(name).alias("guessit_data"),

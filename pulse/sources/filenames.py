@@ -34,32 +34,48 @@ def _number(text: Column, pattern: str, index: int = 1) -> Column:
 
 
 def _numbers(name: Column) -> Column:
-    """Name without extension and group, with the numbers found in it."""
-    bare = F.trim(F.regexp_replace(F.regexp_replace(name, "(?i)" + _CONTAINER, ""), "_", " "))
-    body = F.trim(F.regexp_replace(bare, _GROUP, ""))
-    return once(
-        F.struct(bare.alias("bare"), body.alias("body")),
-        lambda n: F.struct(
+    """Name without extension and group, with the numbers found in it. A cheap
+    test comes before the patterns most names do not have."""
+    bare = F.trim(F.replace(F.regexp_replace(name, "(?i)" + _CONTAINER, ""), F.lit("_"), F.lit(" ")))
+
+    def fields(n: Column) -> Column:
+        body = n["body"]
+        has_range, has_season = n["has_range"], n["has_season"]
+        return F.struct(
+            n["bare"].alias("bare"),
+            body.alias("body"),
+            has_season.alias("has_season"),
+            F.when(has_range, _number(body, _RANGE, 1)).alias("first"),
+            F.when(has_range, _number(body, _RANGE, 2)).alias("last"),
+            F.when(has_season, _number(body, _SEASON_EPISODE, 1)).alias("season"),
+            F.when(has_season, _number(body, _SEASON_EPISODE, 2))
+            .otherwise(_number(body, _DASH_EPISODE))
+            .alias("episode"),
+        )
+
+    def tested(n: Column) -> Column:
+        return F.struct(
             n["bare"].alias("bare"),
             n["body"].alias("body"),
-            _number(n["body"], _RANGE, 1).alias("first"),
-            _number(n["body"], _RANGE, 2).alias("last"),
-            _number(n["body"], _SEASON_EPISODE, 1).alias("season"),
-            F.coalesce(
-                _number(n["body"], _SEASON_EPISODE, 2), _number(n["body"], _DASH_EPISODE)
-            ).alias("episode"),
-        ),
-    )
+            n["body"].rlike(_RANGE).alias("has_range"),
+            n["body"].rlike(_SEASON_EPISODE).alias("has_season"),
+        )
+
+    def without_group(text: Column) -> Column:
+        return F.struct(text.alias("bare"), F.trim(F.regexp_replace(text, _GROUP, "")).alias("body"))
+
+    return once(once(once(bare, without_group), tested), fields)
 
 
 def _head(n: Column, is_batch: Column) -> Column:
     """What comes before the episode and the bracketed tags."""
-    head = F.regexp_replace(n["body"], _SEASON_EPISODE + r".*$", "")
-    cut = F.when(is_batch, F.regexp_replace(head, _RANGE + r".*$", "")).otherwise(
-        F.regexp_replace(head, _DASH_EPISODE + r".*$", "")
+    body = n["body"]
+    cut = (
+        F.when(n["has_season"], F.regexp_replace(body, _SEASON_EPISODE + r".*$", ""))
+        .when(is_batch, F.regexp_replace(body, _RANGE + r".*$", ""))
+        .otherwise(F.regexp_replace(body, _DASH_EPISODE + r".*$", ""))
     )
-    bare = F.trim(F.regexp_replace(cut, r"[\[(].*$", ""))
-    return F.trim(F.regexp_replace(bare, r"\s*-$", ""))
+    return F.trim(F.regexp_replace(cut, r"\s*[\[(].*$|\s*-\s*$", ""))
 
 
 def parsed(filename: Column) -> Column:
@@ -69,10 +85,11 @@ def parsed(filename: Column) -> Column:
         is_batch = F.coalesce(n["last"] > n["first"], F.lit(False))
 
         def with_head(head: Column) -> Column:
-            named = [_number(head, p) for p in _TITLE_SEASONS]
+            marked = head.rlike(_TITLE_SEASON)
+            named = F.coalesce(*[_number(head, p) for p in _TITLE_SEASONS])
             return F.struct(
-                F.trim(F.regexp_replace(head, _TITLE_SEASON, "")).alias("title"),
-                F.coalesce(n["season"], *named).alias("season"),
+                F.when(marked, F.trim(F.regexp_replace(head, _TITLE_SEASON, ""))).otherwise(head).alias("title"),
+                F.coalesce(n["season"], F.when(marked, named)).alias("season"),
                 F.when(~is_batch, n["episode"]).alias("episode"),
                 F.when(is_batch, F.sequence(n["first"], n["last"])).alias("episodes"),
                 _group(n["bare"], _GROUP).alias("release_group"),

@@ -87,12 +87,12 @@ def listing_rows(pages: DataFrame, html: str = "html") -> DataFrame:
         "filename",
         F.timestamp_seconds("_epoch").alias("pubdate"),
         listing_size(F.col("_size")).alias("size_bytes"),
-        view_id(attribute(F.col("_view"), "href")).alias("nyaa_id"),
+        view_id(attribute(F.col("_view"), "href")).alias("source_id"),
         _has_class(F.col("_row"), "success").alias("trusted"),
         _has_class(F.col("_row"), "danger").alias("remake"),
         metadata_json(F.col("filename")).alias("guessit_data"),
         "seeders", "leechers", "downloads",
     )
     return out.dropna(
-        subset=["infohash", "nyaa_id", "pubdate", "size_bytes", "seeders", "leechers", "downloads"]
+        subset=["infohash", "source_id", "pubdate", "size_bytes", "seeders", "leechers", "downloads"]
     ).select(*ROW)

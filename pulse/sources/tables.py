@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulse.functions.times import utc
+from pulse.operators.hotkeys import lookup_join
 from pulse.schema import STATS, TORRENTS
 
 
@@ -40,4 +41,8 @@ def read_stats(spark: SparkSession, path: str, keys: DataFrame | None = None) ->
 def stats_of(stats: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """Readings of the given keys; a semi join, so no key list passes the driver."""
     rows = stats.withColumn("timestamp", utc("timestamp"))
-    return rows if keys is None else rows.join(keys.select("infohash").distinct(), "infohash", "left_semi")
+    if keys is None:
+        return rows
+    return lookup_join(
+        rows, keys.select("infohash").distinct(), ["infohash"], ["timestamp"], "left_semi"
+    )

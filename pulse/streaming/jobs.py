@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pulse.functions.times import utc
-from pulse.operators.hotkeys import lag_over, plan_split
+from pulse.operators.hotkeys import lag_over, lookup_join, plan_split
 from pulse.operators.schedule import DEAD_AFTER, dead_keys
 from pulse.operators.store import insert_if_absent, last_per_key, latest_per_key
 from pulse.schema import STATS
-from pulse.session import literal_rows
+from pulse.session import cut, literal_rows
 from pulse.streaming.tables import is_full, log_start, read_batches, write_batch
 
 _READING = "infohash string, timestamp timestamp, downloads bigint"
@@ -57,12 +57,14 @@ def _delta_step(spark: SparkSession, root: str, batch: DataFrame, batch_id: int,
     columns = ["infohash", "timestamp", "downloads"]
     held = read_batches(spark, f"{root}/held", _READING, batch_id - 1, batch_id - 1)
     arrived = batch.select("infohash", utc("timestamp").alias("timestamp"), F.col("downloads").cast("bigint"))
-    pool = last_per_key(
-        arrived.unionByName(held.select(*columns)), ["infohash", "timestamp"], [F.col("downloads")]
+    pool = cut(
+        last_per_key(
+            arrived.unionByName(held.select(*columns)), ["infohash", "timestamp"], [F.col("downloads")]
+        )
     )
     known = _last_known(spark, root, batch_id)
     seen = known.select("infohash", F.col("timestamp").alias("_seen"))
-    placed = pool.join(seen, "infohash", "left")
+    placed = lookup_join(pool, seen, ["infohash"], ["timestamp"])
     if delay is None:
         final = F.lit(True)
     else:
@@ -120,8 +122,8 @@ def dead_detection(stream: DataFrame, root: str, checkpoint: str) -> StreamingQu
         arrived = batch.select(*log.columns).withColumn("timestamp", utc("timestamp"))
         touched = arrived.select("infohash").distinct()
         rows = log if is_full(batch_id) else log.join(touched, "infohash", "left_semi")
-        pool = last_per_key(
-            arrived.unionByName(rows), ["infohash", "timestamp"], [F.col("downloads")]
+        pool = cut(
+            last_per_key(arrived.unionByName(rows), ["infohash", "timestamp"], [F.col("downloads")])
         )
         recent = latest_per_key(pool, ["infohash"], [F.col("timestamp")], DEAD_AFTER).drop("recency")
         write_batch(recent.select(*log.columns), f"{root}/recent", batch_id)

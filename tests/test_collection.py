@@ -125,7 +125,7 @@ def test_ingest(spark):
     rows = spark.createDataFrame(
         [("aa", "second", NOW, 1, 1, False, False, "{}", 5, 5, 5), ("bb", "??", NOW, 1, 1, False, False, None, 5, 5, 5),
          ("cc", "new", NOW, 1, 1, True, False, "{}", 7, 8, 9)],
-        "infohash string, filename string, pubdate timestamp, size_bytes bigint, nyaa_id bigint, trusted boolean, remake boolean, "
+        "infohash string, filename string, pubdate timestamp, size_bytes bigint, source_id bigint, trusted boolean, remake boolean, "
         "guessit_data string, seeders bigint, leechers bigint, downloads bigint",
     )
     all_torrents, all_stats = collector.ingest(torrents, stats, rows)

@@ -23,40 +23,49 @@ def shows(spark):
     )
 
 
-def resolve(spark, shows, title, season=None, episode=None, overrides=None, threshold=85):
-    titles = spark.createDataFrame([("k", title, season, episode)], "infohash string, title string, season bigint, episode bigint")
-    rows = ops.resolve(titles, shows, rules.overrides(spark, overrides or {"nothing": 1}), rules.episode_ranges(spark), threshold)
-    row = rows.first()
-    return None if row["anilist_id"] is None else (row["anilist_id"], row["method"], row["score"], row["season_matched"], row["matched_title"])
-
-
-@pytest.mark.parametrize(
-    "title, season, episode, expected",
-    [
-        ("Spy x Family", None, 30, (177937, "episode_range", 100.0, None, "Spy x Family Season 3")),
-        ("Spy x Family", None, 5, (101, "fuzzy", 100.0, None, "Spy x Family")),
-        ("Hero Story", None, None, (104, "fuzzy", 100.0, None, "Hero Story")),
-        ("Hero Story 2nd Season", 2, None, (103, "season_aware", 110.0, 2, "Hero Story 2nd Season")),
-        # An exact title (100) loses against a bonused one.
-        ("Hero Story Two", 3, None, (103, "fuzzy", 100.0, None, "Hero Story 2nd Season")),
-        ("Jujutsu Kaisen", None, 50, (172463, "episode_range", 100.0, None, "Jujutsu Kaisen: Shimetsu Kaiyuu")),
-        ("Hero Story - Some Very Long Japanese Subtitle That Hides It", None, None, (104, "fuzzy", 100.0, None, "Hero Story")),
-        ("2", None, None, None),
-        ("日本語", None, None, None),
-        ("Something else entirely", None, None, None),
-        # Three letters before the dash are too few.
-        ("Abc - Hero Story", None, None, None),
-    ],
-)
-def test_cascade(spark, shows, title, season, episode, expected):
-    assert resolve(spark, shows, title, season, episode) == expected
+def resolve(spark, shows, cases, overrides=None):
+    """Resolve (title, season, episode) cases in one run, in their order."""
+    rows = [(str(i), *case) for i, case in enumerate(cases)]
+    titles = spark.createDataFrame(rows, "infohash string, title string, season bigint, episode bigint")
+    listed = rules.overrides(spark, overrides or {"nothing": 1})
+    found = {}
+    for row in ops.resolve(titles, shows, listed, rules.episode_ranges(spark)).collect():
+        match = (row["anilist_id"], row["method"], row["score"], row["season_matched"], row["matched_title"])
+        found[int(row["infohash"])] = None if row["anilist_id"] is None else match
+    return [found[i] for i in range(len(cases))]
+
+
+CASES = [
+    (("Spy x Family", None, 30), (177937, "episode_range", 100.0, None, "Spy x Family Season 3")),
+    (("Spy x Family", None, 5), (101, "fuzzy", 100.0, None, "Spy x Family")),
+    (("Hero Story", None, None), (104, "fuzzy", 100.0, None, "Hero Story")),
+    (("Hero Story 2nd Season", 2, None), (103, "season_aware", 110.0, 2, "Hero Story 2nd Season")),
+    (("Hero Story Two", 3, None), (103, "fuzzy", 100.0, None, "Hero Story 2nd Season")),
+    # A bonused title (92 + 10) beats an exact one (100) listed before it.
+    (("Spy Family x Season", 3, None), (177937, "season_aware", 105.0, 3, "Spy x Family Season 3")),
+    (("Jujutsu Kaisen", None, 50), (172463, "episode_range", 100.0, None, "Jujutsu Kaisen: Shimetsu Kaiyuu")),
+    (("Hero Story - Some Very Long Japanese Subtitle That Hides It", None, None), (104, "fuzzy", 100.0, None, "Hero Story")),
+    (("2", None, None), None),
+    (("日本語", None, None), None),
+    (("Something else entirely", None, None), None),
+    # Three letters before the dash are too few.
+    (("Abc - Hero Story", None, None), None),
+]
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_cascade(spark, shows, request, split):
+    if split:
+        request.getfixturevalue("split_everything")
+    got = resolve(spark, shows, [case for case, _ in CASES])
+    assert got == [expected for _, expected in CASES]
 
 
 def test_overrides(spark, shows):
     listed = {"some thing": 105, "gone": 999, "long name": 105}
-    assert resolve(spark, shows, "Some Thing!", 4, None, listed) == (105, "manual_override", 100.0, 4, "Kizoku")
-    assert resolve(spark, shows, "Gone", None, None, listed) is None
-    assert resolve(spark, shows, "Long Name - with a subtitle", 2, None, listed) == (105, "manual_override", 100.0, 2, "Kizoku")
+    cases = [("Some Thing!", 4, None), ("Gone", None, None), ("Long Name - with a subtitle", 2, None)]
+    named = (105, "manual_override", 100.0)
+    assert resolve(spark, shows, cases, listed) == [(*named, 4, "Kizoku"), None, (*named, 2, "Kizoku")]
 
 
 def test_unmatched_scores(spark, shows):

@@ -25,12 +25,12 @@ def test_feed(spark, tmp_path):
     assert set(rows) == {"abcdef", "aa"}
     full = rows["abcdef"]
     assert full["filename"] == "[Grp] A & B - 07 [1080p].mkv"
-    assert (full["nyaa_id"], full["size_bytes"], full["trusted"], full["remake"]) == (123, int(1.1 * 1024**3), True, False)
+    assert (full["source_id"], full["size_bytes"], full["trusted"], full["remake"]) == (123, int(1.1 * 1024**3), True, False)
     assert (full["seeders"], full["leechers"], full["downloads"]) == (5, 6, 7)
     assert full["pubdate"] == datetime(2025, 6, 4, 10)
     assert '"episode":7' in full["guessit_data"]
     bare = rows["aa"]
-    assert (bare["pubdate"], bare["nyaa_id"], bare["size_bytes"], bare["downloads"]) == (NOW, None, 0, 0)
+    assert (bare["pubdate"], bare["source_id"], bare["size_bytes"], bare["downloads"]) == (NOW, None, 0, 0)
 
 
 def row_html(key, css="default", name="x", magnet=True, extra="", size="1.2 GiB", epoch="1735732800", cells=8):
@@ -53,7 +53,7 @@ def test_listing(spark):
     rows = {r["infohash"]: r for r in listing.listing_rows(pages).collect()}
     assert set(rows) == {"aa", "bb"}
     first = rows["aa"]
-    assert (first["filename"], first["nyaa_id"], first["trusted"], first["remake"]) == ("A & B", 7, True, False)
+    assert (first["filename"], first["source_id"], first["trusted"], first["remake"]) == ("A & B", 7, True, False)
     assert first["pubdate"] == datetime(2025, 1, 1, 12) and first["size_bytes"] == int(1.2 * 1024**3)
     assert (first["seeders"], first["leechers"], first["downloads"]) == (1, 2, 3)
     assert rows["bb"]["remake"] and not rows["bb"]["trusted"]
