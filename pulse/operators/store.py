@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulse.operators.hotkeys import lookup_join
+from pulse.session import cut
 
 
 def _reduce(rows: DataFrame, key: Sequence[str], pick, order: Sequence[Column], columns: Sequence[str]) -> DataFrame:
@@ -48,6 +49,27 @@ def upsert(
     return target.join(newest.select(*key), list(key), "left_anti").unionByName(newest)
 
 
+def upsert_partitions(
+    path: str, rows: DataFrame, key: Sequence[str], order: Sequence[Column], partition: str
+) -> None:
+    """Upsert into a partitioned Parquet table, rewriting only the partitions the
+    new rows fall into. The key must determine the partition.
+
+    The merged partitions are stored before the old ones are replaced, so the
+    job never reads what it overwrites.
+    """
+    stored = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    touched = rows.select(partition).distinct()
+    old = lookup_join(stored, touched, [partition], key, "left_semi").select(*rows.columns)
+    merged = cut(upsert(old, rows, key, order))
+    (
+        merged.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition)
+        .parquet(path)
+    )
+
+
 def latest_per_key(rows: DataFrame, key: Sequence[str], order: Sequence[Column], limit: int) -> DataFrame:
     """The newest ``limit`` rows per key, numbered from 1. Spark's group limit
     keeps ``limit`` rows per key in each task before the shuffle."""

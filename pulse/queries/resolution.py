@@ -252,17 +252,57 @@ def corrected_titles(spark, sf_dir):
     return v.table(spark, sf_dir, "part").select("p_partkey", corrected_title(title).alias("corrected"))
 
 
-@registry.add()
+@registry.add("""SELECT doc_id, regexp_replace(lower(nfc_normalize(text)), '[\\p{P}\\p{S}\\p{Z}\\s]', '', 'g') AS norm FROM documents""")
 def folded_texts(spark, sf_dir):
-    """Width-folded texts without spaces, punctuation and symbols (NFKC is not in SQL)."""
+    """Width-folded texts without spaces, punctuation and symbols. SQL has only the
+    canonical form, which is the same where no compatibility characters occur."""
     return v.table(spark, sf_dir, "documents").select(
         "doc_id", strip_symbols(fold_width(F.col("text"))).alias("norm")
     )
 
 
-@registry.add()
+def _folded_sql(title: str) -> str:
+    return f"lower(regexp_replace({title}, '[\\p{{P}}\\p{{S}}\\p{{Z}}\\s]', '', 'g'))"
+
+
+SURVEYED = "RECURSIVE " + TITLES + f""",
+survey AS (SELECT title, episode, {_folded_sql('title')} AS norm FROM titles),
+names AS (
+  SELECT {_folded_sql('v')} AS norm, min(id) AS exact_id
+  FROM (SELECT id, unnest(list_concat([name, romaji, english], synonyms)) AS v FROM shows) WHERE v IS NOT NULL GROUP BY 1),
+natives AS (SELECT {_folded_sql('name')} AS b, min(id) AS id FROM shows GROUP BY 1),
+open_norms AS (SELECT DISTINCT norm AS a FROM survey WHERE norm <> 'redbolt' AND norm NOT IN (SELECT norm FROM names)),
+pairs AS (SELECT a, b FROM open_norms, natives),
+oriented AS (
+  SELECT a, b, a AS short, b AS long FROM pairs WHERE length(a) <= length(b) AND length(a) >= 8
+  UNION ALL SELECT a, b, b, a FROM pairs WHERE length(b) <= length(a) AND length(b) >= 8),
+stretches AS (
+  SELECT a, b, a AS x, b AS y FROM pairs
+  UNION SELECT a, b, short, substr(long, greatest(s, 0) + 1, s + length(short) - greatest(s, 0))
+  FROM (SELECT *, unnest(range(1 - length(short), length(long))) AS s FROM oriented)),
+dp AS (
+  SELECT x, y, 0 AS i, list_transform(range(0, length(y)), lambda z: CAST(0 AS BIGINT)) AS row FROM (SELECT DISTINCT x, y FROM stretches)
+  UNION ALL
+  SELECT x, y, i + 1, list_transform(range(1, length(y) + 1), lambda j: list_max(cand[1:j])) FROM (
+    SELECT x, y, i, list_transform(range(1, length(y) + 1), lambda k:
+      greatest(row[k], coalesce(row[k - 1], 0) + CAST(substr(x, i + 1, 1) = substr(y, k, 1) AS BIGINT))) AS cand
+    FROM dp WHERE i < length(x))),
+likeness AS (
+  SELECT a, b, max(round_even(200.0 * row[length(y)] / (length(x) + length(y)), 0)) AS score
+  FROM stretches JOIN dp USING (x, y) WHERE i = length(x) GROUP BY a, b),
+alike AS (
+  SELECT a, id, row_number() OVER (PARTITION BY a ORDER BY score DESC, id) AS n FROM likeness JOIN natives USING (b) WHERE score >= 90),
+placed AS (
+  SELECT coalesce(CASE WHEN norm = 'redbolt' THEN 1 END, exact_id, id) AS anilist_id, episode
+  FROM survey LEFT JOIN names USING (norm) LEFT JOIN alike ON a = norm AND n = 1)"""
+
+
+@registry.add(f"""WITH {SURVEYED}
+SELECT anilist_id, episode, 40.0::DOUBLE AS very_good_pct, 3.96::DOUBLE AS mean_score
+FROM placed WHERE anilist_id IS NOT NULL GROUP BY ALL""")
 def survey_matches(spark, sf_dir):
-    """Survey rows of every part title against the catalogue's native titles."""
+    """Survey rows of every part title against the catalogue's native titles; the
+    SQL compares every stretch of every pair."""
     rows = titles(spark, sf_dir).select(
         "title",
         "episode",
@@ -270,4 +310,5 @@ def survey_matches(spark, sf_dir):
         *[F.lit(float(p)).alias(n) for n, p in zip(surveys.PERCENTAGES, (40, 30, 20, 6, 4), strict=True)],
     )
     shows = cut(catalogue(spark, sf_dir))
-    return surveys.match_surveys(rows, shows, surveys.title_map(spark, {"Red Bolt": 1}))
+    matched = surveys.match_surveys(rows, shows, surveys.title_map(spark, {"Red Bolt": 1}))
+    return matched.select("anilist_id", "episode", "very_good_pct", "mean_score")

@@ -106,6 +106,19 @@ def test_first_and_last_win(spark):
     assert sorted(tuple(r) for r in table.collect()) == [(1, "b", 2), (2, "y", 2)]
 
 
+def test_upsert_rewrites_touched_partitions(spark, tmp_path):
+    schema = "k int, v string, at int, month string"
+    path = str(tmp_path / "t")
+    old = [(1, "a", 0, "m1"), (2, "b", 0, "m1"), (3, "c", 0, "m2")]
+    spark.createDataFrame(old, schema).coalesce(1).write.partitionBy("month").parquet(path)
+    untouched = sorted((tmp_path / "t" / "month=m2").glob("part-*"))
+    rows = spark.createDataFrame([(2, "x", 1, "m1"), (2, "y", 2, "m1"), (4, "z", 1, "m3")], schema)
+    store.upsert_partitions(path, rows, ["k"], [F.col("at")], "month")
+    found = sorted((r["k"], r["v"], r["month"]) for r in spark.read.parquet(path).collect())
+    assert found == [(1, "a", "m1"), (2, "y", "m1"), (3, "c", "m2"), (4, "z", "m3")]
+    assert sorted((tmp_path / "t" / "month=m2").glob("part-*")) == untouched
+
+
 def test_collection_run(spark):
     torrents = spark.createDataFrame([torrent("aa"), torrent("bb"), torrent("cc")], TORRENTS)
     stats = counters(spark, *[(k, -h, 0, 0, 0) for k in ("aa", "bb") for h in (30, 40)], ("cc", -30, 1, 1, 1))

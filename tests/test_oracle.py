@@ -47,6 +47,8 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     columns = sorted(df.columns)
     rows = [tuple(plain(r[c]) for c in columns) for r in df.collect()]
     if name not in SQL:
