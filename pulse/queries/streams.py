@@ -1,7 +1,8 @@
-"""Streaming jobs over the readings, in files by day, against the batch SQL."""
+"""Streaming jobs over the readings, in files by time, against the batch SQL."""
 
 from __future__ import annotations
 
+import math
 import uuid
 from datetime import timedelta
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pulse.queries import registry
 from pulse.queries import views as v
-from pulse.session import ensure_checkpoint_dir
+from pulse.session import ensure_checkpoint_dir, input_bytes
 from pulse.streaming import jobs
 from pulse.streaming.tables import read_batches
 
@@ -17,11 +18,14 @@ _DELTAS = "infohash string, timestamp timestamp, downloads_delta bigint"
 
 
 def _source(spark, rows, root):
-    """The rows as a folder of files, each of which becomes a micro-batch."""
+    """The rows as a folder of files of bounded size, read in three or more
+    micro-batches."""
     folder = f"{root}/source"
-    day = F.floor(F.unix_seconds("timestamp") / (10 * 86400))
-    rows.repartition(3, day).sortWithinPartitions("timestamp").write.parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    files = max(3, input_bytes(rows) // (128 << 20))
+    rest = [c for c in rows.columns if c != "timestamp"]
+    rows.repartitionByRange(files, "timestamp", *rest).write.parquet(folder)
+    stream = spark.readStream.schema(rows.schema)
+    return stream.option("maxFilesPerTrigger", math.ceil(files / 3)).parquet(folder)
 
 
 def _root(spark):
