@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +37,22 @@ def numbered(df: DataFrame, key: str, order: Sequence[str], rows_per_task: int =
     )
 
 
+def whole_groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Frames of a partition sorted by the keys, cut where a group ends."""
+    rest = None
+    for frame in frames:
+        frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+        if not len(frame):
+            continue
+        last = (frame[keys] == frame[keys].iloc[-1]).all(axis=1).to_numpy()
+        at = len(frame) - int(last[::-1].argmin()) if not last.all() else 0
+        if at:
+            yield frame.iloc[:at].reset_index(drop=True)
+        rest = frame.iloc[at:].reset_index(drop=True)
+    if rest is not None and len(rest):
+        yield rest
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every linked id: the smallest id that it is connected to.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.llm import dartminhash, mixing, packing, pseudonyms, quality
+from pulse.llm import crosspolytope, dartminhash, mixing, neighbours, packing, pages, pseudonyms, quality, urls
 from pulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,64 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op4_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+URL_RULES = (("net/", False), ("example.net/en/", True), ("example.com/de/", False), ("org/fr/", True))
+
+
+@register
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(table(spark, sf_dir, "pages"), urls.rules(spark, URL_RULES))
+
+
+def _link_sql(tag: str, mark: str, attribute: str) -> str:
+    """The address in the first such tag; RE2 has no look-ahead, so the tags are listed and searched."""
+    return rf"""regexp_extract(list_filter(regexp_extract_all(coalesce(html, ''), '(?is)<{tag}\b[^>]*'),
+      lambda x: regexp_matches(x, '(?is){mark}') AND regexp_matches(x, '(?is){attribute}'))[1], '(?is){attribute}', 1)"""
+
+
+_JUDGE_SQL = r"""CASE
+    WHEN regexp_matches({host}, '(^|\.)example\.net$') AND starts_with({path}, '/en/') THEN 'example.net/en/'
+    WHEN regexp_matches({host}, '(^|\.)example\.com$') AND starts_with({path}, '/de/') THEN 'example.com/de/'
+    WHEN regexp_matches({host}, '(^|\.)org$') AND starts_with({path}, '/fr/') THEN 'org/fr/'
+    WHEN regexp_matches({host}, '(^|\.)net$') AND starts_with({path}, '/') THEN 'net/' END"""
+
+SQL["op5_url_filter"] = rf"""
+WITH RECURSIVE parts AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest,
+         [{_link_sql("link", r"rel\s*=\s*[\x22\x27]?canonical\b", r"\bhref\s*=\s*[\x22\x27]?([^\x22\x27\s>]+)")},
+          {_link_sql("meta", r"http-equiv\s*=\s*[\x22\x27]?refresh\b", r"\burl\s*=\s*[\x22\x27]?([^\x22\x27\s>]+)")}] AS targets
+  FROM pages
+), split AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^/?#]*([^#]*)', 1) AS tail, targets
+  FROM parts
+), pointed AS (SELECT host, path, concat(host, tail) AS key, unnest(targets) AS target FROM split WHERE host <> ''),
+resolved AS (
+  SELECT key, CASE WHEN contains(target, '://') THEN substr(target, instr(target, '://') + 3)
+    WHEN starts_with(target, '//') THEN substr(target, 3) WHEN starts_with(target, '/') THEN concat(host, target)
+    WHEN regexp_matches(target, '^[^:/?#]+:') THEN NULL WHEN regexp_matches(target, '^[?#]') THEN concat(host, path, target)
+    ELSE concat(host, regexp_extract(path, '^(.*/)?'), CASE WHEN contains(path, '/') THEN '' ELSE '/' END, target) END AS target
+  FROM pointed WHERE target <> ''
+), links AS (
+  SELECT DISTINCT key AS a, concat(translate(regexp_extract(target, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         regexp_extract(target, '^[^/?#]*([^#]*)', 1)) AS b FROM resolved WHERE target IS NOT NULL
+), edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+members AS (SELECT b AS key, regexp_extract(b, '^[^/?]*') AS host, regexp_extract(b, '^[^/?]*([^?]*)', 1) AS path FROM (SELECT DISTINCT b FROM reach)),
+ruled AS (SELECT key, {_JUDGE_SQL.format(host="host", path="path")} AS rule FROM members),
+decided AS (
+  SELECT r.a AS key, bool_or(rule IN ('example.net/en/', 'org/fr/')) AS any_allow, bool_or(rule IN ('net/', 'example.com/de/')) AS any_block
+  FROM (SELECT a, b FROM reach UNION SELECT a, a FROM reach) r JOIN ruled ON ruled.key = r.b GROUP BY 1
+), own AS (SELECT page_id, host, path, concat(host, tail) AS key, {_JUDGE_SQL.format(host="host", path="path")} AS rule FROM split)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+  WHEN any_block AND NOT coalesce(any_allow, false) THEN 'block' ELSE 'allow' END AS verdict
+FROM own LEFT JOIN decided USING (key)"""
+
+
 @register
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -115,6 +173,16 @@ SELECT doc_id, size, source_size, target, CAST(coalesce(passes * size
 FROM lines"""
 
 
+@register
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspolytope.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op9_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 @register
 def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), KEY)
