@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.llm import crosspolytope, dartminhash, mixing, neighbours, packing, pages, pseudonyms, quality, urls
+from pulse.llm import crosspolytope, dartminhash, mixing, neighbours, packing, pages, pseudonyms, quality, suffixes, urls
 from pulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,6 +178,16 @@ def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crosspolytope.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@register
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    lengths = F.transform("removed", lambda r: r["end"] - r["start"])
+    return found.select(
+        "doc_id", "n_bytes", F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @register
 def op9_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
