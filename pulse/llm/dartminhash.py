@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulse.llm.common import components
-from pulse.llm.hashing import mixed, shingle_counts, uniform
+from pulse.llm.hashing import batches, mixed, shingle_sets, uniform
 from pulse.session import cut
 
 BANDS = 24
@@ -40,44 +40,53 @@ ROWS = 5
 WORDS = 5
 THRESHOLD = 0.8
 BLOCK = 512
+SKETCH = 1024
 _SALT = np.uint64(0xD1B54A32D192ED03)
 
 
-def signature(elements: np.ndarray, weights: np.ndarray, coordinates: int) -> np.ndarray:
-    """The earliest dart on each coordinate, as 32-bit numbers; elements are hashes, weights above 0."""
+def throw(elements: np.ndarray, weights: np.ndarray, first: np.ndarray, coordinates: int) -> np.ndarray:
+    """The earliest dart on each coordinate, as 32-bit numbers, of many documents at a time.
+
+    `elements` are hashes, `weights` above 0; those of document i stand from first[i] to first[i + 1],
+    at least one. Gives (document, coordinate).
+    """
+    n = len(first) - 1
+    doc = np.repeat(np.arange(n), np.diff(first))
+    bound = coordinates * (np.log(coordinates) + 2) / np.add.reduceat(weights, first[:-1])
     strips = np.ceil(weights).astype(np.int64)
     owner = np.repeat(np.arange(len(elements)), strips)
     strip = np.arange(len(owner)) - np.repeat(np.cumsum(strips) - strips, strips)
     key = mixed(elements[owner] + strip.astype(np.uint64) * _SALT)
     inside = weights[owner] - strip  # a dart counts if its position in the strip lies below
-    bound = coordinates * (np.log(coordinates) + 4) / weights.sum()
-    earliest = np.full(coordinates, np.inf)
-    dart = np.zeros(coordinates, np.uint64)
-    arrival = -np.log(uniform(mixed(key)))
+    live = [key, -np.log(uniform(mixed(key))), inside, doc[owner]]
+    earliest = np.full(n * coordinates, np.inf)
+    dart = np.zeros(n * coordinates, np.uint64)
     while True:
-        live = key, arrival, inside
-        waiting = [[], [], []]
+        waiting = []
         while len(live[0]):
-            k, t, room = live
-            late = t > bound
-            for store, x in zip(waiting, live, strict=True):
-                store.append(x[late])
-            k, t, room = k[~late], t[~late], room[~late]
-            bits = mixed(k ^ _SALT)
-            hit = uniform(mixed(bits + np.uint64(1))) <= room if (room < 1).any() else np.ones(len(k), bool)
-            at = (bits >> np.uint64(32)).astype(np.int64) * coordinates >> 32
-            at, when, what = at[hit], t[hit], bits[hit]
-            before = earliest.copy()
+            late = live[1] > bound[live[3]]
+            waiting.append([x[late] for x in live])
+            key, arrival, inside, doc = (x[~late] for x in live)
+            bits = mixed(key ^ _SALT)
+            at = ((bits >> np.uint64(32)) * np.uint64(coordinates) >> np.uint64(32)).astype(np.int64) + doc * coordinates
+            when, what = arrival, bits
+            if (inside < 1).any():
+                hit = uniform(mixed(bits + np.uint64(1))) <= inside
+                at, when, what = at[hit], when[hit], what[hit]
+            before = earliest[at]
             np.minimum.at(earliest, at, when)
-            won = (when == earliest[at]) & (when < before[at])
+            won = (when == earliest[at]) & (when < before)
             dart[at[won]] = what[won]
-            k = mixed(k + _SALT)
-            live = k, t - np.log(uniform(mixed(k))), room
-        if np.isfinite(earliest).all():
-            return (dart & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        # A coordinate without a dart: look at higher ranks.
-        key, arrival, inside = (np.concatenate(x) for x in waiting)
-        bound *= 2
+            key = mixed(key + _SALT)
+            live = [key, arrival - np.log(uniform(mixed(key))), inside, doc]
+        # Documents with a coordinate that no dart has hit look at higher ranks.
+        open_docs = np.isinf(earliest.reshape(n, coordinates)).any(1)
+        if not open_docs.any():
+            return (dart & np.uint64(0xFFFFFFFF)).astype(np.uint32).reshape(n, coordinates)
+        bound[open_docs] *= 2
+        rest = [np.concatenate(x) for x in zip(*waiting, strict=True)]
+        again = open_docs[rest[3]]
+        live = [x[again] for x in rest]
 
 
 def signatures(texts: DataFrame, words: int, coordinates: int, count_repeats: bool) -> DataFrame:
@@ -93,13 +102,18 @@ def signatures(texts: DataFrame, words: int, coordinates: int, count_repeats: bo
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            elements, darts = [], []
-            for text in frame["text"]:
-                found, counts = shingle_counts(text, words)
-                weights = counts.astype(np.float64) if count_repeats else np.ones(len(found))
-                elements.append(np.unique(found >> np.uint64(32)).astype("<u4").tobytes())
-                darts.append(signature(found, weights, coordinates).tobytes() if len(found) else None)
-            yield frame[["id", "x", "y"]].assign(shingles=elements, signature=darts)
+            texts = frame["text"].tolist()
+            for low, high in batches(texts):
+                found, counts, first = shingle_sets(texts[low:high], words)
+                some = np.flatnonzero(np.diff(first))
+                darts = np.full(high - low, None, object)
+                if len(some):
+                    weights = counts.astype(np.float64) if count_repeats else np.ones(len(found))
+                    rows = throw(found, weights, np.append(first[some], len(found)), coordinates)
+                    darts[some] = [r.tobytes() for r in rows]
+                short = (found >> np.uint64(32)).astype("<u4")
+                elements = [np.unique(short[a:b]).tobytes() for a, b in zip(first, first[1:], strict=False)]
+                yield frame[["id", "x", "y"]][low:high].assign(shingles=elements, signature=darts)
 
     return hashed.mapInPandas(run, "id long, x long, y long, shingles binary, signature binary")
 
@@ -123,14 +137,35 @@ def _jaccard(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return both.where(similar("left", "right")).select("a", "b")
 
 
-def _cross_pairs(members: DataFrame, coordinates: int, threshold: float) -> DataFrame:
-    """Pairs of (bucket, t, class, signature) of one bucket, in different classes, whose signatures agree enough.
+def sketches(texts: DataFrame) -> DataFrame:
+    """(t, sketch): the smallest shingle of each of SKETCH bins, as its last byte and whether there is one.
+
+    Of a text with few shingles the bins hold nearly all of them, of a long one a sample.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for shingles in frame["shingles"]:
+                values = np.frombuffer(shingles, "<u4")
+                bins = np.zeros(SKETCH, "<u2")
+                # In falling order, so that the smallest of a bin is written last.
+                mix = (values[::-1].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+                bins[(mix % np.uint64(SKETCH)).astype(np.int64)] = (mix >> np.uint64(20)).astype("<u2") & 255 | 256
+                out.append(bins.tobytes())
+            yield pd.DataFrame({"t": frame["t"], "sketch": out})
+
+    return texts.select("t", "shingles").mapInPandas(run, "t long, sketch binary")
+
+
+def _cross_pairs(members: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of texts of one bucket, in different classes, whose sketches are similar enough.
 
-    Those outside the largest class of their bucket meet all members, in blocks of about BLOCK
-    on either side; a pair that shares several buckets is given by one of them. Four standard
-    errors below the threshold is certain to be enough.
+    `members` are (bucket, t, class, signature, sketch). Those outside the largest class of their
+    bucket meet all members, in blocks of about BLOCK on either side; a pair that shares several
+    buckets is given by one of them. Four standard errors below the threshold are enough.
     """
-    least = threshold - 4 * np.sqrt(threshold * (1 - threshold) / coordinates)
+    least = threshold - 4 * np.sqrt(threshold * (1 - threshold) / SKETCH)
     by_class = members.groupBy("bucket", "class").agg(F.count("*").alias("n"))
     sizes = by_class.groupBy("bucket").agg(
         F.max(F.struct("n", "class")).alias("most"), F.sum("n").alias("members")
@@ -142,7 +177,7 @@ def _cross_pairs(members: DataFrame, coordinates: int, threshold: float) -> Data
     rows = members.join(sizes, "bucket")
     numbers = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     salt = lambda n: F.pmod(F.xxhash64("t"), F.col(n)).cast("int")
-    own = ["bucket", "t", "class", "signature"]
+    own = ["bucket", "t", "class", "signature", "sketch"]
     ones = rows.where("class <> main").select(*own, salt("one_blocks").alias("one"), numbers("two_blocks").alias("two"), F.lit(True).alias("left"))
     twos = rows.select(*own, numbers("one_blocks").alias("one"), salt("two_blocks").alias("two"), F.lit(False).alias("left"))
 
@@ -150,14 +185,19 @@ def _cross_pairs(members: DataFrame, coordinates: int, threshold: float) -> Data
         left, right = frame[frame["left"]], frame[~frame["left"]]
         out = [np.zeros((0, 2), np.int64)]
         if len(left) and len(right):
-            y = np.array([np.frombuffer(s, "<u4") for s in right["signature"]])
+            y = np.array([np.frombuffer(s, "<u2") for s in right["sketch"]])
+            full = y > 0
+            bands = np.array([np.frombuffer(s, f"S{4 * ROWS}") for s in right["signature"]])
             ids, kinds = right["t"].to_numpy(), right["class"].to_numpy()
             band = int(frame["bucket"].iloc[0].split(":")[0])
-            for t, kind, sig in zip(left["t"], left["class"], left["signature"], strict=True):
-                near = np.flatnonzero(kinds != kind)
-                same = y[near] == np.frombuffer(sig, "<u4")
-                first = same.reshape(len(near), -1, ROWS).all(2).argmax(1)
-                good = ids[near[(same.mean(1) >= least) & (first == band)]]
+            for t, kind, signature, sketch in zip(*[left[c] for c in ("t", "class", "signature", "sketch")], strict=True):
+                x = np.frombuffer(sketch, "<u2")
+                has = x > 0
+                same = (y[:, has] == x[has]).sum(1)
+                good = (same >= least * (full.sum(1) + has.sum() - full[:, has].sum(1))) & (kinds != kind)
+                good = np.flatnonzero(good)
+                first = (bands[good] == np.frombuffer(signature, f"S{4 * ROWS}")).argmax(1)
+                good = ids[good[first == band]]
                 out.append(np.stack([np.minimum(good, t), np.maximum(good, t)], 1))
         rows = np.concatenate(out)
         return pd.DataFrame({"a": rows[:, 0], "b": rows[:, 1]})
@@ -189,7 +229,6 @@ def classes(
     members = cut(base.select("id", "x", "y").join(copies, ["x", "y"]))
     chosen = copies.select(F.col("first.t").alias("t"))
     signed = cut(base.where("signature IS NOT NULL").select("t", "signature").join(chosen, "t", "left_semi"))
-    shingles = base.select("t", "shingles")
     width = 4 * ROWS
     bucket = F.expr(
         f"transform(sequence(0, {bands - 1}), i -> concat(i, ':', hex(substring(signature, i * {width} + 1, {width}))))"
@@ -197,6 +236,8 @@ def classes(
     banded = signed.select("t", F.explode(bucket).alias("bucket"))
     crowded = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("t").alias("hub")).where("n > 1").drop("n")
     buckets = cut(banded.join(crowded, "bucket"))
+    # Only texts that met somebody are compared: their shingles are moved once and kept apart.
+    shingles = cut(base.select("t", "shingles").join(buckets.select("t").distinct(), "t", "left_semi"))
     stars = buckets.where("t <> hub").select(F.col("hub").alias("a"), F.col("t").alias("b")).distinct()
     tried = cut(stars)
     links = cut(_jaccard(tried, shingles, threshold))
@@ -217,8 +258,10 @@ def classes(
         links = cut(links.union(_jaccard(more, shingles, threshold)))
     state = cut(_with_class(buckets.select("bucket", "t"), links))
     unsettled = state.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-    open_members = state.join(unsettled.select("bucket"), "bucket").join(signed, "t")
-    rest = cut(_cross_pairs(open_members, coordinates, threshold).join(tried, ["a", "b"], "left_anti"))
+    open_rows = cut(state.join(unsettled.select("bucket"), "bucket"))
+    open_texts = open_rows.select("t").distinct()
+    known = sketches(shingles.join(open_texts, "t", "left_semi")).join(signed, "t")
+    rest = cut(_cross_pairs(open_rows.join(known, "t"), threshold).join(tried, ["a", "b"], "left_anti"))
     links = cut(links.union(_jaccard(rest, shingles, threshold)))
     degree = links.select(F.explode(F.array("a", "b")).alias("t")).groupBy("t").agg(F.count("*").alias("n_links"))
     firsts = cut(_with_class(members.select(F.col("first.t").alias("t"), F.col("first.id").alias("first_id")).distinct(), links))

@@ -73,25 +73,34 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def shingles(text: str, words: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of all runs of so many words; a shorter text is one run."""
-    return shingle_counts(text, words)[0]
-
-
-def shingle_counts(text: str, words: int) -> tuple[np.ndarray, np.ndarray]:
-    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    start, end = word_spans(data)
-    if not len(start):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    ids = stretches(prefix_sums(data), start, end)
-    runs = max(1, len(ids) - words + 1)
-    value = np.zeros(runs, np.uint64)
-    for k in range(min(words, len(ids))):
-        value = mixed(value * _BASE + ids[k : k + runs])
-    return np.unique(value, return_counts=True)
-
-
-def batches(texts: Sequence[str], most: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def shingle_sets(texts: Sequence[str], words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct 64-bit hashes of all runs of so many words of each text, how often each occurs in it,
+    and where each text's begin (with the end). A shorter text is one run, one without words has none."""
+    data = [t.encode("utf-8", "surrogatepass") for t in texts]
+    joined = np.frombuffer(b"\n".join(data) + b"\n", np.uint8)
+    begin = np.concatenate([[0], np.cumsum([len(d) + 1 for d in data])])
+    start, end = word_spans(joined)
+    ids = stretches(prefix_sums(joined), start, end)
+    first = np.searchsorted(start, begin)  # of each text, its first word
+    value = np.zeros(max(0, len(ids) - words + 1), np.uint64)
+    for k in range(words):
+        value = mixed(value * _BASE + ids[k : k + len(value)])
+    found, counts, sizes = [], [], [0]
+    for a, b in zip(first[:-1], first[1:], strict=True):
+        if b - a >= words:
+            v, n = np.unique(value[a : b - words + 1], return_counts=True)
+        else:
+            short = np.zeros(min(1, b - a), np.uint64)
+            for k in range(a, b):
+                short = mixed(short * _BASE + ids[k])
+            v, n = short, np.ones(len(short), np.int64)
+        found.append(v)
+        counts.append(n)
+        sizes.append(len(v))
+    return np.concatenate(found), np.concatenate(counts), np.cumsum(sizes)
+
+
+def batches(texts: Sequence[str], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts of about so many characters; a longer text is alone."""
     start = size = 0
     for i, text in enumerate(texts):
