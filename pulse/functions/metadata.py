@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pulse.functions.binding import once
 from pulse.rules import TITLE_CORRECTIONS
 
 
@@ -37,15 +36,13 @@ def aggregation_episode(json: Column) -> Column:
     """Episode for counting: lists are batches (null); text that reads as an
     integer counts, a fraction is truncated."""
 
-    def number(value: Column) -> Column:
-        kind, text = _kind(value), F.trim(_as(value, "string"))
-        return (
-            F.when(_is_list(kind) | kind.startswith("OBJECT"), F.lit(None).cast("bigint"))
-            .when(kind == "STRING", F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint")))
-            .otherwise(_as(value, "bigint"))
-        )
-
-    return once(_get(F.try_parse_json(json), "$.episode"), number)
+    value = _get(F.try_parse_json(json), "$.episode")
+    kind, text = _kind(value), F.trim(_as(value, "string"))
+    return (
+        F.when(_is_list(kind) | kind.startswith("OBJECT"), F.lit(None).cast("bigint"))
+        .when(kind == "STRING", F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint")))
+        .otherwise(_as(value, "bigint"))
+    )
 
 
 def corrected_title(title: Column) -> Column:
@@ -62,29 +59,25 @@ def matching_fields(json: Column) -> Column:
     episodes counts as its first. A title that is not text makes the whole
     record unusable."""
 
-    def fields(parsed: Column) -> Column:
-        title, episode = _get(parsed, "$.title"), _get(parsed, "$.episode")
-        first = F.when(_is_list(_kind(episode)), _get(parsed, "$.episode[0]")).otherwise(episode)
-        usable = F.coalesce(_kind(title).isin("STRING", "VOID"), F.lit(True))
-        text = F.when(_kind(title) == "STRING", _as(title, "string"))
-        return F.struct(
-            corrected_title(text).alias("title"),
-            F.when(usable, _only_int(_get(parsed, "$.season"))).alias("season"),
-            F.when(usable, _only_int(first)).alias("episode"),
-        )
-
-    return once(F.try_parse_json(json), fields)
+    parsed = F.try_parse_json(json)
+    title, episode = _get(parsed, "$.title"), _get(parsed, "$.episode")
+    first = F.when(_is_list(_kind(episode)), _get(parsed, "$.episode[0]")).otherwise(episode)
+    usable = F.coalesce(_kind(title).isin("STRING", "VOID"), F.lit(True))
+    text = F.when(_kind(title) == "STRING", _as(title, "string"))
+    return F.struct(
+        corrected_title(text).alias("title"),
+        F.when(usable, _only_int(_get(parsed, "$.season"))).alias("season"),
+        F.when(usable, _only_int(first)).alias("episode"),
+    )
 
 
 def report_fields(json: Column) -> Column:
     """Fields of an unmatched name: text as written, numbers only if integers."""
-    return once(
-        F.try_parse_json(json),
-        lambda parsed: F.struct(
-            _as(_get(parsed, "$.title"), "string").alias("parsed_title"),
-            _only_int(_get(parsed, "$.season")).alias("season"),
-            _only_int(_get(parsed, "$.episode")).alias("episode"),
-        ),
+    parsed = F.try_parse_json(json)
+    return F.struct(
+        _as(_get(parsed, "$.title"), "string").alias("parsed_title"),
+        _only_int(_get(parsed, "$.season")).alias("season"),
+        _only_int(_get(parsed, "$.episode")).alias("episode"),
     )
 
 

@@ -7,7 +7,6 @@ from fractions import Fraction
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pulse.functions.binding import once
 
 # Feed sizes, where KB and KiB are both 1024 bytes.
 FEED_UNITS = {
@@ -68,16 +67,9 @@ def _factor(unit: Column, units: dict[str, int]) -> Column:
 
 def feed_size(text: Column) -> Column:
     """Two tokens, number and unit in any case; anything else is 0 bytes."""
-    return once(
-        F.split(F.trim(text), r"\s+"),
-        lambda tokens: F.when(
-            F.size(tokens) == 2,
-            F.coalesce(
-                (F.get(tokens, F.lit(0)).try_cast("double") * _factor(F.upper(F.get(tokens, F.lit(1))), FEED_UNITS)).cast("bigint"),
-                F.lit(0),
-            ),
-        ).otherwise(F.lit(0)),
-    )
+    tokens = r"^\s*(\S+)\s+(\S+)\s*$"
+    number, unit = (F.regexp_extract(text, tokens, i) for i in (1, 2))
+    return F.coalesce((number.try_cast("double") * _factor(F.upper(unit), FEED_UNITS)).cast("bigint"), F.lit(0))
 
 
 def listing_size(text: Column) -> Column:

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulse.functions.times import week_start_date, weeks_since
-from pulse.operators.hotkeys import Split
-from pulse.operators.series import deltas_of, with_first_release
+from pulse.operators.series import with_first_release
 from pulse.sources.tables import usable_torrents
 
 
@@ -18,11 +17,14 @@ def movie_torrents(torrents: DataFrame, matches: DataFrame, min_date=None) -> Da
     )
 
 
-def movie_series(readings: DataFrame, torrents: DataFrame, split: Split | None = None) -> DataFrame:
-    """Downloads per movie and week since release, with the running total. A
-    movie has one row per week of history."""
-    dims = with_first_release(torrents, ("anilist_id",)).select("infohash", "anilist_id", "first_datetime")
-    deltas = deltas_of(readings, dims, split)
+def movie_dims(torrents: DataFrame) -> DataFrame:
+    """What the deltas of a torrent need for its movie's series."""
+    return with_first_release(torrents, ("anilist_id",)).select("infohash", "anilist_id", "first_datetime")
+
+
+def movie_series(deltas: DataFrame) -> DataFrame:
+    """Downloads per movie and week since release, with the running total, from deltas with the
+    columns of :func:`movie_dims`. A movie has one row per week of history."""
     weekly = deltas.groupBy(
         "anilist_id",
         "first_datetime",

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulse.operators.hotkeys import row_number_over
+from pulse.operators.windows import row_number_over
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pulse.functions.text import ranking_line
 from pulse.functions.times import week_label
-from pulse.operators.hotkeys import row_number_over, settle
+from pulse.operators.windows import row_number_over
 
 
 def weekly_rankings(totals: DataFrame) -> DataFrame:
@@ -31,7 +31,6 @@ def numbered_weeks(rankings: DataFrame) -> DataFrame:
 
 def recent_weeks(rankings: DataFrame, count: int) -> DataFrame:
     """Rows of the newest ``count`` weeks, with ``weeks_ago`` counted from 0."""
-    rankings = settle(rankings)
     newest = numbered_weeks(rankings).filter(F.col("weeks_ago") < count)
     return rankings.join(F.broadcast(newest), "week")
 
@@ -39,7 +38,6 @@ def recent_weeks(rankings: DataFrame, count: int) -> DataFrame:
 def week_over_week(rankings: DataFrame, count: int | None = None) -> DataFrame:
     """Change against the previous week listed. A show that the previous week
     lacks is new even if it was ranked earlier; the oldest week has no changes."""
-    rankings = settle(rankings)
     weeks = numbered_weeks(rankings)
     if count is not None:
         weeks = weeks.filter(F.col("weeks_ago") < count)

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulse.functions.numbers import round_binary
-from pulse.operators.hotkeys import row_number_over, settle
 
 # Output column and the reception metric it compares with.
 RANK_DELTAS = {
@@ -34,6 +33,18 @@ def survey_series(surveys: DataFrame) -> DataFrame:
     )
 
 
+def survey_summary(surveys: DataFrame) -> DataFrame:
+    """The rollup and the series of every surveyed show, from one aggregation."""
+    answered = F.col("very_good_pct").isNotNull() & F.col("episode").isNotNull()
+    entries = F.collect_list(F.when(answered, F.struct("episode", "very_good_pct")))
+    summed = surveys.groupBy("anilist_id").agg(F.avg("very_good_pct").alias("_mean"), F.array_sort(entries).alias("_entries"))
+    return summed.select(
+        "anilist_id",
+        round_binary(F.col("_mean"), 2).alias("niconico_very_good_pct"),
+        F.when(F.size("_entries") > 0, F.col("_entries")).alias("niconico_episodes"),
+    )
+
+
 def show_metrics(shows: DataFrame, ratings: DataFrame, surveys: DataFrame) -> DataFrame:
     """Catalogue scores, external rating and survey summary per show; sources a
     show lacks stay null."""
@@ -48,33 +59,25 @@ def show_metrics(shows: DataFrame, ratings: DataFrame, surveys: DataFrame) -> Da
             "anilist_id", "average_score", "mean_score", "popularity", "favourites", "mal_id"
         )
         .join(rating, "anilist_id", "left")
-        .join(survey_rollup(surveys), "anilist_id", "left")
-        .join(survey_series(surveys), "anilist_id", "left")
+        .join(survey_summary(surveys), "anilist_id", "left")
     )
 
 
-def metric_rank(df: DataFrame, metric: str, by, total: str, out: str) -> DataFrame:
-    """Position 1..n among the rows that have the metric; equal values by total
-    descending, then id."""
-    valued = df.filter(F.col(metric).isNotNull())
-    order = [-F.col(metric).cast("double"), -F.col(total).cast("double"), F.col("anilist_id")]
-    return row_number_over(valued.select(*by, "anilist_id", metric, *([total] if total != metric else [])),
-                           list(by), order, out).select(*by, "anilist_id", out)
-
-
 def rank_deltas(
     shows: DataFrame, deltas: dict[str, str] = RANK_DELTAS, by=("season",), total: str = "total_downloads"
 ) -> DataFrame:
     """Download rank minus reception rank within the season; positive means
-    better received than downloaded, null without the metric."""
-    shows = settle(shows)
-    keys = [*by, "anilist_id"]
-    result = shows.join(metric_rank(shows, total, by, total, "_dl"), keys, "left")
-    for name, metric in deltas.items():
-        ranked = metric_rank(shows, metric, by, total, "_rank")
-        result = (
-            result.join(ranked, keys, "left")
-            .withColumn(name, F.col("_dl") - F.col("_rank"))
-            .drop("_rank")
+    better received than downloaded, null without the metric.
+
+    Positions run 1..n among the shows that have the metric, equal values by total
+    descending, then id. The shows of a season are shuffled once and ranked on every metric there.
+    """
+
+    def position(metric: str) -> Column:
+        order = Window.partitionBy(*by).orderBy(
+            F.col(metric).desc_nulls_last(), F.col(total).desc_nulls_last(), F.col("anilist_id")
         )
-    return result.drop("_dl")
+        return F.when(F.col(metric).isNotNull(), F.row_number().over(order).cast("bigint"))
+
+    ranked = shows.withColumns({"_dl": position(total)} | {name: position(m) for name, m in deltas.items()})
+    return ranked.withColumns({name: F.col("_dl") - F.col(name) for name in deltas}).drop("_dl")

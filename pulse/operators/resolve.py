@@ -15,7 +15,6 @@ from pulse.functions.text import (
     sort_tokens,
     title_before_dash,
 )
-from pulse.operators.hotkeys import broadcast_if_small, lookup_join, settle
 from pulse.operators.similarity import similar_pairs
 from pulse.rules import MATCH_THRESHOLD, SEASON_BONUS
 from pulse.session import cut
@@ -175,9 +174,7 @@ def _fuzzy_decisions(wanted: DataFrame, shows: DataFrame, overrides: DataFrame,
         .alias("_method"),
         F.when(by_rule | lifted_wins, F.col("season")).alias("_matched_season"),
     ).filter(F.col("anilist_id").isNotNull())
-    named = lookup_join(
-        chosen, shows.select("anilist_id", "title_romaji"), ["anilist_id"], ["normalized", "prefix", "season"]
-    )
+    named = chosen.join(shows.select("anilist_id", "title_romaji"), "anilist_id", "left")
     columns = ("anilist_id", "_score", "_method", "_matched_season", "title_romaji")
     return named.select(
         "normalized", "prefix", "season", _decision(*[F.col(c) for c in columns]).alias("_fuzzy")
@@ -190,7 +187,6 @@ def resolve(
     overrides: DataFrame,
     ranges: DataFrame,
     threshold: int = MATCH_THRESHOLD,
-    key: str = "infohash",
 ) -> DataFrame:
     """Match (key, title, season, episode) rows against the catalogue.
 
@@ -207,8 +203,8 @@ def resolve(
         titles.withColumn("normalized", normalize_title(F.col("title")))
         .withColumn("prefix", F.coalesce(F.when(keep_prefix, prefix), F.lit("")))
         .withColumn("_informative", is_informative(F.col("normalized")))
-        .join(broadcast_if_small(range_rules(ranges, shows), ranges), "normalized", "left")
-        .join(broadcast_if_small(usable, overrides), "normalized", "left")
+        .join(range_rules(ranges, shows), "normalized", "left")
+        .join(usable, "normalized", "left")
         .withColumn("_range", range_target(F.col("episode"), F.col("_ranges")))
     )
     hundred, none = F.lit(100), F.lit(None).cast("bigint")
@@ -236,11 +232,8 @@ def resolve(
     # Seasons are compared null-safely through a code no season has.
     no_season = F.lit(-(2**62)).cast("bigint")
     code = F.coalesce("season", no_season).alias("_season")
-    decided = lookup_join(
-        ruled.withColumn("_season", code),
-        fuzzy.select("normalized", "prefix", code, "_fuzzy"),
-        ["normalized", "prefix", "_season"],
-        [key],
+    decided = ruled.withColumn("_season", code).join(
+        fuzzy.select("normalized", "prefix", code, "_fuzzy"), ["normalized", "prefix", "_season"], "left"
     )
     final = F.coalesce("_rule", F.when(open_rows, F.col("_fuzzy")))
     return decided.withColumn("_d", final).select(*titles.columns, "normalized", "_d.*")
@@ -267,7 +260,6 @@ def best_scores(misses: DataFrame, shows: DataFrame, levels=(50, 1)) -> DataFram
         .select(sort_tokens(F.col("normalized")).alias("text"))
         .distinct()
     )
-    misses, texts = settle(misses), settle(texts)
     found = None
     for level in levels:
         left = texts if found is None else texts.join(found.select("text"), "text", "left_anti")
@@ -277,14 +269,8 @@ def best_scores(misses: DataFrame, shows: DataFrame, levels=(50, 1)) -> DataFram
             .agg(F.max("score").alias("best_score"))
         )
         found = best if found is None else found.unionByName(best)
-    return lookup_join(
-        misses.withColumn(
-            "text", F.when(is_informative(F.col("normalized")), sort_tokens(F.col("normalized")))
-        ),
-        found,
-        ["text"],
-        [misses.columns[0]],
-    ).drop("text")
+    text = F.when(is_informative(F.col("normalized")), sort_tokens(F.col("normalized")))
+    return misses.withColumn("text", text).join(found, "text", "left").drop("text")
 
 
 def match_summary(resolved: DataFrame) -> DataFrame:

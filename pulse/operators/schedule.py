@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from pulse.functions.text import is_infohash
 from pulse.functions.times import utc
-from pulse.operators.hotkeys import row_number_over
 from pulse.operators.store import latest_per_key, mark_status, upsert
+from pulse.operators.windows import position_over
 
 _HOUR, _DAY = 3600, 86400
 # Fixed values: (age up to, class, gap between readings), in seconds.
@@ -21,7 +21,7 @@ AGE_CLASSES = (
     (180 * _DAY, "weekly", 7 * _DAY),
 )
 DEAD_AFTER = 3
-SCRAPE_BATCH = 40
+SCRAPE_BATCH = 20
 
 
 def _seconds(now: datetime) -> Column:
@@ -121,10 +121,12 @@ def feed_status(torrents: DataFrame, now: datetime, interval_hours: int = 1) ->
 
 
 def batches(due: DataFrame, size: int = SCRAPE_BATCH) -> DataFrame:
-    """Number the due items in scrape order and cut them into batches."""
+    """Number the due items in scrape order and cut them into batches. Items are numbered by the hour
+    they were last read in, those never read by the first digits of their key."""
+    hour = F.date_trunc("hour", "last_scrape")
+    digits = F.when(F.col("last_scrape").isNull(), F.substring("infohash", 1, 2))
     order = [F.col("last_scrape"), F.col("infohash")]
-    one_group = due.withColumn("_all", F.pmod(F.xxhash64("infohash"), F.lit(1)))
-    numbered = row_number_over(one_group, ["_all"], order, "position").drop("_all")
+    numbered = position_over(due, [hour, digits], order, "position")
     return numbered.withColumn(
         "batch", (F.floor((F.col("position") - 1) / size) + 1).cast("bigint")
     )

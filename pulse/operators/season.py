@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from pulse.functions.numbers import round_binary
 from pulse.functions.text import season_slug
-from pulse.operators.hotkeys import broadcast_if_small, lookup_join, row_number_over, settle
 from pulse.operators.quantiles import QUARTILES, quantiles
+from pulse.operators.windows import row_number_over
 
 # Ordinals that count as one season, and the days an episode has
 # to be followed before it counts for retention.
@@ -43,8 +43,7 @@ def season_rankings(rankings: DataFrame, seasons: DataFrame, members: DataFrame)
     both seasons, membership tells their shows apart.
     """
     of_show = rankings.join(members.select("season", "anilist_id"), "anilist_id")
-    weeks = broadcast_if_small(season_weeks(seasons), seasons)
-    return of_show.join(weeks, ["season", "week"], "left_semi")
+    return of_show.join(season_weeks(seasons), ["season", "week"], "left_semi")
 
 
 def running_totals(rankings: DataFrame) -> DataFrame:
@@ -218,7 +217,6 @@ def nearest_bands(df: DataFrame, group, value: str, tie: Column) -> DataFrame:
 def premiere_size(shows: DataFrame, by=("season",), value: str = "ep1_downloads") -> DataFrame:
     """small / medium / big by the 0.33 and 0.66 quantiles of positive premieres.
     A show without one is small."""
-    shows = settle(shows)
     cuts = quantiles(
         shows.filter(F.col(value) > 0), by, value, F.col("anilist_id"), PREMIERE_CUTS, "linear"
     )
@@ -229,7 +227,7 @@ def premiere_size(shows: DataFrame, by=("season",), value: str = "ep1_downloads"
         .otherwise("big")
     )
     return (
-        lookup_join(shows, cuts, list(by), ["anilist_id"])
+        shows.join(cuts, list(by), "left")
         .withColumn("premiere_size", size)
         .drop(*PREMIERE_CUTS)
     )
@@ -269,11 +267,10 @@ def download_trend(shows: DataFrame, score: str, by=("season",)) -> DataFrame:
 
 def trend_residuals(shows: DataFrame, score: str, by=("season",)) -> DataFrame:
     """Fitted downloads and the residual in log space (0 without a fit)."""
-    shows = settle(shows)
     usable = shows.filter(F.col(score).isNotNull() & (F.col("total_downloads") > 0))
     line = F.col("intercept") + F.col("slope") * F.col(score)
     return (
-        lookup_join(usable, download_trend(shows, score, by).drop("shows"), list(by), ["anilist_id"])
+        usable.join(download_trend(shows, score, by).drop("shows"), list(by), "left")
         .withColumn("fitted_downloads", F.pow(F.lit(10.0), line))
         .withColumn("residual", F.coalesce(F.log10("total_downloads") - line, F.lit(0.0)))
         .drop("slope", "intercept")
@@ -290,19 +287,15 @@ def outliers(residuals: DataFrame, by=("season",), limit: int = 8) -> DataFrame:
 
 
 def normalised_rank(df: DataFrame, metrics, by=("season",)) -> DataFrame:
-    """1 for the best, 0 for the worst and for a missing value, per metric."""
-    df = settle(df)
-    result = df
-    for metric in metrics:
-        valued = df.filter(F.col(metric).isNotNull()).select(
-            *by, "anilist_id", F.col(metric).cast("double").alias("_v")
-        )
-        order = [-F.col("_v"), F.col("anilist_id")]
-        placed = row_number_over(valued, list(by), order, "_n", size="_size")
-        share = F.when(F.col("_size") > 1, 1 - (F.col("_n") - 1) / (F.col("_size") - 1)).otherwise(1.0)
-        name = f"{metric}_norm"
-        scored = placed.select(*by, "anilist_id", share.alias(name))
-        result = result.join(scored, [*by, "anilist_id"], "left").withColumn(
-            name, F.coalesce(name, F.lit(0.0))
-        )
-    return result
+    """1 for the best, 0 for the worst and for a missing value, per metric; equal values by id.
+    The shows of a season are shuffled once and ranked on every metric there."""
+    season = Window.partitionBy(*by)
+
+    def share(metric: str) -> Column:
+        value = F.col(metric).cast("double")
+        place = F.row_number().over(season.orderBy(value.desc_nulls_last(), F.col("anilist_id")))
+        count = F.count(value).over(season)
+        scaled = F.when(count > 1, 1 - (place - 1) / (count - 1)).otherwise(1.0)
+        return F.when(value.isNotNull(), scaled).otherwise(0.0)
+
+    return df.withColumns({f"{metric}_norm": share(metric) for metric in metrics})

@@ -11,30 +11,22 @@ from pyspark.sql import functions as F
 
 from pulse.functions.metadata import aggregation_episode
 from pulse.functions.times import hours_since, time_bucket, utc, week_label
-from pulse.operators.hotkeys import CHUNK, Split, lag_over, lookup_join, plan_split, settle
+from pulse.operators.windows import lag_by_day
 from pulse.sources.tables import usable_torrents
 
 SHOW_FIELDS = ("title", "title_romaji", "cover_image_url", "cover_image_color")
 
 
-def plan_readings(readings: DataFrame) -> Split:
-    return plan_split(readings, ["infohash"], [F.col("timestamp")])
+def counter_deltas(readings: DataFrame, torrents: DataFrame | None = None) -> DataFrame:
+    """infohash, timestamp, downloads_delta; of the given torrents only and with their columns, if given.
 
-
-def counter_deltas(
-    readings: DataFrame,
-    split: Split | None = None,
-    keep_chunk: bool = False,
-    only: DataFrame | None = None,
-) -> DataFrame:
-    """infohash, timestamp, downloads_delta; of the keys in ``only``, if given."""
+    The readings are read and shuffled once, by key and day.
+    """
     narrow = readings.select("infohash", utc("timestamp").alias("timestamp"), "downloads")
-    lagged = lag_over(
-        narrow, ["infohash"], [F.col("timestamp")], "downloads", "_previous", split, keep_chunk, only
-    )
+    lagged = lag_by_day(narrow, "infohash", "timestamp", "downloads", "_previous", torrents)
     grown = F.col("downloads") - F.col("_previous")
-    columns = ["infohash", "timestamp", F.when(grown > 0, grown).otherwise(0).alias("downloads_delta")]
-    return lagged.select(*columns, *([CHUNK] if keep_chunk else []))
+    own = [] if torrents is None else [c for c in torrents.columns if c != "infohash"]
+    return lagged.select("infohash", "timestamp", F.when(grown > 0, grown).otherwise(0).alias("downloads_delta"), *own)
 
 
 def matched_torrents(torrents: DataFrame, matches: DataFrame, min_date=None) -> DataFrame:
@@ -52,20 +44,7 @@ def first_release(torrents: DataFrame, by=("anilist_id", "episode")) -> DataFram
 
 
 def with_first_release(torrents: DataFrame, by=("anilist_id", "episode")) -> DataFrame:
-    torrents = settle(torrents)
-    return lookup_join(torrents, first_release(torrents, by), list(by), ["infohash"])
-
-
-def deltas_of(readings: DataFrame, torrents: DataFrame, split: Split | None = None) -> DataFrame:
-    """Deltas of the given torrents, with their columns.
-
-    The readings are shuffled once, by key (and chunk, for hot keys): the filter
-    to these torrents, the window and the join share that partitioning. Few
-    torrents are broadcast by Spark, and then filter before the shuffle.
-    """
-    split = split or plan_readings(readings)
-    deltas = counter_deltas(readings, split, keep_chunk=True, only=torrents)
-    return deltas.join(split.spread(torrents), ["infohash", CHUNK]).drop(CHUNK)
+    return torrents.join(first_release(torrents, by), list(by), "left")
 
 
 def bucket_deltas(deltas: DataFrame) -> DataFrame:
@@ -85,14 +64,18 @@ def bucket_deltas(deltas: DataFrame) -> DataFrame:
     )
 
 
-def episode_series(readings: DataFrame, torrents: DataFrame, split: Split | None = None) -> DataFrame:
-    """Buckets with the running total per episode.
+def episode_dims(torrents: DataFrame) -> DataFrame:
+    """What the deltas of a torrent need for its episode's series and its own weeks."""
+    return with_first_release(torrents).select("infohash", "anilist_id", "episode", "filename", "first_datetime")
+
+
+def episode_series(deltas: DataFrame) -> DataFrame:
+    """Buckets with the running total per episode, from deltas with the columns of :func:`episode_dims`.
 
     An episode has at most 168 hourly buckets and one per day after, so its
     window partition is bounded by the length of the history.
     """
-    dims = with_first_release(torrents).select("infohash", "anilist_id", "episode", "first_datetime")
-    buckets = bucket_deltas(deltas_of(readings, dims, split))
+    buckets = bucket_deltas(deltas)
     running = Window.partitionBy("anilist_id", "episode").orderBy("time_bucket_hours").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

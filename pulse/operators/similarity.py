@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulse.functions.ratios import PARTIAL_FROM, likeness, ratio
-from pulse.operators.hotkeys import lookup_join, settle
 
 # Letters from common to rare; later letters make a gram sort earlier. Any fixed
 # order gives the same result, this one keeps the candidate lists short.
@@ -97,12 +96,11 @@ def similar_pairs(
 ) -> DataFrame:
     """Every pair with ratio(a, b) >= threshold, as left and right columns plus
     ``score``. ``on`` adds columns that must be equal."""
-    left, right = settle(left), settle(right)
     cut = lowest_ratio(threshold)
     q = _gram_size(cut)
     lhs = _leading(_indexed(left, a, cut, q, "_l"), "_l")
     rhs = _leading(_indexed(right, b, cut, q, "_r"), "_r")
-    met = lookup_join(lhs, rhs, [*on, "gram"], [a], "inner")
+    met = lhs.join(rhs, [*on, "gram"])
     short, long = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
     candidates = met.filter(
         (short >= _shortest_partner(long, cut))
@@ -121,7 +119,6 @@ def containing_pairs(left: DataFrame, right: DataFrame, a: str, b: str, threshol
     may be the shorter; each pair is found in the branch of its length order.
     Identical texts are the caller's exact join, so single characters may be left out.
     """
-    left, right = settle(left), settle(right)
     cut = lowest_ratio(threshold)
     q = _gram_size(cut)
 
@@ -130,7 +127,7 @@ def containing_pairs(left: DataFrame, right: DataFrame, a: str, b: str, threshol
         every = long_df.withColumn("_rgrams", _grams(F.col(long), q)).withColumn(
             "gram", F.explode("_rgrams")
         )
-        met = lookup_join(lead, every, ["gram"], [short], "inner")
+        met = lead.join(every, "gram")
         size, other = F.length(short), F.length(long)
         in_order = size < other if strict else size <= other
         needed = _needed(size + _shortest_partner(size, cut), cut, q)

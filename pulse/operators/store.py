@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulse.operators.hotkeys import lookup_join
 from pulse.session import cut
 
 
@@ -49,23 +48,31 @@ def upsert(
     return target.join(newest.select(*key), list(key), "left_anti").unionByName(newest)
 
 
+def with_partition(rows: DataFrame, key: Sequence[str], partition: Column, name: str) -> DataFrame:
+    """Add the partition of each row, an expression of its key alone (any other column fails), so
+    a key can never move from one partition to another."""
+    rows.select(*key).select(partition)
+    return rows.withColumn(name, partition)
+
+
 def upsert_partitions(
-    path: str, rows: DataFrame, key: Sequence[str], order: Sequence[Column], partition: str
+    path: str, rows: DataFrame, key: Sequence[str], order: Sequence[Column], partition: Column, name: str
 ) -> None:
-    """Upsert into a partitioned Parquet table, rewriting only the partitions the
-    new rows fall into. The key must determine the partition.
+    """Upsert into a Parquet table that is partitioned by an expression of the key, rewriting only the
+    partitions that the new rows fall into.
 
     The merged partitions are stored before the old ones are replaced, so the
     job never reads what it overwrites.
     """
+    rows = with_partition(rows, key, partition, name)
     stored = rows.sparkSession.read.schema(rows.schema).parquet(path)
-    touched = rows.select(partition).distinct()
-    old = lookup_join(stored, touched, [partition], key, "left_semi").select(*rows.columns)
+    touched = rows.select(name).distinct()
+    old = stored.join(touched, name, "left_semi").select(*rows.columns)
     merged = cut(upsert(old, rows, key, order))
     (
         merged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
+        .partitionBy(name)
         .parquet(path)
     )
 
@@ -80,7 +87,7 @@ def latest_per_key(rows: DataFrame, key: Sequence[str], order: Sequence[Column],
 def mark_status(target: DataFrame, keys: DataFrame, status: str, key: str = "infohash") -> DataFrame:
     """Set the status of the listed keys; the others keep theirs."""
     marked = keys.select(key).distinct().withColumn("_status", F.lit(status))
-    return lookup_join(target, marked, [key], target.columns).withColumn(
+    return target.join(marked, key, "left").withColumn(
         "status", F.coalesce("_status", "status")
     ).select(*target.columns)
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pulse.functions.numbers import weighted_mean
 from pulse.functions.ratios import fold_width
 from pulse.functions.text import strip_symbols
-from pulse.operators.hotkeys import lookup_join
 from pulse.operators.similarity import containing_pairs
 from pulse.operators.store import first_per_key
 from pulse.rules import SURVEY_MATCH_THRESHOLD
@@ -82,9 +81,7 @@ def match_surveys(
     """One row per (show, episode), from the earliest broadcast; rows without a
     show are left out. ``title_map`` lists (title, listed_id)."""
     targets = survey_targets(rows, shows, title_map, threshold)
-    placed = lookup_join(rows, targets, ["title"], ["aired_at", "episode"]).filter(
-        F.col("anilist_id").isNotNull()
-    )
+    placed = rows.join(targets.filter(F.col("anilist_id").isNotNull()), "title")
     earliest = first_per_key(
         placed.select("anilist_id", "episode", "aired_at", "title", *PERCENTAGES),
         ["anilist_id", "episode"],

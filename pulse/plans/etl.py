@@ -14,16 +14,17 @@ from pyspark.sql import functions as F
 
 from pulse import rules
 from pulse.functions.metadata import matching_fields
-from pulse.operators.movies import movie_series, movie_torrents
+from pulse.operators.movies import movie_dims, movie_series, movie_torrents
 from pulse.operators.ranking import weekly_rankings
 from pulse.operators.reception import show_metrics
 from pulse.operators.resolve import matched, resolve, unmatched
 from pulse.operators.season import season_episodes, season_index, season_rankings
 from pulse.functions.text import season_slug
 from pulse.operators.series import (
+    counter_deltas,
+    episode_dims,
     episode_series,
     matched_torrents,
-    plan_readings,
     weekly_totals,
     with_show_labels,
 )
@@ -71,24 +72,25 @@ def run(inputs: Inputs, out: str, now: datetime, first_day, threshold: int = rul
     )
 
     torrents = cut(matched_torrents(usable, matches))
-    split = plan_readings(inputs.stats)
-    series = cut(episode_series(inputs.stats, torrents, split))
-    rankings = cut(with_show_labels(weekly_rankings(weekly_totals(series)), inputs.shows))
+    films, catalogue = run_movie_matches(inputs, titles, out, threshold)
+    # One pass over the readings counts the deltas of all matched torrents, for three readers.
+    deltas = cut(counter_deltas(inputs.stats, delta_dims(torrents, films)))
+    by_episode = deltas.filter("episode_of IS NOT NULL").select("infohash", "timestamp", "downloads_delta", "episode_of.*")
+    by_movie = deltas.filter("movie_of IS NOT NULL").select("infohash", "timestamp", "downloads_delta", "movie_of.*")
 
-    per_torrent = reports.torrent_weeks(inputs.stats, torrents, now, split)
+    series = cut(episode_series(by_episode))
+    rankings = cut(with_show_labels(weekly_rankings(weekly_totals(series)), inputs.shows))
+    per_torrent = cut(reports.torrent_weeks(by_episode, now))
     reports.write_json(
-        reports.diagnostics_report(cut(per_torrent), rankings, matches, inputs.shows),
-        f"{out}/torrent_downloads_report",
+        reports.diagnostics_report(per_torrent, rankings, matches, inputs.shows), f"{out}/torrent_downloads_report"
     )
     reports.write_json(reports.rankings_report(rankings, now), f"{out}/rankings")
 
     in_season = cut(season_rankings(rankings, inputs.seasons, inputs.members))
     metrics = show_metrics(inputs.shows, inputs.ratings, inputs.surveys)
+    shows = reports.season_shows_report(in_season, series, inputs.shows, metrics)
     reports.write_json(reports.season_weeks_report(in_season), f"{out}/season_weeks", ["slug"])
-    reports.write_json(
-        reports.season_shows_report(in_season, series, inputs.shows, metrics),
-        f"{out}/season_shows", ["slug"],
-    )
+    reports.write_json(shows, f"{out}/season_shows", ["slug"])
     reports.write_json(
         reports.season_percentiles_report(in_season, series), f"{out}/season_percentiles", ["slug"]
     )
@@ -101,11 +103,24 @@ def run(inputs: Inputs, out: str, now: datetime, first_day, threshold: int = rul
     reports.write_json(
         season_index(in_season, inputs.seasons, inputs.members, now), f"{out}/seasons"
     )
-    run_movies(inputs, titles, out, threshold)
+    reports.write_json(reports.movies_report(cut(movie_series(by_movie)), catalogue), f"{out}/movies")
+
+
+def delta_dims(torrents: DataFrame, films: DataFrame) -> DataFrame:
+    """One row per torrent that is matched to an episode, a movie or both, with what each reader needs."""
+    episodes = episode_dims(torrents)
+    movies = movie_dims(films)
+    rest = lambda df: F.struct(*[c for c in df.columns if c != "infohash"])
+    return episodes.select("infohash", rest(episodes).alias("episode_of")).join(
+        movies.select("infohash", rest(movies).alias("movie_of")), "infohash", "full"
+    )
 
 
-def run_movies(inputs: Inputs, titles: DataFrame, out: str, threshold: int, min_date=rules.MOVIE_DATES[0]) -> None:
-    """The same titles against the movie catalogue with its own overrides."""
+def run_movie_matches(
+    inputs: Inputs, titles: DataFrame, out: str, threshold: int, min_date=rules.MOVIE_DATES[0]
+) -> tuple[DataFrame, DataFrame]:
+    """The same titles against the movie catalogue with its own overrides: the torrents of movies,
+    and the catalogue."""
     spark = inputs.torrents.sparkSession
     overrides = rules.overrides(spark, rules.MOVIE_OVERRIDES)
     catalogue = movie_shows(
@@ -117,5 +132,4 @@ def run_movies(inputs: Inputs, titles: DataFrame, out: str, threshold: int, min_
     reports.write_json(
         reports.movie_match_report(torrents, matches, catalogue), f"{out}/movie_match_report"
     )
-    series = movie_series(inputs.stats, torrents, plan_readings(inputs.stats))
-    reports.write_json(reports.movies_report(cut(series), catalogue), f"{out}/movies")
+    return torrents, catalogue

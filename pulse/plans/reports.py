@@ -1,9 +1,8 @@
 """Nested report rows and their JSON sinks.
 
-A report is a set of JSON lines, one object per week, show or season. Child
-arrays are cut into parts of a fixed size: an ordinary group is one object with
-``part`` 0, a very large one continues in parts 1, 2, .. so no group is gathered
-whole.
+A report is a set of JSON lines, one object per week, show and week, movie or season, whatever
+its size. The child arrays hold shows of a week or season, weeks of a show, or torrents of a show, so
+they are bounded by the catalogue, not by the readings.
 """
 
 from __future__ import annotations
@@ -17,7 +16,6 @@ from pyspark.sql import functions as F
 from pulse.functions.metadata import json_or_error, report_fields
 from pulse.functions.text import normalize_title, season_slug
 from pulse.functions.times import week_label
-from pulse.operators.hotkeys import Split, broadcast_if_small, lookup_join, row_number_over, settle
 from pulse.operators.movies import movie_totals, torrent_counts
 from pulse.operators.ranking import grown_shows, top_ranked, without_week_of
 from pulse.operators.reception import rank_deltas
@@ -29,27 +27,20 @@ from pulse.operators.season import (
     running_totals,
     season_totals,
 )
-from pulse.operators.series import deltas_of, show_labels, with_show_labels
+from pulse.operators.series import show_labels, with_show_labels
+from pulse.operators.windows import row_number_over
 from pulse.session import cut
 
-PART_ROWS = 10_000
 _LABELS = ("title", "title_romaji", "cover_image_url", "cover_image_color")
 
 
 def nested(
-    rows: DataFrame,
-    group: Sequence[str],
-    position: str,
-    fields: Sequence[str | Column],
-    name: str,
-    part_rows: int = PART_ROWS,
+    rows: DataFrame, group: Sequence[str], position: str, fields: Sequence[str | Column], name: str
 ) -> DataFrame:
-    """Group rows into arrays of at most ``part_rows`` in ``position`` order
-    (1, 2, .. within the group)."""
-    part = F.floor((F.col(position) - 1) / part_rows).alias("part")
+    """Group rows into one array per group in ``position`` order (1, 2, .. within the group)."""
     child = F.struct(F.col(position).alias("_at"), F.struct(*fields).alias("_child"))
     ordered = F.transform(F.array_sort(F.collect_list(child)), lambda s: s["_child"])
-    return rows.groupBy(*group, part).agg(ordered.alias(name))
+    return rows.groupBy(*group).agg(ordered.alias(name))
 
 
 def flattened(report: DataFrame, name: str, keep: Sequence[str]) -> DataFrame:
@@ -61,23 +52,11 @@ def write_json(df: DataFrame, path: str, partition: Sequence[str] = ()) -> None:
     df.write.mode("overwrite").partitionBy(*partition).json(path, ignoreNullFields=False)
 
 
-def write_document(rows: DataFrame, path: str, field: str, order: Sequence[str], max_rows: int = 50_000) -> None:
-    """All rows as one JSON object, for pages that load a single file. The size
-    is checked first; a larger report stays in JSON lines."""
-    found = rows.limit(max_rows + 1).count()
-    if found > max_rows:
-        raise ValueError(f"more than {max_rows} rows: use write_json")
-    child = F.struct(*[F.col(c) for c in order], F.struct(*rows.columns).alias("_row"))
-    whole = F.transform(F.array_sort(F.collect_list(child)), lambda s: s["_row"])
-    body = F.to_json(F.struct(whole.alias(field)), {"ignoreNullFields": "false"})
-    rows.agg(body.alias("value")).write.mode("overwrite").text(path)
-
-
 def rankings_report(rankings: DataFrame, now: datetime) -> DataFrame:
     """Finished weeks with their rankings."""
     fields = ["anilist_id", "rank", "downloads", *_LABELS]
     weeks = nested(without_week_of(rankings, now), ["week"], "rank", fields, "rankings")
-    return weeks.select("week", F.col("week").alias("start_date"), "part", "rankings")
+    return weeks.select("week", F.col("week").alias("start_date"), "rankings")
 
 
 def season_weeks_report(rankings: DataFrame) -> DataFrame:
@@ -87,7 +66,7 @@ def season_weeks_report(rankings: DataFrame) -> DataFrame:
     weeks = nested(running, ["season", "week"], "_at", fields, "rankings")
     return weeks.select(
         season_slug(F.col("season")).alias("slug"), "season", "week",
-        F.col("week").alias("start_date"), "part", "rankings",
+        F.col("week").alias("start_date"), "rankings",
     )
 
 
@@ -172,18 +151,15 @@ def movie_match_report(torrents: DataFrame, matches: DataFrame, shows: DataFrame
         torrent_counts(torrents), "anilist_id"
     )
     return with_show_labels(movies, shows).select(
-        "anilist_id", "title", "title_romaji", "torrent_count", "part", "torrents"
-    ).orderBy(F.desc("torrent_count"), F.asc("anilist_id"), F.asc("part"))
+        "anilist_id", "title", "title_romaji", "torrent_count", "torrents"
+    ).orderBy(F.desc("torrent_count"), F.asc("anilist_id"))
 
 
-def torrent_weeks(
-    readings: DataFrame, torrents: DataFrame, now: datetime, split: Split | None = None
-) -> DataFrame:
-    """Downloads per torrent and week, by each reading's own time."""
-    dims = torrents.select("infohash", "anilist_id", "episode", "filename")
-    deltas = deltas_of(readings, dims, split).withColumn("week", week_label(F.col("timestamp")))
+def torrent_weeks(deltas: DataFrame, now: datetime) -> DataFrame:
+    """Downloads per torrent and week, by each reading's own time, from deltas that carry the torrent's
+    show, episode and file name."""
     return (
-        without_week_of(deltas, now)
+        without_week_of(deltas.withColumn("week", week_label(F.col("timestamp"))), now)
         .groupBy("anilist_id", "week", "infohash", "episode", "filename")
         .agg(F.sum("downloads_delta").alias("downloads"))
     )
@@ -200,7 +176,6 @@ def diagnostics_report(
     per_torrent: DataFrame, rankings: DataFrame, matches: DataFrame, shows: DataFrame
 ) -> DataFrame:
     """Per show and week the torrents behind the total, largest first."""
-    per_torrent = settle(per_torrent)
     kept = per_torrent.join(noteworthy_shows(per_torrent, rankings), "anilist_id", "left_semi")
     info = matches.select(
         "infohash", F.col("method").alias("match_method"), F.col("score").alias("match_score")
@@ -221,7 +196,7 @@ def diagnostics_report(
         .join(names, "anilist_id", "left")
         .select(
             "anilist_id", F.coalesce("title", F.lit("Unknown")).alias("title"),
-            "week", "total_downloads", "part", "torrents",
+            "week", "total_downloads", "torrents",
         )
     )
 
@@ -236,7 +211,7 @@ def unmatched_report(
         F.max("downloads").alias("max_downloads"), F.count(F.lit(1)).alias("stat_count")
     )
     top = (
-        lookup_join(open_torrents, read, ["infohash"], ["filename"])
+        open_torrents.join(read, "infohash", "left")
         .withColumn("stat_count", F.coalesce("stat_count", F.lit(0)))
         .orderBy(F.desc_nulls_last("max_downloads"), F.asc("infohash"))
         .limit(limit)
@@ -246,6 +221,7 @@ def unmatched_report(
         F.col("_f.season").alias("season"), F.col("_f.episode").alias("episode"),
         "max_downloads", "stat_count",
     )
-    return named.withColumn("normalized", normalize_title(F.col("guessit_title"))).join(
-        broadcast_if_small(ignored, ignored), "normalized", "left_anti"
-    ).drop("normalized")
+    shown = named.withColumn("normalized", normalize_title(F.col("guessit_title"))).join(
+        ignored, "normalized", "left_anti"
+    )
+    return shown.drop("normalized").orderBy(F.desc_nulls_last("max_downloads"), F.asc("infohash"))

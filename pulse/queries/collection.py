@@ -68,7 +68,7 @@ def feed_status(spark, sf_dir):
 BATCHES = v.ITEMS + """,
 batched AS (
   SELECT infohash, row_number() OVER (ORDER BY last_scrape NULLS FIRST, infohash) AS position,
-         (row_number() OVER (ORDER BY last_scrape NULLS FIRST, infohash) - 1) // 40 + 1 AS batch
+         (row_number() OVER (ORDER BY last_scrape NULLS FIRST, infohash) - 1) // 20 + 1 AS batch
   FROM scheduled WHERE status = 'active' AND is_due)"""
 
 

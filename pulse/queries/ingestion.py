@@ -3,6 +3,7 @@ are written by Spark from the given tables, so the SQL knows what must come out.
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -10,10 +11,11 @@ from pyspark.sql import functions as F
 from pulse import rules
 from pulse.functions.times import utc
 from pulse.operators.store import feed_to_tables
-from pulse.plans import collector
+from pulse.plans import collector, reception
 from pulse.queries import registry
 from pulse.queries import views as v
-from pulse.schema import FEED_ITEM, MEDIA
+from pulse.schema import FEED_ITEM, MEDIA, RATING_PAYLOAD
+from pulse.session import ensure_checkpoint_dir, literal_rows
 from pulse.sources import catalogue, feed, filenames, listing, surveys
 
 _HASH = "md5(CAST(o_orderkey AS VARCHAR))"
@@ -84,7 +86,15 @@ def _feed_items(spark, sf_dir):
         F.lit("</infoHash><size>1.5 GiB</size><trusted>"), F.when(number % 5 == 0, "Yes").otherwise("No"),
         F.lit("</trusted></item>"),
     )
-    return _orders(spark, sf_dir).select(F.from_xml(xml, FEED_ITEM).alias("i")).select("i.*")
+    return _orders(spark, sf_dir).select(xml.alias("item"))
+
+
+def _feed_rows(spark, sf_dir):
+    return feed.feed_rows(_feed_items(spark, sf_dir).select(F.from_xml("item", FEED_ITEM).alias("i")).select("i.*"), _FEED_NOW)
+
+
+def _scratch(spark):
+    return f"{ensure_checkpoint_dir(spark)}/files-{uuid.uuid4().hex}"
 
 
 FED = f"""
@@ -99,7 +109,21 @@ FED = f"""
 def feed_rows(spark, sf_dir):
     """Items without hash or with unreadable counts are left out; unreadable
     dates become the time of reading."""
-    return feed.feed_rows(_feed_items(spark, sf_dir), _FEED_NOW).select(
+    return _feed_rows(spark, sf_dir).select(
+        "infohash", "filename", v.micros("pubdate").alias("published"), "size_bytes", "source_id", "trusted",
+        "remake", "seeders", "leechers", "downloads",
+    )
+
+
+@registry.add(FED)
+def feed_files(spark, sf_dir):
+    """The same items as XML documents in a folder."""
+    folder = _scratch(spark)
+    items = _feed_items(spark, sf_dir)
+    pages = items.groupBy(F.pmod(F.xxhash64("item"), F.lit(7)).alias("page")).agg(F.array_join(F.collect_list("item"), "\n").alias("items"))
+    document = F.concat(F.lit("<rss><channel><title>feed</title>"), "items", F.lit("</channel></rss>"))
+    pages.select("page", document.alias("value")).write.partitionBy("page").text(folder)
+    return feed.read_feed(spark, folder, _FEED_NOW).select(
         "infohash", "filename", v.micros("pubdate").alias("published"), "size_bytes", "source_id", "trusted",
         "remake", "seeders", "leechers", "downloads",
     )
@@ -109,7 +133,7 @@ def feed_rows(spark, sf_dir):
 SELECT infohash, source_id, CASE WHEN source_id % 3 = 0 THEN 'dead' ELSE 'active' END AS status, 1 AS readings FROM fed""")
 def ingest_feed(spark, sf_dir):
     """The feed on top of a store that has every third order already, as dead."""
-    rows = feed.feed_rows(_feed_items(spark, sf_dir), _FEED_NOW)
+    rows = _feed_rows(spark, sf_dir)
     known = rows.filter(F.col("source_id") % 3 == 0)
     stored, stats = feed_to_tables(known)
     torrents, readings = collector.ingest(stored.withColumn("status", F.lit("dead")), stats, rows)
@@ -137,8 +161,9 @@ def parsed_names(spark, sf_dir):
         .otherwise(F.concat(F.replace(title, F.lit(" "), F.lit("_")), F.lit("_-_"), episode, F.lit("v2.mkv")))
     )
     rows = v.table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", filenames.parsed(name).alias("p")
+        "l_orderkey", "l_linenumber", "l_partkey", name.alias("name")
     )
+    rows = filenames.with_parsed(rows, "name")
     size = F.when(F.col("p.episodes").isNotNull(), F.size("p.episodes"))
     return rows.select(
         "l_orderkey", "l_linenumber", "l_partkey", "p.title", F.col("p.season").cast("bigint").alias("season"),
@@ -169,7 +194,7 @@ _SURVEY_SQL = """
   FROM lineitem WHERE l_partkey % 7 <> 0 AND l_partkey % 8 <> 0 AND l_partkey % 10 <> 0"""
 
 
-def _survey_rows(spark, sf_dir):
+def _survey_lines(spark, sf_dir):
     part = F.col("l_partkey")
 
     def text(column):
@@ -184,8 +209,12 @@ def _survey_rows(spark, sf_dir):
         F.when(part % 9 == 0, "n/a").otherwise(text(F.col("l_discount") * 100)), F.lit(""), F.lit("1.5"), F.lit("2"),
         F.lit("本編"), F.lit(""),
     )
+    return v.table(spark, sf_dir, "lineitem").select(line.alias("line"))
+
+
+def _survey_rows(spark, sf_dir):
     columns = ", ".join(f"`{h}` string" for h in _HEADERS)
-    raw = v.table(spark, sf_dir, "lineitem").select(F.from_csv(line, columns).alias("r")).select("r.*")
+    raw = _survey_lines(spark, sf_dir).select(F.from_csv("line", columns).alias("r")).select("r.*")
     return surveys.survey_rows(raw)
 
 
@@ -197,6 +226,19 @@ def survey_rows(spark, sf_dir):
     return _survey_rows(spark, sf_dir).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
 
 
+@registry.add(f"""WITH s AS ({_SURVEY_SQL})
+SELECT title, CAST(episode AS BIGINT) AS episode, season_code, very_good_pct, good_pct, count(*) AS rows FROM s GROUP BY ALL""")
+def survey_files(spark, sf_dir):
+    """The same lines as CSV files with a header in a folder."""
+    folder = _scratch(spark)
+    header = literal_rows(spark, [(",".join(_HEADERS),)], "line string")
+    for i in range(3):
+        part = _survey_lines(spark, sf_dir).filter(F.pmod(F.xxhash64("line"), F.lit(3)) == i)
+        header.unionByName(part).coalesce(1).write.text(f"{folder}/{i}")
+    keys = ("title", "episode", "season_code", "very_good_pct", "good_pct")
+    return surveys.read_surveys(spark, f"{folder}/*").groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+
+
 @registry.add(f"""WITH s AS ({_SURVEY_SQL})
 SELECT season_code, count(*) AS rows FROM s WHERE season_code IN ('2025D') GROUP BY ALL""")
 def surveys_of_seasons(spark, sf_dir):
@@ -295,6 +337,27 @@ def rating_rows(spark, sf_dir):
     return catalogue.rating_rows(raw).select("anilist_id", "payload.score", "payload.rank")
 
 
+@registry.add("""SELECT p_partkey AS anilist_id, CASE WHEN p_partkey % 4 <> 0 THEN p_retailprice ELSE 1.5 END AS score,
+  p_partkey % 4 <> 0 AS renewed FROM part WHERE p_partkey % 4 <> 0 OR p_partkey % 3 = 0""")
+def rating_update(spark, sf_dir):
+    """Every third show has a stored rating; responses without data leave it."""
+    key = F.col("p_partkey")
+    part = v.table(spark, sf_dir, "part")
+    old = F.lit(datetime(2024, 1, 1)).cast("timestamp")
+    stored = part.filter(key % 3 == 0).select(
+        F.lit("mal").alias("source"), key.alias("anilist_id"), key.alias("mal_id"),
+        F.from_json(F.to_json(F.struct(F.lit(1.5).alias("score"))), RATING_PAYLOAD).alias("payload"), old.alias("fetched_at"),
+    )
+    body = F.when(
+        key % 4 != 0, F.to_json(F.struct(F.struct(F.col("p_retailprice").alias("score")).alias("data")))
+    ).otherwise("{}")
+    responses = part.select(
+        key.alias("anilist_id"), key.alias("mal_id"), body.alias("body"), F.lit("2024-02-01T00:00:00Z").alias("fetched_at")
+    )
+    table = reception.update_ratings(stored, responses)
+    return table.select("anilist_id", "payload.score", (F.col("fetched_at") > old).alias("renewed"))
+
+
 @registry.add("""SELECT o_orderkey AS anilist_id FROM orders WHERE o_orderkey % 3 <> 0
   AND (o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 OR epoch(TIMESTAMP '1998-12-01') - epoch(o_orderdate) >= 90 * 86400)""")
 def stale_ratings(spark, sf_dir):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pulse.operators import ranking as ops
-from pulse.operators.series import weekly_totals, with_show_labels
+from pulse.operators.series import counter_deltas, episode_dims, weekly_totals, with_show_labels
 from pulse.plans import reports
 from pulse.queries import registry
 from pulse.queries import views as v
@@ -123,9 +123,13 @@ def _named(spark, sf_dir):
     return v.torrents(spark, sf_dir).withColumn("filename", F.concat("infohash", F.lit(".mkv")))
 
 
+def _deltas(spark, sf_dir, torrents):
+    return counter_deltas(v.readings(spark, sf_dir), episode_dims(torrents))
+
+
 @registry.add(f"WITH {TORRENT_WEEKS} SELECT * FROM per_torrent")
 def torrent_weeks(spark, sf_dir):
-    rows = reports.torrent_weeks(v.readings(spark, sf_dir), _named(spark, sf_dir), v.READ_NOW)
+    rows = reports.torrent_weeks(_deltas(spark, sf_dir, _named(spark, sf_dir)), v.READ_NOW)
     return rows.drop("filename")
 
 
@@ -145,7 +149,7 @@ FROM per_torrent WHERE anilist_id IN (SELECT anilist_id FROM kept)""")
 def torrent_diagnostics(spark, sf_dir):
     """Torrents behind the totals of noteworthy shows; flattened."""
     named = _named(spark, sf_dir)
-    per_torrent = cut(reports.torrent_weeks(v.readings(spark, sf_dir), named, v.READ_NOW))
+    per_torrent = cut(reports.torrent_weeks(_deltas(spark, sf_dir, named), v.READ_NOW))
     weekly = per_torrent.groupBy("week", "anilist_id").agg(F.sum("downloads").alias("downloads"))
     matches = named.select(
         "infohash",
@@ -155,9 +159,9 @@ def torrent_diagnostics(spark, sf_dir):
     nested = reports.diagnostics_report(
         per_torrent, ops.weekly_rankings(weekly), matches, v.shows(spark, sf_dir)
     )
-    flat = nested.select("week", "anilist_id", "total_downloads", "part", F.posexplode("torrents"))
+    flat = nested.select("week", "anilist_id", "total_downloads", F.posexplode("torrents"))
     return flat.select(
         "week", "anilist_id", "total_downloads",
-        (F.col("part") * reports.PART_ROWS + F.col("pos") + 1).alias("position"),
+        (F.col("pos") + 1).cast("bigint").alias("position"),
         "col.infohash", "col.episode", "col.downloads", "col.match_method",
     )

@@ -7,6 +7,8 @@ Overrides and episode ranges point some names at shows that exist or do not.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from pulse.functions.metadata import corrected_title
@@ -14,9 +16,10 @@ from pulse.functions.ratios import fold_width
 from pulse.functions.text import normalize_title, strip_symbols
 from pulse.operators import resolve as ops
 from pulse.operators import surveys
+from pulse.plans import reception
 from pulse.queries import registry
 from pulse.queries import views as v
-from pulse.session import cut
+from pulse.session import cut, literal_rows
 
 
 def _norm_sql(title: str) -> str:
@@ -252,21 +255,32 @@ def corrected_titles(spark, sf_dir):
     return v.table(spark, sf_dir, "part").select("p_partkey", corrected_title(title).alias("corrected"))
 
 
-@registry.add("""SELECT doc_id, regexp_replace(lower(nfc_normalize(text)), '[\\p{P}\\p{S}\\p{Z}\\s]', '', 'g') AS norm FROM documents""")
+@registry.add("""SELECT doc_id, concat('reゼロガ12', regexp_replace(lower(nfc_normalize(text)), '[\\p{P}\\p{S}\\p{Z}\\s]', '', 'g')) AS norm FROM documents""")
 def folded_texts(spark, sf_dir):
     """Width-folded texts without spaces, punctuation and symbols. SQL has only the
-    canonical form, which is the same where no compatibility characters occur."""
-    return v.table(spark, sf_dir, "documents").select(
-        "doc_id", strip_symbols(fold_width(F.col("text"))).alias("norm")
-    )
+    canonical form, which is the same where no compatibility characters occur; those of the
+    full-width and half-width title in front are known."""
+    titled = F.concat(F.lit("Ｒｅ：ゼロ　ｶﾞ「１２」！ "), F.col("text"))
+    return v.table(spark, sf_dir, "documents").select("doc_id", strip_symbols(fold_width(titled)).alias("norm"))
 
 
 def _folded_sql(title: str) -> str:
     return f"lower(regexp_replace({title}, '[\\p{{P}}\\p{{S}}\\p{{Z}}\\s]', '', 'g'))"
 
 
+def _broadcasts(spark, sf_dir):
+    day = F.col("infohash").cast("int") % 28 + 1
+    answers = (day + 30, 40 - day, F.lit(20), F.lit(6), F.lit(4))
+    return titles(spark, sf_dir).select(
+        "title",
+        "episode",
+        F.concat(F.lit("2024-01-"), F.lpad(day.cast("string"), 2, "0")).alias("aired_at"),
+        *[a.cast("double").alias(n) for n, a in zip(surveys.PERCENTAGES, answers, strict=True)],
+    )
+
+
 SURVEYED = "RECURSIVE " + TITLES + f""",
-survey AS (SELECT title, episode, {_folded_sql('title')} AS norm FROM titles),
+survey AS (SELECT title, episode, CAST(infohash AS INTEGER) % 28 + 1 AS day, {_folded_sql('title')} AS norm FROM titles),
 names AS (
   SELECT {_folded_sql('v')} AS norm, min(id) AS exact_id
   FROM (SELECT id, unnest(list_concat([name, romaji, english], synonyms)) AS v FROM shows) WHERE v IS NOT NULL GROUP BY 1),
@@ -293,22 +307,43 @@ likeness AS (
 alike AS (
   SELECT a, id, row_number() OVER (PARTITION BY a ORDER BY score DESC, id) AS n FROM likeness JOIN natives USING (b) WHERE score >= 90),
 placed AS (
-  SELECT coalesce(CASE WHEN norm = 'redbolt' THEN 1 END, exact_id, id) AS anilist_id, episode
+  SELECT coalesce(CASE WHEN norm = 'redbolt' THEN 1 END, exact_id, id) AS anilist_id, episode, day, title
   FROM survey LEFT JOIN names USING (norm) LEFT JOIN alike ON a = norm AND n = 1)"""
 
 
 @registry.add(f"""WITH {SURVEYED}
-SELECT anilist_id, episode, 40.0::DOUBLE AS very_good_pct, 3.96::DOUBLE AS mean_score
+SELECT anilist_id, episode, CAST(30 + arg_min(day, [lpad(CAST(day AS VARCHAR), 2, '0'), title]) AS DOUBLE) AS very_good_pct,
+       CAST(386 + arg_min(day, [lpad(CAST(day AS VARCHAR), 2, '0'), title]) AS DOUBLE) / 100 AS mean_score
 FROM placed WHERE anilist_id IS NOT NULL GROUP BY ALL""")
 def survey_matches(spark, sf_dir):
     """Survey rows of every part title against the catalogue's native titles; the
-    SQL compares every stretch of every pair."""
-    rows = titles(spark, sf_dir).select(
-        "title",
-        "episode",
-        F.concat(F.lit("2024-01-"), F.lpad((F.col("infohash").cast("int") % 28 + 1).cast("string"), 2, "0")).alias("aired_at"),
-        *[F.lit(float(p)).alias(n) for n, p in zip(surveys.PERCENTAGES, (40, 30, 20, 6, 4), strict=True)],
-    )
+    SQL compares every stretch of every pair. Each broadcast has its own answers, so the earliest shows."""
+    rows = _broadcasts(spark, sf_dir)
     shows = cut(catalogue(spark, sf_dir))
     matched = surveys.match_surveys(rows, shows, surveys.title_map(spark, {"Red Bolt": 1}))
     return matched.select("anilist_id", "episode", "very_good_pct", "mean_score")
+
+
+@registry.add(f"""WITH {SURVEYED},
+new AS (
+  SELECT anilist_id, episode, CAST(30 + arg_min(day, [lpad(CAST(day AS VARCHAR), 2, '0'), title]) AS DOUBLE) AS very_good_pct
+  FROM placed WHERE anilist_id IS NOT NULL AND day % 2 = 0 GROUP BY ALL),
+old AS (SELECT DISTINCT anilist_id, episode, 1.0::DOUBLE AS very_good_pct FROM placed WHERE anilist_id IS NOT NULL AND day % 3 = 0)
+SELECT anilist_id, episode, very_good_pct FROM new
+UNION ALL SELECT * FROM old WHERE (anilist_id, episode) NOT IN (SELECT (anilist_id, episode) FROM new)""")
+def survey_update(spark, sf_dir):
+    """An export with a row for every second day's titles, on top of stored surveys."""
+    shows = cut(catalogue(spark, sf_dir))
+    listed = surveys.title_map(spark, {"Red Bolt": 1})
+    rows = _broadcasts(spark, sf_dir)
+    day = F.substring("aired_at", 9, 2).cast("int")
+    known = surveys.match_surveys(rows.filter(day % 3 == 0), shows, listed)
+    at = F.lit(datetime(2024, 1, 1)).cast("timestamp")
+    stored = known.withColumns({"very_good_pct": F.lit(1.0), "source_url": F.lit("old"), "fetched_at": at})
+    listed_seasons = [("Winter 2024", "winter", 2024), ("Spring 2024", "spring", 2024)]
+    seasons = literal_rows(spark, listed_seasons, "name string, season string, year int")
+    export = rows.filter(day % 2 == 0).withColumn("season_code", F.lit("2024A")).unionByName(
+        rows.withColumns({"season_code": F.lit("2023D"), "very_good_pct": F.lit(99.0)})
+    )
+    table = reception.update_surveys(cut(stored), export, seasons, shows, listed, datetime(2024, 2, 1), "new")
+    return table.select("anilist_id", "episode", "very_good_pct")

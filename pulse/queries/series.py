@@ -8,6 +8,7 @@ from pulse.functions.metadata import aggregation_episode, matching_fields
 from pulse.operators import movies as movie_ops
 from pulse.operators import series as ops
 from pulse.operators.ranking import weekly_rankings
+from pulse.plans import reports
 from pulse.queries import registry
 from pulse.queries import views as v
 from pulse.session import cut
@@ -31,7 +32,8 @@ def first_release(spark, sf_dir):
 
 
 def series_of(spark, sf_dir):
-    return ops.episode_series(v.readings(spark, sf_dir), v.torrents(spark, sf_dir))
+    dims = ops.episode_dims(v.torrents(spark, sf_dir).withColumn("filename", F.lit(None).cast("string")))
+    return ops.episode_series(ops.counter_deltas(v.readings(spark, sf_dir), dims))
 
 
 @registry.add(f"""WITH {v.SERIES}
@@ -148,7 +150,8 @@ movie_series AS (
 
 
 def movie_series_of(spark, sf_dir):
-    return movie_ops.movie_series(v.readings(spark, sf_dir), v.torrents(spark, sf_dir))
+    dims = movie_ops.movie_dims(v.torrents(spark, sf_dir))
+    return movie_ops.movie_series(ops.counter_deltas(v.readings(spark, sf_dir), dims))
 
 
 @registry.add(f"""WITH {MOVIES}
@@ -176,3 +179,16 @@ def movie_torrent_counts(spark, sf_dir):
     matches = named.select("infohash", "anilist_id")
     torrents = movie_ops.movie_torrents(named.drop("anilist_id"), matches)
     return movie_ops.torrent_counts(torrents)
+
+
+@registry.add(f"""WITH {MOVIES},
+totals AS (
+  SELECT anilist_id, max(downloads_cumulative) AS total_downloads, strftime(min(first_ts), '%Y-%m-%d') AS first_torrent_date
+  FROM movie_series GROUP BY anilist_id)
+SELECT anilist_id, total_downloads, first_torrent_date, weeks_since_release, week_start, downloads_weekly, downloads_cumulative
+FROM movie_series JOIN totals USING (anilist_id)""")
+def movies_report(spark, sf_dir):
+    """The movie report, flattened again."""
+    nested = reports.movies_report(movie_series_of(spark, sf_dir), v.shows(spark, sf_dir))
+    keep = ["anilist_id", "total_downloads", "first_torrent_date"]
+    return reports.flattened(nested, "weekly_downloads", keep)

@@ -1,31 +1,32 @@
-"""Streaming jobs over the readings, in files by time, against the batch SQL."""
+"""Streaming jobs over the readings, in micro-batches, against the batch SQL."""
 
 from __future__ import annotations
 
-import math
 import uuid
-from datetime import timedelta
 
 from pyspark.sql import functions as F
 
 from pulse.queries import registry
 from pulse.queries import views as v
-from pulse.session import ensure_checkpoint_dir, input_bytes
+from pulse.session import ensure_checkpoint_dir
 from pulse.streaming import jobs
 from pulse.streaming.tables import read_batches
 
-_DELTAS = "infohash string, timestamp timestamp, downloads_delta bigint"
+PARTS = 4
+FILES = 8
 
 
-def _source(spark, rows, root):
-    """The rows as a folder of files of bounded size, read in three or more
-    micro-batches."""
+def _source(spark, rows, root, order=range(PARTS)):
+    """The rows as files that arrive part by part, each part a stretch of time and a micro-batch."""
     folder = f"{root}/source"
-    files = max(3, input_bytes(rows) // (128 << 20))
-    rest = [c for c in rows.columns if c != "timestamp"]
-    rows.repartitionByRange(files, "timestamp", *rest).write.parquet(folder)
-    stream = spark.readStream.schema(rows.schema)
-    return stream.option("maxFilesPerTrigger", math.ceil(files / 3)).parquet(folder)
+    cuts = rows.select(F.unix_micros("timestamp").alias("t")).approxQuantile(
+        "t", [i / PARTS for i in range(1, PARTS)], 0.01
+    )
+    part = sum([(F.unix_micros("timestamp") >= c).cast("int") for c in cuts], F.lit(0))
+    for i in order:
+        rows.filter(part == i).repartition(FILES).write.parquet(f"{folder}/at={i}")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES)
+    return stream.parquet(f"{folder}/at=*")
 
 
 def _root(spark):
@@ -38,19 +39,15 @@ def _run(query):
     return progress[-1]["batchId"] if progress else -1
 
 
-def _incremental(spark, sf_dir, root):
-    rows = v.readings(spark, sf_dir).select("infohash", "timestamp", "downloads")
-    # Files arrive in any order, so readings are held for the whole history.
-    query = jobs.incremental_deltas(_source(spark, rows, root), root, f"{root}/state", timedelta(days=40))
-    last = _run(query)
-    jobs.release_held(spark, root, last + 1)
-    return read_batches(spark, f"{root}/deltas", _DELTAS, 0, last + 1)
-
-
 @registry.add(f"""WITH {v.DELTAS}
 SELECT infohash, epoch_us(ts) AS at, CAST(delta AS BIGINT) AS downloads_delta FROM deltas""")
 def stream_counter_deltas(spark, sf_dir):
-    deltas = _incremental(spark, sf_dir, _root(spark))
+    """Time stretches arrive out of order; only what the stream emitted is read."""
+    root = _root(spark)
+    rows = v.readings(spark, sf_dir).select("infohash", "timestamp", "downloads")
+    source = _source(spark, rows, root, (2, 0, 3, 1))
+    last = _run(jobs.incremental_deltas(source, root, f"{root}/state"))
+    deltas = jobs.emitted_deltas(spark, root, last)
     return deltas.select("infohash", v.micros("timestamp").alias("at"), "downloads_delta")
 
 
@@ -65,7 +62,7 @@ def stream_weekly_totals(spark, sf_dir):
     return jobs.current_totals(spark, f"{root}/totals", last)
 
 
-@registry.add(f"WITH {v.READINGS} SELECT DISTINCT infohash, anilist_id, episode FROM readings")
+@registry.add(f"WITH {v.READINGS} SELECT infohash, anilist_id, episode, epoch_us(min(ts)) AS at FROM readings GROUP BY ALL")
 def stream_first_rows(spark, sf_dir):
     root = _root(spark)
     rows = v.readings(spark, sf_dir).select("infohash", "anilist_id", "episode", "timestamp")
@@ -74,7 +71,8 @@ def stream_first_rows(spark, sf_dir):
         _source(spark, rows, root), f"{root}/torrents", f"{root}/state", schema, ["infohash"], [F.col("timestamp")]
     )
     last = _run(query)
-    return read_batches(spark, f"{root}/torrents", schema, 0, last).select("infohash", "anilist_id", "episode")
+    stored = read_batches(spark, f"{root}/torrents", schema, 0, last)
+    return stored.select("infohash", "anilist_id", "episode", v.micros("timestamp").alias("at"))
 
 
 @registry.add(f"""WITH {v.COUNTERS},
@@ -82,9 +80,21 @@ recent AS (SELECT *, row_number() OVER (PARTITION BY infohash ORDER BY ts DESC)
 SELECT infohash, epoch_us(ts) AS at, seeders, leechers, downloads FROM recent WHERE n <= 3""")
 def stream_recent_readings(spark, sf_dir):
     """What the dead detection keeps: each key's three newest readings."""
+    root, last = _dead(spark, sf_dir)
+    kept = jobs.recent_readings(spark, root, last)
+    return kept.select("infohash", v.micros("timestamp").alias("at"), "seeders", "leechers", "downloads")
+
+
+@registry.add(f"""WITH {v.COUNTERS},
+recent AS (SELECT *, row_number() OVER (PARTITION BY infohash ORDER BY ts DESC) AS n FROM counters)
+SELECT infohash FROM recent WHERE n <= 3 GROUP BY infohash
+HAVING count(*) = 3 AND sum(abs(seeders) + abs(leechers) + abs(downloads)) = 0""")
+def stream_dead(spark, sf_dir):
+    root, last = _dead(spark, sf_dir)
+    return jobs.dead_now(spark, root, last)
+
+
+def _dead(spark, sf_dir):
     root = _root(spark)
-    stream = _source(spark, v.counters(spark, sf_dir), root)
-    last = _run(jobs.dead_detection(stream, root, f"{root}/state"))
-    kept = read_batches(spark, f"{root}/recent", jobs.STATS, 0, last)
-    rows = jobs.latest_per_key(kept.drop("batch").distinct(), ["infohash"], [F.col("timestamp")], 3)
-    return rows.select("infohash", v.micros("timestamp").alias("at"), "seeders", "leechers", "downloads")
+    stream = _source(spark, v.counters(spark, sf_dir), root, (1, 0, 2, 3))
+    return root, _run(jobs.dead_detection(stream, root, f"{root}/state"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -31,18 +33,22 @@ def get_spark(app: str = "pulse", master: str | None = None, **conf: str) -> Spa
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a local one only for local masters."""
+    """The folder for intermediate tables: one of the application in the cluster's shared checkpoint
+    folder, so that all of it can be removed when the application has ended.
+
+    Only on a local master, where driver and executors are one process, may the setting be
+    missing; the folder is then a temporary one that goes when the process ends.
+    """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if configured:
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(configured)
-        return configured
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="pulse-checkpoint-")
-    context.setCheckpointDir(folder)
-    return folder
+    if not configured:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        configured = tempfile.mkdtemp(prefix="pulse-checkpoint-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(configured)
+    return f"{configured}/pulse-{context.applicationId}"
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -51,7 +57,7 @@ def cut(df: DataFrame) -> DataFrame:
     The table outlives executors, keeps column pruning and filter pushdown, and
     its real size is known to the plans that use it.
     """
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/pulse-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -67,17 +73,3 @@ def literal_rows(spark: SparkSession, rows: Iterable[tuple], schema: str) -> Dat
     if not structs:
         return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
     return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Catalyst's size of everything the frame reads (no job is run).
-
-    The leaves are summed rather than the root estimate taken, because without
-    column statistics Catalyst multiplies the sides of a join.
-    """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def setting(spark: SparkSession, key: str, default: int) -> int:
-    return int(spark.conf.get(key, str(default)))

@@ -11,7 +11,7 @@ from pulse.functions.numbers import feed_size
 from pulse.functions.text import last_path_number
 from pulse.functions.times import rfc822
 from pulse.schema import FEED_ITEM
-from pulse.sources.filenames import metadata_json
+from pulse.sources.filenames import with_metadata
 
 ROW = (
     "infohash", "filename", "pubdate", "size_bytes", "source_id", "trusted", "remake",
@@ -46,15 +46,15 @@ def feed_rows(items: DataFrame, now: datetime) -> DataFrame:
         last_path_number(F.trim("guid")).alias("source_id"),
         (F.coalesce("trusted", F.lit("No")) == "Yes").alias("trusted"),
         (F.coalesce("remake", F.lit("No")) == "Yes").alias("remake"),
-        metadata_json(name).alias("guessit_data"),
         *[_count(c).alias(c) for c in counts],
     )
     readable = F.lit(True)
     for c in counts:
         readable = readable & F.col(c).isNotNull()
-    return rows.filter(
+    kept = rows.filter(
         (F.coalesce("infohash", F.lit("")) != "") & (F.coalesce("filename", F.lit("")) != "") & readable
-    ).select(*ROW)
+    )
+    return with_metadata(kept, "filename", "guessit_data").select(*ROW)
 
 
 def failed_names(rows: DataFrame) -> DataFrame:

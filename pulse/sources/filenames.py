@@ -1,128 +1,88 @@
 """Release names to metadata, for the common ways such names are written:
 ``[Group] Title - 05 [1080p].mkv``, ``[Group] Title S02E05``, batches ``01-12``.
 
-An own definition on SQL regular expressions. Null when no pattern fits.
+An own definition on SQL regular expressions, as successive projections: each
+pattern is matched once per name, in generated code. Null when no pattern fits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulse.functions.binding import once
-
 _CONTAINER = r"\.(mkv|mp4|avi|ts|m2ts|webm)$"
 _RESOLUTION = r"(?i)\b(\d{3,4}p|\d{3,4}x\d{3,4}|4k)\b"
 _GROUP = r"^\[([^\]]+)\]"
 _SEASON_EPISODE = r"(?i)\bS(\d{1,2})\s?E(\d{1,4})\b"
 _RANGE = r"(?:-\s*|\b)(\d{1,4})\s*[-~]\s*(\d{1,4})(?:\s*$|\s*[\[(])"
 _DASH_EPISODE = r"\s-\s+(\d{1,4})(?:v\d+)?(?:\s|$|\[|\()"
-_TITLE_SEASONS = (
-    r"(?i)\sS(\d{1,2})$", r"(?i)\s(\d{1,2})(?:st|nd|rd|th) Season$", r"(?i)\sSeason (\d{1,2})$"
-)
-_TITLE_SEASON = r"(?i)\s(?:S\d{1,2}|\d{1,2}(?:st|nd|rd|th) Season|Season \d{1,2})$"
+_TITLE_SEASON = r"(?i)\s(?:S(\d{1,2})|(\d{1,2})(?:st|nd|rd|th) Season|Season (\d{1,2}))$"
 
 
 def _group(text: Column, pattern: str, index: int = 1) -> Column:
-    """A group of the first match, null without a match. (``regexp_extract``
-    gives empty text, and casting that to a number costs an exception per row.)"""
-    return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(index)), F.lit(0))
+    """A group of the first match, null without a match: no group here can be empty."""
+    return F.nullif(F.regexp_extract(text, pattern, index), F.lit(""))
 
 
 def _number(text: Column, pattern: str, index: int = 1) -> Column:
     return _group(text, pattern, index).try_cast("int")
 
 
-def _numbers(name: Column) -> Column:
-    """Name without extension and group, with the numbers found in it. A cheap
-    test comes before the patterns most names do not have."""
-    bare = F.trim(F.replace(F.regexp_replace(name, "(?i)" + _CONTAINER, ""), F.lit("_"), F.lit(" ")))
-
-    def fields(n: Column) -> Column:
-        body = n["body"]
-        has_range, has_season = n["has_range"], n["has_season"]
-        return F.struct(
-            n["bare"].alias("bare"),
-            body.alias("body"),
-            has_season.alias("has_season"),
-            F.when(has_range, _number(body, _RANGE, 1)).alias("first"),
-            F.when(has_range, _number(body, _RANGE, 2)).alias("last"),
-            F.when(has_season, _number(body, _SEASON_EPISODE, 1)).alias("season"),
-            F.when(has_season, _number(body, _SEASON_EPISODE, 2))
-            .otherwise(_number(body, _DASH_EPISODE))
-            .alias("episode"),
-        )
-
-    def tested(n: Column) -> Column:
-        return F.struct(
-            n["bare"].alias("bare"),
-            n["body"].alias("body"),
-            n["body"].rlike(_RANGE).alias("has_range"),
-            n["body"].rlike(_SEASON_EPISODE).alias("has_season"),
-        )
-
-    def without_group(text: Column) -> Column:
-        return F.struct(text.alias("bare"), F.trim(F.regexp_replace(text, _GROUP, "")).alias("body"))
-
-    return once(once(once(bare, without_group), tested), fields)
-
-
-def _head(n: Column, is_batch: Column) -> Column:
-    """What comes before the episode and the bracketed tags."""
-    body = n["body"]
-    cut = (
-        F.when(n["has_season"], F.regexp_replace(body, _SEASON_EPISODE + r".*$", ""))
-        .when(is_batch, F.regexp_replace(body, _RANGE + r".*$", ""))
-        .otherwise(F.regexp_replace(body, _DASH_EPISODE + r".*$", ""))
+def with_parsed(rows: DataFrame, filename: str, out: str = "p") -> DataFrame:
+    """Add a struct of title, season, episode(s), release_group, screen_size, container."""
+    work = [f"_{out}_{n}" for n in ("bare", "body", "first", "last", "season", "number", "batch", "head")]
+    bare, body, first, last, season, number, batch, head = work
+    name = F.regexp_replace(filename, "(?i)" + _CONTAINER, "")
+    steps = rows.withColumn(bare, F.trim(F.replace(name, F.lit("_"), F.lit(" "))))
+    steps = steps.withColumn(body, F.trim(F.regexp_replace(bare, _GROUP, "")))
+    text = F.col(body)
+    steps = steps.withColumns(
+        {
+            first: _number(text, _RANGE, 1),
+            last: _number(text, _RANGE, 2),
+            season: _number(text, _SEASON_EPISODE, 1),
+            number: F.coalesce(_number(text, _SEASON_EPISODE, 2), _number(text, _DASH_EPISODE)),
+        }
     )
-    return F.trim(F.regexp_replace(cut, r"\s*[\[(].*$|\s*-\s*$", ""))
-
-
-def parsed(filename: Column) -> Column:
-    """Struct of title, season, episode(s), release_group, screen_size, container."""
-
-    def fields(n: Column) -> Column:
-        is_batch = F.coalesce(n["last"] > n["first"], F.lit(False))
-
-        def with_head(head: Column) -> Column:
-            marked = head.rlike(_TITLE_SEASON)
-            named = F.coalesce(*[_number(head, p) for p in _TITLE_SEASONS])
-            return F.struct(
-                F.when(marked, F.trim(F.regexp_replace(head, _TITLE_SEASON, ""))).otherwise(head).alias("title"),
-                F.coalesce(n["season"], F.when(marked, named)).alias("season"),
-                F.when(~is_batch, n["episode"]).alias("episode"),
-                F.when(is_batch, F.sequence(n["first"], n["last"])).alias("episodes"),
-                _group(n["bare"], _GROUP).alias("release_group"),
-                _group(n["bare"], _RESOLUTION).alias("screen_size"),
-                F.lower(_group(filename, "(?i)" + _CONTAINER)).alias("container"),
-            )
-
-        return once(_head(n, is_batch), with_head)
-
-    return once(
-        once(_numbers(filename), fields), lambda p: F.when(F.coalesce(p["title"], F.lit("")) != "", p)
+    steps = steps.withColumn(batch, F.coalesce(F.col(last) > F.col(first), F.lit(False)))
+    before = (
+        F.when(F.col(season).isNotNull(), F.regexp_replace(text, _SEASON_EPISODE + r".*$", ""))
+        .when(F.col(batch), F.regexp_replace(text, _RANGE + r".*$", ""))
+        .otherwise(F.regexp_replace(text, _DASH_EPISODE + r".*$", ""))
+    )
+    steps = steps.withColumn(head, F.trim(F.regexp_replace(before, r"\s*[\[(].*$|\s*-\s*$", "")))
+    named = F.coalesce(*[_number(F.col(head), _TITLE_SEASON, i) for i in (1, 2, 3)])
+    parts = F.struct(
+        F.trim(F.regexp_replace(head, _TITLE_SEASON, "")).alias("title"),
+        F.coalesce(F.col(season), named).alias("season"),
+        F.when(~F.col(batch), F.col(number)).alias("episode"),
+        F.when(F.col(batch), F.sequence(first, last)).alias("episodes"),
+        _group(F.col(bare), _GROUP).alias("release_group"),
+        _group(F.col(bare), _RESOLUTION).alias("screen_size"),
+        F.lower(_group(F.col(filename), "(?i)" + _CONTAINER)).alias("container"),
     )
+    parsed = steps.withColumn(out, parts).drop(*work)
+    return parsed.withColumn(out, F.when(F.coalesce(F.col(f"{out}.title"), F.lit("")) != "", F.col(out)))
 
 
 _TAGS = ("release_group", "screen_size", "container")
 
 
-def metadata_json(filename: Column) -> Column:
-    """The parsed name as JSON; a batch writes ``episode`` as a list."""
+def with_metadata(rows: DataFrame, filename: str, out: str) -> DataFrame:
+    """Add the parsed name as JSON; a batch writes ``episode`` as a list."""
+    parsed = with_parsed(rows, filename, "_p")
 
-    def record(p: Column, episode: str) -> Column:
+    def record(episode: str) -> Column:
         return F.to_json(
             F.struct(
-                p["title"].alias("title"),
-                p["season"].alias("season"),
-                p[episode].alias("episode"),
-                *[p[t].alias(t) for t in _TAGS],
+                F.col("_p.title").alias("title"),
+                F.col("_p.season").alias("season"),
+                F.col(f"_p.{episode}").alias("episode"),
+                *[F.col(f"_p.{t}").alias(t) for t in _TAGS],
             )
         )
 
-    return once(
-        parsed(filename),
-        lambda p: F.when(p["episodes"].isNotNull(), record(p, "episodes")).when(
-            p["title"].isNotNull(), record(p, "episode")
-        ),
+    json = F.when(F.col("_p.episodes").isNotNull(), record("episodes")).when(
+        F.col("_p.title").isNotNull(), record("episode")
     )
+    return parsed.withColumn(out, json).drop("_p")

@@ -9,11 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulse.functions.binding import once
 from pulse.functions.numbers import listing_size
 from pulse.functions.text import magnet_infohash, unescape_html, view_id
 from pulse.sources.feed import ROW
-from pulse.sources.filenames import metadata_json
+from pulse.sources.filenames import with_metadata
 
 _TABLE = (
     r"(?s)<table\b[^>]*\bclass\s*=\s*[\"'][^\"']*\btorrent-list\b[^\"']*[\"'][^>]*>"
@@ -25,12 +24,9 @@ _LINK = r"(?s)(<a\b[^>]*>.*?</a>)"
 
 
 def attribute(tag: Column, name: str) -> Column:
-    """An attribute of the tag the text starts with; null when absent."""
+    """An attribute of the tag the text starts with; null when absent or empty."""
     pattern = rf"""(?s)^\s*<[^>]*?\s{name}\s*=\s*(["'])(.*?)\1"""
-    return once(
-        F.get(F.regexp_extract_all(tag, F.lit(pattern), F.lit(2)), F.lit(0)),
-        lambda value: F.when(F.contains(value, F.lit("&")), unescape_html(value)).otherwise(value),
-    )
+    return unescape_html(F.nullif(F.regexp_extract(tag, pattern, 2), F.lit("")))
 
 
 def inner_text(html: Column) -> Column:
@@ -49,11 +45,8 @@ def view_links(html: Column) -> Column:
     """Links to an item page, comment links left out."""
 
     def leads_to_item(link: Column) -> Column:
-        return once(
-            attribute(link, "href"),
-            lambda href: F.coalesce(href.rlike(r"/view/\d+"), F.lit(False))
-            & ~F.contains(href, F.lit("#comments")),
-        ) & ~_has_class(link, "comments")
+        item = attribute(link, "href").rlike(r"(?s)^(?!.*#comments).*/view/\d+")
+        return F.coalesce(item, F.lit(False)) & ~_has_class(link, "comments")
 
     return F.filter(links(html), leads_to_item)
 
@@ -90,9 +83,9 @@ def listing_rows(pages: DataFrame, html: str = "html") -> DataFrame:
         view_id(attribute(F.col("_view"), "href")).alias("source_id"),
         _has_class(F.col("_row"), "success").alias("trusted"),
         _has_class(F.col("_row"), "danger").alias("remake"),
-        metadata_json(F.col("filename")).alias("guessit_data"),
         "seeders", "leechers", "downloads",
     )
-    return out.dropna(
+    kept = out.dropna(
         subset=["infohash", "source_id", "pubdate", "size_bytes", "seeders", "leechers", "downloads"]
-    ).select(*ROW)
+    )
+    return with_metadata(kept, "filename", "guessit_data").select(*ROW)

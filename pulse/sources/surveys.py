@@ -15,7 +15,8 @@ PERCENTAGES = ("very_good_pct", "good_pct", "normal_pct", "bad_pct", "very_bad_p
 
 
 def read_surveys(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path)
+    """Exports with a header line. A record is one line, so that a large file is many tasks."""
+    raw = spark.read.option("header", "true").option("escape", '"').csv(path)
     return survey_rows(raw)
 
 

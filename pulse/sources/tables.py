@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulse.functions.times import utc
-from pulse.operators.hotkeys import lookup_join
 from pulse.schema import STATS, TORRENTS
 
 
@@ -43,6 +42,4 @@ def stats_of(stats: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     rows = stats.withColumn("timestamp", utc("timestamp"))
     if keys is None:
         return rows
-    return lookup_join(
-        rows, keys.select("infohash").distinct(), ["infohash"], ["timestamp"], "left_semi"
-    )
+    return rows.join(keys.select("infohash").distinct(), "infohash", "left_semi")

@@ -1,27 +1,36 @@
 """The collection's incremental behaviour as Structured Streaming jobs.
 
-Each job runs the batch operators on a micro-batch and the stored rows of the
-keys it touches, so results equal a full recompute, hot keys are split as in
-batch, and nothing late is lost. State is tables, not executor memory.
+Each job handles a micro-batch and the stored rows of the keys it touches, so results equal a
+full recompute whatever the order of arrival. State is tables, not executor memory: what a
+batch reads is bounded by the keys and days it touches, and by one row per key (or per key and
+day) since the last compaction.
 """
 
 from __future__ import annotations
 
-from datetime import timedelta
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pulse.functions.times import utc
-from pulse.operators.hotkeys import lag_over, lookup_join, plan_split
-from pulse.operators.schedule import DEAD_AFTER, dead_keys
-from pulse.operators.store import insert_if_absent, last_per_key, latest_per_key
-from pulse.schema import STATS
-from pulse.session import cut, literal_rows
-from pulse.streaming.tables import is_full, log_start, read_batches, write_batch
+from pulse.operators.schedule import DEAD_AFTER
+from pulse.operators.store import first_per_key, last_per_key, latest_per_key, skip_existing
+from pulse.session import cut
+from pulse.streaming.tables import (
+    append_days,
+    read_batches,
+    read_days,
+    read_log,
+    write_batch,
+    write_log,
+)
 
 _READING = "infohash string, timestamp timestamp, downloads bigint"
+_END = "struct<timestamp: timestamp, downloads: bigint>"
+_EDGES = f"infohash string, day date, first {_END}, last {_END}"
+_COUNTERS = "struct<timestamp: timestamp, seeders: int, leechers: int, downloads: bigint>"
+_RECENT = f"infohash string, recent array<{_COUNTERS}>"
+_DELTAS = "infohash string, timestamp timestamp, downloads_delta bigint"
 
 
 def _start(stream: DataFrame, checkpoint: str, step) -> StreamingQuery:
@@ -36,114 +45,132 @@ def _start(stream: DataFrame, checkpoint: str, step) -> StreamingQuery:
 def first_rows(
     stream: DataFrame, target: str, checkpoint: str, schema: str, key: list[str], order: list[Column]
 ) -> StreamingQuery:
-    """Append the first row seen of each key."""
+    """Append the first row seen of each key. Known keys are a log of their own, so the rows
+    written before are not read again."""
+    types = dict(f.strip().split(" ", 1) for f in schema.split(","))
+    key_schema = ", ".join(f"{k} {types[k]}" for k in key)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        stored = read_batches(batch.sparkSession, target, schema, 0, batch_id - 1)
-        write_batch(insert_if_absent(stored, batch, key, order), target, batch_id)
+        known = read_log(batch.sparkSession, f"{target}_keys", key_schema, key, batch_id)
+        new = cut(skip_existing(first_per_key(batch, key, order), known, key))
+        write_batch(new, target, batch_id)
+        write_log(new.select(*key), f"{target}_keys", key_schema, key, batch_id)
 
     return _start(stream, checkpoint, step)
 
 
-def _last_known(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
-    log = read_batches(spark, f"{root}/last", _READING, log_start(batch_id), batch_id - 1)
-    return last_per_key(log.drop("batch"), ["infohash"], [F.col("timestamp")])
-
+def _delta_step(spark: SparkSession, root: str, batch: DataFrame, batch_id: int) -> None:
+    """The deltas that the batch's readings have and those that they change.
 
-def _delta_step(spark: SparkSession, root: str, batch: DataFrame, batch_id: int, delay: timedelta | None) -> None:
-    """One step: readings up to the newest time minus ``delay`` are final and
-    become deltas; newer ones are held for readings still on their way. With no
-    delay given, everything is final."""
-    columns = ["infohash", "timestamp", "downloads"]
-    held = read_batches(spark, f"{root}/held", _READING, batch_id - 1, batch_id - 1)
+    Readings are stored by day, and a log keeps the first and last of each key and day. A batch
+    reads the days of its keys that it adds to, and the log of its keys. A delta changes
+    when the reading or the one before it is new; that one may be on an earlier day, and the
+    reading after a day's last may be on a later one.
+    """
     arrived = batch.select("infohash", utc("timestamp").alias("timestamp"), F.col("downloads").cast("bigint"))
-    pool = cut(
-        last_per_key(
-            arrived.unionByName(held.select(*columns)), ["infohash", "timestamp"], [F.col("downloads")]
-        )
+    arrived = cut(
+        last_per_key(arrived, ["infohash", "timestamp"], [F.col("downloads")]).withColumn("day", F.to_date("timestamp"))
     )
-    known = _last_known(spark, root, batch_id)
-    seen = known.select("infohash", F.col("timestamp").alias("_seen"))
-    placed = lookup_join(pool, seen, ["infohash"], ["timestamp"])
-    if delay is None:
-        final = F.lit(True)
-    else:
-        newest = pool.agg(F.max("timestamp")).first()[0]
-        final = F.lit(True) if newest is None else F.col("timestamp") <= F.lit(newest - delay)
-    late = F.col("_seen").isNotNull() & (F.col("timestamp") <= F.col("_seen"))
-
-    write_batch(placed.filter(late).select(*columns), f"{root}/late", batch_id)
-    write_batch(placed.filter(~late & ~final).select(*columns), f"{root}/held", batch_id)
-
-    ready = placed.filter(~late & final).select(*columns, F.lit(True).alias("_new"))
-    before = known.join(ready.select("infohash").distinct(), "infohash", "left_semi")
-    series = before.select(*columns, F.lit(False).alias("_new")).unionByName(ready)
-    split = plan_split(series, ["infohash"], [F.col("timestamp")])
-    lagged = lag_over(series, ["infohash"], [F.col("timestamp")], "downloads", "_previous", split)
-    grown = F.col("downloads") - F.col("_previous")
-    deltas = lagged.filter("_new").select(
-        "infohash", "timestamp", F.when(grown > 0, grown).otherwise(0).alias("downloads_delta")
+    place = ["infohash", "day"]
+    touched = arrived.select(*place).distinct()
+    log = read_log(spark, f"{root}/edges", _EDGES, place, batch_id)
+    edges = cut(log.join(arrived.select("infohash").distinct(), "infohash", "left_semi"))
+    # Days in which one of these keys has readings already: dates, a few for each batch.
+    days = [r["day"] for r in edges.join(touched, place, "left_semi").select("day").distinct().collect()]
+    stored = read_days(spark, f"{root}/readings", _READING, days, batch_id).drop("batch")
+    stored = last_per_key(stored.join(touched, place, "left_semi"), ["infohash", "timestamp"], [F.col("downloads")])
+    again = stored.join(arrived, ["infohash", "timestamp"], "left_anti")
+    rows = cut(
+        arrived.withColumn("new", F.lit(True)).unionByName(again.withColumn("new", F.lit(False)))
     )
-    write_batch(deltas, f"{root}/deltas", batch_id)
-
-    newest_rows = last_per_key(series.select(*columns), ["infohash"], [F.col("timestamp")])
-    if is_full(batch_id):
-        newest_rows = last_per_key(
-            newest_rows.unionByName(known.select(*columns)), ["infohash"], [F.col("timestamp")]
-        )
-    write_batch(newest_rows, f"{root}/last", batch_id)
+    reading = F.struct("timestamp", "downloads", "new")
+    ends = rows.groupBy(*place).agg(F.min(reading).alias("first"), F.max(reading).alias("last"))
+    old = lambda c: F.struct(f"{c}.timestamp", f"{c}.downloads", F.lit(False).alias("new")).alias(c)
+    others = edges.join(touched, place, "left_anti").select(*place, old("first"), old("last"), F.lit(False).alias("here"))
+    by_day = Window.partitionBy("infohash").orderBy("day")
+    around = cut(
+        ends.withColumn("here", F.lit(True)).unionByName(others)
+        .withColumn("before", F.lag("last").over(by_day))
+        .withColumn("after", F.lead(F.struct("first", "here")).over(by_day))
+        .filter("here")
+    )
+    within = Window.partitionBy(*place).orderBy("timestamp")
+    previous = F.coalesce(F.lag(reading).over(within), F.col("before"))
+    delta = lambda now, then: F.when(now > then, now - then).otherwise(0).alias("downloads_delta")
+    inside = (
+        rows.join(around.select(*place, "before"), place)
+        .withColumn("previous", previous)
+        .filter(F.col("new") | F.coalesce("previous.new", F.lit(False)))
+        .select("infohash", "timestamp", delta(F.col("downloads"), F.col("previous.downloads")))
+    )
+    later = around.filter("last.new AND after IS NOT NULL AND NOT after.here").select(
+        "infohash", F.col("after.first.timestamp").alias("timestamp"),
+        delta(F.col("after.first.downloads"), F.col("last.downloads")),
+    )
+    write_batch(inside.unionByName(later), f"{root}/deltas", batch_id)
+    append_days(arrived, f"{root}/readings", batch_id)
+    end = lambda c: F.struct(f"{c}.timestamp", f"{c}.downloads").alias(c)
+    write_log(around.select(*place, end("first"), end("last")), f"{root}/edges", _EDGES, place, batch_id)
 
 
-def incremental_deltas(
-    stream: DataFrame, root: str, checkpoint: str, delay: timedelta = timedelta(0)
-) -> StreamingQuery:
-    """Counter deltas under ``root/deltas``; readings older than what was already
-    counted for their key go to ``root/late``."""
+def incremental_deltas(stream: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """Counter deltas under ``root/deltas``, per batch the new ones and those that a late reading has
+    changed; the newest row of (infohash, timestamp) counts."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        _delta_step(batch.sparkSession, root, batch, batch_id, delay)
+        _delta_step(batch.sparkSession, root, batch, batch_id)
 
     return _start(stream, checkpoint, step)
 
 
-def release_held(spark: SparkSession, root: str, batch_id: int) -> None:
-    """Count what is still held, once the stream has ended. ``batch_id`` is the
-    number after the stream's last batch."""
-    _delta_step(spark, root, literal_rows(spark, [], _READING), batch_id, None)
+def emitted_deltas(spark: SparkSession, root: str, last: int) -> DataFrame:
+    """What the stream has emitted up to the batch ``last``, one row per reading."""
+    rows = read_batches(spark, f"{root}/deltas", _DELTAS, 0, last)
+    return last_per_key(rows, ["infohash", "timestamp"], [F.col("batch")]).drop("batch")
 
 
 def dead_detection(stream: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Keys whose three newest readings are all zero, per batch under
-    ``root/dead``. State is each touched key's three newest readings."""
+    """Per batch under ``root/dead``, of each touched key whether its three newest readings exist and are
+    all zero. State is those readings, in the order newest first."""
+    columns = ["timestamp", "seeders", "leechers", "downloads"]
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        log = read_batches(spark, f"{root}/recent", STATS, log_start(batch_id), batch_id - 1).drop("batch")
-        arrived = batch.select(*log.columns).withColumn("timestamp", utc("timestamp"))
+        arrived = batch.select("infohash", *columns).withColumn("timestamp", utc("timestamp"))
         touched = arrived.select("infohash").distinct()
-        rows = log if is_full(batch_id) else log.join(touched, "infohash", "left_semi")
-        pool = cut(
-            last_per_key(arrived.unionByName(rows), ["infohash", "timestamp"], [F.col("downloads")])
-        )
-        recent = latest_per_key(pool, ["infohash"], [F.col("timestamp")], DEAD_AFTER).drop("recency")
-        write_batch(recent.select(*log.columns), f"{root}/recent", batch_id)
-        dead = dead_keys(recent).join(touched, "infohash", "left_semi")
-        write_batch(dead, f"{root}/dead", batch_id)
+        log = read_log(batch.sparkSession, f"{root}/recent", _RECENT, ["infohash"], batch_id)
+        before = log.join(touched, "infohash", "left_semi").select("infohash", F.inline("recent"))
+        pool = last_per_key(arrived.unionByName(before), ["infohash", "timestamp"], [F.col("downloads")])
+        newest = latest_per_key(pool, ["infohash"], [F.col("timestamp")], DEAD_AFTER)
+        ordered = F.reverse(F.array_sort(F.collect_list(F.struct(*columns)))).cast(f"array<{_COUNTERS}>")
+        recent = cut(newest.groupBy("infohash").agg(ordered.alias("recent")))
+        still = F.forall("recent", lambda r: (r["seeders"] == 0) & (r["leechers"] == 0) & (r["downloads"] == 0))
+        is_dead = (F.size("recent") == DEAD_AFTER) & still
+        write_batch(recent.select("infohash", is_dead.alias("is_dead")), f"{root}/dead", batch_id)
+        write_log(recent, f"{root}/recent", _RECENT, ["infohash"], batch_id)
 
     return _start(stream, checkpoint, step)
 
 
-def weekly_windows(deltas: DataFrame, lateness: str | None = None) -> DataFrame:
+def recent_readings(spark: SparkSession, root: str, last: int) -> DataFrame:
+    """The readings kept by the dead detection after the batch ``last``."""
+    return read_log(spark, f"{root}/recent", _RECENT, ["infohash"], last + 1).select("infohash", F.inline("recent"))
+
+
+def dead_now(spark: SparkSession, root: str, last: int) -> DataFrame:
+    """Keys that their newest batch, up to ``last``, found dead."""
+    rows = read_batches(spark, f"{root}/dead", "infohash string, is_dead boolean", 0, last)
+    return last_per_key(rows, ["infohash"], [F.col("batch")]).filter("is_dead").select("infohash")
+
+
+def weekly_windows(deltas: DataFrame) -> DataFrame:
     """Streaming totals per show and Sunday-to-Saturday week at UTC-5: 7-day
     windows whose starts are shifted to Sunday 05:00 UTC.
 
-    State is one sum per show and week. Without ``lateness`` no reading is ever
-    too late; with it, finished weeks are closed and can be appended.
+    State is one sum per show and week, and no reading is ever too late.
     """
-    timed = deltas if lateness is None else deltas.withWatermark("timestamp", lateness)
     window = F.window("timestamp", "7 days", "7 days", "77 hours")
     return (
-        timed.groupBy(window.alias("w"), "anilist_id")
+        deltas.groupBy(window.alias("w"), "anilist_id")
         .agg(F.sum("downloads_delta").alias("downloads"))
         .select(
             F.date_format(F.col("w.start") - F.expr("INTERVAL 5 HOURS"), "yyyy-MM-dd").alias("week"),
@@ -153,11 +180,14 @@ def weekly_windows(deltas: DataFrame, lateness: str | None = None) -> DataFrame:
     )
 
 
+_TOTALS = "week string, anilist_id bigint, downloads bigint"
+
+
 def weekly_totals_stream(deltas: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Changed totals per batch under ``root``; the newest row of a key counts."""
+    """A log of totals under ``root``: changed ones per batch, now and then all."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, root, batch_id)
+        write_log(cut(batch), root, _TOTALS, ["week", "anilist_id"], batch_id)
 
     return (
         weekly_windows(deltas)
@@ -169,8 +199,5 @@ def weekly_totals_stream(deltas: DataFrame, root: str, checkpoint: str) -> Strea
     )
 
 
-def current_totals(spark: SparkSession, root: str, batches: int) -> DataFrame:
-    schema = "week string, anilist_id bigint, downloads bigint"
-    rows = read_batches(spark, root, schema, 0, batches)
-    return last_per_key(rows, ["week", "anilist_id"], [F.col("batch")]).drop("batch")
-
+def current_totals(spark: SparkSession, root: str, last: int) -> DataFrame:
+    return read_log(spark, root, _TOTALS, ["week", "anilist_id"], last + 1)

@@ -2,13 +2,19 @@
 
 Each batch owns the folder ``batch=<id>`` of every table it writes and replaces
 it when it is run again, so a batch repeated after a failure changes nothing.
+
+A log holds the newest row of each key: a batch writes the rows it has changed, and
+every COMPACT_EVERY-th batch all of them, so a reader opens at most that many folders.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulse.operators.store import last_per_key
 from pulse.session import literal_rows
 
 COMPACT_EVERY = 20
@@ -18,21 +24,15 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.exists(where)
-
-
 def read_batches(
     spark: SparkSession, path: str, schema: str, first: int, last: int
 ) -> DataFrame:
-    """Rows of the batches ``first`` .. ``last``; empty when nothing is stored."""
+    """Rows of the batches ``first`` .. ``last``, which have all been written."""
     full = f"{schema}, batch bigint"
-    if last < first or not _exists(spark, path):
+    if last < first:
         return literal_rows(spark, [], full)
-    return spark.read.schema(full).parquet(path).filter(F.col("batch").between(first, last))
+    folders = [f"{path}/batch={i}" for i in range(first, last + 1)]
+    return spark.read.schema(full).option("basePath", path).parquet(*folders)
 
 
 def log_start(batch_id: int) -> int:
@@ -40,5 +40,36 @@ def log_start(batch_id: int) -> int:
     return max((batch_id - 1) // COMPACT_EVERY * COMPACT_EVERY, 0)
 
 
-def is_full(batch_id: int) -> bool:
-    return batch_id % COMPACT_EVERY == 0
+def read_log(spark: SparkSession, path: str, schema: str, key: Sequence[str], batch_id: int) -> DataFrame:
+    """The newest row of each key before ``batch_id``."""
+    rows = read_batches(spark, path, schema, log_start(batch_id), batch_id - 1)
+    return last_per_key(rows, key, [F.col("batch")]).drop("batch")
+
+
+def write_log(df: DataFrame, path: str, schema: str, key: Sequence[str], batch_id: int) -> None:
+    """Write the changed rows, or, when it is time to compact, the newest rows of all keys."""
+    if batch_id % COMPACT_EVERY == 0:
+        old = read_log(df.sparkSession, path, schema, key, batch_id)
+        df = df.unionByName(old.join(df.select(*key), list(key), "left_anti"))
+    write_batch(df, path, batch_id)
+
+
+def append_days(df: DataFrame, path: str, batch_id: int) -> None:
+    """Add the rows of a batch to the folders of their ``day``."""
+    (
+        df.withColumn("batch", F.lit(batch_id).cast("bigint"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day", "batch")
+        .parquet(path)
+    )
+
+
+def read_days(spark: SparkSession, path: str, schema: str, days: Sequence, batch_id: int) -> DataFrame:
+    """Rows of the listed days, which have been written, from before ``batch_id``."""
+    full = f"{schema}, day date, batch bigint"
+    if not days:
+        return literal_rows(spark, [], full)
+    folders = [f"{path}/day={day}" for day in days]
+    rows = spark.read.schema(full).option("basePath", path).parquet(*folders)
+    return rows.filter(F.col("batch") < batch_id)

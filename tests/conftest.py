@@ -19,14 +19,3 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
-
-
-@pytest.fixture
-def split_everything(spark):
-    """Make every group of more than 40 rows count as hot."""
-    keys = {"spark.pulse.split.minInputBytes": "0", "spark.pulse.split.rowsPerChunk": "40"}
-    for key, value in keys.items():
-        spark.conf.set(key, value)
-    yield
-    for key in keys:
-        spark.conf.unset(key)

@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from pulse.operators import schedule, store
@@ -84,7 +85,7 @@ def test_dead_needs_three_zero_readings(spark):
     assert [r["timestamp"].hour for r in latest.orderBy("recency").collect()] == [16, 15, 14]
 
 
-def test_batches(spark, split_everything):
+def test_batches(spark):
     due = spark.createDataFrame([(f"{i:04d}", NOW - timedelta(minutes=i % 7)) for i in range(95)], "infohash string, last_scrape timestamp")
     got = schedule.batches(due, 40)
     assert sorted(r["count"] for r in got.groupBy("batch").count().collect()) == [15, 40, 40]
@@ -107,16 +108,46 @@ def test_first_and_last_win(spark):
 
 
 def test_upsert_rewrites_touched_partitions(spark, tmp_path):
-    schema = "k int, v string, at int, month string"
+    schema = "k int, v string, at int"
     path = str(tmp_path / "t")
-    old = [(1, "a", 0, "m1"), (2, "b", 0, "m1"), (3, "c", 0, "m2")]
-    spark.createDataFrame(old, schema).coalesce(1).write.partitionBy("month").parquet(path)
-    untouched = sorted((tmp_path / "t" / "month=m2").glob("part-*"))
-    rows = spark.createDataFrame([(2, "x", 1, "m1"), (2, "y", 2, "m1"), (4, "z", 1, "m3")], schema)
-    store.upsert_partitions(path, rows, ["k"], [F.col("at")], "month")
-    found = sorted((r["k"], r["v"], r["month"]) for r in spark.read.parquet(path).collect())
-    assert found == [(1, "a", "m1"), (2, "y", "m1"), (3, "c", "m2"), (4, "z", "m3")]
-    assert sorted((tmp_path / "t" / "month=m2").glob("part-*")) == untouched
+    place = F.col("k") % 3
+    old = spark.createDataFrame([(1, "a", 0), (4, "b", 0), (3, "c", 0)], schema)
+    store.with_partition(old, ["k"], place, "part").coalesce(1).write.partitionBy("part").parquet(path)
+    untouched = sorted((tmp_path / "t" / "part=0").glob("part-*"))
+    rows = spark.createDataFrame([(4, "x", 1), (4, "y", 2), (5, "z", 1)], schema)
+    store.upsert_partitions(path, rows, ["k"], [F.col("at")], place, "part")
+    found = sorted((r["k"], r["v"], r["part"]) for r in spark.read.parquet(path).collect())
+    assert found == [(1, "a", 1), (3, "c", 0), (4, "y", 1), (5, "z", 2)]
+    assert sorted((tmp_path / "t" / "part=0").glob("part-*")) == untouched
+    with pytest.raises(AnalysisException):
+        store.upsert_partitions(path, rows, ["k"], [F.col("at")], F.col("at") % 3, "part")
+
+
+def test_stored_run_touches_only_its_partitions(spark, tmp_path):
+    """A run on stored tables gives what the whole-table run gives."""
+    root = str(tmp_path)
+    torrents = spark.createDataFrame([torrent(k) for k in ("aa", "bb", "cc")], TORRENTS)
+    stats = counters(spark, *[(k, -h, 0, 0, 0) for k in ("aa", "bb") for h in (30, 40)], ("cc", -30, 1, 1, 1))
+    collector.create(root, torrents, stats)
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "stats").rglob("part-*.parquet")}
+    scraped = counters(spark, ("aa", 0, 0, 0, 0), ("bb", 0, 3, 1, 9))
+    collector.store_readings(root, scraped)
+    marked, stored = schedule.collect(torrents, stats, scraped)
+    status = lambda df: sorted((r["infohash"], r["status"]) for r in df.collect())
+    assert status(collector.stored_torrents(spark, root)) == status(marked)
+    rows = lambda df: sorted(tuple(r) for r in df.select("infohash", "timestamp", "downloads").collect())
+    assert rows(collector.stored_stats(spark, root)) == rows(stored)
+    kept = [p for p in before if p.exists() and p.stat().st_mtime_ns == before[p]]
+    assert kept and all("day=2" in str(p) for p in kept)
+    new = spark.createDataFrame(
+        [("aa", "x", NOW, 1, 1, False, False, None, 5, 5, 5), ("dd", "new", NOW, 1, 1, True, False, "{}", 7, 8, 9)],
+        "infohash string, filename string, pubdate timestamp, size_bytes bigint, source_id bigint, trusted boolean, remake boolean, "
+        "guessit_data string, seeders bigint, leechers bigint, downloads bigint",
+    )
+    collector.store_feed(root, new)
+    assert status(collector.stored_torrents(spark, root)) == [("aa", "guessit_failed"), ("bb", "active"), ("cc", "active"), ("dd", "active")]
+    # A first reading never replaces one that is stored.
+    assert rows(collector.stored_stats(spark, root)) == sorted([*rows(stored), ("dd", NOW.replace(tzinfo=None), 9)])
 
 
 def test_collection_run(spark):

@@ -1,16 +1,18 @@
 """The whole recompute on a handful of torrents, with results worked by hand."""
 
 import json
+import re
 from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pulse import rules
 from pulse.operators import season as season_ops
 from pulse.operators.reception import rank_deltas, survey_rollup, survey_series
-from pulse.operators.series import counter_deltas, deltas_of, episode_series, with_first_release
+from pulse.operators.series import counter_deltas, episode_dims, episode_series
 from pulse.plans import etl, reports
 from pulse.schema import RATINGS, STATS, SURVEYS, TORRENTS
 
@@ -128,10 +130,11 @@ def test_other_reports(out):
     assert matches[0]["torrent_count"] == 1 and matches[0]["torrents"][0]["match"]["score"] == 100.0
 
 
-def test_series_splits_like_plain(spark, inputs, split_everything):
-    spark.conf.set("spark.pulse.split.rowsPerChunk", "1")
-    torrents = inputs.torrents.filter("infohash like 'a_'").selectExpr("infohash", "pubdate", "cast(1 as bigint) anilist_id", "cast(1 as bigint) episode")
-    got = episode_series(inputs.stats, torrents)
+def test_series_of_one_episode(spark, inputs):
+    torrents = inputs.torrents.filter("infohash like 'a_'").selectExpr(
+        "infohash", "pubdate", "filename", "cast(1 as bigint) anilist_id", "cast(1 as bigint) episode"
+    )
+    got = episode_series(counter_deltas(inputs.stats, episode_dims(torrents)))
     assert got.agg(F.sum("downloads_daily")).first()[0] == 50 + 100 + 50 + 60 + 20 + 994
 
 
@@ -140,25 +143,32 @@ def test_deltas(spark, inputs):
     assert [r["downloads_delta"] for r in rows] == [0, 50, 100, 0, 50]
 
 
-def test_plan_shuffles_readings_once(spark, inputs):
-    torrents = with_first_release(inputs.torrents.selectExpr("infohash", "pubdate", "size_bytes anilist_id", "source_id episode"))
-    plan = deltas_of(inputs.stats, torrents.hint("merge"))._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-
-
-def test_document_checks_size(spark, tmp_path):
-    df = spark.range(5).withColumnRenamed("id", "n")
-    reports.write_document(df, str(tmp_path / "d"), "rows", ["n"])
-    text = next(Path(tmp_path, "d").glob("part-*")).read_text()
-    assert json.loads(text)["rows"][4] == {"n": 4}
-    with pytest.raises(ValueError, match="write_json"):
-        reports.write_document(df, str(tmp_path / "e"), "rows", ["n"], max_rows=4)
-
-
-def test_long_groups_continue_in_parts(spark):
+def test_readings_are_read_and_shuffled_once(spark, tmp_path):
+    """Of a stored table in which one key has a third of the rows, with and without torrents."""
+    rows = [("hot" if i % 3 == 0 else f"k{i % 50}", START + timedelta(hours=i), i) for i in range(900)]
+    folder = str(tmp_path / "stats")
+    spark.createDataFrame(rows, "infohash string, timestamp timestamp, downloads bigint").write.parquet(folder)
+    torrents = spark.createDataFrame([("hot", 1), ("k1", 2)], "infohash string, anilist_id bigint").hint("merge")
+    for dims in (None, torrents):
+        deltas = counter_deltas(spark.read.parquet(folder), dims)
+        deltas.write.format("noop").mode("overwrite").save()
+        plan = deltas._jdf.queryExecution().executedPlan()
+        deltas.collect()  # the plan that ran
+        executed = plan.toString().split("== Initial Plan ==")[0]
+        scans = [line for line in executed.splitlines() if "Scan parquet" in line]
+        by_day = [line for line in executed.splitlines() if re.search(r"Exchange hashpartitioning\(infohash#\d+, _day#", line) and "Reused" not in line]
+        assert len(scans) == 1 and len(by_day) == 1, executed
+    window = Window.partitionBy("infohash").orderBy("timestamp")
+    plain = spark.read.parquet(folder).withColumn("d", F.col("downloads") - F.lag("downloads").over(window))
+    expected = {(r["infohash"], r["timestamp"]): max(r["d"] or 0, 0) for r in plain.collect()}
+    got = counter_deltas(spark.read.parquet(folder)).collect()
+    assert {(r["infohash"], r["timestamp"]): r["downloads_delta"] for r in got} == expected
+
+
+def test_groups_are_one_object(spark):
     rows = spark.range(1, 26).selectExpr("id AS n", "id * 2 AS v", "'g' AS g")
-    parts = reports.nested(rows, ["g"], "n", ["v"], "items", part_rows=10).orderBy("part").collect()
-    assert [[i["v"] for i in p["items"]] for p in parts] == [list(range(2, 21, 2)), list(range(22, 41, 2)), list(range(42, 51, 2))]
+    found = reports.nested(rows, ["g"], "n", ["v"], "items").collect()
+    assert [[i["v"] for i in p["items"]] for p in found] == [list(range(2, 51, 2))]
 
 
 def test_season_with_too_few_points_has_no_trend(spark):

@@ -53,10 +53,7 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_cascade(spark, shows, request, split):
-    if split:
-        request.getfixturevalue("split_everything")
+def test_cascade(spark, shows):
     got = resolve(spark, shows, [case for case, _ in CASES])
     assert got == [expected for _, expected in CASES]
 

@@ -63,10 +63,7 @@ def words(seed, count):
 
 
 @pytest.mark.parametrize("threshold", [95, 85, 75, 60, 30])
-@pytest.mark.parametrize("split", [False, True])
-def test_similar_pairs_is_exact(spark, request, threshold, split):
-    if split:
-        request.getfixturevalue("split_everything")
+def test_similar_pairs_is_exact(spark, threshold):
     left, right = words(1, 70), words(2, 60)
     expected = {
         (a, b, s) for a in left for b in right if (s := round(200.0 * lcs(a, b) / (len(a) + len(b)))) >= threshold

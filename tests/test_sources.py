@@ -88,13 +88,13 @@ def test_survey_csv(spark, tmp_path):
     ],
 )
 def test_names(spark, name, title, season, episode, group, size, container):
-    p = spark.range(1).select(filenames.parsed(F.lit(name)).alias("p")).first()["p"]
+    p = filenames.with_parsed(spark.range(1).select(F.lit(name).alias("n")), "n").first()["p"]
     got = (p["title"], p["season"], p["episode"], p["release_group"], p["screen_size"], p["container"])
     assert got == (title, season, episode, group, size, container)
 
 
 def test_batch_and_unreadable_names(spark):
-    json = lambda n: spark.range(1).select(filenames.metadata_json(F.lit(n)).alias("j")).first()["j"]
+    json = lambda n: filenames.with_metadata(spark.range(1).select(F.lit(n).alias("n")), "n", "j").first()["j"]
     assert '"episode":[1,2,3]' in json("[G] Show 01-03 [Batch].mkv")
     assert json("[1080p]") is None
 

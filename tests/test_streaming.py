@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pulse.operators.series import counter_deltas
 from pulse.schema import STATS
-from pulse.streaming import jobs
+from pulse.streaming import jobs, tables
 from pulse.streaming.tables import read_batches
 
 START = datetime(2025, 10, 1)
@@ -30,29 +30,56 @@ def finish(query):
 
 @pytest.mark.parametrize("shuffled", [False, True])
 def test_deltas(spark, tmp_path, shuffled):
+    """In order, and in any order: late readings correct the delta after them, also on a later day."""
     pick = random.Random(3)
-    rows = [(f"k{i % 5}", START + timedelta(minutes=i), pick.randrange(100)) for i in range(200)]
-    if shuffled:  # within the delay
-        rows = [r for _, r in sorted((i + pick.randrange(25), r) for i, r in enumerate(rows))]
+    rows = [(f"k{i % 5}", START + timedelta(minutes=37 * i), pick.randrange(100)) for i in range(200)]
+    if shuffled:
+        pick.shuffle(rows)
     batches = [rows[i: i + 40] for i in range(0, 200, 40)]
     root = str(tmp_path)
     stream = source(spark, f"{root}/in", READING, *batches)
-    last = finish(jobs.incremental_deltas(stream, root, f"{root}/state", timedelta(minutes=60 if shuffled else 0)))
-    jobs.release_held(spark, root, last + 1)
-    got = read_batches(spark, f"{root}/deltas", DELTA, 0, last + 1).drop("batch")
+    last = finish(jobs.incremental_deltas(stream, root, f"{root}/state"))
+    assert last == 4
+    log = read_batches(spark, f"{root}/deltas", DELTA, 0, last)
+    assert all(r["count"] for r in log.groupBy("batch").count().collect()) and log.select("batch").distinct().count() == 5
     expected = counter_deltas(spark.createDataFrame(rows, READING))
+    got = jobs.emitted_deltas(spark, root, last)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
-    assert read_batches(spark, f"{root}/late", READING, 0, last + 1).count() == 0
+    # In order nothing is emitted twice.
+    assert (log.count() > 200) == shuffled
 
 
-def test_late_readings_are_kept_apart(spark, tmp_path):
+def test_late_reading_corrects_its_neighbour(spark, tmp_path):
     root = str(tmp_path)
-    stream = source(spark, f"{root}/in", READING, [("k", START + timedelta(hours=2), 10)], [("k", START, 5), ("k", START + timedelta(hours=3), 14)])
+    day = timedelta(days=1)
+    stream = source(
+        spark, f"{root}/in", READING,
+        [("k", START, 5), ("k", START + 3 * day, 20), ("j", START, 1)], [("k", START + day, 12)], [("k", START + day, 14)],
+    )
     last = finish(jobs.incremental_deltas(stream, root, f"{root}/state"))
-    late = read_batches(spark, f"{root}/late", READING, 0, last).collect()
-    assert [r["downloads"] for r in late] == [5]
-    deltas = read_batches(spark, f"{root}/deltas", DELTA, 0, last).collect()
-    assert sorted(r["downloads_delta"] for r in deltas) == [0, 4]
+    log = read_batches(spark, f"{root}/deltas", DELTA, 0, last).collect()
+    assert sorted((r["batch"], (r["timestamp"] - START).days, r["downloads_delta"]) for r in log if r["infohash"] == "k") == [
+        (0, 0, 0), (0, 3, 15), (1, 1, 7), (1, 3, 8), (2, 1, 9), (2, 3, 6),
+    ]
+
+
+def test_repeated_batch_changes_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [("k", START + timedelta(hours=h), h * 3) for h in range(30)]
+    for batch_id, part in ((0, rows[:10]), (1, rows[10:]), (1, rows[10:])):
+        jobs._delta_step(spark, root, spark.createDataFrame(part, READING), batch_id)
+    assert sorted(r["downloads_delta"] for r in jobs.emitted_deltas(spark, root, 1).collect()) == [0] + [3] * 29
+
+
+def test_logs_are_compacted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "COMPACT_EVERY", 3)
+    root = str(tmp_path)
+    schema = "k string, v int"
+    for i in range(8):
+        tables.write_log(spark.createDataFrame([(f"k{i % 4}", i)], schema), root, schema, ["k"], i)
+    assert tables.log_start(8) == 6
+    got = {r["k"]: r["v"] for r in tables.read_log(spark, root, schema, ["k"], 8).collect()}
+    assert got == {"k0": 4, "k1": 5, "k2": 6, "k3": 7}
 
 
 def test_dead_detection(spark, tmp_path):
@@ -63,11 +90,12 @@ def test_dead_detection(spark, tmp_path):
     stream = source(
         spark, f"{root}/in", STATS,
         [row("a", 1, 0), row("b", 1, 3), row("c", 1, 0)], [row("a", 2, 0), row("b", 2, 0)], [row("a", 3, 0), row("b", 3, 0), row("c", 2, 0)],
-        [row("b", 4, 0)],
+        [row("b", 4, 0)], [row("a", 4, 1)],
     )
     last = finish(jobs.dead_detection(stream, root, f"{root}/state"))
-    dead = read_batches(spark, f"{root}/dead", "infohash string", 0, last).collect()
+    dead = read_batches(spark, f"{root}/dead", "infohash string, is_dead boolean", 0, last).filter("is_dead").collect()
     assert sorted((r["infohash"], r["batch"]) for r in dead) == [("a", 2), ("b", 3)]
+    assert [r["infohash"] for r in jobs.dead_now(spark, root, last).collect()] == ["b"]
 
 
 def test_first_rows(spark, tmp_path):
