@@ -5,12 +5,23 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulse.session import cut
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Python tasks take their rows in batches of a few megabytes, however long the texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
+def plain(column: str) -> Column:
+    """A column by its name, whatever characters that has."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.common import components
+from pulse.llm.common import bounded_batches, components, plain
 from pulse.llm.hashing import batches, mixed, shingle_sets, uniform
 from pulse.session import cut
 
@@ -42,6 +42,8 @@ THRESHOLD = 0.8
 BLOCK = 512
 SKETCH = 1024
 _SALT = np.uint64(0xD1B54A32D192ED03)
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+_AT_ONCE = 1 << 15
 
 
 def throw(elements: np.ndarray, weights: np.ndarray, first: np.ndarray, coordinates: int) -> np.ndarray:
@@ -58,27 +60,34 @@ def throw(elements: np.ndarray, weights: np.ndarray, first: np.ndarray, coordina
     strip = np.arange(len(owner)) - np.repeat(np.cumsum(strips) - strips, strips)
     key = mixed(elements[owner] + strip.astype(np.uint64) * _SALT)
     inside = weights[owner] - strip  # a dart counts if its position in the strip lies below
-    live = [key, -np.log(uniform(mixed(key))), inside, doc[owner]]
+    live = [key, np.zeros(len(key)), inside, doc[owner], np.zeros(len(key), np.uint64)]
     earliest = np.full(n * coordinates, np.inf)
     dart = np.zeros(n * coordinates, np.uint64)
     while True:
         waiting = []
         while len(live[0]):
-            late = live[1] > bound[live[3]]
-            waiting.append([x[late] for x in live])
-            key, arrival, inside, doc = (x[~late] for x in live)
-            bits = mixed(key ^ _SALT)
-            at = ((bits >> np.uint64(32)) * np.uint64(coordinates) >> np.uint64(32)).astype(np.int64) + doc * coordinates
-            when, what = arrival, bits
+            key, rank, inside, doc, thrown = live
+            # The next darts of each strip: one if there are many strips, more where few are left.
+            more = np.arange(max(1, min(64, _AT_ONCE // len(key))), dtype=np.uint64)
+            seed = mixed(key[:, None] + (thrown[:, None] + more + np.uint64(1)) * _GOLDEN)
+            arrival = rank[:, None] + np.cumsum(-np.log(uniform(seed)), axis=1)
+            early = arrival <= bound[doc][:, None]
+            count = early.sum(1)
+            row, _ = np.nonzero(early)
+            bits, when = mixed(seed[early] ^ _SALT), arrival[early]
+            at = ((bits >> np.uint64(32)) * np.uint64(coordinates) >> np.uint64(32)).astype(np.int64) + doc[row] * coordinates
             if (inside < 1).any():
-                hit = uniform(mixed(bits + np.uint64(1))) <= inside
-                at, when, what = at[hit], when[hit], what[hit]
+                hit = uniform(mixed(bits + np.uint64(1))) <= inside[row]
+                at, when, bits = at[hit], when[hit], bits[hit]
             before = earliest[at]
             np.minimum.at(earliest, at, when)
             won = (when == earliest[at]) & (when < before)
-            dart[at[won]] = what[won]
-            key = mixed(key + _SALT)
-            live = [key, arrival - np.log(uniform(mixed(key))), inside, doc]
+            dart[at[won]] = bits[won]
+            reached = np.where(count > 0, arrival[np.arange(len(key)), np.maximum(count, 1) - 1], rank)
+            live = [key, reached, inside, doc, thrown + count.astype(np.uint64)]
+            done = count < len(more)
+            waiting.append([x[done] for x in live])
+            live = [x[~done] for x in live]
         # Documents with a coordinate that no dart has hit look at higher ranks.
         open_docs = np.isinf(earliest.reshape(n, coordinates)).any(1)
         if not open_docs.any():
@@ -220,6 +229,7 @@ def classes(
     `count_repeats` weighs a shingle by its occurrences, in the signatures alone: what meets is
     always compared by distinct shingles.
     """
+    bounded_batches(docs.sparkSession)
     coordinates = bands * ROWS
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).where("id IS NOT NULL")
@@ -292,7 +302,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     blank = ~text.rlike(r"[^\x20\x09-\x0D]")
     # The row is one struct column, so that its columns may have any names.
     prepared = docs.select(
-        F.struct(*docs.columns).alias("row"),
+        F.struct(*[plain(c) for c in docs.columns]).alias("row"),
         F.col(id_col).cast("long").alias("id"),
         F.when(blank, 0).otherwise(F.xxhash64(text)).alias("x"),
         F.when(blank, 0).otherwise(F.xxhash64(F.lit(1), text)).alias("y"),

@@ -100,7 +100,7 @@ def shingle_sets(texts: Sequence[str], words: int) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(found), np.concatenate(counts), np.cumsum(sizes)
 
 
-def batches(texts: Sequence[str], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def batches(texts: Sequence[str], most: int = 500_000) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts of about so many characters; a longer text is alone."""
     start = size = 0
     for i, text in enumerate(texts):

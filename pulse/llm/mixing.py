@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulse.llm.common import plain
 from pulse.session import cut
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -152,10 +153,10 @@ def mixed_documents(
     A row that a run's edge cuts keeps its text from the first word taken to the last (white space
     before a word goes with it); `length_col`, where it exists, becomes its code points.
     """
-    numbered = cut(docs.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("row_no")))
+    numbered = cut(docs.select(F.struct(*[plain(c) for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("row_no")))
     flat = numbered.select(
-        F.col(f"row.`{id_col}`").alias("id"), F.col(f"row.`{text_col}`").alias("text"),
-        F.col(f"row.`{source_col}`").alias("source"), "row_no",
+        F.col("row").getField(id_col).alias("id"), F.col("row").getField(text_col).alias("text"),
+        F.col("row").getField(source_col).alias("source"), "row_no",
     )
     taken = mix(flat, "id", "text", "source", row_col="row_no", **parameters).where("taken > 0")
     part = lambda start, words: F.struct(start.cast("long").alias("start"), words.alias("words"))
@@ -164,7 +165,7 @@ def mixed_documents(
     parts = F.filter(F.concat(whole, rest), lambda p: p["words"] > 0)
     pieces = taken.select("row_no", "size", F.explode(parts).alias("part"))
     joined = numbered.join(pieces, "row_no")
-    text = F.col(f"row.`{text_col}`")
+    text = F.col("row").getField(text_col)
     # Java's pattern of white space and a word: the words of a cut text with what stands before them.
     words = F.regexp_extract_all(text.cast("string"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     piece = F.array_join(F.slice(words, (F.col("part.start") + 1).cast("int"), F.col("part.words").cast("int")), "")
@@ -173,4 +174,4 @@ def mixed_documents(
     own = {text_col: F.col("new")}
     if length_col in docs.columns:
         own[length_col] = F.length("new").cast(docs.schema[length_col].dataType)
-    return mixed.select(*[own.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    return mixed.select(*[own.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

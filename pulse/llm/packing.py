@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.common import numbered
+from pulse.llm.common import bounded_batches, numbered
 from pulse.session import cut
 
 END_TOKEN = 2
@@ -206,6 +206,7 @@ def pack(
     """
     if not 0 < capacity <= MAX_CAPACITY:
         raise ValueError(f"capacity must be 1 to {MAX_CAPACITY}")
+    bounded_batches(docs.sparkSession)
     rows = cut(lengths(docs, tokenizer, capacity, id_col, text_col))
     first = F.when(F.col("length") % capacity == 0, F.lit(capacity)).otherwise(F.col("length") % capacity)
     ranked = cut(numbered(rows.withColumn("size", first.cast("long")), "size", ["doc_id", "length", "crcs"]))

@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulse.llm.common import bounded_batches, plain
+
 ROUNDS = 8
 
 
@@ -282,7 +284,8 @@ def pseudonymise(
             yield pd.DataFrame(rows, columns=["text", "spans"])
 
     changed = run(F.col(text_col).cast("string"))
-    columns = [F.col(c) for c in docs.columns if c != spans]
+    bounded_batches(docs.sparkSession)
+    columns = [plain(c) for c in docs.columns if c != spans]
     marked = docs.select(F.struct(*columns).alias("row"), changed.alias("new"))
-    kept = [F.col("new.text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns if c != spans]
+    kept = [F.col("new.text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns if c != spans]
     return marked.select(*kept, *([F.col("new.spans").alias(spans)] if spans else []))

@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulse.llm.common import bounded_batches
 from pulse.llm.hashing import batches, mixed, prefix_sums, stretches, word_spans
 
 PASSAGE = 1024
@@ -64,7 +65,7 @@ def passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     doc = np.repeat(np.arange(len(texts)), sizes)
     within = np.arange(len(joined)) - begin[doc]
     passage = first[doc] + within * counts[doc] // sizes[doc]
-    features = np.zeros((total, DIMENSIONS))
+    features = np.zeros((total, DIMENSIONS), np.float32)
     length = np.bincount(passage, minlength=total)
     # Frequencies of a short passage are drawn towards none: it tells little.
     scale = length[:, None] + SHRINK
@@ -112,7 +113,7 @@ class Model:
 
     def score(self, texts: list[str]) -> np.ndarray:
         x, first = passages(texts)
-        return self.forward((x - self.mean) / self.spread, first)["p"]
+        return self.forward((x.astype(np.float64) - self.mean) / self.spread, first)["p"]
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -137,10 +138,11 @@ def _gradients(model: Model, x: np.ndarray, first: np.ndarray, y: np.ndarray) ->
 
 
 def fit(x: np.ndarray, first: np.ndarray, y: np.ndarray, epochs: int = 25, batch: int = 128, seed: int = 7) -> Model:
-    """Adam on the log loss of the documents; nothing but their labels is known of the passages."""
+    """Adam on the log loss of the documents; nothing but their labels is known of the passages. Scales x in place."""
     rng = np.random.default_rng(seed)
-    mean, spread = x.mean(0), x.std(0) + 0.01
-    x = (x - mean) / spread
+    mean, spread = x.mean(0), x.std(0) + np.float32(0.01)
+    x -= mean
+    x /= spread
     gate = HIDDEN // 2
     shape = {"w": (x.shape[1], HIDDEN), "b": (HIDDEN,), "v": (HIDDEN, gate), "u": (HIDDEN, gate), "a": (gate,), "c": (HIDDEN,), "d": ()}
     weights = {k: rng.normal(size=s) / np.sqrt(s[0] if s else 1) * (k not in "bd") for k, s in shape.items()}
@@ -177,13 +179,14 @@ def train(
     text_col: str = "text",
     label_col: str = "quality",
     max_documents: int = 6000,
-    max_passages: int = 64,
+    max_passages: int = 32,
 ) -> Model | None:
     """Fit on at most `max_documents` labelled documents outside the held-out fold, chosen by a hash of the
     id, and at most `max_passages` passages of each, evenly spaced. Only their features reach the driver.
 
     Labels of one id are averaged, null labels are none. None if there are not labels of both kinds.
     """
+    bounded_batches(docs.sparkSession)
     key = F.col(id_col).cast("long")
     known = (
         labels.select(key.alias("doc_id"), F.col(label_col).cast("double").alias("label"))
@@ -209,13 +212,14 @@ def train(
 
     encoded = sample.mapInPandas(encode, "doc_id long, label int, x binary")
     # Copies of one id would let the sample grow with the data: one text of each stays.
-    bags = encoded.groupBy("doc_id").agg(F.max(F.struct("label", "x")).alias("bag")).orderBy("doc_id").collect()
-    y = np.array([r["bag"]["label"] for r in bags], np.float64)
+    bags = encoded.groupBy("doc_id").agg(F.max(F.struct("label", "x")).alias("bag")).select("doc_id", "bag.*")
+    bags = bags.orderBy("doc_id").toArrow()
+    y = bags["label"].to_numpy().astype(np.float64)
     if not len(y) or y.min() == y.max():
         return None
-    x = [np.frombuffer(r["bag"]["x"], "<f4").reshape(-1, DIMENSIONS) for r in bags]
+    x = [np.frombuffer(b.as_buffer(), "<f4").reshape(-1, DIMENSIONS) for b in bags["x"]]
     first = np.concatenate([[0], np.cumsum([len(b) for b in x])])
-    return fit(np.concatenate(x).astype(np.float64), first, y)
+    return fit(np.concatenate(x), first, y)
 
 
 def score(docs: DataFrame, model: Model | None, text_col: str = "text", name: str = "score") -> DataFrame:

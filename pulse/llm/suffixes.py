@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.common import whole_groups
+from pulse.llm.common import bounded_batches, whole_groups
 from pulse.llm.hashing import POWERS, mixed, prefix_sums, stretches
 from pulse.session import cut
 
@@ -257,6 +257,7 @@ def repeated_starts(
     shard_bytes: int = SHARD_BYTES, ranges_per_shard: int = RANGES_PER_SHARD,
 ) -> DataFrame:
     """(x, y, start, end): by the two hashes of a text, ranges of starts of repeated strings."""
+    bounded_batches(docs.sparkSession)
     texts = _keyed(docs, id_col, text_col)
     long_enough = texts.where(F.octet_length("text") >= length).select("doc", "x", "y", "text")
     shape = "doc long, x long, y long, key long, content long, start long, end long"

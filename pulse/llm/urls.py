@@ -69,7 +69,8 @@ def judged(addresses: DataFrame, table: DataFrame) -> DataFrame:
     )
     domains = addresses.select("host").where("host <> ''").distinct().select("host", F.explode(above).alias("rule_host"))
     order = F.struct((-F.length("rule")).alias("length"), (~F.col("allow")).alias("block"), "rule", "rule_path", "allow")
-    of_host = domains.join(table, "rule_host").groupBy("host").agg(F.sort_array(F.collect_set(order)).alias("rules"))
+    # Written, so that the join below has nothing to sort or sum on this side and a hot host can be split.
+    of_host = cut(domains.join(table, "rule_host").groupBy("host").agg(F.sort_array(F.collect_set(order)).alias("rules")))
     fits = F.filter("rules", lambda r: F.col("path").startswith(r["rule_path"]))
     found = F.get(fits, F.lit(0))
     return (
