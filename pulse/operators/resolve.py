@@ -247,12 +247,12 @@ def unmatched(resolved: DataFrame) -> DataFrame:
     return resolved.filter(F.col("anilist_id").isNull())
 
 
-def best_scores(misses: DataFrame, shows: DataFrame, levels=(50, 1)) -> DataFrame:
+def best_scores(misses: DataFrame, shows: DataFrame, levels=(85, 1)) -> DataFrame:
     """Best raw score per unmatched title; null if nothing is alike or the title
     carries too little to compare.
 
-    The similarity join is exact above its threshold, so it is run once at a
-    middling level and again, lower, for the titles that found nothing.
+    The similarity join is exact above its threshold, so it is run once at a level that grams can
+    find, and again, against every variant, for the titles that found nothing.
     """
     variants = title_variants(shows).select(sort_tokens(F.col("variant")).alias("variant")).distinct()
     texts = (

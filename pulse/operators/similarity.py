@@ -5,9 +5,13 @@ Two texts whose ratio reaches a cut must share a minimum number of q-grams: with
 (2q-1)m - (q-1)(L+1) grams survive, and ratio >= cut means m >= cut * L / 2.
 If every text lists its grams in one fixed order, two texts sharing T grams must
 already meet within the first N-T+1 of each. So the join is an equi join on
-those leading grams, rarest first; a pair is kept only at its first common gram
-(so it appears once), and only if lengths and the full gram overlap allow the
-cut. The filters run in the JVM and are lossless; what passes is scored.
+those leading grams; the order is by how many texts have a gram, rarest first, counted
+on the data, so it suits any script. Longer grams are rarer but fewer survive, so each pair
+of texts is looked for with the longest grams its total length allows. Only the texts go through the
+join; what meets and has fitting lengths is made distinct and scored.
+
+Below a cut of about 0.78 two texts need not share any pair of neighbouring characters. There every pair
+may reach the cut, and texts are compared in blocks, within equal values of ``on`` where it is given.
 
 Repeated grams are numbered, which makes a multiset overlap a set overlap.
 """
@@ -16,15 +20,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulse.functions.ratios import PARTIAL_FROM, likeness, ratio
 
-# Letters from common to rare; later letters make a gram sort earlier. Any fixed
-# order gives the same result, this one keeps the candidate lists short.
-_COMMON_FIRST = " aeionrtshuldkmycgpbwfvzjxq0123456789"
 _SLACK = 1e-9
+_BLOCKS = 64
 
 
 def lowest_ratio(threshold: int) -> float:
@@ -32,58 +34,93 @@ def lowest_ratio(threshold: int) -> float:
     return max(threshold - 0.5, 0.5) / 100.0
 
 
-def _gram_size(cut: float) -> int:
-    """Pairs share a bigram only above this cut (texts of three or more
-    characters); below it single characters are compared."""
-    return 2 if 1.5 * cut - 1 > 1 / 6 else 1
+def has_grams(cut: float) -> bool:
+    """Pairs share a bigram only above this cut (texts of three or more characters)."""
+    return 1.5 * cut - 1 > 1 / 6
+
 
+def _share(cut: float, q: int) -> float:
+    """Grams that survive per character of the total length, before (q - 1) are taken off."""
+    return (2 * q - 1) * cut / 2 - (q - 1)
 
-def _rarity(gram: Column, q: int) -> Column:
-    letters = [F.instr(F.lit(_COMMON_FIRST), F.substring(gram, i + 1, 1)) for i in range(q)]
-    score = F.lit(0)
-    for at in letters:
-        score = score - F.when(at == 0, 99).otherwise(at)
-    return score
+
+def _totals(cut: float) -> list[tuple[int, int, int]]:
+    """(q, from, below): which grams are used for pairs of which total length."""
+    share = _share(cut, 3)
+    longer = int(2 / share) + 1 if share > 0.02 else 1 << 30
+    return [(2, 0, longer), (3, longer, 1 << 30)]
 
 
 def _grams(text: Column, q: int) -> Column:
+    """Numbered grams, with their size in front so that those of different sizes don't meet."""
     count = F.length(text) - (q - 1)
     plain = F.transform(F.sequence(F.lit(1), count), lambda i: F.substring(text, i, F.lit(q)))
     numbered = F.transform(
         plain,
-        lambda g, i: F.struct(
-            _rarity(g, q).alias("rarity"),
-            F.concat(g, F.size(F.filter(F.slice(plain, F.lit(1), i), lambda e: e == g)).cast("string")).alias("gram"),
+        lambda g, i: F.concat(
+            F.lit(str(q)), g, F.size(F.filter(F.slice(plain, F.lit(1), i), lambda e: e == g)).cast("string")
         ),
     )
-    ordered = F.transform(F.array_sort(numbered), lambda s: s["gram"])
-    return F.when(count >= 1, ordered).otherwise(F.array().cast("array<string>"))
+    return F.when(count >= 1, numbered).otherwise(F.array().cast("array<string>"))
 
 
 def _shortest_partner(length: Column, cut: float) -> Column:
     return F.ceil(length * (cut / (2 - cut)) - _SLACK)
 
 
+def _longest_partner(length: Column, cut: float) -> Column:
+    return F.floor(length * ((2 - cut) / cut) + _SLACK)
+
+
 def _needed(total: Column, cut: float, q: int) -> Column:
     """Grams that texts of this total length must share to reach the cut."""
-    share = (2 * q - 1) * cut / 2 - (q - 1)
-    return F.greatest(F.ceil(total * share - (q - 1) - _SLACK), F.lit(1)).cast("int")
-
-
-def _indexed(df: DataFrame, text: str, cut: float, q: int, prefix: str) -> DataFrame:
-    """Texts with their ordered grams and how many of them lead."""
-    size = F.length(text)
-    needed = _needed(size + _shortest_partner(size, cut), cut, q)
-    return (
-        df.withColumn(f"{prefix}grams", _grams(F.col(text), q))
-        .withColumn(f"{prefix}lead", F.size(f"{prefix}grams") - needed + 1)
-        .filter(F.col(f"{prefix}lead") >= 1)
+    return F.greatest(F.ceil(total * _share(cut, q) - (q - 1) - _SLACK), F.lit(1)).cast("int")
+
+
+def _texts(df: DataFrame, column: str) -> DataFrame:
+    return df.select(F.col(column).alias("text")).filter(F.col("text").isNotNull()).distinct()
+
+
+def _frequencies(texts: DataFrame, q: int) -> DataFrame:
+    return texts.select(F.explode(_grams(F.col("text"), q)).alias("gram")).groupBy("gram").agg(
+        F.count(F.lit(1)).alias("texts_with")
     )
 
 
-def _leading(df: DataFrame, prefix: str) -> DataFrame:
-    lead = F.slice(f"{prefix}grams", F.lit(1), F.col(f"{prefix}lead"))
-    return df.withColumn(f"{prefix}lead", lead).withColumn("gram", F.explode(f"{prefix}lead"))
+def _leading(texts: DataFrame, frequencies: DataFrame, q: int, needed: Column) -> DataFrame:
+    """(text, gram): of each text the rarest grams that it takes to meet every partner.
+
+    A text has as many rows as characters, so its window is bounded by its length.
+    """
+    listed = texts.withColumn("grams", _grams(F.col("text"), q)).withColumn("lead", F.size("grams") - needed + 1)
+    rows = listed.filter(F.col("lead") >= 1).select("text", "lead", F.explode("grams").alias("gram"))
+    order = Window.partitionBy("text").orderBy(F.coalesce("texts_with", F.lit(0)), "gram")
+    ranked = rows.join(frequencies, "gram", "left").withColumn("place", F.row_number().over(order))
+    return ranked.filter((F.col("place") <= F.col("lead")) & F.col("texts_with").isNotNull()).select("text", "gram")
+
+
+def candidate_pairs(left: DataFrame, right: DataFrame, a: str, b: str, threshold: int) -> DataFrame:
+    """Distinct (a, b) that may reach the threshold, for cuts at which pairs share grams."""
+    cut = lowest_ratio(threshold)
+    lefts, rights = _texts(left, a), _texts(right, b)
+    found = None
+    for q, low, high in _totals(cut):
+        frequencies = _frequencies(rights, q)
+        sides = []
+        for texts in (lefts, rights):
+            size = F.length("text")
+            least = F.greatest(size + _shortest_partner(size, cut), F.lit(low))
+            possible = texts.filter(
+                (size + _longest_partner(size, cut) >= low) & (size + _shortest_partner(size, cut) < high)
+            )
+            sides.append(_leading(possible, frequencies, q, _needed(least, cut, q)))
+        met = sides[0].withColumnRenamed("text", a).join(sides[1].withColumnRenamed("text", b), "gram")
+        short, long = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
+        fitting = met.filter(
+            (short >= _shortest_partner(long, cut)) & (short + long >= low) & (short + long < high)
+        ).select(a, b)
+        found = fitting if found is None else found.unionByName(fitting)
+    return found.distinct()
 
 
 def similar_pairs(
@@ -95,19 +132,19 @@ def similar_pairs(
     on: Sequence[str] = (),
 ) -> DataFrame:
     """Every pair with ratio(a, b) >= threshold, as left and right columns plus
-    ``score``. ``on`` adds columns that must be equal."""
+    ``score``. ``on`` adds columns that must be equal; then pairs meet through these alone."""
     cut = lowest_ratio(threshold)
-    q = _gram_size(cut)
-    lhs = _leading(_indexed(left, a, cut, q, "_l"), "_l")
-    rhs = _leading(_indexed(right, b, cut, q, "_r"), "_r")
-    met = lhs.join(rhs, [*on, "gram"])
+    if on:
+        met = left.join(right, list(on))
+    elif has_grams(cut):
+        met = candidate_pairs(left, right, a, b, threshold).join(left, a).join(right, b)
+    else:
+        every = F.explode(F.sequence(F.lit(0), F.lit(_BLOCKS - 1))).alias("_block")
+        blocks = right.withColumn("_block", F.pmod(F.xxhash64(b), F.lit(_BLOCKS)).cast("int"))
+        met = left.select("*", every).join(blocks, "_block").drop("_block")
     short, long = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
-    candidates = met.filter(
-        (short >= _shortest_partner(long, cut))
-        & (F.get(F.array_intersect("_llead", "_rlead"), F.lit(0)) == F.col("gram"))
-        & (F.size(F.array_intersect("_lgrams", "_rgrams")) >= _needed(short + long, cut, q))
-    ).drop("gram", "_llead", "_rlead", "_lgrams", "_rgrams")
-    return candidates.withColumn("score", ratio(F.col(a), F.col(b))).filter(F.col("score") >= threshold)
+    fitting = met.filter(short >= _shortest_partner(long, cut))
+    return fitting.withColumn("score", ratio(F.col(a), F.col(b))).filter(F.col("score") >= threshold)
 
 
 def containing_pairs(left: DataFrame, right: DataFrame, a: str, b: str, threshold: int) -> DataFrame:
@@ -120,23 +157,23 @@ def containing_pairs(left: DataFrame, right: DataFrame, a: str, b: str, threshol
     Identical texts are the caller's exact join, so single characters may be left out.
     """
     cut = lowest_ratio(threshold)
-    q = _gram_size(cut)
-
-    def branch(short_df, short, long_df, long, strict: bool) -> DataFrame:
-        lead = _leading(_indexed(short_df, short, cut, q, "_l"), "_l")
-        every = long_df.withColumn("_rgrams", _grams(F.col(long), q)).withColumn(
-            "gram", F.explode("_rgrams")
-        )
-        met = lead.join(every, "gram")
-        size, other = F.length(short), F.length(long)
-        in_order = size < other if strict else size <= other
-        needed = _needed(size + _shortest_partner(size, cut), cut, q)
-        return met.filter(
-            in_order
-            & ((size >= PARTIAL_FROM) | (size >= _shortest_partner(other, cut)))
-            & (F.get(F.array_intersect("_llead", "_rgrams"), F.lit(0)) == F.col("gram"))
-            & (F.size(F.array_intersect("_lgrams", "_rgrams")) >= needed)
-        ).drop("gram", "_llead", "_lgrams", "_rgrams")
-
-    both = branch(left, a, right, b, False).unionByName(branch(right, b, left, a, True))
-    return both.withColumn("score", likeness(F.col(a), F.col(b))).filter(F.col("score") >= threshold)
+
+    def branch(short_texts: DataFrame, long_texts: DataFrame, short: str, long: str, strict: bool) -> DataFrame:
+        size = F.length("text")
+        least = size + _shortest_partner(size, cut)
+        # Longer grams as soon as two of them must survive.
+        several = F.ceil(least * _share(cut, 3) - 2 - _SLACK) >= 2
+        met = None
+        for q, chosen in ((2, ~several), (3, several)):
+            lead = _leading(short_texts.filter(chosen), _frequencies(long_texts, q), q, _needed(least, cut, q))
+            every = long_texts.select(F.col("text").alias(long), F.explode(_grams(F.col("text"), q)).alias("gram"))
+            pairs = lead.withColumnRenamed("text", short).join(every, "gram").select(short, long)
+            met = pairs if met is None else met.unionByName(pairs)
+        in_order = F.length(short) < F.length(long) if strict else F.length(short) <= F.length(long)
+        fits = (F.length(short) >= PARTIAL_FROM) | (F.length(short) >= _shortest_partner(F.length(long), cut))
+        return met.filter(in_order & fits).distinct().select(a, b)
+
+    lefts, rights = _texts(left, a), _texts(right, b)
+    both = branch(lefts, rights, a, b, False).unionByName(branch(rights, lefts, b, a, True))
+    scored = both.withColumn("score", likeness(F.col(a), F.col(b))).filter(F.col("score") >= threshold)
+    return scored.join(left, a).join(right, b)

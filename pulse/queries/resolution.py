@@ -342,8 +342,6 @@ def survey_update(spark, sf_dir):
     stored = known.withColumns({"very_good_pct": F.lit(1.0), "source_url": F.lit("old"), "fetched_at": at})
     listed_seasons = [("Winter 2024", "winter", 2024), ("Spring 2024", "spring", 2024)]
     seasons = literal_rows(spark, listed_seasons, "name string, season string, year int")
-    export = rows.filter(day % 2 == 0).withColumn("season_code", F.lit("2024A")).unionByName(
-        rows.withColumns({"season_code": F.lit("2023D"), "very_good_pct": F.lit(99.0)})
-    )
+    export = rows.withColumn("season_code", F.when(day % 2 == 0, "2024A").otherwise("2023D"))
     table = reception.update_surveys(cut(stored), export, seasons, shows, listed, datetime(2024, 2, 1), "new")
     return table.select("anilist_id", "episode", "very_good_pct")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from pulse.functions.ratios import fold_width, indel_ratio, window_ratio
 from pulse.functions.text import strip_symbols
-from pulse.operators.similarity import containing_pairs, similar_pairs
+from pulse.operators.similarity import candidate_pairs, containing_pairs, similar_pairs
+from tests.conftest import SF_DIR
 
 
 def lcs(a, b):
@@ -99,6 +100,26 @@ def test_no_pair_of_inputs_is_compared_blindly(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+@pytest.mark.parametrize(("threshold", "share"), [(85, 0.18), (90, 0.07)])
+def test_few_pairs_are_candidates(spark, threshold, share):
+    """Of 3,000 distinct openings of the given texts, whose words are made of a few syllables, at most such a
+    share of all pairs is looked at."""
+    tables = [("documents", "text"), ("pages", "html"), ("benchmark", "text")]
+    openings = None
+    for name, column in tables:
+        texts = spark.read.parquet(f"{SF_DIR.replace('sf0.001', 'sf0.1')}/{name}.parquet")
+        words = F.regexp_replace(F.lower(F.regexp_replace(column, "<[^>]*>", " ")), r"[^\p{L} ]+", " ")
+        part = texts.select(F.trim(F.substring(F.trim(F.regexp_replace(words, " +", " ")), 1, 60)).alias("t"))
+        openings = part if openings is None else openings.union(part)
+    cut_at = F.pmod(F.xxhash64("t"), F.lit(50)) + 10
+    texts = openings.select(F.substring("t", F.lit(1), cut_at.cast("int")).alias("t")).filter(F.length("t") >= 10)
+    texts = texts.distinct().orderBy(F.xxhash64("t")).limit(3000)
+    found = candidate_pairs(texts.withColumnRenamed("t", "a"), texts.withColumnRenamed("t", "b"), "a", "b", threshold)
+    count = texts.count()
+    assert count > 2000
+    assert found.count() < share * count * count
+
+
 def test_fold_width(spark):
     row = spark.createDataFrame([("Ｒｅ：ゼロ　2nd「Season」！",)], "t string").select(
         strip_symbols(fold_width(F.col("t"))).alias("n")
