@@ -173,6 +173,8 @@ def _address(m: re.Match, key: bytes, back: bool) -> str | None:
     return ".".join(map(str, _network(key, "address", 1 << 32).swap(value, back).to_bytes(4, "big")))
 
 
+_MONTHS = "January February March April May June July August September October November December".split()
+_NAMED = "|".join(f"{m[:3]}(?:{m[3:]})?" if m[3:] else m for m in _MONTHS)
 _DAY_ONE = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2100, 1, 1).toordinal() - _DAY_ONE
 
@@ -205,6 +207,30 @@ def _date(m: re.Match, key: bytes, back: bool) -> str | None:
             return f"{first:02}{mark}{second:02}{mark}{new.year:04}"
 
 
+def _written_date(m: re.Match, key: bytes, back: bool) -> str | None:
+    """5 March 1984, March 5, 1984, 5 Mar 1984: the style and the length of the month's name stay."""
+    name = m["n1"] or m["n2"]
+    month = next(i for i, n in enumerate(_MONTHS) if n[:3].lower() == name[:3].lower())
+    short = len(name) == 3
+    try:
+        at = datetime.date(int(m["y1"] or m["y2"]), month + 1, int(m["d1"] or m["d2"])).toordinal() - _DAY_ONE
+    except ValueError:
+        return None
+    if not 0 <= at < _DAYS:
+        return None
+    network = _network(key, "date", _DAYS)
+    while True:
+        at = network.swap(at, back)
+        new = datetime.date.fromordinal(at + _DAY_ONE)
+        # May is its own short form, so it counts among the short ones: what is written is read back.
+        if new.month != 5 or short:
+            break
+    word = _MONTHS[new.month - 1]
+    word = word[:3] if short else word
+    word = word.upper() if name.isupper() else word.lower() if name.islower() else word
+    return f"{new.day} {word} {new.year}" if m["n1"] else f"{word} {new.day}{m['comma']} {new.year}"
+
+
 def _email(m: re.Match, key: bytes, back: bool) -> str | None:
     new = _characters(m["local"], key, "email:" + m["domain"].lower(), back)
     return f"{new}@{m['domain']}"
@@ -232,6 +258,7 @@ KINDS: dict[str, tuple[str, Callable[[re.Match, bytes, bool], str | None]]] = {
     "card": (r"(?<![\w.+-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-]|\.\d)", _card),
     "address": (r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)", _address),
     "date": (r"(?<![\w./-])(?:(?P<y1>(?:19|20)\d\d)(?P<s1>[-/.])(?P<m1>\d\d)(?P=s1)(?P<d1>\d\d)|(?P<a2>\d\d)(?P<s2>[-/.])(?P<b2>\d\d)(?P=s2)(?P<y2>(?:19|20)\d\d))(?![\w/-]|\.\d)", _date),
+    "written date": (rf"(?i:(?<![\w.-])(?:(?P<d1>[1-9]|[12]\d|3[01]) (?P<n1>{_NAMED}) (?P<y1>(?:19|20)\d\d)|(?P<n2>{_NAMED}) (?P<d2>[1-9]|[12]\d|3[01])(?P<comma>,?) (?P<y2>(?:19|20)\d\d)))(?![\w-])", _written_date),
     "social": (r"(?<![\w-])(?P<area>\d{3})(?P<mark>[- ])(?P<group>\d{2})(?P=mark)(?P<serial>\d{4})(?![\w-])", _social),
     "phone": (r"(?<![\w+])(?:(?P<country>\+\d{1,3})[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[-. ]\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?![\w-])", _phone),
 }
