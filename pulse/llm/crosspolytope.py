@@ -111,7 +111,8 @@ def _may_link(keys: list[str], threshold: float):
         for frame in whole_groups(frames, keys):
             changed = (frame[keys] != frame[keys].shift()).any(axis=1).to_numpy()
             group = np.cumsum(changed)
-            signs, home = frame["signs"].to_numpy(), frame["home"].to_numpy()
+            # Without a sign: numpy counts the bits of a negative number's magnitude.
+            signs, home = frame["signs"].to_numpy().astype(np.uint64), frame["home"].to_numpy()
             may = frame["size"].to_numpy() < 32
             at, step = np.arange(len(frame)), 1
             while len(at):

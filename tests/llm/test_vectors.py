@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,6 +53,20 @@ def test_small_vectors_copies_and_empty_tables(spark):
     assert crosspolytope.near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_close_vectors_pass_the_signs():
+    """Every pair at the threshold is let through, whichever of its 64 signs differ."""
+    rng = np.random.default_rng(4)
+    a = crosspolytope.unit(rng.normal(size=(400, 64)))
+    r = rng.normal(size=a.shape)
+    r = crosspolytope.unit(r - (r * a).sum(1, keepdims=True) * a)
+    b = 0.93 * a + np.sqrt(1 - 0.93**2) * r
+    keys = ["label", "size", "table", "code"]
+    rows = pd.DataFrame({"label": "x", "size": 64, "table": 0, "code": np.repeat(np.arange(400), 2), "t": np.arange(800)})
+    signs = np.stack([crosspolytope.sketch(a), crosspolytope.sketch(b)], 1).ravel()
+    passed = pd.concat(crosspolytope._may_link(keys, 0.93)(iter([rows.assign(signs=signs, home=True)])))
+    assert sorted(passed["t"]) == list(range(800))
+
+
 def test_hadamard_is_orthogonal():
     x = np.random.default_rng(0).normal(size=(5, 32))
     assert np.allclose(crosspolytope.hadamard(crosspolytope.hadamard(x)), x)
