@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.common import bounded_batches, whole_groups
+from pulse.llm.common import bounded_batches
 from pulse.llm.hashing import POWERS, mixed, prefix_sums, stretches
 from pulse.session import cut
 
@@ -42,6 +42,7 @@ GRAM = 64
 SHARD_BYTES = 2_000_000
 RANGES_PER_SHARD = 2_048
 _CHUNK = 4_000_000
+_LIST_ENTRIES = 500_000
 
 
 def smallest_in_windows(values: np.ndarray, width: int) -> np.ndarray:
@@ -87,17 +88,17 @@ def ranges(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
 
 
 def _cut_texts(length: int, gram: int):
-    columns = ["doc", "x", "y", "key", "content", "start", "end"]
+    columns = ["doc", "x", "key", "content", "start", "end"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for doc, x, y, text in zip(*[frame[c] for c in ("doc", "x", "y", "text")], strict=True):
+            for doc, x, text in zip(*[frame[c] for c in ("doc", "x", "text")], strict=True):
                 data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
                 # Long texts in overlapping parts: each start is in one part, with all the bytes its string has.
                 for low in range(0, max(0, len(data) - length + 1), _CHUNK):
                     key, content, start, end = ranges(data[low : low + _CHUNK + length - 1], length, gram)
-                    same = [np.full(len(key), v) for v in (doc, x, y)]
+                    same = [np.full(len(key), v) for v in (doc, x)]
                     out.append((*same, key.astype(np.int64), content.astype(np.int64), start + low, end + low))
             if out:
                 yield pd.DataFrame({c: np.concatenate([o[i] for o in out]) for i, c in enumerate(columns)})
@@ -174,9 +175,13 @@ def common_prefixes(data: np.ndarray, order: np.ndarray) -> np.ndarray:
     return np.maximum(shared[head] - (here - head), 0)
 
 
-def _shard(length: int):
-    """Repeated starts of one shard; of keys that lie in several shards, the list of strings."""
-    columns = ["x", "y", "start", "end", "low", "high"]
+# An entry of a shard's list: two hashes of the string, where it starts, and whether it is known to be repeated.
+_ENTRY = np.dtype([("low", "<i8"), ("high", "<i8"), ("doc", "<i8"), ("x", "<i8"), ("start", "<i4"), ("known", "?")])
+
+
+def _shard(length: int, buckets: int):
+    """Runs of repeated starts of one shard; of keys that lie in several shards, the sorted list of
+    different strings as one row for each of so many ranges of its order."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         pieces = [np.frombuffer(b, np.uint8) for b in frame["bytes"]]
@@ -195,42 +200,45 @@ def _shard(length: int):
         own = of[first[owner] + within]
         repeated = np.bincount(own, minlength=len(data) + 1)[own] > 1
         single = (frame["n"].to_numpy() == 1)[owner]
-        base = frame["start"].to_numpy()[owner] + within
-        split = frame["split"].to_numpy()[owner]
-        out = []
+        doc, x = frame["doc"].to_numpy()[owner], frame["x"].to_numpy()[owner]
+        start = frame["start"].to_numpy()[owner] + within
+        # Runs of marked starts of one piece.
         marked = np.flatnonzero(repeated & single)
-        if len(marked):
-            # Runs of marked starts of one piece.
-            new = np.concatenate([[True], (owner[marked][1:] != owner[marked][:-1]) | (base[marked][1:] != base[marked][:-1] + 1)])
-            head = marked[new]
-            tail = marked[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(marked) - 1]])]
-            out.append(pd.DataFrame({"x": frame["x"].to_numpy()[owner[head]], "y": frame["y"].to_numpy()[owner[head]], "start": base[head], "end": base[tail] + 1, "low": 0, "high": 0, "known": True}))
+        new = np.ones(len(marked), bool)
+        new[1:] = (owner[marked][1:] != owner[marked][:-1]) | (start[marked][1:] != start[marked][:-1] + 1)
+        head = marked[new]
+        tail = marked[np.append(new[1:], True)] if len(marked) else marked
+        runs = pd.DataFrame({"doc": doc[head], "x": x[head], "start": start[head], "end": start[tail] + 1})
         _, one = np.unique(own, return_index=True)
-        one = one[split[one]]
-        if len(one):
-            at = first[owner[one]] + within[one]
-            sums = prefix_sums(data)
-            low = stretches(sums, at, at + length)
-            high = stretches(prefix_sums(data ^ np.uint8(0x5A)), at, at + length)
-            out.append(pd.DataFrame({"x": frame["x"].to_numpy()[owner[one]], "y": frame["y"].to_numpy()[owner[one]], "start": base[one], "end": base[one] + 1, "low": low.astype(np.int64), "high": high.astype(np.int64), "known": repeated[one] | ~single[one]}))
-        return pd.concat(out) if out else pd.DataFrame({c: [] for c in [*columns, "known"]})
+        one = one[frame["split"].to_numpy()[owner[one]]]
+        if not len(one):
+            return runs.assign(bucket=-1, strings=None)
+        at = first[owner[one]] + within[one]
+        entries = np.empty(len(one), _ENTRY)
+        entries["low"] = stretches(prefix_sums(data), at, at + length).astype(np.int64)
+        entries["high"] = stretches(prefix_sums(data ^ np.uint8(0x5A)), at, at + length).astype(np.int64)
+        entries["doc"], entries["x"], entries["start"] = doc[one], x[one], start[one]
+        entries["known"] = repeated[one] | ~single[one]
+        entries = entries[np.lexsort((entries["high"], entries["low"]))]
+        bucket = ((entries["low"] >> 32) + (1 << 31)) * buckets >> 32
+        lists = [(b, entries[bucket == b].tobytes()) for b in np.unique(bucket)]
+        rows = pd.DataFrame({"doc": 0, "x": 0, "start": 0, "end": 0, "bucket": [b for b, _ in lists], "strings": [e for _, e in lists]})
+        return pd.concat([runs.assign(bucket=-1, strings=None), rows]) if len(runs) else rows
 
     return run
 
 
-def _merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _merge(frame: pd.DataFrame) -> pd.DataFrame:
     """Strings that are in the lists of several shards, looked up by binary search; their starts, if not known."""
-    for frame in whole_groups(frames, ["low"]):
-        low, high = frame["low"].to_numpy(), frame["high"].to_numpy()
-        order = np.lexsort((high, low))
-        names = np.empty(len(order), [("low", "i8"), ("high", "i8")])
-        names["low"], names["high"] = low[order], high[order]
-        # One number for each different string, in order, so that the lists can be searched.
-        number = np.cumsum(np.concatenate([[True], names[1:] != names[:-1]]))
-        count = np.searchsorted(number, number, "right") - np.searchsorted(number, number, "left")
-        rows = order[count > 1]
-        found = frame.iloc[rows]
-        yield found.loc[~found["known"], ["x", "y", "start", "end"]]
+    entries = np.concatenate([np.frombuffer(b, _ENTRY) for b in frame["strings"]])
+    entries = entries[np.lexsort((entries["high"], entries["low"]))]
+    # One number for each different string, in order, so that the lists can be searched.
+    new = (entries["low"][1:] != entries["low"][:-1]) | (entries["high"][1:] != entries["high"][:-1])
+    number = np.cumsum(np.append(True, new))
+    count = np.searchsorted(number, number, "right") - np.searchsorted(number, number, "left")
+    found = entries[(count > 1) & ~entries["known"]]
+    starts = found["start"].astype(np.int64)
+    return pd.DataFrame({"doc": found["doc"].astype(np.int64), "x": found["x"].astype(np.int64), "start": starts, "end": starts + 1})
 
 
 def _covered(spans: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
@@ -245,72 +253,67 @@ def _covered(spans: list[tuple[int, int]], length: int) -> list[tuple[int, int]]
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """A text goes by its document's id and a hash: rows that share both are copies."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).select(
-        "doc_id", "text", F.xxhash64("text").alias("x"), F.xxhash64(F.lit(1), "text").alias("y"),
-        F.coalesce("doc_id", F.lit(-(2**63))).alias("doc"),
-    )
+        "doc_id", "text", F.xxhash64("text").alias("x"), F.coalesce("doc_id", F.lit(-(2**63))).alias("doc")
+    )
 
 
 def repeated_starts(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
     shard_bytes: int = SHARD_BYTES, ranges_per_shard: int = RANGES_PER_SHARD,
 ) -> DataFrame:
-    """(x, y, start, end): by the two hashes of a text, ranges of starts of repeated strings."""
+    """(doc, x, start, end): by id and hash of a text, ranges of starts of repeated strings."""
     bounded_batches(docs.sparkSession)
     texts = _keyed(docs, id_col, text_col)
-    long_enough = texts.where(F.octet_length("text") >= length).select("doc", "x", "y", "text")
-    shape = "doc long, x long, y long, key long, content long, start long, end long"
+    long_enough = texts.where(F.octet_length("text") >= length).select("doc", "x", "text")
+    shape = "doc long, x long, key long, content long, start int, end int"
     cuts = cut(long_enough.mapInPandas(_cut_texts(length, gram), shape))
-    contents = cuts.groupBy("key", "content").agg(
-        F.count("*").alias("n"), F.min(F.struct("doc", "x", "y", "start", "end")).alias("one")
+    contents = cut(
+        cuts.groupBy("key", "content").agg(
+            F.count("*").alias("n"), F.min(F.struct("doc", "x", "start", "end")).alias("one")
+        )
     )
-    contents = cut(contents)
     many = contents.where("n > 1").select("key", "content")
-    equal = cuts.join(many, ["key", "content"], "left_semi").select("x", "y", "start", "end").distinct()
+    equal = cuts.join(many, ["key", "content"], "left_semi").select("doc", "x", "start", "end")
     kinds = contents.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    open_ranges = contents.join(kinds, "key").select("key", "content", "n", "kinds", "one.*")
-    open_ranges = cut(open_ranges)
-    total = open_ranges.agg(F.sum(F.col("end") - F.col("start") + length - 1)).first()[0] or 0
-    shards = -(-total // shard_bytes) or 1
-    parts = F.ceil(F.col("kinds") / ranges_per_shard)
-    part = F.pmod(F.xxhash64("content"), parts)
-    dealt = open_ranges.withColumns(
-        {"split": parts > 1, "shard": F.pmod(F.xxhash64("key", part), F.lit(shards))}
-    )
-    wanted = dealt.groupBy("doc", "x", "y").agg(
+    open_ranges = cut(contents.join(kinds, "key").select("key", "content", "n", "kinds", "one.*"))
+    split = F.col("kinds") > ranges_per_shard
+    starts = F.col("end") - F.col("start")
+    total, listed = open_ranges.agg(F.sum(starts + length - 1), F.sum(F.when(split, starts))).first()
+    shards, buckets = -(-(total or 1) // shard_bytes), -(-(listed or 1) // _LIST_ENTRIES)
+    part = F.pmod(F.xxhash64("content"), F.ceil(F.col("kinds") / ranges_per_shard))
+    dealt = open_ranges.withColumns({"split": split, "shard": F.pmod(F.xxhash64("key", part), F.lit(shards))})
+    wanted = dealt.groupBy("doc", "x").agg(
         F.collect_list(F.struct("shard", "split", "n", "start", "end")).alias("ranges")
     )
 
     def bytes_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["shard", "split", "n", "x", "y", "start", "end", "bytes"]
+        columns = ["shard", "split", "n", "doc", "x", "start", "end", "bytes"]
         for frame in frames:
             out = []
-            for x, y, text, found in zip(*[frame[c] for c in ("x", "y", "text", "ranges")], strict=True):
+            for doc, x, text, found in zip(*[frame[c] for c in ("doc", "x", "text", "ranges")], strict=True):
                 data = text.encode("utf-8", "surrogatepass")
                 for r in found:
                     piece = data[r["start"] : r["end"] - 1 + length]
-                    out.append((r["shard"], r["split"], r["n"], x, y, r["start"], r["end"], piece))
+                    out.append((r["shard"], r["split"], r["n"], doc, x, r["start"], r["end"], piece))
             yield pd.DataFrame(out, columns=columns)
 
-    shape = "shard long, split boolean, n long, x long, y long, start long, end long, bytes binary"
-    pieces = long_enough.join(wanted, ["doc", "x", "y"]).select("x", "y", "text", "ranges").mapInPandas(bytes_of, shape)
+    shape = "shard long, split boolean, n long, doc long, x long, start int, end int, bytes binary"
+    pieces = long_enough.join(wanted, ["doc", "x"]).select("doc", "x", "text", "ranges").mapInPandas(bytes_of, shape)
     # A repeated row gives its pieces again; equal rows are one.
-    pieces = pieces.groupBy("shard", "split", "x", "y", "start", "end").agg(F.max("n").alias("n"), F.first("bytes").alias("bytes"))
+    pieces = pieces.groupBy("shard", "split", "doc", "x", "start", "end").agg(
+        F.max("n").alias("n"), F.first("bytes").alias("bytes")
+    )
     marks = cut(
         pieces.groupBy("shard").applyInPandas(
-            _shard(length), "x long, y long, start long, end long, low long, high long, known boolean"
+            _shard(length, buckets), "doc long, x long, start int, end int, bucket int, strings binary"
         )
     )
-    is_run = (F.col("low") == 0) & (F.col("high") == 0)
-    lists = marks.where(~is_run)
-    within = marks.where(is_run).select("x", "y", "start", "end")
-    result = equal.union(within)
-    count = lists.count()
-    if count:
-        merged = lists.repartitionByRange(-(-count // 1_000_000), "low").sortWithinPartitions("low")
-        result = result.union(merged.mapInPandas(_merge, "x long, y long, start long, end long"))
-    return result
+    place = ["doc", "x", "start", "end"]
+    merged = marks.where("bucket >= 0").groupBy("bucket").applyInPandas(_merge, "doc long, x long, start int, end int")
+    return equal.union(marks.where("bucket < 0").select(*place)).union(merged)
 
 
 def remove_repeats(
@@ -318,8 +321,8 @@ def remove_repeats(
 ) -> DataFrame:
     """(doc_id, n_bytes, removed, kept) of every row: the removed runs (start, end) and the bytes that are left."""
     starts = repeated_starts(docs, id_col, text_col, length, **parameters)
-    per_text = starts.groupBy("x", "y").agg(F.collect_list(F.struct("start", "end")).alias("starts"))
-    joined = _keyed(docs, id_col, text_col).join(per_text, ["x", "y"], "left").select("doc_id", "text", "starts")
+    per_text = starts.groupBy("doc", "x").agg(F.collect_set(F.struct("start", "end")).alias("starts"))
+    joined = _keyed(docs, id_col, text_col).join(per_text, ["doc", "x"], "left").select("doc_id", "text", "starts")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
