@@ -122,7 +122,7 @@ def _may_link(keys: list[str], threshold: float):
                 near &= home[at] | home[at + step]
                 may[at[near]] = may[at[near] + step] = True
                 step += 1
-            yield frame.loc[may, [*keys, "t"]]
+            yield frame.loc[may, [*keys, "t", "home"]]
 
     return run
 
@@ -144,11 +144,10 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 
 def _compare(threshold: float, tables: int, probes: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        table, bucket = int(frame["table"].iloc[0]), int(frame["code"].iloc[0])
+        table = int(frame["table"].iloc[0])
         one, two = frame["one"].iloc[0], frame["two"].iloc[0]
         vectors = unit(np.array(frame["vector"].tolist(), np.float64))
-        codes = corners(vectors, tables, probes)
-        home = codes[:, table, 0] == bucket
+        home = frame["home"].to_numpy()
         block, t, m = frame["block"].to_numpy(), frame["t"].to_numpy(), frame["copies"].to_numpy()
         left, right = np.flatnonzero(home & (block == one)), np.flatnonzero(block == two)
         if one != two:
@@ -156,23 +155,28 @@ def _compare(threshold: float, tables: int, probes: int):
             sides = [(left, right), other]
         else:
             sides = [(left, right)]
-        pairs = [np.zeros((0, 2), np.int64)]
+        pairs = []
         for x, y in sides:
-            if not len(x) or not len(y):
-                continue
             i, j = np.nonzero(vectors[x] @ vectors[y].T >= threshold)
             i, j = x[i], y[j]
             # Two that are both at home are seen from either side: once is enough.
             once = np.where(home[j], t[i] < t[j], t[i] != t[j])
-            i, j = i[once], j[once]
+            pairs.append((i[once], j[once]))
+        linked = np.unique(np.concatenate([p for pair in pairs for p in pair]))
+        if not len(linked):
+            return pd.DataFrame({"t": [], "links": [], "root": []})
+        codes = np.zeros((len(t), tables, probes), np.int64)
+        codes[linked] = corners(vectors[linked], tables, probes)
+        first = [np.zeros((0, 2), np.int64)]
+        for i, j in pairs:
             met = np.zeros(len(i), bool)
             for k in range(table):
                 met |= (codes[i, k, :1] == codes[j, k]).any(1) | (codes[j, k, :1] == codes[i, k]).any(1)
             # In one table they may meet at either's home: the home of the smaller number counts.
             at_both = (codes[i, table] == codes[j, table, :1]).any(1) & ~home[j]
             met |= at_both & (t[j] < t[i])
-            pairs.append(np.stack([i[~met], j[~met]], 1))
-        found = np.concatenate(pairs)
+            first.append(np.stack([i[~met], j[~met]], 1))
+        found = np.concatenate(first)
         a, b = found[:, 0], found[:, 1]
         links = np.bincount(a, weights=m[b], minlength=len(t)) + np.bincount(b, weights=m[a], minlength=len(t))
         order = np.argsort(t, kind="stable")
@@ -235,14 +239,14 @@ def near_vectors(
     members = placed.join(crowded, key)
     small = members.where("blocks = 1").repartition(*key).sortWithinPartitions(*key)
     near = small.select(*key, "t", "signs", "home").mapInPandas(
-        _may_link(key, threshold), "label string, size int, table int, code long, t long"
+        _may_link(key, threshold), "label string, size int, table int, code long, t long, home boolean"
     )
     # Blocks of a large bucket compare all their rows; its size is the size of a group of close vectors.
-    active = near.withColumn("blocks", F.lit(1)).union(members.where("blocks > 1").select(*key, "t", "blocks"))
+    active = near.withColumn("blocks", F.lit(1)).union(members.where("blocks > 1").select(*key, "t", "home", "blocks"))
     vectors = unique.select("t", "copies", "vector")
     blocked = active.join(vectors, "t").withColumn("block", F.pmod(F.xxhash64("t"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    tasks = blocked.select(*key, "t", "copies", "vector", "block", other).withColumns(
+    tasks = blocked.select(*key, "t", "home", "copies", "vector", "block", other).withColumns(
         {"one": F.least("block", "other"), "two": F.greatest("block", "other")}
     )
     found = cut(
