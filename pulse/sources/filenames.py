@@ -36,12 +36,19 @@ def with_parsed(rows: DataFrame, filename: str, out: str = "p") -> DataFrame:
     steps = rows.withColumn(bare, F.trim(F.replace(name, F.lit("_"), F.lit(" "))))
     steps = steps.withColumn(body, F.trim(F.regexp_replace(bare, _GROUP, "")))
     text = F.col(body)
+    # One test before the groups of a pattern that most names don't have.
+    ranged, seasoned = text.rlike(_RANGE), text.rlike(_SEASON_EPISODE)
     steps = steps.withColumns(
         {
-            first: _number(text, _RANGE, 1),
-            last: _number(text, _RANGE, 2),
-            season: _number(text, _SEASON_EPISODE, 1),
-            number: F.coalesce(_number(text, _SEASON_EPISODE, 2), _number(text, _DASH_EPISODE)),
+            first: F.when(ranged, _number(text, _RANGE, 1)),
+            season: F.when(seasoned, _number(text, _SEASON_EPISODE, 1)),
+        }
+    )
+    later = F.when(F.col(season).isNotNull(), _number(text, _SEASON_EPISODE, 2))
+    steps = steps.withColumns(
+        {
+            last: F.when(F.col(first).isNotNull(), _number(text, _RANGE, 2)),
+            number: F.coalesce(later, _number(text, _DASH_EPISODE)),
         }
     )
     steps = steps.withColumn(batch, F.coalesce(F.col(last) > F.col(first), F.lit(False)))
@@ -51,9 +58,10 @@ def with_parsed(rows: DataFrame, filename: str, out: str = "p") -> DataFrame:
         .otherwise(F.regexp_replace(text, _DASH_EPISODE + r".*$", ""))
     )
     steps = steps.withColumn(head, F.trim(F.regexp_replace(before, r"\s*[\[(].*$|\s*-\s*$", "")))
-    named = F.coalesce(*[_number(F.col(head), _TITLE_SEASON, i) for i in (1, 2, 3)])
+    marked = F.col(head).rlike(_TITLE_SEASON)
+    named = F.when(marked, F.coalesce(*[_number(F.col(head), _TITLE_SEASON, i) for i in (1, 2, 3)]))
     parts = F.struct(
-        F.trim(F.regexp_replace(head, _TITLE_SEASON, "")).alias("title"),
+        F.when(marked, F.trim(F.regexp_replace(head, _TITLE_SEASON, ""))).otherwise(F.col(head)).alias("title"),
         F.coalesce(F.col(season), named).alias("season"),
         F.when(~F.col(batch), F.col(number)).alias("episode"),
         F.when(F.col(batch), F.sequence(first, last)).alias("episodes"),
