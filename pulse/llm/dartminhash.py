@@ -19,7 +19,8 @@ each other, in blocks of bounded size. The classes are those of all pairs that s
 
 Null text counts as empty; texts without words are equal to each other and to nothing else.
 Rows with the same text are one class whatever their ids; rows without id take no part and
-are kept by `near_dedup`. An empty table gives an empty result.
+are kept by `near_dedup`. An id that stands on unrelated texts can name several classes: `component` tells
+them apart, and `near_dedup` keeps a row of each. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -223,8 +224,9 @@ def classes(
     bands: int = BANDS,
     count_repeats: bool = False,
 ) -> DataFrame:
-    """(id, x, y, class, n_copies, n_links) of every row with an id: two hashes of the text, the smallest id
-    of its class, the rows with exactly its text, and the different texts found to be linked to it.
+    """(id, x, y, class, component, n_copies, n_links) of every row with an id: two hashes of the text, the
+    smallest id of its class, a number of the class that no other class has, the rows with exactly its text,
+    and the different texts found to be linked to it.
 
     `count_repeats` weighs a shingle by its occurrences, in the signatures alone: what meets is
     always compared by distinct shingles.
@@ -277,9 +279,11 @@ def classes(
     firsts = cut(_with_class(members.select(F.col("first.t").alias("t"), F.col("first.id").alias("first_id")).distinct(), links))
     names = firsts.groupBy("class").agg(F.min("first_id").alias("class_id"))
     named = firsts.join(names, "class").join(degree, "t", "left").select(
-        "t", F.col("class_id").alias("class"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
-    )
-    return members.withColumn("t", F.col("first.t")).join(named, "t").select("id", "x", "y", "class", "n_copies", "n_links")
+        "t", F.col("class_id").alias("class"), F.col("class").alias("component"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+    )
+    columns = ["id", "x", "y", "class", "component", "n_copies", "n_links"]
+    return members.withColumn("t", F.col("first.t")).join(named, "t").select(*columns)
 
 
 def _with_class(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -295,9 +299,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order. Rows without id all stay.
     """
     found = cut(classes(docs, id_col, text_col, **parameters))
-    kept = found.where("id = class").groupBy("id", "x", "y").agg(F.count("*").alias("rows"))
-    # One id with several texts in its class: the smallest hash.
-    kept = cut(kept.groupBy("id").agg(F.min(F.struct("x", "y", "rows")).alias("k")).select("id", "k.*"))
+    kept = found.where("id = class").groupBy("component", "id", "x", "y").agg(F.count("*").alias("rows"))
+    # One id with several texts in its class: the smallest hash. One id that names several classes: each stays.
+    kept = cut(kept.groupBy("component").agg(F.min(F.struct("id", "x", "y", "rows")).alias("k")).select("k.*"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     blank = ~text.rlike(r"[^\x20\x09-\x0D]")
     # The row is one struct column, so that its columns may have any names.

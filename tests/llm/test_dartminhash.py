@@ -83,6 +83,15 @@ def test_repeated_rows_ids_and_nulls(spark):
     assert [k[1] for k in kept if not k[0]].count(1) == 1 and 2 not in [k[1] for k in kept]
 
 
+def test_an_id_on_unrelated_texts_loses_none_of_them(spark):
+    rows = [(3, "other words", 0, ""), (3, "unlike these", 0, ""), (0, "p q r s t u v", 0, ""), (0, "a b c d e f g", 0, "")]
+    rows += [(7, "p q r s t u v", 0, ""), (8, "a b c d e f g", 0, ""), (0, "a b c d e f g", 0, ""), (5, "alone", 0, "")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = sorted((r.doc_id, r.text) for r in dart.near_dedup(docs).collect())
+    assert kept == [(0, "a b c d e f g"), (0, "p q r s t u v"), (3, "other words"), (3, "unlike these"), (5, "alone")]
+    assert len({r.component for r in dart.classes(docs).collect()}) == 5
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert dart.classes(docs).count() == 0 and dart.near_dedup(docs).count() == 0
