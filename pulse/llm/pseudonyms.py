@@ -8,6 +8,9 @@ equal values get equal pseudonyms in every document, different values different
 the key's owner can go back. No value is its own pseudonym: E^-1(E(x) + 1) is taken, a keyed
 permutation without fixed points.
 
+Keys and tokens behind their name may have any length from 16 characters on, and parts with dots between; those
+above 128 characters are changed block by block. Days and months may have one digit, and keep it.
+
 Rows are treated one by one, in one pass without a shuffle. Null text stays null, an empty
 text stays empty; all other columns stay as they are.
 """
@@ -184,6 +187,7 @@ def _date(m: re.Match, key: bytes, back: bool) -> str | None:
     year = m["y1"] or m["y2"]
     month, day = (m["m1"], m["d1"]) if year_first else (m["a2"], m["b2"])
     mark = m["s1"] if year_first else m["s2"]
+    fields = month, day
     day_first = not year_first and (mark == "." or int(month) > 12)
     if day_first:
         month, day = day, month
@@ -193,18 +197,20 @@ def _date(m: re.Match, key: bytes, back: bool) -> str | None:
         return None
     if not 0 <= at < _DAYS:
         return None
-    # A format's days: those that are read back in the same order of day and month.
+    # A format's days: those that are read back in the same order of day and month, and written as wide.
+    narrow = min(map(len, fields)) == 1
     network = _network(key, "date", _DAYS)
     while True:
         at = network.swap(at, back)
         new = datetime.date.fromordinal(at + _DAY_ONE)
-        if year_first:
-            return f"{new.year:04}{mark}{new.month:02}{mark}{new.day:02}"
-        if mark == ".":
-            return f"{new.day:02}.{new.month:02}.{new.year:04}"
-        if day_first == (new.day > 12) or not day_first:
-            first, second = (new.day, new.month) if day_first else (new.month, new.day)
-            return f"{first:02}{mark}{second:02}{mark}{new.year:04}"
+        if day_first and mark != "." and new.day <= 12:
+            continue
+        pair = (new.day, new.month) if day_first else (new.month, new.day)
+        # Beside a field of one digit, one of two digits keeps its leading zero or that it has none.
+        if narrow and any((n < 10) != (len(f) == 1 or f[0] == "0") for n, f in zip(pair, fields, strict=True)):
+            continue
+        one, two = (f"{n:0{len(f)}}" for n, f in zip(pair, fields, strict=True))
+        return f"{new.year:04}{mark}{one}{mark}{two}" if year_first else f"{one}{mark}{two}{mark}{new.year:04}"
 
 
 def _written_date(m: re.Match, key: bytes, back: bool) -> str | None:
@@ -236,28 +242,45 @@ def _email(m: re.Match, key: bytes, back: bool) -> str | None:
     return f"{new}@{m['domain']}"
 
 
+_SECRET_BLOCK = 128
+
+
+def _secret_block(value: str, key: bytes, hexadecimal: bool, upper: bool, back: bool) -> str:
+    if not hexadecimal:
+        return _characters(value, key, "secret", back)
+    number = _network(key, f"hex{len(value)}", 16 ** len(value)).swap(int(value, 16), back)
+    new = f"{number:0{len(value)}x}"
+    return new.upper() if upper else new
+
+
 def _secret(m: re.Match, key: bytes, back: bool) -> str | None:
     value = m["value"]
-    if not any(c.isdigit() for c in value):
+    if value is None or not any(c.isdigit() for c in value):
         return None
-    if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value):
-        letters = "0123456789abcdef" if value == value.lower() else "0123456789ABCDEF"
-        number = _network(key, f"hex{len(value)}", 16 ** len(value)).swap(int(value, 16), back)
-        new = f"{number:0{len(value)}x}"
-        new = new if letters[-1] == "f" else new.upper()
+    hexadecimal = re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value) is not None
+    upper = hexadecimal and value != value.lower()
+    if len(value) <= _SECRET_BLOCK:
+        new = _secret_block(value, key, hexadecimal, upper, back)
     else:
-        new = _characters(value, key, "secret", back)
+        # Each block under a key made of the plain blocks before: its numbers stay within what a round changes.
+        parts, chain = [], hmac.new(key, f"long secret:{len(value)}".encode(), hashlib.sha256)
+        for at in range(0, len(value), _SECRET_BLOCK):
+            given = value[at : at + _SECRET_BLOCK]
+            parts.append(_secret_block(given, chain.digest(), hexadecimal, upper, back))
+            chain.update((parts[-1] if back else given).encode())
+        new = "".join(parts)
     return m[0][: m.start("value") - m.start()] + new + m[0][m.end("value") - m.start() :]
 
 
+# A secret has a part of 16 characters at least; short parts with dots are stepped over, so that none is read twice.
 # In order of precedence: what an earlier kind has taken, a later one doesn't see.
 KINDS: dict[str, tuple[str, Callable[[re.Match, bytes, bool], str | None]]] = {
     "email": (r"(?P<local>(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63})@(?P<domain>(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24})(?![\w-])", _email),
-    "secret": (r"(?i:\b(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|key)\b[\"']?\s{0,3}[:=]\s{0,3}[\"']?)(?P<value>[A-Za-z0-9_+/=-]{16,512})(?![A-Za-z0-9_+/=-])", _secret),
+    "secret": (r"(?i:\b(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|key)\b[\"']?\s{0,3}[:=]\s{0,3}[\"']?)(?:(?P<value>(?:[A-Za-z0-9_+/=-]{1,15}+\.)*+[A-Za-z0-9_+/=-]{16,}+(?:\.[A-Za-z0-9_+/=-]++)*+)|(?:[A-Za-z0-9_+/=-]{1,15}+\.)++)", _secret),
     "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])", _iban),
     "card": (r"(?<![\w.+-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-]|\.\d)", _card),
     "address": (r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)", _address),
-    "date": (r"(?<![\w./-])(?:(?P<y1>(?:19|20)\d\d)(?P<s1>[-/.])(?P<m1>\d\d)(?P=s1)(?P<d1>\d\d)|(?P<a2>\d\d)(?P<s2>[-/.])(?P<b2>\d\d)(?P=s2)(?P<y2>(?:19|20)\d\d))(?![\w/-]|\.\d)", _date),
+    "date": (r"(?<![\w./-])(?:(?P<y1>(?:19|20)\d\d)(?P<s1>[-/.])(?P<m1>\d{1,2})(?P=s1)(?P<d1>\d{1,2})|(?P<a2>\d{1,2})(?P<s2>[-/.])(?P<b2>\d{1,2})(?P=s2)(?P<y2>(?:19|20)\d\d))(?![\w/-]|\.\d)", _date),
     "written date": (rf"(?i:(?<![\w.-])(?:(?P<d1>[1-9]|[12]\d|3[01]) (?P<n1>{_NAMED}) (?P<y1>(?:19|20)\d\d)|(?P<n2>{_NAMED}) (?P<d2>[1-9]|[12]\d|3[01])(?P<comma>,?) (?P<y2>(?:19|20)\d\d)))(?![\w-])", _written_date),
     "social": (r"(?<![\w-])(?P<area>\d{3})(?P<mark>[- ])(?P<group>\d{2})(?P=mark)(?P<serial>\d{4})(?![\w-])", _social),
     "phone": (r"(?<![\w+])(?:(?P<country>\+\d{1,3})[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[-. ]\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?![\w-])", _phone),

@@ -1,5 +1,7 @@
 import datetime
+import random
 import re
+import time
 
 import pytest
 
@@ -61,6 +63,36 @@ def test_new_values_are_valid():
             assert spans and p.replace(new, KEY, back=True)[0] == text, (text, new)
 
 
+def test_secrets_of_any_length_and_with_dots():
+    letters = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ-_"
+    draw = lambda n, of=letters: "".join(random.Random(n).choices(of, k=n))
+    values = [draw(n) for n in (16, 128, 129, 512, 513, 5000, 200_000)] + [draw(n, "0123456789abcdef") for n in (300, 600, 2000)]
+    values += [draw(1000, "0123456789ABCDEF"), f"{draw(36)}.{draw(700)}.{draw(43)}", f"v1.{draw(40)}", f"{draw(24)}.{draw(6)}.{draw(27)}"]
+    for value in values:
+        text = f"first token = '{value}'. Then more."
+        new, spans = p.replace(text, KEY)
+        assert [s[2] for s in spans] == ["secret"], value[:50]
+        changed = new[len("first token = '") : -len("'. Then more.")]
+        assert len(changed) == len(value) and p.replace(text, KEY)[0] == new
+        # No stretch of it stays, and each part changes.
+        assert all(changed[a : a + 16] != value[a : a + 16] for a in range(0, len(value) - 15, 16))
+        assert all(a != b for a, b in zip(changed.split("."), value.split("."), strict=True) if len(a) > 5)
+        assert p.replace(new, KEY, back=True)[0] == text
+    # A short dotted word hides no secret behind it, and long rows of them are read once.
+    assert p.replace("key: a.key: 0123456789abcdef01.", KEY)[1] and p.replace("key: a.b1 c", KEY) == ("key: a.b1 c", [])
+    began = time.perf_counter()
+    assert p.replace("key=a1." * 100_000, KEY)[1] == [] and time.perf_counter() - began < 20
+
+
+@pytest.mark.parametrize("text", ["3/5/1984", "12/5/1984", "3/15/1984", "31/1/1990", "5.3.1984", "24.3.1984", "5.12.1984", "1984-3-5", "1984/11/5", "1984-3-25", "03/5/1984", "5.03.1984"])
+def test_days_and_months_of_one_digit(text):
+    new, spans = p.replace(f"on {text}.", KEY)
+    assert spans == [(3, 3 + len(text), "date")] and new != f"on {text}."
+    assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", f"on {text}.")
+    assert p.replace(new, KEY, back=True)[0] == f"on {text}."
+    assert p.replace("0/5/1984 2021-2-30", KEY)[1] == []
+
+
 @pytest.mark.parametrize("text", ["9807915762804490", "10.0.0.300", "1.2.3.4.5", "2021-13-40", "000-12-3456", "version 3.0, page 12345", "GB00WEST12345698765432", "", "no numbers"])
 def test_what_is_not_valid_stays(text):
     assert p.replace(text, KEY) == (text, [])
