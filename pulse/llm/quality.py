@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from pulse.llm.common import bounded_batches
 from pulse.llm.hashing import batches, mixed, prefix_sums, stretches, word_spans
+from pulse.session import cut
 
 PASSAGE = 1024
 TRIGRAMS = 256
@@ -179,10 +180,11 @@ def train(
     text_col: str = "text",
     label_col: str = "quality",
     max_documents: int = 6000,
-    max_passages: int = 32,
+    max_passages: int = 32_768,
 ) -> Model | None:
     """Fit on at most `max_documents` labelled documents outside the held-out fold, chosen by a hash of the
-    id, and at most `max_passages` passages of each, evenly spaced. Only their features reach the driver.
+    id, with all their passages: as many documents, in the order of the hash, as have `max_passages` passages in
+    all. A text that has more by itself is left out. Only their features reach the driver.
 
     Labels of one id are averaged, null labels are none. None if there are not labels of both kinds.
     """
@@ -204,16 +206,18 @@ def train(
         for frame in frames:
             for a, b in batches(frame["text"].tolist()):
                 x, first = passages(frame["text"].tolist()[a:b])
-                bags = []
-                for s, e in zip(first, first[1:], strict=False):
-                    rows = np.unique(np.linspace(s, e - 1, min(max_passages, e - s)).astype(int))
-                    bags.append(x[rows].astype("<f4").tobytes())
+                fits = [(s, e) if e - s <= max_passages else (s, s) for s, e in zip(first, first[1:], strict=False)]
+                bags = [x[s:e].astype("<f4").tobytes() for s, e in fits]
                 yield pd.DataFrame({"doc_id": frame["doc_id"][a:b], "label": frame["label"][a:b], "x": bags})
 
-    encoded = sample.mapInPandas(encode, "doc_id long, label int, x binary")
+    encoded = sample.mapInPandas(encode, "doc_id long, label int, x binary").where("length(x) > 0")
     # Copies of one id would let the sample grow with the data: one text of each stays.
-    bags = encoded.groupBy("doc_id").agg(F.max(F.struct("label", "x")).alias("bag")).select("doc_id", "bag.*")
-    bags = bags.orderBy("doc_id").toArrow()
+    bags = cut(encoded.groupBy("doc_id").agg(F.max(F.struct("label", "x")).alias("bag")).select("doc_id", "bag.*"))
+    sizes = bags.select("doc_id", F.length("x") / (4 * DIMENSIONS)).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    # Whole documents up to the bound.
+    n = int((np.cumsum([r[1] for r in sizes]) <= max_passages).sum())
+    taken = docs.sparkSession.createDataFrame([(r[0],) for r in sizes[:n]], "doc_id long")
+    bags = bags.join(F.broadcast(taken), "doc_id").orderBy("doc_id").toArrow()
     y = bags["label"].to_numpy().astype(np.float64)
     if not len(y) or y.min() == y.max():
         return None

@@ -51,6 +51,20 @@ def test_held_out_labels_are_not_learned(spark):
     assert quality.train(docs, labels) is None
 
 
+def test_all_passages_of_a_document_are_learned(spark, monkeypatch):
+    learned = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != quality.HELD_OUT][:12]
+    sizes = {d: 100 * 1024 - 1 if k == 0 else (1 + k % 3) * 1024 - 1 for k, d in enumerate(learned)}
+    docs = spark.createDataFrame([(d, "ab c " * (n // 5) + "x" * (n % 5)) for d, n in sizes.items()], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, k % 2) for k, d in enumerate(learned)], "doc_id long, quality int")
+    monkeypatch.setattr(quality, "fit", lambda x, first, y: (len(x), np.diff(first).tolist()))
+    full = [(n + 1) // 1024 for _, n in sorted(sizes.items())]
+    assert quality.train(docs, labels) == (sum(full), full)
+    # Fewer documents, but whole ones; a text above the bound goes alone.
+    total, some = quality.train(docs, labels, max_passages=12)
+    rest = iter(full)
+    assert 9 < total <= 12 and all(n in rest for n in some) and 100 not in some
+
+
 def test_gradients_agree_with_differences():
     rng = np.random.default_rng(0)
     x, first = rng.normal(size=(12, quality.DIMENSIONS)), np.array([0, 3, 4, 12])
