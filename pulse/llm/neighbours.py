@@ -33,7 +33,7 @@ SAMPLE = 16_384
 ROWS_PER_PART = 1_000
 MOST_PARTS = 64
 BLOCK = 8_192
-AIM = 0.95
+AIM = 0.97
 
 
 def nearest(x: np.ndarray, y: np.ndarray, k: int, skip_self: bool = False) -> np.ndarray:

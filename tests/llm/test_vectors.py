@@ -115,3 +115,12 @@ def test_partition_is_balanced_and_follows_the_graph():
     part = neighbours.balanced_parts(x, graph, 4)
     assert set(np.bincount(part)) == {100}
     assert (part[:, None] == part[graph]).mean() > 0.95
+
+
+def test_router_finds_97_of_100_neighbours():
+    x = np.random.default_rng(1).normal(size=(3000, 16))
+    router = neighbours.fit(x, 16)
+    queries, base = x[:300], x[300:]
+    rank = np.argsort(router.ranked(queries), axis=1)
+    home = router.logits(base).argmax(1)[neighbours.nearest(queries, base, 10)]
+    assert (np.take_along_axis(rank, home, 1) < router.visits).mean() >= 0.97
