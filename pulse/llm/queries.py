@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.llm import crosspolytope, dartminhash, mixing, neighbours, packing, pages, pseudonyms, quality, suffixes, urls
+from pulse.llm import (
+    crosspolytope,
+    dartminhash,
+    decontamination,
+    divergence,
+    mixing,
+    neighbours,
+    packing,
+    pages,
+    pseudonyms,
+    quality,
+    resampling,
+    suffixes,
+    urls,
+)
 from pulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,3 +211,117 @@ def op9_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), KEY)
     return docs.select("doc_id", "text", "pii_spans", F.size("pii_spans").alias("n_spans"))
+
+
+@register
+def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontamination.mark(docs, table(spark, sf_dir, "benchmark"))
+    hits = F.aggregate(F.zip_with("leak.starts", "leak.ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda n, x: n + x)
+    return marked.select(
+        "doc_id", "leak.n_words", hits.alias("n_hit"), F.size("leak.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("leak.items", ","), 256).alias("items_sha256"), (hits > 0).alias("contaminated"),
+    )
+
+
+_WORDS_SQL = r"""coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), CAST([] AS VARCHAR[]))"""
+
+SQL["op11_benchmark_decontamination"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS row_no, doc_id, {_WORDS_SQL} AS w FROM documents),
+items AS (SELECT item_id, {_WORDS_SQL} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[pos:pos + k - 1], ' ') AS words
+  FROM (SELECT item_id, w, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS pos FROM items WHERE len(w) > 0)
+), places AS (
+  SELECT row_no, k, pos, array_to_string(w[pos:pos + k - 1], ' ') AS words
+  FROM (SELECT row_no, w, k, unnest(range(1, len(w) - k + 2)) AS pos FROM docs, (SELECT DISTINCT k FROM windows))
+), met AS (SELECT row_no, k, pos, item_id FROM places JOIN windows USING (k, words)),
+hits AS (SELECT row_no, count(DISTINCT word) AS n_hit FROM (SELECT row_no, unnest(range(pos, pos + k)) AS word FROM met) GROUP BY row_no),
+found AS (
+  SELECT row_no, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM met GROUP BY row_no
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (row_no) LEFT JOIN found USING (row_no)"""
+
+
+@register
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = resampling.resample(docs, table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# CRC-32 written out over the bytes of each distinct word.
+SQL["op12_importance_resampling"] = f"""
+WITH bits AS (
+  SELECT list(c ORDER BY i) AS crc FROM (
+    SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c
+    FROM range(256) t(i))
+), docs AS (SELECT row_number() OVER () AS row_no, doc_id, {_WORDS_SQL} AS w FROM documents),
+doc_words AS (SELECT row_no, unnest(w) AS word FROM docs),
+target_words AS (SELECT unnest({_WORDS_SQL}) AS word FROM benchmark),
+hashed AS (
+  SELECT word, xor(list_reduce(list_transform(range(0, len(hex(encode(word))), 2), lambda i: CAST('0x' || substr(hex(encode(word)), i + 1, 2) AS BIGINT)),
+                               lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM (SELECT word FROM doc_words UNION SELECT word FROM target_words), bits
+), source AS (SELECT bucket, count(*) AS s FROM doc_words JOIN hashed USING (word) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM target_words JOIN hashed USING (word) GROUP BY bucket),
+totals AS (SELECT (SELECT count(*) FROM doc_words) AS s_all, (SELECT count(*) FROM target_words) AS t_all),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((CAST(coalesce(t, 0) + 1 AS DOUBLE) * CAST(s_all + 10000 AS DOUBLE))
+                                    / (CAST(coalesce(s, 0) + 1 AS DOUBLE) * CAST(t_all + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+  FROM source FULL JOIN target USING (bucket), totals
+), weights AS (
+  SELECT row_no, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight
+  FROM doc_words JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY row_no
+), scored AS (
+  SELECT row_no, doc_id, len(w) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256(concat('2024:', coalesce(CAST(doc_id AS VARCHAR), ''))), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+           / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM docs LEFT JOIN weights USING (row_no)
+), drawn AS (
+  SELECT row_no, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, row_no) AS rank FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN rank <= (SELECT count(*) FROM drawn) * 10 // 100 THEN rank END AS rank
+FROM scored LEFT JOIN drawn USING (row_no)"""
+
+
+@register
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+SQL["op13_source_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_no, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), words AS (SELECT row_no, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT row_no) >= 10),
+langs AS (SELECT lang, count(*) AS v, CAST(sum(n) AS HUGEINT) AS total FROM kept GROUP BY lang),
+counted AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+totals AS (SELECT lang, source, CAST(sum(n) AS HUGEINT) AS total FROM counted GROUP BY lang, source),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 2) // (coalesce(t.total, 0) + 2 * l.v) AS p,
+         1 + CAST(1000000000 AS HUGEINT) * (k.n + 2) // (l.total + 2 * l.v) AS q
+  FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN totals t USING (lang, source)
+  LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), parts AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN pairs p ON p.lang = g.lang AND p.source = g.source AND p.item = h.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // (p + q) AS BIGINT) FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM parts
+) WHERE part = 'pair' OR rank <= 10"""
