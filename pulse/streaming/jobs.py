@@ -1,203 +1,492 @@
-"""The collection's incremental behaviour as Structured Streaming jobs.
+"""The collection's incremental behaviour as Structured Streaming jobs with keyed state.
 
-Each job handles a micro-batch and the stored rows of the keys it touches, so results equal a
-full recompute whatever the order of arrival. State is tables, not executor memory: what a
-batch reads is bounded by the keys and days it touches, and by one row per key (or per key and
-day) since the last compaction.
+What a batch costs follows the rows it brings and the state of their keys; no job reads what earlier
+batches wrote. State is bounded: keys seen within a horizon, the readings of a slot until its lateness has
+passed, three readings a key, open weeks. Results are appended by Spark's file sink, which writes every batch
+once whatever fails, as changes with a version: the newest version of a row counts.
+
+Where a job needs a clock it is the column `arrived`, the time of arrival, so that no row is too late
+for its watermark; without one the batch's time is taken.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from bisect import bisect_left
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from pulse.functions.times import utc
-from pulse.operators.schedule import DEAD_AFTER
-from pulse.operators.store import first_per_key, last_per_key, latest_per_key, skip_existing
-from pulse.session import cut
-from pulse.streaming.tables import (
-    append_days,
-    read_batches,
-    read_days,
-    read_log,
-    write_batch,
-    write_log,
-)
-
-_READING = "infohash string, timestamp timestamp, downloads bigint"
-_END = "struct<timestamp: timestamp, downloads: bigint>"
-_EDGES = f"infohash string, day date, first {_END}, last {_END}"
-_COUNTERS = "struct<timestamp: timestamp, seeders: int, leechers: int, downloads: bigint>"
-_RECENT = f"infohash string, recent array<{_COUNTERS}>"
-_DELTAS = "infohash string, timestamp timestamp, downloads_delta bigint"
-
-
-def _start(stream: DataFrame, checkpoint: str, step) -> StreamingQuery:
-    return (
-        stream.writeStream.foreachBatch(step)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+from pulse.operators.schedule import AGE_CLASSES, DEAD_AFTER
+from pulse.operators.store import first_per_key, last_per_key, skip_existing
+from pulse.session import cut, literal_rows
 
+_DAY = 86400
+SLOT_SECONDS = _DAY
+# Nothing is read after its last age class, so a key silent for longer has ended.
+RETENTION = "200 days"
+LATENESS = "30 days"
 
-def first_rows(
-    stream: DataFrame, target: str, checkpoint: str, schema: str, key: list[str], order: list[Column]
-) -> StreamingQuery:
-    """Append the first row seen of each key. Known keys are a log of their own, so the rows
-    written before are not read again."""
-    types = dict(f.strip().split(" ", 1) for f in schema.split(","))
-    key_schema = ", ".join(f"{k} {types[k]}" for k in key)
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        known = read_log(batch.sparkSession, f"{target}_keys", key_schema, key, batch_id)
-        new = cut(skip_existing(first_per_key(batch, key, order), known, key))
-        write_batch(new, target, batch_id)
-        write_log(new.select(*key), f"{target}_keys", key_schema, key, batch_id)
+def _milliseconds(duration: str) -> int:
+    return int(pd.Timedelta(duration).total_seconds() * 1000)
+
+
+def _start(writer, checkpoint: str) -> StreamingQuery:
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _append(rows: DataFrame, path: str, checkpoint: str, partitions: tuple[str, ...] = ()) -> StreamingQuery:
+    writer = rows.writeStream.format("parquet").outputMode("append").option("path", path)
+    return _start(writer.partitionBy(*partitions) if partitions else writer, checkpoint)
+
+
+def appended(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What the file sink has committed; empty before its first batch."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        return literal_rows(spark, [], schema)
+
+
+def state_rows(spark: SparkSession, checkpoint: str, schema: str) -> DataFrame:
+    """The state of a query with one stateful operator, as key and value; empty before its first batch."""
+    try:
+        return spark.read.format("statestore").load(checkpoint)
+    except AnalysisException:
+        return literal_rows(spark, [], schema)
 
-    return _start(stream, checkpoint, step)
 
+def _arrival(stream: DataFrame, arrived: str | None, within: str = "1 millisecond") -> DataFrame:
+    clock = F.col(arrived) if arrived else F.current_timestamp()
+    return stream.withColumn("arrived_", clock.cast("timestamp")).withWatermark("arrived_", within)
 
-def _delta_step(spark: SparkSession, root: str, batch: DataFrame, batch_id: int) -> None:
-    """The deltas that the batch's readings have and those that they change.
 
-    Readings are stored by day, and a log keeps the first and last of each key and day. A batch
-    reads the days of its keys that it adds to, and the log of its keys. A delta changes
-    when the reading or the one before it is new; that one may be on an earlier day, and the
-    reading after a day's last may be on a later one.
+# Timers count on the clock: state goes when its key has had no rows for so long. (Timers of processing time would
+# never let a query end that takes in what there is.)
+_CLOCK = "unix_millis(arrived_) AS clock"
+_TIMERS = GroupStateTimeout.EventTimeTimeout
+
+
+def _keep_for(state: GroupState, clock: int, milliseconds: int) -> None:
+    state.setTimeoutTimestamp(max(clock, state.getCurrentWatermarkMs()) + milliseconds + 1)
+
+
+# ---- first rows -------------------------------------------------------------
+
+
+def first_rows(
+    stream: DataFrame, target: str, checkpoint: str, key: list[str], order: list[str],
+    arrived: str | None = None, within: str = "2 days",
+) -> StreamingQuery:
+    """Append the first row of each key to ``target``: of those in one batch the first in order.
+
+    Rows listed again within the horizon (feeds repeat their items for days) go by Spark's state,
+    which holds the keys of the horizon only. What comes again later meets the stored keys,
+    of which a batch reads the partitions (a digit of the key's hash) that it has rows for.
     """
-    arrived = batch.select("infohash", utc("timestamp").alias("timestamp"), F.col("downloads").cast("bigint"))
-    arrived = cut(
-        last_per_key(arrived, ["infohash", "timestamp"], [F.col("downloads")]).withColumn("day", F.to_date("timestamp"))
-    )
-    place = ["infohash", "day"]
-    touched = arrived.select(*place).distinct()
-    log = read_log(spark, f"{root}/edges", _EDGES, place, batch_id)
-    edges = cut(log.join(arrived.select("infohash").distinct(), "infohash", "left_semi"))
-    # Days in which one of these keys has readings already: dates, a few for each batch.
-    days = [r["day"] for r in edges.join(touched, place, "left_semi").select("day").distinct().collect()]
-    stored = read_days(spark, f"{root}/readings", _READING, days, batch_id).drop("batch")
-    stored = last_per_key(stored.join(touched, place, "left_semi"), ["infohash", "timestamp"], [F.col("downloads")])
-    again = stored.join(arrived, ["infohash", "timestamp"], "left_anti")
-    rows = cut(
-        arrived.withColumn("new", F.lit(True)).unionByName(again.withColumn("new", F.lit(False)))
-    )
-    reading = F.struct("timestamp", "downloads", "new")
-    ends = rows.groupBy(*place).agg(F.min(reading).alias("first"), F.max(reading).alias("last"))
-    old = lambda c: F.struct(f"{c}.timestamp", f"{c}.downloads", F.lit(False).alias("new")).alias(c)
-    others = edges.join(touched, place, "left_anti").select(*place, old("first"), old("last"), F.lit(False).alias("here"))
-    by_day = Window.partitionBy("infohash").orderBy("day")
-    around = cut(
-        ends.withColumn("here", F.lit(True)).unionByName(others)
-        .withColumn("before", F.lag("last").over(by_day))
-        .withColumn("after", F.lead(F.struct("first", "here")).over(by_day))
-        .filter("here")
+    seen = _arrival(stream, arrived, within).dropDuplicatesWithinWatermark([*key, *order]).drop("arrived_")
+    columns = seen.columns
+    stored = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in seen.schema)}, digit string, batch bigint"
+    digit = F.substring(F.sha1(F.concat_ws("\0", *[F.col(k).cast("string") for k in key])), 1, 1)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        found = cut(first_per_key(batch, key, [F.col(c) for c in order]).withColumn("digit", digit))
+        known = appended(batch.sparkSession, target, stored).filter(F.col("batch") < batch_id)
+        known = known.join(found.select("digit").distinct(), "digit", "left_semi")
+        new = skip_existing(found, known, key).withColumn("batch", F.lit(batch_id).cast("bigint"))
+        # A batch owns its folders and replaces them when it is run again.
+        (
+            new.select(*columns, "digit", "batch").write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("digit", "batch").parquet(target)
+        )
+
+    return _start(seen.writeStream.foreachBatch(step), checkpoint)
+
+
+# ---- counter deltas ---------------------------------------------------------
+
+_CHANGE = "infohash string, kind string, at bigint, value bigint, slot bigint, first bigint, last bigint, version bigint, fresh boolean"
+_SLOT_STATE = "at array<bigint>, downloads array<bigint>, version bigint"
+_KEY_STATE = "slots array<bigint>, at array<bigint>, first array<bigint>, last array<bigint>, version bigint"
+
+
+def _delta(now: int, then: int | None) -> int:
+    return now - then if then is not None and now > then else 0
+
+
+def _slot_step(retention: int):
+    columns = [f.split()[0] for f in _CHANGE.split(", ")]
+
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """Deltas within a slot of a key, and its ends when they change."""
+        if state.hasTimedOut:
+            state.remove()
+            return
+        infohash, slot = key
+        arrived: dict[int, int] = {}
+        clock = 0
+        for frame in frames:
+            clock = max(clock, int(frame["clock"].max()))
+            for at, downloads in zip(frame["at"].tolist(), frame["downloads"].tolist(), strict=True):
+                arrived[at] = max(downloads, arrived.get(at, downloads))
+        fresh = not state.exists
+        at, downloads, version = ([], [], 0) if fresh else state.get
+        old = dict(zip(at, downloads, strict=True))
+        changed = {t for t, n in arrived.items() if old.get(t) != n}
+        merged = sorted((old | arrived).items())
+        if changed:
+            version += 1
+            # A delta changes with its reading or with the one before.
+            rows = [
+                (infohash, "delta", t, _delta(n, n0), None, None, None, version, False)
+                for (t0, n0), (t, n) in zip(merged, merged[1:], strict=False) if t in changed or t0 in changed
+            ]
+            if {merged[0][0], merged[-1][0]} & changed:
+                rows.append((infohash, "edge", merged[0][0], None, slot, merged[0][1], merged[-1][1], version, fresh))
+            state.update(([t for t, _ in merged], [n for _, n in merged], version))
+            yield pd.DataFrame(rows, columns=columns)
+        _keep_for(state, clock, retention)
+
+    return run
+
+
+_FIRST = "infohash string, at bigint, value bigint, version bigint, late boolean"
+
+
+def _edge_step(retention: int):
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """Deltas of the first readings of a key's slots, from the ends of its slots."""
+        if state.hasTimedOut:
+            state.remove()
+            return
+        slots, ats, firsts, lasts, version = [list(x) for x in state.get[:4]] + [state.get[4]] if state.exists else ([], [], [], [], 0)
+        newest: dict[int, tuple] = {}
+        clock = 0
+        for frame in frames:
+            clock = max(clock, int(frame["clock"].max()))
+            for row in frame[["slot", "version", "at", "first", "last", "fresh"]].itertuples(index=False):
+                slot = int(row.slot)
+                if slot not in newest or int(row.version) > newest[slot][0]:
+                    newest[slot] = (int(row.version), int(row.at), int(row.first), int(row.last), bool(row.fresh))
+        before = {s: (a, f, p) for s, a, f, p in zip(slots, ats, firsts, [None, *lasts], strict=False)}
+        rows, touched = [], set()
+        version += 1
+        for slot, (edge_version, at, first, last, fresh) in newest.items():
+            place = bisect_left(slots, slot)
+            if place < len(slots) and slots[place] == slot:
+                if fresh and edge_version == 1:
+                    # The slot had readings that its state has forgotten.
+                    rows.append((key[0], at, None, version, True))
+                    continue
+                ats[place], firsts[place], lasts[place] = at, first, last
+            else:
+                for values, value in ((slots, slot), (ats, at), (firsts, first), (lasts, last)):
+                    values.insert(place, value)
+            touched.add(slot)
+        for slot in touched:
+            place = bisect_left(slots, slot)
+            for i in (place, place + 1):
+                now = (ats[i], firsts[i], lasts[i - 1] if i else None) if i < len(slots) else None
+                if now and before.get(slots[i]) != now:
+                    before[slots[i]] = now
+                    rows.append((key[0], now[0], _delta(now[1], now[2]), version, False))
+        state.update((slots, ats, firsts, lasts, version))
+        _keep_for(state, clock, retention)
+        if rows:
+            yield pd.DataFrame(rows, columns=["infohash", "at", "value", "version", "late"])
+
+    return run
+
+
+def slot_changes(
+    stream: DataFrame, root: str, checkpoint: str, arrived: str | None = None, slot_seconds: int = SLOT_SECONDS, lateness: str = LATENESS
+) -> StreamingQuery:
+    """The first of two queries: the deltas within each (key, slot of time), and the ends of slots that changed.
+
+    The state of a key is cut into slots, so a key with a third of all readings is many tasks' work, and a
+    reading, however late, meets the readings of its slot alone. A slot that gets nothing for `lateness` is forgotten.
+    """
+    micros = F.unix_micros(utc("timestamp"))
+    readings = _arrival(stream, arrived).select(
+        "infohash", micros.alias("at"), F.col("downloads").cast("bigint").alias("downloads"), F.expr(_CLOCK), "arrived_"
     )
-    within = Window.partitionBy(*place).orderBy("timestamp")
-    previous = F.coalesce(F.lag(reading).over(within), F.col("before"))
-    delta = lambda now, then: F.when(now > then, now - then).otherwise(0).alias("downloads_delta")
-    inside = (
-        rows.join(around.select(*place, "before"), place)
-        .withColumn("previous", previous)
-        .filter(F.col("new") | F.coalesce("previous.new", F.lit(False)))
-        .select("infohash", "timestamp", delta(F.col("downloads"), F.col("previous.downloads")))
+    readings = readings.dropna().withColumn("slot", F.floor(F.col("at") / (slot_seconds * 1_000_000)))
+    changes = readings.groupBy("infohash", "slot").applyInPandasWithState(
+        _slot_step(_milliseconds(lateness)), _CHANGE, _SLOT_STATE, "append", _TIMERS
     )
-    later = around.filter("last.new AND after IS NOT NULL AND NOT after.here").select(
-        "infohash", F.col("after.first.timestamp").alias("timestamp"),
-        delta(F.col("after.first.downloads"), F.col("last.downloads")),
+    return _append(changes, f"{root}/changes", checkpoint, ("kind",))
+
+
+def edge_changes(spark: SparkSession, root: str, checkpoint: str, retention: str = RETENTION) -> StreamingQuery:
+    """The second query: it follows the ends of slots that the first one wrote, one row per key and slot touched, and
+    gives the deltas of the slots' first readings."""
+    edges = spark.readStream.schema(_CHANGE).parquet(f"{root}/changes").filter("kind = 'edge'")
+    clocked = _arrival(edges, None).select("infohash", "slot", "version", "at", "first", "last", "fresh", F.expr(_CLOCK), "arrived_")
+    first = clocked.groupBy("infohash").applyInPandasWithState(
+        _edge_step(_milliseconds(retention)), _FIRST, _KEY_STATE, "append", _TIMERS
     )
-    write_batch(inside.unionByName(later), f"{root}/deltas", batch_id)
-    append_days(arrived, f"{root}/readings", batch_id)
-    end = lambda c: F.struct(f"{c}.timestamp", f"{c}.downloads").alias(c)
-    write_log(around.select(*place, end("first"), end("last")), f"{root}/edges", _EDGES, place, batch_id)
+    return _append(first, f"{root}/first", checkpoint)
 
 
-def incremental_deltas(stream: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Counter deltas under ``root/deltas``, per batch the new ones and those that a late reading has
-    changed; the newest row of (infohash, timestamp) counts."""
+def incremental_deltas(stream: DataFrame, root: str, checkpoint: str, **parameters) -> tuple[StreamingQuery, StreamingQuery]:
+    """Take in what there is: both queries, one after the other. Of readings of one time the highest in a batch counts,
+    and the newest batch; readings without a count are none."""
+    first = slot_changes(stream, root, f"{checkpoint}/slots", **parameters)
+    first.awaitTermination()
+    second = edge_changes(stream.sparkSession, root, f"{checkpoint}/edges")
+    second.awaitTermination()
+    return first, second
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        _delta_step(batch.sparkSession, root, batch, batch_id)
 
-    return _start(stream, checkpoint, step)
+def delta_changes(spark: SparkSession, root: str) -> DataFrame:
+    """(infohash, timestamp, downloads_delta, version) of all changes. A reading can stop being the first of
+    its slot, but not become it again, so changes within slots are newer than those between them."""
+    inside = appended(spark, f"{root}/changes", _CHANGE).filter("kind = 'delta'")
+    first = appended(spark, f"{root}/first", _FIRST).filter("NOT late")
+    row = ["infohash", F.timestamp_micros("at").alias("timestamp"), F.col("value").alias("downloads_delta")]
+    version = lambda n: F.struct(F.lit(n).alias("within"), "version").alias("version")
+    return inside.select(*row, version(1)).union(first.select(*row, version(0)))
 
 
-def emitted_deltas(spark: SparkSession, root: str, last: int) -> DataFrame:
-    """What the stream has emitted up to the batch ``last``, one row per reading."""
-    rows = read_batches(spark, f"{root}/deltas", _DELTAS, 0, last)
-    return last_per_key(rows, ["infohash", "timestamp"], [F.col("batch")]).drop("batch")
+def emitted_deltas(spark: SparkSession, root: str) -> DataFrame:
+    """What the stream has found so far, one row per reading."""
+    rows = delta_changes(spark, root)
+    return last_per_key(rows, ["infohash", "timestamp"], [F.col("version")]).drop("version")
 
 
-def dead_detection(stream: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Per batch under ``root/dead``, of each touched key whether its three newest readings exist and are
-    all zero. State is those readings, in the order newest first."""
-    columns = ["timestamp", "seeders", "leechers", "downloads"]
+def keys_to_recount(spark: SparkSession, root: str) -> DataFrame:
+    """Keys with readings that came after their slot was forgotten: a batch over their readings is needed."""
+    return appended(spark, f"{root}/first", _FIRST).filter("late").select("infohash").distinct()
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        arrived = batch.select("infohash", *columns).withColumn("timestamp", utc("timestamp"))
-        touched = arrived.select("infohash").distinct()
-        log = read_log(batch.sparkSession, f"{root}/recent", _RECENT, ["infohash"], batch_id)
-        before = log.join(touched, "infohash", "left_semi").select("infohash", F.inline("recent"))
-        pool = last_per_key(arrived.unionByName(before), ["infohash", "timestamp"], [F.col("downloads")])
-        newest = latest_per_key(pool, ["infohash"], [F.col("timestamp")], DEAD_AFTER)
-        ordered = F.reverse(F.array_sort(F.collect_list(F.struct(*columns)))).cast(f"array<{_COUNTERS}>")
-        recent = cut(newest.groupBy("infohash").agg(ordered.alias("recent")))
-        still = F.forall("recent", lambda r: (r["seeders"] == 0) & (r["leechers"] == 0) & (r["downloads"] == 0))
-        is_dead = (F.size("recent") == DEAD_AFTER) & still
-        write_batch(recent.select("infohash", is_dead.alias("is_dead")), f"{root}/dead", batch_id)
-        write_log(recent, f"{root}/recent", _RECENT, ["infohash"], batch_id)
 
-    return _start(stream, checkpoint, step)
+# ---- dead keys --------------------------------------------------------------
 
+_RECENT = "at array<bigint>, seeders array<int>, leechers array<int>, downloads array<bigint>, is_dead boolean, version bigint"
+_VERDICT = "infohash string, is_dead boolean, version bigint"
+_COUNTERS = ("seeders", "leechers", "downloads")
 
-def recent_readings(spark: SparkSession, root: str, last: int) -> DataFrame:
-    """The readings kept by the dead detection after the batch ``last``."""
-    return read_log(spark, f"{root}/recent", _RECENT, ["infohash"], last + 1).select("infohash", F.inline("recent"))
 
+def _newest(recent: list[tuple], rows: Iterator[tuple]) -> list[tuple]:
+    """The newest readings, of (at, seeders, leechers, downloads), newest first; of one time the highest in a frame
+    counts, and the newest frame."""
+    arrived: dict[int, tuple] = {}
+    for row in rows:
+        if row[0] not in arrived or row[3] > arrived[row[0]][3]:
+            arrived[row[0]] = row
+        if len(arrived) > 100:
+            arrived = {t: arrived[t] for t in sorted(arrived, reverse=True)[:DEAD_AFTER]}
+    merged = {r[0]: r for r in recent} | arrived
+    return [merged[t] for t in sorted(merged, reverse=True)[:DEAD_AFTER]]
 
-def dead_now(spark: SparkSession, root: str, last: int) -> DataFrame:
-    """Keys that their newest batch, up to ``last``, found dead."""
-    rows = read_batches(spark, f"{root}/dead", "infohash string, is_dead boolean", 0, last)
-    return last_per_key(rows, ["infohash"], [F.col("batch")]).filter("is_dead").select("infohash")
 
+def _all_zero(recent: list[tuple]) -> bool:
+    return len(recent) == DEAD_AFTER and all(n == 0 for r in recent for n in r[1:])
 
-def weekly_windows(deltas: DataFrame) -> DataFrame:
-    """Streaming totals per show and Sunday-to-Saturday week at UTC-5: 7-day
-    windows whose starts are shifted to Sunday 05:00 UTC.
 
-    State is one sum per show and week, and no reading is ever too late.
-    """
-    window = F.window("timestamp", "7 days", "7 days", "77 hours")
-    return (
-        deltas.groupBy(window.alias("w"), "anilist_id")
-        .agg(F.sum("downloads_delta").alias("downloads"))
-        .select(
-            F.date_format(F.col("w.start") - F.expr("INTERVAL 5 HOURS"), "yyyy-MM-dd").alias("week"),
-            "anilist_id",
-            "downloads",
-        )
+def _liveness_step(retention: int):
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        *columns, was_dead, version = state.get if state.exists else ([], [], [], [], False, 0)
+        recent, clock = list(zip(*columns, strict=True)), 0
+        for frame in frames:
+            clock = max(clock, int(frame["clock"].max()))
+            recent = _newest(recent, zip(*[frame[c].tolist() for c in ("at", *_COUNTERS)], strict=True))
+        is_dead = _all_zero(recent)
+        if is_dead != was_dead:
+            version += 1
+            yield pd.DataFrame({"infohash": [key[0]], "is_dead": [is_dead], "version": [version]})
+        state.update((*[list(c) for c in zip(*recent, strict=True)], is_dead, version))
+        _keep_for(state, clock, retention)
+
+    return run
+
+
+def dead_detection(
+    stream: DataFrame, root: str, checkpoint: str, arrived: str | None = None, retention: str = RETENTION
+) -> StreamingQuery:
+    """Under ``root`` the keys whose three newest readings have become all zero, or are so no more. State is
+    those readings; missing counters count as 0."""
+    counters = [F.coalesce(F.col(c), F.lit(0)).cast(t).alias(c) for c, t in zip(_COUNTERS, ("int", "int", "bigint"), strict=True)]
+    at = F.unix_micros(utc("timestamp")).alias("at")
+    readings = _arrival(stream, arrived).select("infohash", at, *counters, F.expr(_CLOCK), "arrived_").dropna()
+    verdicts = readings.groupBy("infohash").applyInPandasWithState(
+        _liveness_step(_milliseconds(retention)), _VERDICT, _RECENT, "append", _TIMERS
     )
+    return _append(verdicts, root, checkpoint)
+
+
+def recent_readings(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The readings that the dead detection holds, read from its state."""
+    rows = state_rows(spark, checkpoint, f"key struct<infohash: string>, value struct<groupState: struct<{_RECENT.replace(' ', ': ')}>>")
+    kept = rows.select("key.infohash", F.inline(F.arrays_zip(*[f"value.groupState.{c}" for c in ("at", *_COUNTERS)])))
+    return kept.select("infohash", F.timestamp_micros("at").alias("timestamp"), *_COUNTERS)
+
+
+def dead_now(spark: SparkSession, root: str) -> DataFrame:
+    """Keys whose newest verdict is that they are dead."""
+    return last_per_key(appended(spark, root, _VERDICT), ["infohash"], [F.col("version")]).filter("is_dead").select("infohash")
+
+
+# ---- due items --------------------------------------------------------------
+
+_ITEM = "status string, pubdate bigint, last bigint, at array<bigint>, seeders array<int>, leechers array<int>, downloads array<bigint>, is_due boolean, clock bigint, version bigint"
+_DUE = "infohash string, at bigint, is_due boolean, status string, version bigint"
+
+
+def due_at(status: str, pubdate: int | None, last: int | None, now: int) -> bool:
+    """Whether an active item is due: never read, or the gap of its age class has passed. Seconds."""
+    if status != "active" or pubdate is None:
+        return False
+    if last is None:
+        return True
+    for limit, _, gap in AGE_CLASSES:
+        if now - pubdate <= limit:
+            return now - last >= gap
+    return False
+
+
+def next_change(status: str, pubdate: int | None, last: int | None, now: int) -> int | None:
+    """The first second after ``now`` at which the item becomes due or ceases to be, if nothing is read."""
+    if status != "active" or pubdate is None or last is None:
+        return None
+    is_due = due_at(status, pubdate, last, now)
+    times = sorted({pubdate + limit + 1 for limit, _, _ in AGE_CLASSES} | {last + gap for _, _, gap in AGE_CLASSES})
+    return next((t for t in times if t > now and due_at(status, pubdate, last, t) != is_due), None)
+
+
+def _due_step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    status, pubdate, last, *columns, is_due, clock, version = state.get if state.exists else ("active", None, None, [], [], [], [], False, None, 0)
+    recent = list(zip(*columns, strict=True))
+    rows = []
+
+    def flip(at: int, now: bool) -> None:
+        nonlocal is_due, version
+        if now != is_due:
+            is_due, version = now, version + 1
+            rows.append((key[0], at, is_due, status, version))
+
+    def run_to(now: int) -> None:
+        """What happened since the last look by the passing of time alone."""
+        nonlocal clock
+        while clock is not None and (at := next_change(status, pubdate, last, clock)) is not None and at <= now:
+            clock = at
+            flip(at, due_at(status, pubdate, last, at))
+        clock = now
+
+    watermark = state.getCurrentWatermarkMs()
+    if state.hasTimedOut:
+        run_to((watermark + 1) // 1000)
+    else:
+        for frame in frames:
+            frame = frame.astype(object).where(frame.notna(), None)
+            run_to(max(int(frame["arrived"].max()), clock or 0))
+            for r in frame.itertuples(index=False):
+                if r.pubdate is not None and pubdate is None:
+                    pubdate = int(r.pubdate)
+                if r.status is not None and r.status != "active":
+                    status = r.status
+                if r.at is not None:
+                    last = max(int(r.at) // 1_000_000, last if last is not None else int(r.at) // 1_000_000)
+            readings = ((int(r.at), int(r.seeders), int(r.leechers), int(r.downloads)) for r in frame.itertuples(index=False) if r.at is not None)
+            recent = _newest(recent, readings)
+        if _all_zero(recent) and status == "active":
+            status = "dead"
+        flip(clock, due_at(status, pubdate, last, clock))
+    state.update((status, pubdate, last, *([list(c) for c in zip(*recent, strict=True)] or [[], [], [], []]), is_due, clock, version))
+    following = next_change(status, pubdate, last, clock)
+    if following is not None:
+        # A timer fires when the watermark, a millisecond behind the clock, is above it.
+        state.setTimeoutTimestamp(max(following * 1000 - 2, watermark + 1))
+    if rows:
+        yield pd.DataFrame(rows, columns=["infohash", "at", "is_due", "status", "version"])
+
+
+def due_changes(events: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """Under ``root`` every moment at which an item becomes due or ceases to be.
+
+    Events are torrents (infohash, pubdate, status), readings (infohash, timestamp, counters) and ticks (a null
+    infohash), each with ``arrived``, in whose order they come. Each key has a timer for the next
+    moment at which its age class or the gap to its last reading changes the answer; timers fire with the clock,
+    rows or not. State is one row per item: its dates, its three newest readings and the last answer. An item
+    whose three newest readings are all zero is dead and due no more.
+    """
+    clocked = events.withWatermark("arrived", "1 millisecond").filter("infohash IS NOT NULL")
+    counters = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in _COUNTERS]
+    rows = clocked.select(
+        "infohash", F.unix_seconds(utc("pubdate")).alias("pubdate"), "status", F.unix_micros(utc("timestamp")).alias("at"),
+        *counters, F.unix_seconds("arrived").alias("arrived"), F.col("arrived").alias("clock"),
+    )
+    changes = rows.groupBy("infohash").applyInPandasWithState(_due_step, _DUE, _ITEM, "append", _TIMERS)
+    return _append(changes, root, checkpoint)
+
+
+def due_now(spark: SparkSession, root: str) -> DataFrame:
+    """Items that are due at the stream's clock."""
+    return last_per_key(appended(spark, root, _DUE), ["infohash"], [F.col("version")]).filter("is_due").select("infohash")
+
 
+# ---- weekly totals ----------------------------------------------------------
 
 _TOTALS = "week string, anilist_id bigint, downloads bigint"
+_OPEN = "key struct<window: struct<start: timestamp, end: timestamp>, anilist_id: bigint>, value struct<sum: bigint>"
 
 
-def weekly_totals_stream(deltas: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """A log of totals under ``root``: changed ones per batch, now and then all."""
+def _week(start: str) -> Column:
+    return F.date_format(F.col(start) - F.expr("INTERVAL 5 HOURS"), "yyyy-MM-dd").alias("week")
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        write_log(cut(batch), root, _TOTALS, ["week", "anilist_id"], batch_id)
-
-    return (
-        weekly_windows(deltas)
-        .writeStream.outputMode("update")
-        .foreachBatch(step)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+def _windows(deltas: DataFrame) -> DataFrame:
+    """Totals per show and Sunday-to-Saturday week at UTC-5: 7-day windows whose starts are shifted to Sunday 05:00 UTC."""
+    window = F.window("timestamp", "7 days", "7 days", "77 hours")
+    return deltas.groupBy(window.alias("w"), "anilist_id").agg(F.sum("downloads_delta").alias("downloads"))
+
+
+def _is_late(delay: str):
+    wait = F.col("arrived_") - F.expr(f"INTERVAL {delay}")
+    return (F.col("timestamp") < wait) | (F.col("timestamp") > F.col("arrived_"))
+
+
+def weekly_totals(
+    deltas: DataFrame, root: str, checkpoint: str, arrived: str | None = None, delay: str = "2 days"
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """Totals of closed weeks under ``root/closed``, once each, and corrections for what came too late for them.
+
+    State is the open weeks: a week is written and forgotten when the watermark, ``delay`` behind the newest
+    reading, has passed its end. A reading that arrives later than ``delay`` after its time (or before it)
+    goes to the corrections, partial sums per batch; all others are in time for their week, since the
+    watermark can't have passed them.
+    """
+    clock = F.col(arrived) if arrived else F.current_timestamp()
+    timed = deltas.withColumn("timestamp", utc("timestamp")).withColumn("arrived_", clock.cast("timestamp"))
+    in_time = timed.filter(~_is_late(delay)).withWatermark("timestamp", delay)
+    closed = _append(_windows(in_time).select(_week("w.start"), "anilist_id", "downloads"), f"{root}/closed", f"{checkpoint}/closed")
+
+    def correct(batch: DataFrame, batch_id: int) -> None:
+        sums = _windows(batch).select(_week("w.start"), "anilist_id", "downloads")
+        sums.write.mode("overwrite").parquet(f"{root}/corrections/batch={batch_id}")
+
+    corrections = _start(timed.filter(_is_late(delay)).writeStream.foreachBatch(correct), f"{checkpoint}/corrections")
+    for query in (closed, corrections):
+        query.awaitTermination()
+    return closed, corrections
+
+
+def closed_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Totals of the closed weeks as they were written."""
+    return appended(spark, f"{root}/closed", _TOTALS)
 
 
-def current_totals(spark: SparkSession, root: str, last: int) -> DataFrame:
-    return read_log(spark, root, _TOTALS, ["week", "anilist_id"], last + 1)
+def current_totals(spark: SparkSession, root: str, checkpoint: str) -> DataFrame:
+    """Closed weeks with their corrections, and the open weeks, read from the state."""
+    corrections = appended(spark, f"{root}/corrections", _TOTALS + ", batch bigint").drop("batch")
+    still = state_rows(spark, f"{checkpoint}/closed", _OPEN).select(_week("key.window.start"), "key.anilist_id", F.col("value.sum").alias("downloads"))
+    rows = closed_totals(spark, root).unionByName(corrections).unionByName(still)
+    return rows.groupBy("week", "anilist_id").agg(F.sum("downloads").alias("downloads"))

@@ -1,4 +1,4 @@
-"""Streams end where a batch over everything ends."""
+"""Streams end where a batch over everything ends, and a batch costs what it brings."""
 
 import random
 from datetime import datetime, timedelta
@@ -6,26 +6,26 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from pulse.operators.schedule import due_items
 from pulse.operators.series import counter_deltas
 from pulse.schema import STATS
-from pulse.streaming import jobs, tables
-from pulse.streaming.tables import read_batches
+from pulse.streaming import jobs
 
 START = datetime(2025, 10, 1)
 READING = "infohash string, timestamp timestamp, downloads bigint"
-DELTA = "infohash string, timestamp timestamp, downloads_delta bigint"
+DAY = timedelta(days=1)
 
 
-def source(spark, folder, schema, *batches):
-    for i, rows in enumerate(batches):
+def source(spark, folder, schema, *batches, first=0):
+    for i, rows in enumerate(batches, first):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/part{i:03d}")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
     return stream.parquet(f"{folder}/part*")
 
 
-def finish(query):
-    query.awaitTermination()
-    return query.lastProgress["batchId"]
+def updated(query):
+    """Rows of state that each batch with rows has changed, and how many there were."""
+    return [(p["stateOperators"][0]["numRowsUpdated"], p["stateOperators"][0]["numRowsTotal"]) for p in query.recentProgress if p["numInputRows"]]
 
 
 @pytest.mark.parametrize("shuffled", [False, True])
@@ -35,51 +35,57 @@ def test_deltas(spark, tmp_path, shuffled):
     rows = [(f"k{i % 5}", START + timedelta(minutes=37 * i), pick.randrange(100)) for i in range(200)]
     if shuffled:
         pick.shuffle(rows)
-    batches = [rows[i: i + 40] for i in range(0, 200, 40)]
+    batches = [rows[i : i + 40] for i in range(0, 200, 40)]
     root = str(tmp_path)
-    stream = source(spark, f"{root}/in", READING, *batches)
-    last = finish(jobs.incremental_deltas(stream, root, f"{root}/state"))
-    assert last == 4
-    log = read_batches(spark, f"{root}/deltas", DELTA, 0, last)
-    assert all(r["count"] for r in log.groupBy("batch").count().collect()) and log.select("batch").distinct().count() == 5
+    jobs.incremental_deltas(source(spark, f"{root}/in", READING, *batches), root, f"{root}/state")
     expected = counter_deltas(spark.createDataFrame(rows, READING))
-    got = jobs.emitted_deltas(spark, root, last)
+    got = jobs.emitted_deltas(spark, root)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
     # In order nothing is emitted twice.
-    assert (log.count() > 200) == shuffled
+    assert (jobs.delta_changes(spark, root).count() > 200) == shuffled
+    assert jobs.keys_to_recount(spark, root).count() == 0
 
 
 def test_late_reading_corrects_its_neighbour(spark, tmp_path):
     root = str(tmp_path)
-    day = timedelta(days=1)
-    stream = source(
-        spark, f"{root}/in", READING,
-        [("k", START, 5), ("k", START + 3 * day, 20), ("j", START, 1)], [("k", START + day, 12)], [("k", START + day, 14)],
-    )
-    last = finish(jobs.incremental_deltas(stream, root, f"{root}/state"))
-    log = read_batches(spark, f"{root}/deltas", DELTA, 0, last).collect()
-    assert sorted((r["batch"], (r["timestamp"] - START).days, r["downloads_delta"]) for r in log if r["infohash"] == "k") == [
-        (0, 0, 0), (0, 3, 15), (1, 1, 7), (1, 3, 8), (2, 1, 9), (2, 3, 6),
-    ]
+    batches = [[("k", START, 5), ("k", START + 3 * DAY, 20), ("j", START, 1)], [("k", START + DAY, 12)], [("k", START + DAY, 14), ("k", START + DAY / 2, 14)]]
+    found = []
+    for i, batch in enumerate(batches):
+        jobs.incremental_deltas(source(spark, f"{root}/in", READING, batch, first=i), root, f"{root}/state")
+        rows = jobs.emitted_deltas(spark, root).filter("infohash = 'k'").collect()
+        found.append(sorted(((r["timestamp"] - START) / DAY, r["downloads_delta"]) for r in rows))
+    assert found == [[(0, 0), (3, 15)], [(0, 0), (1, 7), (3, 8)], [(0, 0), (0.5, 9), (1, 0), (3, 6)]]
 
 
-def test_repeated_batch_changes_nothing(spark, tmp_path):
+def test_a_repeated_reading_changes_nothing(spark, tmp_path):
     root = str(tmp_path)
     rows = [("k", START + timedelta(hours=h), h * 3) for h in range(30)]
-    for batch_id, part in ((0, rows[:10]), (1, rows[10:]), (1, rows[10:])):
-        jobs._delta_step(spark, root, spark.createDataFrame(part, READING), batch_id)
-    assert sorted(r["downloads_delta"] for r in jobs.emitted_deltas(spark, root, 1).collect()) == [0] + [3] * 29
+    batches = [rows[:10], rows[10:], rows[5:], [("k", START, 0), ("k", START, -1)], [("k", None, 4), (None, START, 4), ("k", START + DAY / 2, None)]]
+    jobs.incremental_deltas(source(spark, f"{root}/in", READING, *batches), root, f"{root}/state")
+    changes = jobs.delta_changes(spark, root).collect()
+    assert sorted(r["downloads_delta"] for r in changes) == [0] + [3] * 29
+
+
+def test_cost_of_a_batch_follows_its_rows(spark, tmp_path):
+    """Every batch has one reading of each of four keys; the state it changes is theirs, however many slots there are."""
+    root = str(tmp_path)
+    batches = [[(f"k{k}", START + i * DAY, i * 10 + k) for k in range(4)] for i in range(12)]
+    first, second = jobs.incremental_deltas(source(spark, f"{root}/in", READING, *batches), root, f"{root}/state")
+    assert updated(first) == [(4, 4 * (i + 1)) for i in range(12)]
+    assert all(n == 4 for n, _ in updated(second))
+    assert jobs.delta_changes(spark, root).count() == 48
 
 
-def test_logs_are_compacted(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(tables, "COMPACT_EVERY", 3)
+def test_forgotten_slots_ask_for_a_recount(spark, tmp_path):
+    schema = READING + ", arrived timestamp"
     root = str(tmp_path)
-    schema = "k string, v int"
-    for i in range(8):
-        tables.write_log(spark.createDataFrame([(f"k{i % 4}", i)], schema), root, schema, ["k"], i)
-    assert tables.log_start(8) == 6
-    got = {r["k"]: r["v"] for r in tables.read_log(spark, root, schema, ["k"], 8).collect()}
-    assert got == {"k0": 4, "k1": 5, "k2": 6, "k3": 7}
+    batches = [[("k", START, 5, START), ("j", START, 1, START)], [("j", START + 9 * DAY, 2, START + 9 * DAY)], [("j", START + 9 * DAY, 2, START + 10 * DAY)],
+               [("k", START + DAY / 4, 7, START + 11 * DAY), ("k", START + 11 * DAY, 9, START + 11 * DAY)]]
+    for i, batch in enumerate(batches):
+        stream = source(spark, f"{root}/in", schema, batch, first=i)
+        first, _ = jobs.incremental_deltas(stream, root, f"{root}/state", arrived="arrived", lateness="3 days")
+    assert [r[0] for r in jobs.keys_to_recount(spark, root).collect()] == ["k"]
+    assert first.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] < 5
 
 
 def test_dead_detection(spark, tmp_path):
@@ -87,30 +93,135 @@ def test_dead_detection(spark, tmp_path):
         return (key, START + timedelta(hours=hour), value, 0, 0)
 
     root = str(tmp_path)
-    stream = source(
-        spark, f"{root}/in", STATS,
+    batches = [
         [row("a", 1, 0), row("b", 1, 3), row("c", 1, 0)], [row("a", 2, 0), row("b", 2, 0)], [row("a", 3, 0), row("b", 3, 0), row("c", 2, 0)],
-        [row("b", 4, 0)], [row("a", 4, 1)],
-    )
-    last = finish(jobs.dead_detection(stream, root, f"{root}/state"))
-    dead = read_batches(spark, f"{root}/dead", "infohash string, is_dead boolean", 0, last).filter("is_dead").collect()
-    assert sorted((r["infohash"], r["batch"]) for r in dead) == [("a", 2), ("b", 3)]
-    assert [r["infohash"] for r in jobs.dead_now(spark, root, last).collect()] == ["b"]
+        [row("b", 4, 0)], [row("a", 4, 1)], [row("b", 3, 5), row("d", 1, 0), row("d", 2, None), row("d", 3, 0)],
+    ]
+    dead = []
+    for i, batch in enumerate(batches):
+        stream = source(spark, f"{root}/in", STATS, batch, first=i)
+        jobs.dead_detection(stream, f"{root}/dead", f"{root}/state").awaitTermination()
+        dead.append(sorted(r[0] for r in jobs.dead_now(spark, f"{root}/dead").collect()))
+    assert dead == [[], [], ["a"], ["a", "b"], ["b"], ["d"]]
+    # Only changes of the verdict are written, and the state is three readings a key.
+    assert spark.read.parquet(f"{root}/dead").count() == 5
+    kept = jobs.recent_readings(spark, f"{root}/state")
+    assert {(r["infohash"], (r["timestamp"] - START).seconds // 3600, r["seeders"]) for r in kept.collect()} == {
+        ("a", 2, 0), ("a", 3, 0), ("a", 4, 1), ("b", 2, 0), ("b", 3, 5), ("b", 4, 0), ("c", 1, 0), ("c", 2, 0), ("d", 1, 0), ("d", 2, 0), ("d", 3, 0),
+    }
 
 
 def test_first_rows(spark, tmp_path):
-    schema = "infohash string, name string, at int"
+    schema = "infohash string, name string, at int, arrived timestamp"
+    root = str(tmp_path)
+    day = lambda n: START + n * DAY
+    batches = [
+        [("a", "x", 2, day(0)), ("a", "y", 1, day(0)), ("c", "once", 3, day(0))],
+        [("a", "z", 0, day(1)), ("b", "w", 5, day(1)), ("a", "x", 2, day(1))],
+        [("d", "later", 1, day(9))],
+        [("a", "x", 2, day(10)), ("c", "again", 3, day(10))],
+        [("f", "last", 1, day(11))],
+    ]
+    stream = source(spark, f"{root}/in", schema, *batches)
+    query = jobs.first_rows(stream, f"{root}/t", f"{root}/state", ["infohash"], ["at"], "arrived")
+    query.awaitTermination()
+    got = spark.read.parquet(f"{root}/t")
+    # A key that comes again behind the horizon is known from the stored rows.
+    assert sorted((r["infohash"], r["name"]) for r in got.collect()) == [("a", "y"), ("b", "w"), ("c", "once"), ("d", "later"), ("f", "last")]
+    totals = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert max(totals) <= 6 and totals[-1] <= 3
+
+
+def test_first_rows_of_a_repeated_batch(spark, tmp_path):
+    """A batch that is run again replaces what it wrote."""
+    schema = "infohash string, at int"
     root = str(tmp_path)
-    stream = source(spark, f"{root}/in", schema, [("a", "x", 2), ("a", "y", 1)], [("a", "z", 0), ("b", "w", 5)])
-    last = finish(jobs.first_rows(stream, f"{root}/t", f"{root}/state", schema, ["infohash"], [F.col("at")]))
-    assert sorted((r["infohash"], r["name"]) for r in read_batches(spark, f"{root}/t", schema, 0, last).collect()) == [("a", "y"), ("b", "w")]
+    stream = source(spark, f"{root}/in", schema, [("a", 1), ("b", 2)], [("c", 1)])
+    jobs.first_rows(stream, f"{root}/t", f"{root}/one", ["infohash"], ["at"]).awaitTermination()
+    jobs.first_rows(stream, f"{root}/t", f"{root}/two", ["infohash"], ["at"]).awaitTermination()
+    assert sorted(r["infohash"] for r in spark.read.parquet(f"{root}/t").collect()) == ["a", "b", "c"]
 
 
-def test_weekly_windows_start_on_sunday(spark, tmp_path):
-    schema = "timestamp timestamp, anilist_id bigint, downloads_delta bigint"
+TOTALS = "timestamp timestamp, anilist_id bigint, downloads_delta bigint, arrived timestamp"
+
+
+def test_weekly_windows_close_and_are_corrected(spark, tmp_path):
     root = str(tmp_path)
     edge = datetime(2025, 10, 5, 5)
-    stream = source(spark, f"{root}/in", schema, [(edge - timedelta(seconds=1), 1, 5), (edge, 1, 7)], [(edge - timedelta(days=1), 1, 2)])
-    last = finish(jobs.weekly_totals_stream(stream, f"{root}/t", f"{root}/state"))
-    totals = {(r["week"], r["downloads"]) for r in jobs.current_totals(spark, f"{root}/t", last).collect()}
-    assert totals == {("2025-09-28", 7), ("2025-10-05", 7)}
+
+    def row(at, show, n, arrived=None):
+        return (at, show, n, arrived or at)
+
+    late = edge - 2 * DAY
+    batches = [
+        [row(edge - timedelta(seconds=1), 1, 5), row(edge, 1, 7)],
+        [row(edge - DAY / 2, 1, 2, edge + DAY)],  # in time
+        [row(edge + 9 * DAY, 1, 11)],
+        [row(edge + 10 * DAY, 2, 1)],
+        [row(late, 1, 100, edge + 11 * DAY)],  # its week is closed
+    ]
+    closed = []
+    for i, batch in enumerate(batches):
+        jobs.weekly_totals(source(spark, f"{root}/in", TOTALS, batch, first=i), f"{root}/t", f"{root}/state", "arrived")
+        closed.append(sorted(map(tuple, jobs.closed_totals(spark, f"{root}/t").collect())))
+    week = lambda n: f"{edge + 7 * n * DAY:%Y-%m-%d}"
+    assert closed == [[], [], [(week(-1), 1, 7), (week(0), 1, 7)], [(week(-1), 1, 7), (week(0), 1, 7)], [(week(-1), 1, 7), (week(0), 1, 7)]]
+    totals = sorted(map(tuple, jobs.current_totals(spark, f"{root}/t", f"{root}/state").collect()))
+    assert totals == [(week(-1), 1, 107), (week(0), 1, 7), (week(1), 1, 11), (week(1), 2, 1)]
+    # Closed weeks have left the state.
+    assert jobs.state_rows(spark, f"{root}/state/closed", jobs._OPEN).count() == 2
+
+
+ITEM = "infohash string, pubdate timestamp, status string, timestamp timestamp, seeders int, leechers int, downloads bigint, arrived timestamp"
+
+
+def test_due_items_at_each_step(spark, tmp_path):
+    """Items of all ages, some read, some dead: after each step the stream says what the batch says."""
+    pick = random.Random(5)
+    root = str(tmp_path)
+    torrents, stats = [], []
+    clock = START
+    for step, hours in enumerate([1, 1, 3, 20, 24, 100, 700, 2000, 2500]):
+        events = []
+        clock += timedelta(hours=hours)
+        for i in range(4):
+            pubdate = clock - timedelta(hours=pick.choice([0, 1, 47, 48, 160, 700, 5000]))
+            torrents.append((f"t{step}.{i}", pubdate, pick.choice(["active"] * 5 + ["guessit_failed"])))
+            events.append((*torrents[-1], None, None, None, None, clock))
+        for name, _, _ in torrents:
+            if pick.random() < 0.5:
+                zero = name.endswith("3") or pick.random() < 0.3
+                at = clock - timedelta(minutes=pick.choice([0, 0, 30, 600]))
+                if not any(s[:2] == (name, at) for s in stats):
+                    stats.append((name, at, *([0, 0, 0] if zero else [1, 0, 2])))
+                    events.append((name, None, None, *stats[-1][1:], clock))
+        events.append((None,) * 7 + (clock,))
+        jobs.due_changes(source(spark, f"{root}/in", ITEM, events, first=step), f"{root}/due", f"{root}/state").awaitTermination()
+        dead = {
+            name for name, _, _ in torrents
+            if len(found := sorted((s for s in stats if s[0] == name), key=lambda s: s[1])[-3:]) == 3 and not any(n for s in found for n in s[2:])
+        }
+        for name in dead:  # once dead, always
+            at = next(i for i, t in enumerate(torrents) if t[0] == name)
+            if torrents[at][2] == "active":
+                torrents[at] = (*torrents[at][:2], "dead")
+        want = due_items(
+            spark.createDataFrame(torrents, "infohash string, pubdate timestamp, status string"), spark.createDataFrame(stats, STATS), clock
+        )
+        assert sorted(r[0] for r in jobs.due_now(spark, f"{root}/due").collect()) == sorted(r["infohash"] for r in want.collect()), step
+    changes = spark.read.parquet(f"{root}/due")
+    assert changes.filter("NOT is_due").count() > 5 and changes.filter("status = 'dead'").count() > 0
+
+
+def test_changes_of_due_are_where_the_answer_changes():
+    pick = random.Random(1)
+    for _ in range(300):
+        pubdate, last = 0, pick.choice([None, pick.randrange(0, 200 * 86400, 1800)])
+        now = pick.randrange(0, 190 * 86400, 600)
+        found = jobs.next_change("active", pubdate, last, now)
+        answer = jobs.due_at("active", pubdate, last, now)
+        if found is None:
+            assert all(jobs.due_at("active", pubdate, last, t) == answer for t in range(now, now + 250 * 86400, 1800))
+        else:
+            assert jobs.due_at("active", pubdate, last, found) != answer
+            assert all(jobs.due_at("active", pubdate, last, t) == answer for t in range(now, found, 1800))
