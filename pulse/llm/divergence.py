@@ -50,14 +50,14 @@ def _count_terms(held: int):
         documents: dict[tuple, Counter] = defaultdict(Counter)
 
         def flush() -> Iterator[pd.DataFrame]:
-            for (lang, source), terms in counts.items():
-                seen = documents[lang, source]
-                yield pd.DataFrame({
-                    "lang": lang, "source": source, "term": [t.decode("utf-8", "surrogatepass") for t in terms],
-                    "n": list(terms.values()), "docs": [seen[t] for t in terms],
-                })
+            rows = [
+                (lang, source, term.decode("utf-8", "surrogatepass"), n, documents[lang, source][term])
+                for (lang, source), terms in counts.items() for term, n in terms.items()
+            ]
             counts.clear()
             documents.clear()
+            if rows:
+                yield pd.DataFrame(rows, columns=["lang", "source", "term", "n", "docs"])
 
         for frame in frames:
             for lang, source, text in zip(frame["lang"], frame["source"], frame["text"], strict=True):
