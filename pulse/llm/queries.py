@@ -199,6 +199,8 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_bytes", F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        # What is left, to read; of a character that a removed run cuts, the rest becomes U+FFFD.
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"),
     )
 
 

@@ -21,7 +21,8 @@ for one pair in 2^64); suffix arrays compare bytes.
 
 Null text has no bytes. Texts shorter than `length` lose nothing. Repeated rows are copies
 of each other and lose all their strings. An empty table gives none; other columns are
-ignored. Text is UTF-8; what is kept is bytes, since a cut may fall inside a character.
+ignored. Texts of any length are cut whole, in overlapping parts. Text is UTF-8; what is kept is bytes, since a cut
+may fall inside a character.
 """
 
 from __future__ import annotations
