@@ -9,13 +9,19 @@ the remaining lines are undecided: pages of a host stand in the order of their p
 aligned with its nearest neighbours by a longest common subsequence of lines, and
 the lines they share are template and are deleted.
 
+Inside <article> or <main> an element goes by its name only if a whole class or id says so ("ad", "share-buttons",
+"comment-list"), never if a part of it does ("share-price", "related-work", "ad-free"). Blocks with
+such a part and the lines of headers are undecided too: the neighbours' lines tell whether they are
+template. Headings and inline elements stay, whatever their names.
+
 Differencing alone can't be right here: articles repeat lines of other articles of their host,
 which it would delete, and menus and adverts differ from page to page, which it would keep. So it
 decides only where the markup doesn't.
 
 Null html is empty and gives an empty text; a null url has the empty host and path. Pages that are copies
 of each other tell nothing about the template and are passed over. Repeated rows are separate
-pages; an empty table gives none.
+pages; an empty table gives none. Pages of any length are parsed whole. Other columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -54,6 +60,18 @@ _NAMES = re.compile(
     r"|pagination|pager|login|signup|search)(?:$|[\s_-])",
     re.I,
 )
+# A class or id that as a whole names a part of a page and no text: the thing, maybe behind its place and before its form.
+_THING = re.compile(
+    r"(?:(?:site|page|main|top|left|right|post|blog|google|mobile|sticky)[_-])?"
+    r"(?:ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed|s)?|promo(?:tion)?s?|banners?|cookies?|consent|gdpr"
+    r"|notices?|newsletters?|subscribe|subscription|popups?|modals?|overlays?|sidebars?|side-bar|nav|navbar|navigation|menus?|breadcrumbs?"
+    r"|footers?|masthead|topbar|comments?|commentlist|replies|disqus|respond|share|sharing|social|related|recommended|widgets?"
+    r"|pagination|pager|login|signup|search)"
+    r"(?:[_-](?:list|slot|container|wrapper|wrap|box|block|unit|bar|banner|notice|area|section|thread|buttons?|links?|icons?|posts?|articles?|stories|form|left|right|top|bottom))?"
+    r"(?:[_-]?\d+)?",
+    re.I,
+)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Names of what holds articles of its own beside the page's: "layout has-sidebar" and "comments-open" are none.
 _LISTS = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed|s)?|promo(?:tion)?s?|comments?(?!-(?:open|closed))|commentlist"
@@ -65,20 +83,24 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*
 _WHOLE = frozenset(("html", "body"))
 
 
-_DROPPED, _NAMED, _LIST = 1, 2, 3
+_DROPPED, _NAMED, _LIST, _PART = 1, 2, 3, 4
 
 
-def _drops(tag: str, attributes: str) -> int:
-    """Whether an element goes: not (0), always, unless it is a wrapper, or unless it is one without articles beside it."""
-    if tag in _DROP:
+def _drops(tag: str, attributes: str, in_main: bool) -> int:
+    """Whether an element goes: not (0), always, unless it is a wrapper, unless it is one without articles beside it,
+    or if the neighbours have its lines too."""
+    if tag in _DROP and not (in_main and tag == "header"):
         return _DROPPED
-    found = _NAMED if tag == "form" else 0
+    found = _NAMED if tag == "form" else _PART if tag == "header" else 0
     if not attributes or tag in _WHOLE or tag in _MAIN:
         return found
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
-        if name in ("class", "id") and _NAMES.search(value):
-            found = max(found, _LIST if _LISTS.search(value) else _NAMED)
+        if name in ("class", "id") and _NAMES.search(value) and not (in_main and (tag in _INLINE or tag in _HEADINGS)):
+            if in_main and not any(_THING.fullmatch(word) for word in value.split()):
+                found = found or _PART
+            elif found in (0, _PART) or _LISTS.search(value):
+                found = _LIST if _LISTS.search(value) else _NAMED
         if name == "role" and value.lower() in _ROLES:
             return _DROPPED
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
@@ -118,7 +140,7 @@ def _wrappers(tokens: list[tuple[str, str, str]], closed: set[int], kinds: dict[
                 if name == tag:
                     break
         elif i in closed or tag in _MAIN:
-            what = kinds.get(i, 0)
+            what = kinds.get(i, 0) % _PART
             if tag in _MAIN and not dropped:
                 beside.add(lists[-1])
                 for at in reversed(named):
@@ -147,6 +169,27 @@ def _wrappers(tokens: list[tuple[str, str, str]], closed: set[int], kinds: dict[
 
 def lines(html: str) -> tuple[list[str], list[str], bool]:
     """Lines of the article, undecided lines outside it, and whether there is an article."""
+    inside, _, outside, has_main = marked_lines(html)
+    return inside, outside, has_main
+
+
+def _inside(tokens: list[tuple[str, str, str]], closed: set[int]) -> set[int]:
+    """Places of the start tags inside an article or main: behind its start tag and before its end tag."""
+    found: set[int] = set()
+    mains: list[bool] = []  # open articles and mains: whether they are closed somewhere
+    for i, (tag, kind, _) in enumerate(tokens):
+        if tag in _MAIN:
+            if not kind:
+                mains.append(i in closed)
+            elif mains and mains[-1]:
+                mains.pop()
+        elif tag and not kind and mains:
+            found.add(i)
+    return found
+
+
+def marked_lines(html: str) -> tuple[list[str], list[bool], list[str], bool]:
+    """Lines of the article, which of them are undecided, undecided lines outside it, and whether there is an article."""
     tokens = []
     at = 0
     for m in _TOKEN.finditer(html):
@@ -168,14 +211,16 @@ def lines(html: str) -> tuple[list[str], list[str], bool]:
             open_tags[tag].append(i)
         elif tag and open_tags[tag]:
             closed.add(open_tags[tag].pop())
-    kinds = {i: k for i in closed if tokens[i][0] not in _VOID and (k := _drops(tokens[i][0], tokens[i][2]))}
-    may_wrap = any(k != _DROPPED for k in kinds.values()) and (open_tags.keys() & _MAIN)
+    within = _inside(tokens, closed)
+    kinds = {i: k for i in closed if tokens[i][0] not in _VOID and (k := _drops(tokens[i][0], tokens[i][2], i in within))}
+    may_wrap = any(k in (_NAMED, _LIST) for k in kinds.values()) and (open_tags.keys() & _MAIN)
     wrappers = _wrappers(tokens, closed, kinds) if may_wrap else set()
     inside: list[str] = []
+    open_lines: list[bool] = []
     outside: list[str] = []
     text: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, drops, is main
-    drop = main = 0
+    stack: list[tuple[str, bool, bool, bool]] = []  # tag, drops, is main, leaves its lines undecided
+    drop = main = part = heading = 0
     has_main = False
 
     def flush() -> None:
@@ -183,6 +228,8 @@ def lines(html: str) -> tuple[list[str], list[str], bool]:
         text.clear()
         if line:
             (inside if main else outside).append(line)
+            if main:
+                open_lines.append(part > 0 and not heading)
 
     for i, (tag, kind, _) in enumerate(tokens):
         if not tag:
@@ -195,26 +242,26 @@ def lines(html: str) -> tuple[list[str], list[str], bool]:
             if tag in _VOID or not any(s[0] == tag for s in stack):
                 continue
             while stack:
-                name, dropped, was_main = stack.pop()
-                drop, main = drop - dropped, main - was_main
+                name, dropped, was_main, was_part = stack.pop()
+                drop, main, part, heading = drop - dropped, main - was_main, part - was_part, heading - (name in _HEADINGS)
                 if name == tag:
                     break
         elif tag not in _VOID and i in closed:
-            named, is_main = i in kinds, tag in _MAIN
-            dropped = named and i not in wrappers
+            named, is_main, is_part = i in kinds, tag in _MAIN, kinds.get(i) == _PART
+            dropped = named and not is_part and i not in wrappers
             if tag not in _INLINE or named:
                 if named:
                     flush()
                 has_main |= is_main and not drop
-                stack.append((tag, dropped, is_main))
-                drop, main = drop + dropped, main + is_main
+                stack.append((tag, dropped, is_main, is_part))
+                drop, main, part, heading = drop + dropped, main + is_main, part + is_part, heading + (tag in _HEADINGS)
         elif tag in _MAIN and not drop:
             # Never closed: the rest of the page is the article.
             has_main = True
-            stack.append((tag, False, True))
+            stack.append((tag, False, True, False))
             main += 1
     flush()
-    return inside, outside, has_main
+    return inside, open_lines, outside, has_main
 
 
 def common(a: list[str], b: list[str]) -> set[int]:
@@ -248,12 +295,20 @@ def common(a: list[str], b: list[str]) -> set[int]:
     return found
 
 
+# Before a line that is compared with the neighbours' but never goes. Lines have no white space but blanks.
+_FIXED = "\t"
+
+
 def _parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The text, if markup decides all of it, and the lines to be compared: undecided ones, and around them those that stay."""
     for frame in frames:
         rows = []
         for html in frame["html"]:
-            inside, outside, has_main = lines(html or "")
-            rows.append((" ".join(inside) if has_main else None, outside))
+            inside, undecided, outside, has_main = marked_lines(html or "")
+            if any(undecided):
+                rows.append((None, [line if u else _FIXED + line for line, u in zip(inside, undecided, strict=True)]))
+            else:
+                rows.append((" ".join(inside) if has_main else None, outside))
         yield frame.drop(columns="html").assign(text=[r[0] for r in rows], lines=[r[1] for r in rows])
 
 
@@ -270,7 +325,7 @@ def _settled(own: list[str], *others: list[str] | None) -> str:
     for other in others:
         if other is not None and other != own:
             shared |= common(own, other)
-    return " ".join(line for i, line in enumerate(own) if i not in shared)
+    return " ".join(line.removeprefix(_FIXED) for i, line in enumerate(own) if i not in shared or line.startswith(_FIXED))
 
 
 def _difference(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
