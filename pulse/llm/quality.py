@@ -8,7 +8,8 @@ from them which passages matter (Ilse, Tomczak and Welling, 2018).
 Encoding works on whole batches of bytes in numpy, and the score of a document needs nothing
 but its text, so scoring is one pass without a shuffle. Null and empty texts are one passage
 without any bytes and get its score. Rows are scored one by one: repeated rows get equal
-scores, an empty table gives none. Without labels of both kinds every score is 0.5.
+scores, an empty table gives none. Without labels of both kinds every score is 0.5. Texts of any length are
+scored whole. Other columns pass through, and one with the name of the score is replaced.
 """
 
 from __future__ import annotations
@@ -183,10 +184,12 @@ def train(
     max_passages: int = 32_768,
 ) -> Model | None:
     """Fit on at most `max_documents` labelled documents outside the held-out fold, chosen by a hash of the
-    id, with all their passages: as many documents, in the order of the hash, as have `max_passages` passages in
-    all. A text that has more by itself is left out. Only their features reach the driver.
+    id, with all their passages. In the order of the hash each is taken whole if it still fits into
+    `max_passages` passages, half of them for either label and then what is left for both. Only their
+    features reach the driver.
 
-    Labels of one id are averaged, null labels are none. None if there are not labels of both kinds.
+    Labels of one id are averaged, null labels are none. None if there are not labels of both kinds; an error if
+    there are, but all texts of one are too long to be taken.
     """
     bounded_batches(docs.sparkSession)
     key = F.col(id_col).cast("long")
@@ -213,19 +216,38 @@ def train(
     encoded = sample.mapInPandas(encode, "doc_id long, label int, x binary").where("length(x) > 0")
     # Copies of one id would let the sample grow with the data: one text of each stays.
     bags = cut(encoded.groupBy("doc_id").agg(F.max(F.struct("label", "x")).alias("bag")).select("doc_id", "bag.*"))
-    sizes = bags.select("doc_id", F.length("x") / (4 * DIMENSIONS)).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
-    # Whole documents up to the bound.
-    n = int((np.cumsum([r[1] for r in sizes]) <= max_passages).sum())
-    taken = docs.sparkSession.createDataFrame([(r[0],) for r in sizes[:n]], "doc_id long")
+    size = (F.length("x") / (4 * DIMENSIONS)).cast("long").alias("size")
+    sizes = bags.select("doc_id", "label", size).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    taken = docs.sparkSession.createDataFrame([(d,) for d in _chosen(sizes, max_passages)], "doc_id long")
     bags = bags.join(F.broadcast(taken), "doc_id").orderBy("doc_id").toArrow()
     y = bags["label"].to_numpy().astype(np.float64)
     if not len(y) or y.min() == y.max():
+        kinds = texts.join(F.broadcast(known), "doc_id").agg(F.count_distinct("label")).first()[0]
+        if kinds > 1:
+            raise ValueError(f"no labelled text of one kind has at most {max_passages // 2} passages: raise max_passages")
         return None
     x = [np.frombuffer(b.as_buffer(), "<f4").reshape(-1, DIMENSIONS) for b in bags["x"]]
     first = np.concatenate([[0], np.cumsum([len(b) for b in x])])
     return fit(np.concatenate(x), first, y)
 
 
+def _chosen(sizes: list[tuple[int, int, int]], most: int) -> list[int]:
+    """Of (id, label, passages) the ids of those that fit, each label into its half and the rest into what is left."""
+    taken: dict[int, int] = {}
+    for label in (0, 1):
+        room = most // 2
+        for doc_id, kind, size in sizes:
+            if kind == label and size <= room:
+                taken[doc_id] = size
+                room -= size
+    room = most - sum(taken.values())
+    for doc_id, _, size in sizes:
+        if doc_id not in taken and size <= room:
+            taken[doc_id] = size
+            room -= size
+    return list(taken)
+
+
 def score(docs: DataFrame, model: Model | None, text_col: str = "text", name: str = "score") -> DataFrame:
     """The rows with one more column: the probability that the whole text is of label 1."""
     clash = name in docs.columns

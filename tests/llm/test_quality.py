@@ -85,3 +85,41 @@ def test_gradients_agree_with_differences():
             slope.append(loss())
             weight[at] -= step
         assert np.asarray(gradient)[at] == pytest.approx((slope[0] - slope[1]) / 2e-5, abs=1e-6)
+
+
+def test_giant_texts_keep_no_others_from_the_fit(spark, monkeypatch):
+    """The two first by hash don't fit together; both labels are learned from those after them."""
+    ids = [i for i in range(80) if zlib.crc32(str(i).encode()) % 4 != quality.HELD_OUT]
+    order = [r.doc_id for r in spark.createDataFrame([(i,) for i in ids], "doc_id long").orderBy(F.xxhash64("doc_id")).collect()]
+    passages = {d: 20 if k < 2 else 1 + k % 2 for k, d in enumerate(order)}
+    docs = spark.createDataFrame([(d, "x" * (n * 1024 - 1)) for d, n in passages.items()], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, int(k in (1, 5, 9))) for k, d in enumerate(order)], "doc_id long, quality int")
+    monkeypatch.setattr(quality, "fit", lambda x, first, y: (sorted(np.diff(first).tolist()), y.sum()))
+    sizes, good = quality.train(docs, labels, max_passages=32)
+    assert sum(sizes) <= 32 and len(sizes) > 10 and good >= 2
+    with pytest.raises(ValueError, match="passages"):
+        quality.train(docs, labels.where(F.col("doc_id").isin(order[1:5:1]) ), max_passages=8)
+
+
+def test_chosen_documents_fit():
+    sizes = [(1, 0, 90), (2, 1, 90), (3, 0, 10), (4, 1, 10), (5, 0, 45), (6, 1, 45), (7, 0, 1)]
+    assert sorted(quality._chosen(sizes, 100)) == [3, 4, 5, 7]
+    assert sorted(quality._chosen(sizes, 400)) == [1, 2, 3, 4, 5, 6, 7]
+    assert quality._chosen([], 10) == []
+
+
+def test_score_is_that_of_a_plain_computation(spark, model):
+    """Passage by passage and neuron by neuron."""
+    p = model.weights
+    sigmoid = lambda t: 1 / (1 + np.exp(-t))
+    for text in ("", "Short one.", "Line one here.\n" * 300, "é漢 x!" * 900):
+        x, first = quality.passages([text])
+        assert first.tolist() == [0, -(-(len(text.encode()) + 1) // 1024)]
+        hidden, weight = [], []
+        for row in (x - model.mean) / model.spread:
+            h = np.array([np.tanh(sum(row * p["w"][:, j]) + p["b"][j]) for j in range(quality.HIDDEN)])
+            gate = [np.tanh(sum(h * p["v"][:, j])) * sigmoid(sum(h * p["u"][:, j])) for j in range(len(p["a"]))]
+            hidden.append(h)
+            weight.append(np.exp(sum(g * a for g, a in zip(gate, p["a"], strict=True))))
+        mean = sum(w * h for w, h in zip(weight, hidden, strict=True)) / sum(weight)
+        assert model.score([text])[0] == pytest.approx(sigmoid(sum(mean * p["c"]) + p["d"]), abs=1e-6)
