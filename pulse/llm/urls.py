@@ -8,8 +8,9 @@ with a blocked member is blocked, else it is allowed. Targets count as members
 whether or not they are in the table.
 
 Everything is DataFrame operations. The html is read once for the two links and not moved. A null or empty
-url, or one without ://, has an empty host and path, fits no rule, has no aliases and is allowed.
-Repeated rows are judged alike; an empty table gives none.
+url, or one without ://, has an empty host and path, fits no rule, has no aliases and is allowed. Pages of
+any length are searched whole. Repeated rows are judged alike; an empty table gives none. Other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,9 +24,9 @@ from pulse.llm.common import components
 from pulse.session import cut, literal_rows
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-# A tag ends at the first >; 4,000 characters bound what a broken one costs.
-CANONICAL = r"""(?is)<link\b(?=[^>]{0,4000}\brel\s{0,9}=\s{0,9}["']?canonical\b)[^>]{0,4000}?\bhref\s{0,9}=\s{0,9}["']?([^"'\s>]+)"""
-REFRESH = r"""(?is)<meta\b(?=[^>]{0,4000}\bhttp-equiv\s{0,9}=\s{0,9}["']?refresh\b)[^>]{0,4000}?\burl\s{0,9}=\s{0,9}["']?([^"'\s>]+)"""
+# Of each kind of link: its tag, which ends at the first >, what marks it, and its address.
+CANONICAL = (r"(?is)<link\b[^>]*+", r"""(?is)\brel\s*+=\s*+["']?canonical\b""", r"""(?is)\bhref\s*+=\s*+["']?([^"'\s>]+)""")
+REFRESH = (r"(?is)<meta\b[^>]*+", r"""(?is)\bhttp-equiv\s*+=\s*+["']?refresh\b""", r"""(?is)\burl\s*+=\s*+["']?([^"'\s>]+)""")
 
 
 def rules(spark: SparkSession, rows: Sequence[tuple[str, bool]]) -> DataFrame:
@@ -81,6 +82,13 @@ def judged(addresses: DataFrame, table: DataFrame) -> DataFrame:
     )
 
 
+def address_of(html: Column, tag: str, mark: str, address: str) -> Column:
+    """The address in the first such tag; empty without one. Tags are taken whole, so attributes may stand anywhere in them."""
+    tags = F.regexp_extract_all(html, F.lit(tag), F.lit(0))
+    first = F.get(F.filter(tags, lambda t: t.rlike(mark) & t.rlike(address)), F.lit(0))
+    return F.coalesce(F.regexp_extract(first, address, 1), F.lit(""))
+
+
 def alias_links(pages: DataFrame) -> DataFrame:
     """(a, b): the keys of a page and of where it points to."""
     target = F.when(F.col("target").contains("://"), after_scheme(F.col("target"))).when(
@@ -102,7 +110,7 @@ def filter_urls(
     rest = after_scheme(F.col(url_col).cast("string"))
     host, path, key = split_url(rest)
     html = F.col(html_col).cast("string")
-    targets = F.array(*[F.coalesce(F.regexp_extract(html, p, 1), F.lit("")) for p in (CANONICAL, REFRESH)])
+    targets = F.array(*[address_of(html, *kind) for kind in (CANONICAL, REFRESH)])
     parsed = cut(
         pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"), key.alias("key"), targets.alias("targets"))
     )

@@ -71,3 +71,14 @@ def test_empty_tables(spark):
 @pytest.mark.parametrize("html", ["<link rel=canonical", "<link " * 3000, "<meta http-equiv=refresh content=5>", "<link rel=canonical href=mailto:x@y>", "<link rel=canonical href='#top'>"])
 def test_broken_links_are_none(spark, html):
     assert judge(spark, [(1, "http://a.org/", html)])[1][3] == "allow"
+
+
+def test_attributes_may_stand_anywhere_in_their_tag(spark):
+    far, wide = f'data-x="{"y" * 20_000}"', " " * 500
+    pages = [
+        (1, "http://a.org/", f'<link {far} rel{wide}={wide}"canonical" {far} href{wide}={wide}"http://z.net/">'),
+        (2, "http://b.org/", f"<link rel=stylesheet href='http://x.org/fr/'>{'<p>' * 50_000}<link href=http://z.net/ {far} rel='canonical'>"),
+        (3, "http://c.org/", f"<meta {far} http-equiv={wide}'refresh' {far} content='1; url{wide}={wide}http://z.net/x'>"),
+        (4, "http://d.org/", f"<link {far} rel=canonical {far}" + "<link rel=canonical" * 20_000),
+    ]
+    assert {k: v[3] for k, v in judge(spark, pages).items()} == {1: "block", 2: "block", 3: "block", 4: "allow"}
