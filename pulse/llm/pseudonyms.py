@@ -8,11 +8,16 @@ equal values get equal pseudonyms in every document, different values different
 the key's owner can go back. No value is its own pseudonym: E^-1(E(x) + 1) is taken, a keyed
 permutation without fixed points.
 
-Keys and tokens behind their name may have any length from 16 characters on, and parts with dots between; those
-above 128 characters are changed block by block. Days and months may have one digit, and keep it.
+Addresses of mail may have a name and a domain of any length. Keys and tokens behind their name may have any
+length from 16 characters on, and parts with dots between. What has above 128 characters is changed block by block.
+Days and months may have one digit, and keep it.
+
+What stays: secrets under 16 characters; behind a colon also those that are one word of letters in one case ("key:
+responsibilities"), with a capital or without; dates before 1900 or after 2099; numbers that their own check refuses.
 
 Rows are treated one by one, in one pass without a shuffle. Null text stays null, an empty
-text stays empty; all other columns stay as they are.
+text stays empty; all other columns stay as they are, but one named as the spans, which is replaced. Repeated rows
+get equal texts, an empty table gives none.
 """
 
 from __future__ import annotations
@@ -237,12 +242,27 @@ def _written_date(m: re.Match, key: bytes, back: bool) -> str | None:
     return f"{new.day} {word} {new.year}" if m["n1"] else f"{word} {new.day}{m['comma']} {new.year}"
 
 
-def _email(m: re.Match, key: bytes, back: bool) -> str | None:
-    new = _characters(m["local"], key, "email:" + m["domain"].lower(), back)
-    return f"{new}@{m['domain']}"
+_BLOCK = 128
+
+
+def _in_blocks(value: str, key: bytes, name: str, back: bool, change: Callable[[str, bytes], str]) -> str:
+    """A long value in blocks, each under a key made of the plain blocks before: its numbers stay within what a
+    round changes."""
+    if len(value) <= _BLOCK:
+        return change(value, key)
+    parts, chain = [], hmac.new(key, f"{name}:{len(value)}".encode(), hashlib.sha256)
+    for at in range(0, len(value), _BLOCK):
+        given = value[at : at + _BLOCK]
+        parts.append(change(given, chain.digest()))
+        chain.update((parts[-1] if back else given).encode())
+    return "".join(parts)
 
 
-_SECRET_BLOCK = 128
+def _email(m: re.Match, key: bytes, back: bool) -> str | None:
+    kind = "email:" + m["domain"].lower()
+    new = _in_blocks(m["local"], key, "long " + kind, back, lambda value, k: _characters(value, k, kind, back))
+    return f"{m[0][: m.start('local') - m.start()]}{new}@{m['domain']}"
+
 
 
 def _secret_block(value: str, key: bytes, hexadecimal: bool, upper: bool, back: bool) -> str:
@@ -253,30 +273,24 @@ def _secret_block(value: str, key: bytes, hexadecimal: bool, upper: bool, back:
     return new.upper() if upper else new
 
 
+_PLAIN_WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
+
+
 def _secret(m: re.Match, key: bytes, back: bool) -> str | None:
     value = m["value"]
-    if value is None or not any(c.isdigit() for c in value):
+    if value is None or (m["mark"] == ":" and _PLAIN_WORD.fullmatch(value)):
         return None
     hexadecimal = re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value) is not None
     upper = hexadecimal and value != value.lower()
-    if len(value) <= _SECRET_BLOCK:
-        new = _secret_block(value, key, hexadecimal, upper, back)
-    else:
-        # Each block under a key made of the plain blocks before: its numbers stay within what a round changes.
-        parts, chain = [], hmac.new(key, f"long secret:{len(value)}".encode(), hashlib.sha256)
-        for at in range(0, len(value), _SECRET_BLOCK):
-            given = value[at : at + _SECRET_BLOCK]
-            parts.append(_secret_block(given, chain.digest(), hexadecimal, upper, back))
-            chain.update((parts[-1] if back else given).encode())
-        new = "".join(parts)
+    new = _in_blocks(value, key, "long secret", back, lambda part, k: _secret_block(part, k, hexadecimal, upper, back))
     return m[0][: m.start("value") - m.start()] + new + m[0][m.end("value") - m.start() :]
 
 
 # A secret has a part of 16 characters at least; short parts with dots are stepped over, so that none is read twice.
 # In order of precedence: what an earlier kind has taken, a later one doesn't see.
 KINDS: dict[str, tuple[str, Callable[[re.Match, bytes, bool], str | None]]] = {
-    "email": (r"(?P<local>(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63})@(?P<domain>(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24})(?![\w-])", _email),
-    "secret": (r"(?i:\b(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|key)\b[\"']?\s{0,3}[:=]\s{0,3}[\"']?)(?:(?P<value>(?:[A-Za-z0-9_+/=-]{1,15}+\.)*+[A-Za-z0-9_+/=-]{16,}+(?:\.[A-Za-z0-9_+/=-]++)*+)|(?:[A-Za-z0-9_+/=-]{1,15}+\.)++)", _secret),
+    "email": (r"(?<![\w.%+-])[._%+-]*+(?P<local>[A-Za-z0-9][A-Za-z0-9._%+-]*+)@(?P<domain>(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24})(?![\w-])", _email),
+    "secret": (r"(?i:\b(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|key)\b[\"']?\s{0,3}(?P<mark>[:=])\s{0,3}[\"']?)(?:(?P<value>(?:[A-Za-z0-9_+/=-]{1,15}+\.)*+[A-Za-z0-9_+/=-]{16,}+(?:\.[A-Za-z0-9_+/=-]++)*+)|(?:[A-Za-z0-9_+/=-]{1,15}+\.)++)", _secret),
     "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])", _iban),
     "card": (r"(?<![\w.+-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-]|\.\d)", _card),
     "address": (r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)", _address),
@@ -323,7 +337,7 @@ def pseudonymise(
     """
     secret = key.encode()
     result = T.StructType([T.StructField("text", T.StringType()), T.StructField("spans", _SPANS)])
-    risky = re.compile(r"\d|@")
+    risky = re.compile(r"[\d@:=]")
 
     @F.pandas_udf(result)
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

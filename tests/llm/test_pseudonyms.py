@@ -111,3 +111,78 @@ def test_columns_nulls_and_empty_tables(spark):
     back = p.pseudonymise(out.drop("pii_spans"), "k", back=True)
     assert sorted((r.doc_id, r.text or "") for r in back.collect()) == sorted((r[0], r[1] or "") for r in rows)
     assert p.pseudonymise(docs.limit(0), "k").count() == 0
+
+
+def test_addresses_of_any_length():
+    names = ["a@b.c.d.e.f.g.h.i.j.k.com", "n" * 65 + "@x.org", "Long.name-7" * 60 + "@mail.x.org", "_first@x.org", "a%b+c@x.org"]
+    for name in names:
+        text = f"to <{name}>, and {name}."
+        new, spans = p.replace(text, KEY)
+        assert [s[2] for s in spans] == ["email"] * 2 and name not in new
+        assert new[slice(*spans[0][:2])] == new[slice(*spans[1][:2])]
+        assert new.split("@")[1].startswith(name.split("@")[1]) and len(new) == len(text)
+        assert p.replace(new, KEY, back=True)[0] == text
+    began = time.perf_counter()
+    assert p.replace("a%b." * 200_000, KEY)[1] == [] and p.replace("a@" + "b." * 200_000, KEY)[1] == []
+    assert time.perf_counter() - began < 20
+
+
+def test_secrets_without_digits(spark):
+    for text in ("password=SuperSecretPassphraseHere", "password=correcthorsebatterystaple", "token: Ab-cdEfgh_ijklMnop", 'secret = "ABCDEFGHijklmnopqr"'):
+        new, spans = p.replace(text, KEY)
+        assert [s[2] for s in spans] == ["secret"], text
+        assert new != text and len(new) == len(text) and p.replace(new, KEY, back=True)[0] == text
+    for text in ("key: responsibilities", "The secret: Internationalization", "TOKEN: ABCDEFGHIJKLMNOPQ", "password=short"):
+        assert p.replace(text, KEY) == (text, [])
+    docs = spark.createDataFrame([(1, "password=SuperSecretPassphraseHere")], "doc_id long, text string")
+    assert "Super" not in p.pseudonymise(docs, "k").first().text
+
+
+def plain_feistel(key, kind, size, x, back=False):
+    """The permutation written out: walk, step, walk back."""
+    import hashlib
+    import hmac
+
+    half = max(1, ((size - 1).bit_length() + 1) // 2)
+    own = hmac.new(key, f"{kind}:{size}".encode(), hashlib.sha256).digest()
+
+    def mix(i, v):
+        width = half // 8 + 1
+        digest = hashlib.blake2b(bytes([i]) + v.to_bytes(width, "little"), key=own, digest_size=min(64, width)).digest()
+        return int.from_bytes(digest, "little") % 2**half
+
+    def forward(v):
+        while True:
+            a, b = divmod(v, 2**half)
+            for i in range(p.ROUNDS):
+                a, b = b, a ^ mix(i, b)
+            v = a * 2**half + b
+            if v < size:
+                return v
+
+    def backward(v):
+        while True:
+            a, b = divmod(v, 2**half)
+            for i in reversed(range(p.ROUNDS)):
+                a, b = b ^ mix(i, a), a
+            v = a * 2**half + b
+            if v < size:
+                return v
+
+    return backward((forward(x) + (-1 if back else 1)) % size)
+
+
+def test_values_are_those_of_a_plain_permutation():
+    for i in range(60):
+        digits = f"{4 * 10**14 + i * 104729:015d}"
+        card = digits + p.luhn_digit(digits)
+        body = plain_feistel(KEY, "card", 10**15, int(digits))
+        new = f"{body:015d}"
+        assert p.replace(f"pay {card} now", KEY)[0] == f"pay {new}{p.luhn_digit(new)} now"
+        address = plain_feistel(KEY, "address", 2**32, i * 65_537 + 9)
+        dotted = lambda n: ".".join(str(n >> s & 255) for s in (24, 16, 8, 0))
+        assert p.replace(f"from {dotted(i * 65_537 + 9)}", KEY)[0] == f"from {dotted(address)}"
+        day = datetime.date(1960, 1, 1) + datetime.timedelta(days=i * 211)
+        start = datetime.date(1900, 1, 1).toordinal()
+        new = datetime.date.fromordinal(start + plain_feistel(KEY, "date", 73_049, day.toordinal() - start))
+        assert p.replace(f"on {day}", KEY)[0] == f"on {new}"
