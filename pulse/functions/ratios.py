@@ -9,7 +9,9 @@ that native filters could not rule out.
 from __future__ import annotations
 
 import sys
+from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -93,6 +95,42 @@ def likeness(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(scores, dtype="int32")
 
 
+def _counts(texts: list[str], alphabet: dict[str, int]) -> np.ndarray:
+    out = np.zeros((len(texts), len(alphabet)), np.int16)
+    for i, text in enumerate(texts):
+        for c, n in Counter(text).items():
+            out[i, alphabet[c]] = n
+    return out
+
+
+def best_in_block(level: int):
+    """For a block of texts on the left and one on the right: of each left text the best ratio of at least the level
+    (or 0) and how many were compared to find it."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        lefts, rights = frame["text"][frame["left"]].tolist(), frame["text"][~frame["left"]].tolist()
+        alphabet = {c: i for i, c in enumerate(sorted(set().union(*lefts, *rights)))}
+        ours, theirs = _counts(lefts, alphabet), _counts(rights, alphabet)
+        sizes = np.array([len(t) for t in rights])
+        rows = []
+        for text, own in zip(lefts, ours, strict=True):
+            total = sizes + len(text)
+            common = np.minimum(own, theirs).sum(1, dtype=np.int64) if rights else np.zeros(0)
+            # Two empty texts are alike.
+            bound = np.rint(np.where(total > 0, 200.0 * common / np.maximum(total, 1), 100))
+            best = compared = 0
+            masks = _masks(text)
+            for i in np.argsort(-bound, kind="stable"):
+                if bound[i] < level or bound[i] <= best:
+                    break
+                compared += 1
+                best = max(best, round(200.0 * lcs_length(masks, len(text), rights[i]) / total[i]) if total[i] else 100)
+            rows.append((text, best if best >= level else 0, compared))
+        return pd.DataFrame(rows, columns=["text", "score", "compared"])
+
+    return run
+
+
 @F.pandas_udf(T.StringType())
 def fold_width(text: pd.Series) -> pd.Series:
     """NFKC, for which Spark has no built-in."""

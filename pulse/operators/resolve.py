@@ -15,10 +15,11 @@ from pulse.functions.text import (
     sort_tokens,
     title_before_dash,
 )
-from pulse.operators.similarity import similar_pairs
+from pulse.operators.similarity import BEST_CUTS, best_ratios, similar_pairs
 from pulse.rules import MATCH_THRESHOLD, SEASON_BONUS
-from pulse.session import cut
+from pulse.session import cut, cut_counted, literal_rows
 
+METHODS = ("episode_range", "manual_override", "season_aware", "fuzzy", "unmatched")
 _DECISION = (
     "struct<anilist_id:bigint,score:double,method:string,season_matched:bigint,matched_title:string>"
 )
@@ -247,12 +248,12 @@ def unmatched(resolved: DataFrame) -> DataFrame:
     return resolved.filter(F.col("anilist_id").isNull())
 
 
-def best_scores(misses: DataFrame, shows: DataFrame, levels=(85, 1)) -> DataFrame:
+def best_scores(misses: DataFrame, shows: DataFrame, level: int = 85, cuts=BEST_CUTS) -> DataFrame:
     """Best raw score per unmatched title; null if nothing is alike or the title
     carries too little to compare.
 
-    The similarity join is exact above its threshold, so it is run once at a level that grams can
-    find, and again, against every variant, for the titles that found nothing.
+    The similarity join is exact above its threshold, so titles that grams can find are done first; the
+    best of the others is looked for with falling cuts.
     """
     variants = title_variants(shows).select(sort_tokens(F.col("variant")).alias("variant")).distinct()
     texts = (
@@ -260,19 +261,23 @@ def best_scores(misses: DataFrame, shows: DataFrame, levels=(85, 1)) -> DataFram
         .select(sort_tokens(F.col("normalized")).alias("text"))
         .distinct()
     )
-    found = None
-    for level in levels:
-        left = texts if found is None else texts.join(found.select("text"), "text", "left_anti")
-        best = (
-            similar_pairs(left, variants, "text", "variant", level)
-            .groupBy("text")
-            .agg(F.max("score").alias("best_score"))
-        )
-        found = best if found is None else found.unionByName(best)
+    near = cut(similar_pairs(texts, variants, "text", "variant", level).groupBy("text").agg(F.max("score").alias("best_score")))
+    rest = texts.join(near.select("text"), "text", "left_anti")
+    far = best_ratios(rest, variants, "text", "variant", cuts).select("text", F.nullif("score", F.lit(0)).alias("best_score"))
+    found = near.unionByName(far)
     text = F.when(is_informative(F.col("normalized")), sort_tokens(F.col("normalized")))
     return misses.withColumn("text", text).join(found, "text", "left").drop("text")
 
 
+def stored_with_summary(resolved: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The result, written, and its :func:`match_summary`, counted by the same pass."""
+    counts = {m: F.count_if(F.coalesce("method", F.lit("unmatched")) == m) for m in METHODS}
+    stored, found = cut_counted(resolved, **counts)
+    total = sum(found.values())
+    rows = [(m, n, n / total) for m, n in found.items() if n]
+    return stored, literal_rows(resolved.sparkSession, rows, "method string, items bigint, share double")
+
+
 def match_summary(resolved: DataFrame) -> DataFrame:
     """Counts per method and the share of all rows; ``unmatched`` included."""
     counts = resolved.groupBy(F.coalesce("method", F.lit("unmatched")).alias("method")).agg(

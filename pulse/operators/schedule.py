@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pulse.functions.text import is_infohash
 from pulse.functions.times import utc
 from pulse.operators.store import latest_per_key, mark_status, upsert
-from pulse.operators.windows import position_over
+from pulse.operators.windows import ROWS_PER_RANGE, position_in_order
 
 _HOUR, _DAY = 3600, 86400
 # Fixed values: (age up to, class, gap between readings), in seconds.
@@ -120,13 +120,11 @@ def feed_status(torrents: DataFrame, now: datetime, interval_hours: int = 1) ->
     )
 
 
-def batches(due: DataFrame, size: int = SCRAPE_BATCH) -> DataFrame:
-    """Number the due items in scrape order and cut them into batches. Items are numbered by the hour
-    they were last read in, those never read by the first digits of their key."""
-    hour = F.date_trunc("hour", "last_scrape")
-    digits = F.when(F.col("last_scrape").isNull(), F.substring("infohash", 1, 2))
-    order = [F.col("last_scrape"), F.col("infohash")]
-    numbered = position_over(due, [hour, digits], order, "position")
+def batches(due: DataFrame, size: int = SCRAPE_BATCH, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Number the due items in scrape order, those never read first, and cut them into batches. An hourly run finds
+    most items last read in one hour, so they are numbered in ranges of (last_scrape, infohash), not of time."""
+    order = [F.col("last_scrape").asc_nulls_first(), F.col("infohash").asc_nulls_first()]
+    numbered = position_in_order(due, order, "position", rows_per_range)
     return numbered.withColumn(
         "batch", (F.floor((F.col("position") - 1) / size) + 1).cast("bigint")
     )

@@ -23,7 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulse.functions.ratios import PARTIAL_FROM, likeness, ratio
+from pulse.functions.ratios import PARTIAL_FROM, best_in_block, likeness, ratio
+from pulse.session import cut as stored
 
 _SLACK = 1e-9
 _BLOCKS = 64
@@ -147,6 +148,52 @@ def similar_pairs(
     return fitting.withColumn("score", ratio(F.col(a), F.col(b))).filter(F.col("score") >= threshold)
 
 
+BEST_CUTS = (70, 55, 40, 1)
+_PER_BLOCK = 512
+
+
+def best_ratios(
+    left: DataFrame, right: DataFrame, a: str, b: str, cuts: Sequence[int] = BEST_CUTS, per_block: int = _PER_BLOCK
+) -> DataFrame:
+    """(a, score, compared): the best ratio of each text of the left with any of the right, and with how many it was compared.
+
+    Grams say nothing here, so every text of the left has to face every text of the right, in blocks of either
+    side, but as counts of characters: two texts match at most as many characters in order as they have in
+    common, which bounds the ratio. Of those whose bound reaches the cut the highest bounds are compared first, until the
+    best ratio is no lower than the next bound. A best ratio at or above the cut is final, since no
+    other pair can reach the cut; its text leaves, and the rest come again with the next cut. The last
+    cut should be 1; a text that reaches none of them has no row.
+    """
+    open_texts, others = _texts(left, a), stored(_texts(right, b))
+    sizes = others.count()
+    blocks = lambda n: max(1, -(-n // per_block))
+    compared = None
+    found = None
+    for level in cuts:
+        open_texts = stored(open_texts)
+        count = open_texts.count()
+        if not count or not sizes:
+            break
+        one, two = blocks(count), blocks(sizes)
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        salt = lambda n: F.pmod(F.xxhash64("text"), F.lit(n)).cast("int")
+        lefts = open_texts.select("text", F.lit(True).alias("left"), salt(one).alias("one"), every(two).alias("two"))
+        rights = others.select("text", F.lit(False).alias("left"), every(one).alias("one"), salt(two).alias("two"))
+        met = lefts.unionByName(rights).groupBy("one", "two").applyInPandas(best_in_block(level), "text string, score int, compared long")
+        best = stored(met.groupBy("text").agg(F.max("score").alias("score"), F.sum("compared").alias("compared")))
+        if compared is not None:
+            best = best.join(compared.select("text", F.col("compared").alias("before")), "text", "left").select(
+                "text", "score", (F.col("compared") + F.coalesce("before", F.lit(0))).alias("compared")
+            )
+        done = best.filter(F.col("score") >= level)
+        found = done if found is None else found.unionByName(done)
+        compared = best.filter(F.col("score") < level)
+        open_texts = compared.select("text")
+    if found is None:
+        found = open_texts.select("text", F.lit(0).alias("score"), F.lit(0).cast("long").alias("compared")).limit(0)
+    return found.select(F.col("text").alias(a), "score", "compared")
+
+
 def containing_pairs(left: DataFrame, right: DataFrame, a: str, b: str, threshold: int) -> DataFrame:
     """Every pair whose ratio, or for texts of eight or more characters the best
     ratio of the shorter within the longer, is >= threshold.

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulse.session import cut
+
 DAY = "_day"
 
 
@@ -51,20 +53,24 @@ def row_number_over(
     return result.withColumn(size, F.count(F.lit(1)).over(group)) if size else result
 
 
-def position_over(df: DataFrame, bucket: Sequence[Column], order: Sequence[Column], out: str) -> DataFrame:
-    """Position of every row in one order over the whole table.
+ROWS_PER_RANGE = 250_000
+_WITHIN = (1 << 33) - 1
+
 
-    ``bucket`` must follow the order (its parts sort as the rows do): rows are numbered within their
-    bucket, and the buckets, counted first, are moved by the rows before them.
+def position_in_order(df: DataFrame, order: Sequence[Column], out: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Position of every row in one order over the whole table, 1 for the first.
+
+    Rows are dealt over ranges of the order, whose bounds Spark takes from a sample of the rows themselves, sorted
+    there and stored; a row's position is that in its range and the rows of the ranges before, of which there
+    are as many as tasks. However the values are spread, a range holds about `rows_per_range` rows, if the order
+    tells rows apart.
     """
-    names = [f"_b{i}" for i in range(len(bucket))]
-    placed = df.withColumns(dict(zip(names, bucket, strict=True)))
-    counts = placed.groupBy(*names).agg(F.count(F.lit(1)).alias("_rows"))
-    before = F.sum("_rows").over(Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1))
-    starts = counts.select(*[F.col(n).alias(f"{n}s") for n in names], F.coalesce(before, F.lit(0)).alias("_before"))
-    same = [F.col(n).eqNullSafe(F.col(f"{n}s")) for n in names]
-    numbered = placed.withColumn(out, F.row_number().over(Window.partitionBy(*names).orderBy(*order)))
-    joined = numbered.join(starts, same)
-    return joined.withColumn(out, F.col(out).cast("bigint") + F.col("_before")).drop(
-        "_before", *names, *[f"{n}s" for n in names]
-    )
+    ranges = max(1, -(-df.count() // rows_per_range))
+    placed = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    placed = cut(placed.withColumn("_place", F.monotonically_increasing_id()))
+    part = F.shiftright("_place", 33)
+    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    before = F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    position = (F.col("_before") + F.col("_place").bitwiseAND(F.lit(_WITHIN)) + 1).cast("bigint")
+    return placed.withColumn("_part", part).join(starts, "_part").withColumn(out, position).drop("_place", "_part", "_before")

@@ -27,7 +27,8 @@ def _day() -> Column:
 
 def ingest(torrents: DataFrame, stats: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Add unseen torrents and their first readings; a stored torrent whose name
-    cannot be parsed is marked failed. Returns the two tables."""
+    cannot be parsed is marked failed. The rows are stored first, as four steps read them. Returns the two tables."""
+    rows = cut(rows)
     new_torrents, first_stats = store.feed_to_tables(rows)
     order = [F.col("pubdate"), F.col("filename")]
     torrents = store.mark_status(torrents, failed_names(rows), "guessit_failed")

@@ -17,7 +17,7 @@ from pulse.functions.metadata import matching_fields
 from pulse.operators.movies import movie_dims, movie_series, movie_torrents
 from pulse.operators.ranking import weekly_rankings
 from pulse.operators.reception import show_metrics
-from pulse.operators.resolve import matched, resolve, unmatched
+from pulse.operators.resolve import best_scores, matched, resolve, stored_with_summary, unmatched
 from pulse.operators.season import season_episodes, season_index, season_rankings
 from pulse.functions.text import season_slug
 from pulse.operators.series import (
@@ -62,8 +62,11 @@ def run(inputs: Inputs, out: str, now: datetime, first_day, threshold: int = rul
     usable = usable_torrents(inputs.torrents, first_day)
     titles = titles_of(usable)
     ranges = rules.episode_ranges(spark)
-    resolved = cut(resolve(titles, inputs.shows, rules.overrides(spark), ranges, threshold))
+    resolved, summary = stored_with_summary(resolve(titles, inputs.shows, rules.overrides(spark), ranges, threshold))
+    reports.write_json(summary, f"{out}/match_summary")
     matches = matched(resolved)
+    misses = best_scores(unmatched(resolved), inputs.shows)
+    reports.write_json(reports.unmatched_titles(misses), f"{out}/unmatched_titles")
 
     ignored = rules.titles(spark, rules.IGNORED_TITLES)
     reports.write_json(

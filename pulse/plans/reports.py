@@ -201,6 +201,13 @@ def diagnostics_report(
     )
 
 
+def unmatched_titles(misses: DataFrame) -> DataFrame:
+    """Titles without a match, the nearest misses first: how many torrents, and the best ratio with any name."""
+    return misses.groupBy("normalized").agg(
+        F.min("title").alias("title"), F.count(F.lit(1)).alias("torrents"), F.max("best_score").alias("best_score")
+    ).orderBy(F.desc_nulls_last("best_score"), F.asc("normalized")).select("title", "normalized", "torrents", "best_score")
+
+
 def unmatched_report(
     misses: DataFrame, torrents: DataFrame, stats: DataFrame, ignored: DataFrame, limit: int = 100
 ) -> DataFrame:

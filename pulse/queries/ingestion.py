@@ -14,9 +14,10 @@ from pulse.operators.store import feed_to_tables
 from pulse.plans import collector, reception
 from pulse.queries import registry
 from pulse.queries import views as v
-from pulse.schema import FEED_ITEM, MEDIA, RATING_PAYLOAD
-from pulse.session import ensure_checkpoint_dir, literal_rows
+from pulse.schema import MEDIA, RATING_PAYLOAD
+from pulse.session import cut, ensure_checkpoint_dir, literal_rows
 from pulse.sources import catalogue, feed, filenames, listing, surveys
+from pulse.streaming import jobs
 
 _HASH = "md5(CAST(o_orderkey AS VARCHAR))"
 
@@ -90,7 +91,7 @@ def _feed_items(spark, sf_dir):
 
 
 def _feed_rows(spark, sf_dir):
-    return feed.feed_rows(_feed_items(spark, sf_dir).select(F.from_xml("item", FEED_ITEM).alias("i")).select("i.*"), _FEED_NOW)
+    return feed.feed_rows(feed.parse_items(_feed_items(spark, sf_dir), "item"), _FEED_NOW)
 
 
 def _scratch(spark):
@@ -129,11 +130,29 @@ def feed_files(spark, sf_dir):
     )
 
 
+@registry.add(FED.replace("946684800000000", "NULL"))
+def stream_feed(spark, sf_dir):
+    """The documents arrive one after the other and are listed twice; each item is stored once."""
+    folder, root = _scratch(spark), _scratch(spark)
+    items = _feed_items(spark, sf_dir).withColumn("page", F.pmod(F.xxhash64("item"), F.lit(4)))
+    pages = items.withColumn("again", F.explode(F.array(F.lit(0), F.lit(1)))).groupBy("again", "page").agg(
+        F.concat(F.lit("<rss>"), F.array_join(F.collect_list("item"), "\n"), F.lit("</rss>")).alias("value")
+    )
+    pages.repartition("again", "page").write.partitionBy("again", "page").text(folder)
+    rows = feed.stream_feed(spark, f"{folder}/again=*/page=*", files=3)
+    jobs.first_rows(rows, f"{root}/rows", f"{root}/state", ["infohash"], ["filename"]).awaitTermination()
+    published = F.when(F.col("source_id") % 13 != 0, v.micros("pubdate"))
+    return spark.read.parquet(f"{root}/rows").select(
+        "infohash", "filename", published.alias("published"), "size_bytes", "source_id", "trusted",
+        "remake", "seeders", "leechers", "downloads",
+    )
+
+
 @registry.add(f"""WITH fed AS ({FED})
 SELECT infohash, source_id, CASE WHEN source_id % 3 = 0 THEN 'dead' ELSE 'active' END AS status, 1 AS readings FROM fed""")
 def ingest_feed(spark, sf_dir):
     """The feed on top of a store that has every third order already, as dead."""
-    rows = _feed_rows(spark, sf_dir)
+    rows = cut(_feed_rows(spark, sf_dir))
     known = rows.filter(F.col("source_id") % 3 == 0)
     stored, stats = feed_to_tables(known)
     torrents, readings = collector.ingest(stored.withColumn("status", F.lit("dead")), stats, rows)
@@ -214,7 +233,7 @@ def _survey_lines(spark, sf_dir):
 
 def _survey_rows(spark, sf_dir):
     columns = ", ".join(f"`{h}` string" for h in _HEADERS)
-    raw = _survey_lines(spark, sf_dir).select(F.from_csv("line", columns).alias("r")).select("r.*")
+    raw = _survey_lines(spark, sf_dir).select(F.inline(F.array(F.from_csv("line", columns))))
     return surveys.survey_rows(raw)
 
 
@@ -272,7 +291,7 @@ def _media(spark, sf_dir):
             F.struct(F.when(key % 4 != 0, size % 10 + 1990).alias("year"), F.lit(6).alias("month")).alias("startDate"),
         )
     )
-    raw = v.table(spark, sf_dir, "part").select(F.from_json(json, MEDIA).alias("m")).select("m.*")
+    raw = v.table(spark, sf_dir, "part").select(F.inline(F.array(F.from_json(json, MEDIA))))
     return catalogue.media_rows(raw)
 
 

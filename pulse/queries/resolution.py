@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pulse.functions.metadata import corrected_title
 from pulse.functions.ratios import fold_width
 from pulse.functions.text import normalize_title, strip_symbols
+from pulse.operators import intervals
 from pulse.operators import resolve as ops
 from pulse.operators import surveys
 from pulse.plans import reception
@@ -194,6 +195,14 @@ def match_summary(spark, sf_dir):
     return ops.match_summary(_resolved(spark, sf_dir)[1])
 
 
+@registry.add(f"""WITH {SCORES}
+SELECT coalesce(method, 'unmatched') AS method, count(*) AS items, count(*) / CAST((SELECT count(*) FROM resolved) AS DOUBLE) AS share
+FROM resolved GROUP BY ALL""")
+def match_summary_while_writing(spark, sf_dir):
+    """The same counts, taken by the pass that stores the result."""
+    return ops.stored_with_summary(_resolved(spark, sf_dir)[1])[1]
+
+
 @registry.add(f"""WITH {SCORES}
 SELECT infohash, CASE WHEN informative THEN (SELECT nullif(max(score), 0) FROM ratios WHERE a = {_sorted_sql('resolved.normalized')}) END AS best_score
 FROM resolved WHERE anilist_id IS NULL""")
@@ -213,6 +222,17 @@ def episode_range_matches(spark, sf_dir):
     return rows.select("infohash", target).filter(F.col("anilist_id").isNotNull())
 
 
+@registry.add(f"""WITH {TITLES}
+SELECT infohash, range_id, low, high FROM titles t JOIN ranges r ON r.normalized = t.normalized AND episode BETWEEN low AND high
+UNION ALL SELECT infohash, 1000000000000, 5, 30 FROM titles t JOIN ranges r ON r.normalized = t.normalized AND episode BETWEEN 5 AND 30""")
+def titles_in_ranges(spark, sf_dir):
+    """All ranges that hold a title's episode, as an interval join within equal titles."""
+    ranges = rules(catalogue(spark, sf_dir))[1].select("normalized", F.col("min_episode").alias("low"), F.col("max_episode").alias("high"), "range_id")
+    rows = titles(spark, sf_dir).select("infohash", "episode", normalize_title(F.col("title")).alias("normalized"))
+    met = intervals.overlapping(rows, ranges, ("episode", "episode"), ("low", "high"), ["normalized"])
+    return met.select("infohash", "range_id", "low", "high")
+
+
 @registry.add(f"""WITH {TITLES}
 SELECT infohash, override_id AS anilist_id FROM titles JOIN overrides USING (normalized)""")
 def override_matches(spark, sf_dir):

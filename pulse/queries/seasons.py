@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pulse import rules
 from pulse.functions.numbers import round_binary
+from pulse.operators import intervals
 from pulse.operators import season as ops
 from pulse.operators.ranking import weekly_rankings
 from pulse.operators.reception import RANK_DELTAS
@@ -297,3 +298,31 @@ def rounded_unit_price(spark, sf_dir):
     return v.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", round_binary(price, 3).alias("unit_price")
     )
+
+
+@registry.add("""WITH spans AS (
+  SELECT o_orderkey, o_custkey, date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS start_day,
+         date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) + o_orderkey % 400 AS end_day
+  FROM orders)
+SELECT a.o_custkey, a.o_orderkey AS one, b.o_orderkey AS two FROM spans a JOIN spans b ON a.o_custkey = b.o_custkey
+  AND a.start_day <= b.end_day AND b.start_day <= a.end_day AND a.o_orderkey < b.o_orderkey""")
+def overlapping_spans(spark, sf_dir):
+    """Spans of up to 400 days that share a day, within a customer: two large sides."""
+    start = F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint")
+    spans = v.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", start.alias("s"), (start + F.col("o_orderkey") % 400).alias("e"))
+    one = spans.select("o_custkey", F.col("o_orderkey").alias("one"), F.col("s").alias("s1"), F.col("e").alias("e1"))
+    two = spans.select("o_custkey", F.col("o_orderkey").alias("two"), F.col("s").alias("s2"), F.col("e").alias("e2"))
+    met = intervals.overlapping(one, two, ("s1", "e1"), ("s2", "e2"), ["o_custkey"])
+    return met.filter("one < two").select("o_custkey", "one", "two")
+
+
+@registry.add(f"""WITH {IN_SEASON}
+SELECT name AS season, week, count(*) AS shows FROM rankings JOIN seasons
+  ON CAST(week AS DATE) <= end_date AND CAST(week AS DATE) + 6 >= start_date GROUP BY ALL""")
+def ranked_in_season_weeks(spark, sf_dir):
+    """Rows of the rankings in the weeks that share a day with a season, whatever their show's season."""
+    day = lambda c: F.unix_date(F.col(c).cast("date")).cast("bigint")
+    weeks = rankings_of(spark, sf_dir).select("week", day("week").alias("first_day"), (day("week") + 6).alias("last_day"))
+    spans = seasons(spark).select(F.col("name").alias("season"), day("start_date").alias("begins"), day("end_date").alias("ends"))
+    met = intervals.overlapping(weeks, spans, ("first_day", "last_day"), ("begins", "ends"))
+    return met.groupBy("season", "week").agg(F.count(F.lit(1)).alias("shows"))

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,6 +62,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut_counted(df: DataFrame, **counts: Column) -> tuple[DataFrame, dict]:
+    """The same, with aggregates that are counted while the table is written."""
+    observed = Observation()
+    stored = cut(df.observe(observed, *[c.alias(name) for name, c in counts.items()]))
+    return stored, observed.get
+
+
 def literal_rows(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
     """A table written in the code. Built from literals rather than a Python
     RDD, so Catalyst knows how small it is."""

@@ -19,15 +19,23 @@ ROW = (
 )
 
 
+def parse_items(documents: DataFrame, column: str) -> DataFrame:
+    """The fields of one item per row. The parse stands behind a generator, so that no filter or field read later
+    repeats it."""
+    return documents.select(F.inline(F.array(F.from_xml(column, FEED_ITEM))))
+
+
+_XML = {"rowTag": "item", "ignoreNamespace": "true"}
+
+
 def read_feed(spark: SparkSession, path: str, now: datetime) -> DataFrame:
-    items = (
-        spark.read.format("xml")
-        .option("rowTag", "item")
-        .option("ignoreNamespace", "true")
-        .schema(FEED_ITEM)
-        .load(path)
-    )
-    return feed_rows(items, now)
+    return feed_rows(spark.read.format("xml").options(**_XML).schema(FEED_ITEM).load(path), now)
+
+
+def stream_feed(spark: SparkSession, path: str, files: int = 100) -> DataFrame:
+    """The rows of feed documents as they arrive in a folder; an unreadable date becomes the time of the batch."""
+    reader = spark.readStream.format("xml").options(**_XML).schema(FEED_ITEM).option("maxFilesPerTrigger", files)
+    return feed_rows(reader.load(path))
 
 
 def _count(column: str) -> Column:
@@ -35,13 +43,14 @@ def _count(column: str) -> Column:
     return F.when(F.col(column).isNull(), F.lit(0)).otherwise(F.trim(column).try_cast("bigint"))
 
 
-def feed_rows(items: DataFrame, now: datetime) -> DataFrame:
+def feed_rows(items: DataFrame, now: datetime | None = None) -> DataFrame:
+    read_at = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
     counts = ("seeders", "leechers", "downloads")
     name = F.trim("title")
     rows = items.select(
         F.lower(F.trim("infoHash")).alias("infohash"),
         name.alias("filename"),
-        rfc822(F.col("pubDate"), F.lit(now).cast("timestamp")).alias("pubdate"),
+        rfc822(F.col("pubDate"), read_at).alias("pubdate"),
         feed_size(F.coalesce(F.nullif("size", F.lit("")), F.lit("0 B"))).alias("size_bytes"),
         last_path_number(F.trim("guid")).alias("source_id"),
         (F.coalesce("trusted", F.lit("No")) == "Yes").alias("trusted"),

@@ -95,3 +95,13 @@ def test_surveys(spark, shows):
     found = sorted((r["anilist_id"], r["episode"], r["very_good_pct"]) for r in got.collect())
     # Two rows say (105, 1): the earliest broadcast, then title order, decides.
     assert found == [(101, 2, 60.0), (104, 1, 80.0), (105, 1, 30.0), (105, 2, 40.0)]
+
+
+def test_summary_is_counted_by_the_write(spark, shows):
+    rows = [(str(i), *case) for i, (case, _) in enumerate(CASES)]
+    titles = spark.createDataFrame(rows, "infohash string, title string, season bigint, episode bigint")
+    resolved = ops.resolve(titles, shows, rules.overrides(spark, {"nothing": 1}), rules.episode_ranges(spark))
+    stored, summary = ops.stored_with_summary(resolved)
+    assert stored.count() == len(CASES)
+    assert sorted(map(tuple, summary.collect())) == sorted(map(tuple, ops.match_summary(stored).collect()))
+    assert ops.stored_with_summary(resolved.limit(0))[1].count() == 0

@@ -125,3 +125,24 @@ def test_fold_width(spark):
         strip_symbols(fold_width(F.col("t"))).alias("n")
     ).first()
     assert row["n"] == "reゼロ2ndseason"
+
+
+def test_best_ratios_are_those_of_all_pairs_with_few_compared(spark):
+    from pulse.functions.ratios import indel_ratio
+    from pulse.operators.similarity import best_ratios
+
+    pick = random.Random(9)
+    words = ["".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=pick.randrange(2, 9))) for _ in range(400)]
+    text = lambda n: " ".join(pick.choices(words, k=n))
+    rights = sorted({text(pick.randrange(1, 5)) for _ in range(700)} | {"zz", ""})
+    near = [r[: len(r) // 2] + text(1) for r in pick.choices(rights, k=120)]
+    lefts = sorted({*near, *(text(pick.randrange(1, 6)) for _ in range(150)), "0123", "zz", ""})
+    a = spark.createDataFrame([(t,) for t in lefts] + [(lefts[3],), (None,)], "a string")
+    b = spark.createDataFrame([(t,) for t in rights] + [(rights[3],), (None,)], "b string")
+    want = {x: max(round(indel_ratio(x, y)) for y in rights) for x in lefts}
+    for cuts, per_block in (((70, 55, 40, 1), 512), ((90, 1), 100)):
+        got = best_ratios(a, b, "a", "b", cuts, per_block).collect()
+        assert {r["a"]: r["score"] for r in got} == {x: s for x, s in want.items() if s}
+    first = sum(r["compared"] for r in best_ratios(a, b, "a", "b").collect())
+    assert first < 0.25 * len(lefts) * len(rights)
+    assert best_ratios(a, b.limit(0), "a", "b").count() == 0 and best_ratios(a.limit(0), b, "a", "b").count() == 0

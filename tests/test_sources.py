@@ -120,3 +120,13 @@ def test_stale_ratings(spark):
     )
     stale = catalogue.stale_shows(shows, ratings, NOW)
     assert sorted(r["anilist_id"] for r in stale.collect()) == [2, 4, 5]
+
+
+def test_items_are_parsed_once(spark):
+    from pulse.sources import feed
+
+    raw = spark.createDataFrame([("<item><title>[G] T - 05 [720p].mkv</title><infoHash>AB</infoHash><seeders>x</seeders></item>",), ("<item>",), (None,)], "item string")
+    rows = feed.feed_rows(feed.parse_items(raw, "item"), datetime(2024, 1, 1))
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_xml") == 1 and rows.count() == 0

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pulse.operators.quantiles import quantiles
 from pulse.operators.schedule import batches
-from pulse.operators.windows import lag_by_day, position_over, row_number_over
+from pulse.operators.windows import lag_by_day, position_in_order, row_number_over
 
 START = datetime(2025, 1, 1)
 
@@ -57,9 +57,22 @@ def test_row_number_with_size(skewed):
     compare(row_number_over(skewed, ["key"], [F.col("value"), F.col("at")], "n", size="size"), expected)
 
 
-def test_position_over_the_whole_table(skewed):
+def test_position_in_the_order_of_the_whole_table(skewed):
     expected = skewed.withColumn("n", F.row_number().over(Window.orderBy("value", "at")).cast("bigint"))
-    compare(position_over(skewed, [F.col("value")], [F.col("value"), F.col("at")], "n"), expected)
+    for rows_per_range in (10, 10**6):
+        compare(position_in_order(skewed, [F.col("value"), F.col("at")], "n", rows_per_range), expected)
+
+
+def test_one_hot_hour_is_many_ranges(spark):
+    """Items all read in one second are still numbered in ranges of a bounded size."""
+    rows = spark.range(4000).select(F.sha1(F.col("id").cast("string")).alias("infohash"), F.lit(START).cast("timestamp").alias("last_scrape"))
+    ranged = rows.repartitionByRange(16, "last_scrape", "infohash").groupBy(F.spark_partition_id().alias("p")).count()
+    sizes = [r["count"] for r in ranged.collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 4000 / 16
+    got = batches(rows, rows_per_range=250).orderBy("position").collect()
+    assert [r["position"] for r in got] == list(range(1, 4001))
+    assert [r["infohash"] for r in got] == sorted(r["infohash"] for r in got)
+    assert batches(rows.limit(0)).count() == 0
 
 
 def test_batches_follow_the_scrape_order(spark):
