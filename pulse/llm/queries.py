@@ -252,7 +252,7 @@ FROM docs LEFT JOIN hits USING (row_no) LEFT JOIN found USING (row_no)"""
 @register
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    drawn = resampling.resample(docs, table(spark, sf_dir, "benchmark"))
+    drawn = resampling.resample(docs, table(spark, sf_dir, "benchmark"), keep=())
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 

@@ -15,13 +15,14 @@ Rows are in order of score (highest first), id (null last), and their place in t
 tells repeated rows apart. Null and empty texts have no features and weight 0; a null id is an empty
 text in the hash. Texts of any length are read in stretches. An empty table, or one without documents long
 enough, draws nothing; an empty target counts 0 in all buckets. Other columns pass through; where
-one has a result's name, that gets underscores.
+one has a result's name, that gets underscores. Only the columns in `keep` are stored on the way, so a text is not
+written again.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from zlib import crc32
 
 import numpy as np
@@ -105,13 +106,14 @@ def gains(source: list[int], target: list[int]) -> np.ndarray:
 
 def scored(
     docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", target_text_col: str = "text",
-    low: int = 1, high: int = 1, buckets: int = BUCKETS, seed: str = SEED, prefix: str = "",
+    low: int = 1, high: int = 1, buckets: int = BUCKETS, seed: str = SEED, prefix: str = "", keep: Sequence[str] = (),
 ) -> DataFrame:
-    """The rows, stored, with n_words, n_features, weight, score and the place `at` of the row."""
+    """The rows, stored, with the columns to keep, n_words, n_features, weight, score and the place `at` of the row."""
     spark = docs.sparkSession
     bounded_batches(spark)
     found = f"{prefix}found"
-    arrays = cut(bucketed(docs, text_col, low, high, buckets, found))
+    kept = list(dict.fromkeys([id_col, *keep]))
+    arrays = cut(bucketed(docs, text_col, low, high, buckets, found).select(*[plain(c) for c in kept], found))
     of_target = cut(bucketed(target.select(plain(target_text_col).alias("text")), "text", low, high, buckets).select("found"))
     table = gains(bucket_counts(arrays, f"{found}.buckets", buckets), bucket_counts(of_target, "found.buckets", buckets))
 
@@ -149,14 +151,15 @@ def bracket(rows: DataFrame, score: str, draw: int, margin: float = MARGIN, accu
 
 def resample(
     docs: DataFrame, target: DataFrame, percent: int = PERCENT, least_words: int = LEAST_WORDS, id_col: str = "doc_id",
-    margin: float = MARGIN, accuracy: int = ACCURACY, **parameters,
+    margin: float = MARGIN, accuracy: int = ACCURACY, keep: Sequence[str] | None = None, **parameters,
 ) -> DataFrame:
-    """All rows with n_words, n_features, weight, score and rank: 1, 2, 3, ... for the drawn ones, null for others."""
+    """All rows with n_words, n_features, weight, score and rank: 1, 2, 3, ... for the drawn ones, null for others.
+    Of the documents' columns all are kept if `keep` is None, else the id and those named."""
     prefix = ""
     names = ["n_words", "n_features", "weight", "score", "rank", "at", "found"]
     while any(prefix + n in docs.columns for n in names):
         prefix += "_"
-    rows = scored(docs, target, id_col=id_col, prefix=prefix, **parameters)
+    rows = scored(docs, target, id_col=id_col, prefix=prefix, keep=docs.columns if keep is None else keep, **parameters)
     score, at, rank = prefix + "score", prefix + "at", prefix + "rank"
     long_enough = rows.where(F.col(prefix + "n_words") >= least_words)
     draw = long_enough.count() * percent // 100

@@ -93,6 +93,13 @@ def test_result_is_the_same_through_a_poor_sketch(spark):
     assert result(got) == sorted(brute(docs, target, 30, 20), key=str)
 
 
+def test_columns_to_keep(spark):
+    docs, target = corpus(2)
+    got = resampling.resample(*frames(spark, docs, target), keep=())
+    assert got.columns[0] == "doc_id" and "text" not in got.columns
+    assert result(got, "_") == sorted(brute(docs, target, 10, 20), key=str)
+
+
 def test_empty_tables(spark):
     docs, target = corpus(1)
     a, b = frames(spark, docs, target)
