@@ -42,7 +42,7 @@ def brute(rows, threshold=0.93):
 def test_links_equal_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(crosspolytope, "BLOCK", block)
     rows = rows_of()
-    got = crosspolytope.near_vectors(spark.createDataFrame(rows, SCHEMA), tables=14).collect()
+    got = crosspolytope.near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == brute(rows)
 
 
@@ -67,6 +67,41 @@ def test_close_vectors_pass_the_signs():
     assert sorted(passed["t"]) == list(range(800))
 
 
+@pytest.mark.parametrize("bits", [0, 1, 2, 3, 5, 8, 11, 14])
+def test_pairs_at_the_threshold_meet_however_fine_the_buckets(bits):
+    rng = np.random.default_rng(bits)
+    a = crosspolytope.unit(rng.normal(size=(1500, 64)))
+    r = rng.normal(size=a.shape)
+    r = crosspolytope.unit(r - (r * a).sum(1, keepdims=True) * a)
+    b = 0.93 * a + np.sqrt(1 - 0.93**2) * r
+    tables = crosspolytope.tables_for(bits)
+    x, y = (crosspolytope.corners(v, tables, crosspolytope.PROBES, bits) for v in (a, b))
+    met = ((x[:, :, :1] == y) | (y[:, :, :1] == x)).any((1, 2))
+    assert met.mean() >= 0.975
+
+
+def test_buckets_keep_their_size_as_rows_grow():
+    """Unrelated vectors that a vector meets in a table: as many among 8,000 as among 1,000."""
+    met = []
+    for n in (1000, 8000):
+        x = crosspolytope.unit(np.random.default_rng(n).normal(size=(n, 64)))
+        codes = crosspolytope.corners(x, 2, crosspolytope.PROBES, crosspolytope.doublings(n))
+        home, count = np.unique(codes[:, 0, 0], return_counts=True)
+        at = np.minimum(np.searchsorted(home, codes[:, 0]), len(home) - 1)
+        met.append(np.where(home[at] == codes[:, 0], count[at], 0).sum() / n)
+    assert met[1] < 1.5 * met[0]
+
+
+def test_links_with_doubled_buckets(spark):
+    rows = rows_of(2)
+    got = crosspolytope.near_vectors(spark.createDataFrame(rows, SCHEMA), rows_per_code=20).collect()
+    want = brute(rows)
+    found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got}
+    links = sum(w[0] for w in want.values())
+    assert sum(f[0] for f in found.values()) >= 0.98 * links
+    assert all(found[i][0] <= want[i][0] for i in want)
+
+
 def test_hadamard_is_orthogonal():
     x = np.random.default_rng(0).normal(size=(5, 32))
     assert np.allclose(crosspolytope.hadamard(crosspolytope.hadamard(x)), x)
@@ -84,7 +119,7 @@ def exact(rows, k):
     return out
 
 
-@pytest.mark.parametrize("rows_per_part", [10**6, 50])
+@pytest.mark.parametrize("rows_per_part", [10**6, 250, 40])
 def test_search_finds_most_neighbours(spark, rows_per_part):
     rows = rows_of(1, 3000)
     found = neighbours.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0, rows_per_part=rows_per_part)
@@ -124,3 +159,48 @@ def test_router_finds_97_of_100_neighbours():
     rank = np.argsort(router.ranked(queries), axis=1)
     home = router.logits(base).argmax(1)[neighbours.nearest(queries, base, 10)]
     assert (np.take_along_axis(rank, home, 1) < router.visits).mean() >= 0.97
+
+
+def clustered(spark, n, centres, d=16):
+    """Vectors around centres, written by Spark's own random numbers; a hundred queries of any table."""
+    rng = np.random.default_rng(7)
+    places = spark.createDataFrame([(i, (8 * rng.normal(size=d)).tolist()) for i in range(centres)], "c int, centre array<double>")
+    noise = F.array(*[F.randn(100 + j) for j in range(d)])
+    rows = spark.range(n).select(F.col("id").alias("vec_id"), (F.pmod(F.xxhash64("id"), F.lit(centres))).cast("int").alias("c"), noise.alias("noise"))
+    moved = F.zip_with("centre", "noise", lambda a, b: a + b)
+    return rows.join(F.broadcast(places), "c").select("vec_id", moved.alias("embedding"))
+
+
+def test_rows_compared_stay_level_as_the_table_grows(spark):
+    """A tree of one level, and of two; neighbours are found in leaves of about the same size."""
+    compared = {}
+    for n in (4_000, 40_000):
+        rows = clustered(spark, n, n // 100).cache()
+        is_query = F.col("vec_id") % (n // 100) == 0
+        given = neighbours._usable(rows, "vec_id", "embedding")
+        index, sent = neighbours.partitioned(given, given.where(is_query), 10, 1024, 50, 16, 0.97)
+        sizes = index.groupBy("node").agg(F.count("*").alias("rows"))
+        assert sizes.agg(F.sum("rows")).first()[0] == n
+        compared[n] = sent.join(sizes, "node").agg(F.sum("rows")).first()[0] / 100
+        found = neighbours.search(rows, is_query, sample_rows=1024, rows_per_part=50, most_parts=16).collect()
+        pdf = rows.toPandas()
+        x, ids = np.array(pdf["embedding"].tolist()), pdf["vec_id"].to_numpy()
+        hits = 0
+        for q in range(0, n, n // 100):
+            d = ((x - x[ids == q][0]) ** 2).sum(1)
+            d[ids == q] = np.inf
+            hits += len({r.vec_id for r in found if r.query_id == q} & set(ids[np.argsort(d)[:10]].tolist()))
+        assert hits >= 0.9 * 1000
+        rows.unpersist()
+    assert compared[40_000] < 2.5 * compared[4_000] and compared[40_000] < 0.05 * 40_000
+
+
+def test_equal_vectors_and_repeated_ids(spark):
+    """A part that can't be divided is compared whole; ids that repeat on other vectors are one query."""
+    rows = [(i, [1.0, 2.0, 3.0], 0, 0) for i in range(300)] + [(400, [1.0, 2.0, 3.5], 0, 0), (400, [0.5, 2.0, 3.0], 0, 0)]
+    found = neighbours.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 100 == 0, rows_per_part=20, sample_rows=200).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append((r.vec_id, round(r.score, 6)))
+    assert got[0] == [(i, 0.0) for i in range(1, 11)] and got[100] == [(i, 0.0) for i in range(10)]
+    assert got[400] == [(i, 0.5) for i in range(10)]
