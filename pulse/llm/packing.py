@@ -8,11 +8,12 @@ the same gap are served by rank, gaps shrink by what they took, and the round re
 Pieces of one length are interchangeable, so the sweeps move runs: `n` documents of one
 length, ranks `first` to `first + n - 1`, or `n` sequences of one gap. A round costs as many rows
 as there are distinct sizes, at most `capacity` of each kind and a few more where runs were
-cut, however many documents there are. Documents themselves are shuffled once, to number
-them within their length.
+cut, however many documents there are: also the last round, whose one range is one task. Documents
+themselves are shuffled once, to number them within their length.
 
 Null text is the empty text: one piece that holds the end token. Repeated rows are packed as
-often as they occur. An empty table gives no pieces. Other columns are ignored.
+often as they occur. An empty table gives no pieces. Texts of any length are
+encoded whole. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pulse.session import cut
 END_TOKEN = 2
 MAX_CAPACITY = 65_536
 _RUN = "kind string, size long, first long, n long, sequence_id long, offset long"
-_RUNS_PER_TASK = 50_000
+RANGES = 8
 
 
 @lru_cache(maxsize=2)
@@ -161,18 +162,21 @@ def _rounds(capacity: int):
 
 def place(runs: DataFrame, capacity: int) -> DataFrame:
     """Rounds over (size, n) of the documents: rows (size, first, n, sequence_id, offset) that say where
-    the documents `first` to `first + n - 1` of a size go: into consecutive sequences, at one offset."""
+    the documents `first` to `first + n - 1` of a size go: into consecutive sequences, at one offset.
+
+    A round sweeps RANGES ranges of sizes at once. What is left of them, documents without a gap of their range and gaps
+    without a document, comes again in half as many ranges, each of two that lie side by side, and at last in one;
+    only then are sequences opened for what found no place, and the next rounds begin.
+    """
     docs = runs.select(
         F.lit("doc").alias("kind"), "size", F.lit(0).cast("long").alias("first"), "n",
         F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"),
     )
     spark, opened, placed = runs.sparkSession, 0, []
-    state, open_new, parts = cut(docs), True, None
+    state, open_new, parts = cut(docs), True, RANGES
     while True:
         is_doc = F.col("kind") == "doc"
-        total, least, rows = state.agg(
-            F.sum(F.when(is_doc, F.col("size") * F.col("n"))), F.min(F.when(is_doc, F.col("size"))), F.count("*")
-        ).first()
+        total, least = state.agg(F.sum(F.when(is_doc, F.col("size") * F.col("n"))), F.min(F.when(is_doc, F.col("size")))).first()
         if not total:
             break
         if open_new:
@@ -181,14 +185,12 @@ def place(runs: DataFrame, capacity: int) -> DataFrame:
                 "'gap' AS kind", f"CAST({capacity} AS BIGINT) AS size", f"CAST({opened} AS BIGINT) AS first",
                 f"CAST({count} AS BIGINT) AS n", "CAST(NULL AS BIGINT) AS sequence_id", "CAST(NULL AS BIGINT) AS offset",
             )
-            state, opened = state.unionByName(new), opened + count
-        parts = -(-rows // _RUNS_PER_TASK) if open_new else 1
+            state, opened, parts = state.unionByName(new), opened + count, RANGES
         useful = state.where((F.col("kind") == "doc") | (F.col("size") >= least))
         ranged = useful.repartitionByRange(parts, "size") if parts > 1 else useful.coalesce(1)
         done = cut(ranged.mapInPandas(_rounds(capacity), _RUN))
         placed.append(done.where("kind = 'match'"))
-        # Where sizes were spread over tasks, one task looks over what they left before sequences are opened.
-        open_new = parts == 1
+        open_new, parts = parts == 1, max(1, parts // 2)
         state = done.where("kind <> 'match'")
     result = placed[0] if placed else state
     for more in placed[1:]:

@@ -91,7 +91,7 @@ def test_one_document_per_task_of_a_round(spark):
 @pytest.mark.parametrize("size", [1, 7, 64])
 def test_many_tasks_of_runs(spark, monkeypatch, size):
     """Sizes spread over several tasks give a whole packing too."""
-    monkeypatch.setattr(packing, "_RUNS_PER_TASK", 5)
+    monkeypatch.setattr(packing, "RANGES", 16)
     runs = spark.createDataFrame([(s, 10 + s % 3) for s in range(size, 100, 3)], "size long, n long")
     placed = packing.place(runs, 100).collect()
     want = {r.size: r.n for r in runs.collect()}
@@ -108,3 +108,29 @@ def test_many_tasks_of_runs(spark, monkeypatch, size):
             assert offset == at
             at += s
         assert at <= 100
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_as_tight_as_plain_best_fit(spark, seed):
+    """One document after the other, largest first, each into the sequence with the least room that holds it."""
+    from bisect import bisect_left, insort
+
+    rng = random.Random(seed)
+    sizes = [max(1, min(1024, int(rng.lognormvariate(5, 1.2)))) for _ in range(4000)]
+    rooms, used = [], 0
+    for size in sorted(sizes, reverse=True):
+        at = bisect_left(rooms, size)
+        if at == len(rooms):
+            used += 1
+            room = 1024
+        else:
+            room = rooms.pop(at)
+        insort(rooms, room - size)
+    runs = spark.createDataFrame([(s, sizes.count(s)) for s in set(sizes)], "size long, n long")
+    placed = packing.place(runs, 1024).collect()
+    filled = {}
+    for r in placed:
+        for i in range(r.n):
+            filled[r.sequence_id + i] = filled.get(r.sequence_id + i, 0) + r.size
+    assert sum(filled.values()) == sum(sizes) and max(filled.values()) <= 1024
+    assert len(filled) <= 1.01 * used + 1
