@@ -11,7 +11,7 @@ from pulse.functions.text import strip_symbols
 from pulse.operators.similarity import containing_pairs
 from pulse.operators.store import first_per_key
 from pulse.rules import SURVEY_MATCH_THRESHOLD
-from pulse.session import literal_rows
+from pulse.session import cut, literal_rows
 from pulse.sources.surveys import PERCENTAGES
 
 
@@ -28,8 +28,9 @@ def folded(df: DataFrame, column: str) -> DataFrame:
 
 def survey_targets(titles: DataFrame, shows: DataFrame, title_map: DataFrame, threshold: int) -> DataFrame:
     """Survey title to show: listed title, then any equal name (the first show in
-    catalogue order has it), then the most alike native title."""
-    norms = folded(titles, "title")
+    catalogue order has it), then the most alike native title. Normal forms come from Python and are read by several
+    joins, so they and what is left to compare are stored."""
+    norms = cut(folded(titles, "title"))
     names = shows.select(
         "anilist_id",
         "show_seq",
@@ -52,18 +53,18 @@ def survey_targets(titles: DataFrame, shows: DataFrame, title_map: DataFrame, th
         .groupBy("norm")
         .agg(F.max("listed_id").alias("listed_id"))
     )
-    known = norms.join(listed, "norm", "left").join(exact, "norm", "left")
+    known = cut(norms.join(listed, "norm", "left").join(exact, "norm", "left"))
     open_norms = (
         known.filter(F.coalesce("listed_id", "exact_id").isNull()).select("norm").distinct()
     )
-    native = (
+    native = cut(
         shows.join(folded(shows, "title_native"), "title_native")
         .groupBy(F.col("norm").alias("native"))
         .agg(first.alias("_show"))
         .select("native", "_show.*")
     )
     alike = (
-        containing_pairs(open_norms, native, "norm", "native", threshold)
+        containing_pairs(cut(open_norms), native, "norm", "native", threshold)
         .groupBy("norm")
         .agg(F.min(F.struct((-F.col("score")).alias("s"), "show_seq", "anilist_id")).alias("_best"))
         .select("norm", F.col("_best.anilist_id").alias("alike_id"))

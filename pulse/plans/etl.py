@@ -28,7 +28,8 @@ from pulse.operators.series import (
     weekly_totals,
     with_show_labels,
 )
-from pulse.plans import reports
+from pulse.operators.surveys import title_map
+from pulse.plans import reception, reports
 from pulse.session import cut
 from pulse.sources.catalogue import movie_shows
 from pulse.sources.tables import usable_torrents
@@ -37,7 +38,8 @@ from pulse.sources.tables import usable_torrents
 @dataclass(frozen=True)
 class Inputs:
     """Stored tables. ``shows`` carries ``show_seq``; ``members`` lists
-    (season, anilist_id); ``movies`` is the movie catalogue."""
+    (season, anilist_id); ``movies`` is the movie catalogue. An export of surveys and responses of ratings fetched for this
+    run, if any, are taken into the stored ones."""
 
     torrents: DataFrame
     stats: DataFrame
@@ -47,6 +49,9 @@ class Inputs:
     surveys: DataFrame
     movies: DataFrame
     seasons: DataFrame
+    survey_rows: DataFrame | None = None
+    survey_source: str = ""
+    rating_responses: DataFrame | None = None
 
 
 def titles_of(torrents: DataFrame) -> DataFrame:
@@ -90,13 +95,15 @@ def run(inputs: Inputs, out: str, now: datetime, first_day, threshold: int = rul
     reports.write_json(reports.rankings_report(rankings, now), f"{out}/rankings")
 
     in_season = cut(season_rankings(rankings, inputs.seasons, inputs.members))
-    metrics = show_metrics(inputs.shows, inputs.ratings, inputs.surveys)
-    shows = reports.season_shows_report(in_season, series, inputs.shows, metrics)
-    reports.write_json(reports.season_weeks_report(in_season), f"{out}/season_weeks", ["slug"])
+    ratings, surveys = kept_answers(inputs, now)
+    metrics = show_metrics(inputs.shows, ratings, surveys)
+    weeks = cut(reports.season_weeks_report(in_season))
+    shows = cut(reports.season_shows_report(in_season, series, inputs.shows, metrics))
+    percentiles = cut(reports.season_percentiles_report(in_season, series))
+    reports.write_json(weeks, f"{out}/season_weeks", ["slug"])
     reports.write_json(shows, f"{out}/season_shows", ["slug"])
-    reports.write_json(
-        reports.season_percentiles_report(in_season, series), f"{out}/season_percentiles", ["slug"]
-    )
+    reports.write_json(percentiles, f"{out}/season_percentiles", ["slug"])
+    reports.write_json(reports.season_documents(weeks, shows, percentiles), f"{out}/season", ["slug"])
     reports.write_json(
         season_episodes(series, inputs.seasons, inputs.members).withColumn(
             "slug", season_slug(F.col("season"))
@@ -109,6 +116,18 @@ def run(inputs: Inputs, out: str, now: datetime, first_day, threshold: int = rul
     reports.write_json(reports.movies_report(cut(movie_series(by_movie)), catalogue), f"{out}/movies")
 
 
+def kept_answers(inputs: Inputs, now: datetime) -> tuple[DataFrame, DataFrame]:
+    """Ratings and surveys with what this run has fetched."""
+    ratings, surveys = inputs.ratings, inputs.surveys
+    if inputs.rating_responses is not None:
+        ratings = cut(reception.update_ratings(ratings, inputs.rating_responses))
+    if inputs.survey_rows is not None:
+        seasons = inputs.seasons
+        listed = title_map(seasons.sparkSession)
+        surveys = cut(reception.update_surveys(surveys, inputs.survey_rows, seasons, inputs.shows, listed, now, inputs.survey_source))
+    return ratings, surveys
+
+
 def delta_dims(torrents: DataFrame, films: DataFrame) -> DataFrame:
     """One row per torrent that is matched to an episode, a movie or both, with what each reader needs."""
     episodes = episode_dims(torrents)

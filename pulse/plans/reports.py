@@ -105,6 +105,24 @@ def season_percentiles_report(rankings: DataFrame, series: DataFrame) -> DataFra
     )
 
 
+def season_documents(weeks: DataFrame, shows: DataFrame, percentiles: DataFrame) -> DataFrame:
+    """One object per season: its weeks in order, its shows by total downloads, and its percentiles. A season has the rows
+    of its catalogue."""
+    key = ["slug", "season"]
+
+    def listed(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+        fields = [c for c in rows.columns if c not in key]
+        return nested(row_number_over(rows, key, order, "_at"), key, "_at", fields, name)
+
+    bands = lambda kind: percentiles.filter(F.col("kind") == kind).drop("kind")
+    return (
+        listed(weeks, [F.col("week")], "weeks")
+        .join(listed(shows, [F.col("total_downloads").desc_nulls_last(), F.col("anilist_id")], "shows"), key, "left")
+        .join(listed(bands("weekly_downloads"), [F.col("at")], "weekly_percentiles"), key, "left")
+        .join(listed(bands("episode_downloads"), [F.col("at").cast("bigint")], "episode_percentiles"), key, "left")
+    )
+
+
 def movies_report(series: DataFrame, shows: DataFrame) -> DataFrame:
     """Movies with their weekly series. A movie has one entry per week."""
     weekly = series.groupBy("anilist_id").agg(

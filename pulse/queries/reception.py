@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pulse.functions.numbers import weighted_mean
 from pulse.operators import ranking, reception, season
+from pulse.operators.windows import position_in_order
 from pulse.queries import registry
 from pulse.queries import views as v
 from pulse.session import cut
@@ -42,6 +43,16 @@ def shows_by_score(spark, sf_dir):
     return ranking.ordered_by_metric(ranked, "mal_score")
 
 
+@registry.add(f"""WITH {v.RATED}, ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY season ORDER BY total_downloads DESC, anilist_id) AS season_rank FROM rated)
+SELECT season, anilist_id, row_number() OVER (ORDER BY mal_score DESC NULLS LAST, season_rank, season) AS position FROM ranked""")
+def positions_by_score(spark, sf_dir):
+    """The place of every card in that order, over all seasons."""
+    ranked = season.season_rank(v.rated(spark, sf_dir))
+    order = [F.col("mal_score").desc_nulls_last(), F.col("season_rank"), F.col("season")]
+    return position_in_order(ranked, order, "position").select("season", "anilist_id", "position")
+
+
 @registry.add(f"""WITH {v.RATED}
 SELECT season, anilist_id, {', '.join(f'''
   coalesce(CASE WHEN {m} IS NOT NULL THEN CASE WHEN count({m}) OVER (PARTITION BY season) > 1 THEN

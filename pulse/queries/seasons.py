@@ -246,6 +246,24 @@ def season_shows_report(spark, sf_dir):
     )
 
 
+@registry.add(f"""WITH {IN_SEASON}
+SELECT lower(replace(season, ' ', '-')) AS slug, anilist_id, total_downloads,
+       row_number() OVER (PARTITION BY season ORDER BY total_downloads DESC, anilist_id) AS position,
+       (SELECT count(DISTINCT week) FROM in_season i WHERE i.season = totals.season) AS weeks
+FROM totals""")
+def season_documents(spark, sf_dir):
+    """Each season as one object; its shows in the order they have there."""
+    series = stored_series(spark, sf_dir)
+    rows = cut(with_show_labels(in_season(spark, sf_dir, series), v.shows(spark, sf_dir)))
+    metrics = v.members(spark, sf_dir).select("anilist_id").distinct().withColumns(
+        {c: F.lit(None).cast("double") for c in (*RANK_DELTAS.values(), "mal_score")}
+    )
+    shows = reports.season_shows_report(rows, series, v.shows(spark, sf_dir), metrics)
+    documents = cut(reports.season_documents(reports.season_weeks_report(rows), shows, reports.season_percentiles_report(rows, series)))
+    listed = documents.select("slug", F.size("weeks").cast("bigint").alias("weeks"), F.posexplode("shows").alias("at", "show"))
+    return listed.select("slug", "show.anilist_id", "show.total_downloads", (F.col("at") + 1).cast("bigint").alias("position"), "weeks")
+
+
 COHORTS = IN_SEASON + """,
 cut AS (
   SELECT season, quantile_cont(CAST(ep1_downloads AS DOUBLE), 0.33) AS q1, quantile_cont(CAST(ep1_downloads AS DOUBLE), 0.66) AS q2

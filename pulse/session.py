@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return f"{configured}/pulse-{context.applicationId}"
 
 
+_open_scopes: list[list[str]] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write a frame several plans read to the shared folder and read it back.
 
@@ -58,10 +61,34 @@ def cut(df: DataFrame) -> DataFrame:
     its real size is known to the plans that use it.
     """
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    if _open_scopes:
+        _open_scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut_result(make: Callable[[], DataFrame]) -> DataFrame:
+    """The frame that ``make`` returns, written; the tables that were cut to make it are removed then."""
+    _open_scopes.append([])
+    try:
+        made = make()
+        result = cut(made)
+    finally:
+        paths = _open_scopes.pop()
+    *intermediate, last = paths
+    _remove(made.sparkSession, intermediate)
+    if _open_scopes:
+        _open_scopes[-1].append(last)
+    return result
+
+
+def _remove(spark: SparkSession, paths: Iterable[str]) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    for path in paths:
+        folder = hadoop(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut_counted(df: DataFrame, **counts: Column) -> tuple[DataFrame, dict]:
     """The same, with aggregates that are counted while the table is written."""
     observed = Observation()

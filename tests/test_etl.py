@@ -186,3 +186,18 @@ def test_rank_deltas_and_survey_nulls(spark):
     surveys = spark.createDataFrame([(1, 1, None)], "anilist_id bigint, episode bigint, very_good_pct double")
     assert survey_rollup(surveys).first()["niconico_very_good_pct"] is None
     assert survey_series(surveys).count() == 0
+
+
+def test_seasons_are_one_object_each_in_order(out):
+    documents = load(out, "season")
+    assert [d["season"] for d in documents] == ["Fall 2025"]
+    document = documents[0]
+    assert [w["week"] for w in document["weeks"]] == sorted(w["week"] for w in document["weeks"])
+    totals = [s["total_downloads"] for s in document["shows"]]
+    assert totals == sorted(totals, reverse=True) and len(totals) == 2
+    assert document["weekly_percentiles"] and document["episode_percentiles"]
+
+
+def test_run_reports_counts_and_near_misses(out):
+    summary = {r["method"]: r["items"] for r in load(out, "match_summary")}
+    assert sum(summary.values()) > 0 and summary.get("unmatched", 0) == sum(t["torrents"] for t in load(out, "unmatched_titles"))
