@@ -20,7 +20,11 @@ each other, in blocks of bounded size. The classes are those of all pairs that s
 Null text counts as empty; texts without words are equal to each other and to nothing else.
 Rows with the same text are one class whatever their ids; rows without id take no part and
 are kept by `near_dedup`. An id that stands on unrelated texts can name several classes: `component` tells
-them apart, and `near_dedup` keeps a row of each. An empty table gives an empty result.
+them apart, and `near_dedup` keeps a row of each. An empty table gives an empty result. Texts of any length are
+hashed whole. Other columns pass through or are ignored, whatever their names.
+
+Before members of one bucket in different classes are compared exactly, a sketch of 1,024 bins drops pairs that are four
+standard errors below the threshold: of pairs right at it about three in 100,000, fewer above.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ operations; a document is moved once, as a row of a few numbers.
 
 Sizes are words, runs of characters other than ASCII white space; a null text has
 none. Null is a source of its own, last in order. Repeated rows are separate documents. A
-source without words takes none; an empty table gives none.
+source without words takes none; an empty table gives none. Texts of any length are counted whole. Other
+columns are ignored, or pass through where the mixed documents are asked for.
 """
 
 from __future__ import annotations
