@@ -41,21 +41,21 @@ TOP = 10
 SOURCES_PER_BLOCK = 64
 TERMS_PER_CHUNK = 4096
 _UNIT = 1_000_000_000
-_HELD = 200_000
+_HELD = 400_000
 
 
 def _count_terms(held: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: dict[tuple, Counter] = defaultdict(Counter)
         documents: dict[tuple, Counter] = defaultdict(Counter)
+        repeats: dict[tuple, Counter] = defaultdict(Counter)  # occurrences beyond the first of a document
 
         def flush() -> Iterator[pd.DataFrame]:
             rows = [
-                (lang, source, term.decode("utf-8", "surrogatepass"), n, documents[lang, source][term])
-                for (lang, source), terms in counts.items() for term, n in terms.items()
+                (lang, source, term.decode("utf-8", "surrogatepass"), n + repeats[lang, source][term], n)
+                for (lang, source), terms in documents.items() for term, n in terms.items()
             ]
-            counts.clear()
             documents.clear()
+            repeats.clear()
             if rows:
                 yield pd.DataFrame(rows, columns=["lang", "source", "term", "n", "docs"])
 
@@ -64,9 +64,12 @@ def _count_terms(held: int):
                 terms: Counter = Counter()
                 for words in word_lists(text, LETTERS):
                     terms.update(words)
-                counts[lang, source].update(terms)
                 documents[lang, source].update(terms.keys())
-            if sum(map(len, counts.values())) > held:
+                more = repeats[lang, source]
+                for term, n in terms.items():
+                    if n > 1:
+                        more[term] += n - 1
+            if sum(map(len, documents.values())) > held:
                 yield from flush()
         yield from flush()
 

@@ -264,7 +264,7 @@ def partitioned(
     kind = given.schema["vector"].dataType.simpleString()
     shape = f"vec_id long, vector {kind}, node long"
     index = cut(given.withColumn("node", F.lit(0).cast("long")))
-    sent = asked.withColumn("node", F.lit(0).cast("long"))
+    sent = cut(asked.withColumn("node", F.lit(0).cast("long")))
     total = index.count()
     levels = max(1, math.ceil(math.log(max(1, total / (4 * rows_per_part))) / math.log(most_parts)))
     leaves, reached = [], []
