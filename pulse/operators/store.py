@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulse.session import cut
@@ -77,6 +78,18 @@ def upsert_partitions(
     )
 
 
+def is_done(spark: SparkSession, root: str, batch: int) -> bool:
+    """Whether a numbered step on stored tables has been finished."""
+    try:
+        return spark.read.schema("id bigint").parquet(f"{root}/_done/{batch}").count() > 0
+    except AnalysisException:
+        return False
+
+
+def mark_done(spark: SparkSession, root: str, batch: int) -> None:
+    spark.range(1).write.mode("overwrite").parquet(f"{root}/_done/{batch}")
+
+
 def latest_per_key(rows: DataFrame, key: Sequence[str], order: Sequence[Column], limit: int) -> DataFrame:
     """The newest ``limit`` rows per key, numbered from 1. Spark's group limit
     keeps ``limit`` rows per key in each task before the shuffle."""

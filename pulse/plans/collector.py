@@ -87,14 +87,21 @@ def stored_stats(spark: SparkSession, root: str) -> DataFrame:
     return _stored(spark, root, "stats", STATS, "day date").drop("day")
 
 
-def store_readings(root: str, scraped: DataFrame) -> None:
+def store_readings(root: str, scraped: DataFrame, batch: int | None = None) -> None:
     """Add a batch of readings to the stored tables and mark the torrents that have gone dead.
 
     Only the days of the readings are rewritten, and of the torrents the partitions of those that died.
-    Whether a torrent is dead follows from its newest readings, which are a small table of their own.
+    Whether a torrent is dead follows from its newest readings, which are a small table of their own. Each of
+    the three steps gives the same when it is run again, so a batch that broke off is finished by another run;
+    a batch with a number is noted when it is stored, and another run of it then does nothing.
     """
+    spark = scraped.sparkSession
+    if batch is not None and store.is_done(spark, root, batch):
+        return
     newest = _add_readings(root, scraped)
     _set_status(root, cut(schedule.dead_keys(newest)), "dead")
+    if batch is not None:
+        store.mark_done(spark, root, batch)
 
 
 def _add_readings(root: str, scraped: DataFrame) -> DataFrame:

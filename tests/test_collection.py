@@ -176,3 +176,29 @@ def test_ingest(spark):
     found = {r["infohash"]: (r["filename"], r["status"]) for r in all_torrents.collect()}
     assert found == {"aa": ("first", "active"), "bb": ("kept", "guessit_failed"), "cc": ("new", "active")}
     assert {(r["infohash"], r["downloads"]) for r in all_stats.collect()} == {("aa", 1), ("bb", 5), ("cc", 9)}
+
+
+def test_a_numbered_batch_is_stored_once(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    torrents = spark.createDataFrame([torrent(k) for k in ("aa", "bb")], TORRENTS)
+    stats = counters(spark, *[(k, -h, 0, 0, 0) for k in ("aa", "bb") for h in (30, 40)])
+    collector.create(root, torrents, stats)
+    scraped = counters(spark, ("aa", 0, 0, 0, 0), ("bb", 0, 3, 1, 9))
+    real = collector._set_status
+
+    def broken(*args):
+        raise RuntimeError("lost")
+
+    # It breaks off between the tables, and another run finishes it.
+    monkeypatch.setattr(collector, "_set_status", broken)
+    with pytest.raises(RuntimeError):
+        collector.store_readings(root, scraped, 7)
+    monkeypatch.setattr(collector, "_set_status", real)
+    collector.store_readings(root, scraped, 7)
+    marked, stored = schedule.collect(torrents, stats, scraped)
+    status = lambda df: sorted((r["infohash"], r["status"]) for r in df.collect())
+    assert status(collector.stored_torrents(spark, root)) == status(marked)
+    assert collector.stored_stats(spark, root).count() == stored.count()
+    files = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("part-*.parquet")}
+    collector.store_readings(root, scraped, 7)
+    assert {p: p.stat().st_mtime_ns for p in tmp_path.rglob("part-*.parquet")} == files
