@@ -8,7 +8,7 @@ the same gap are served by rank, gaps shrink by what they took, and the round re
 Pieces of one length are interchangeable, so the sweeps move runs: `n` documents of one
 length, ranks `first` to `first + n - 1`, or `n` sequences of one gap. A round costs as many rows
 as there are distinct sizes, at most `capacity` of each kind and a few more where runs were
-cut, however many documents there are: also the last round, whose one range is one task. Documents
+cut, however many documents there are: also the second round, whose one range is one task. Documents
 themselves are shuffled once, to number them within their length.
 
 Null text is the empty text: one piece that holds the end token. Repeated rows are packed as
@@ -165,8 +165,8 @@ def place(runs: DataFrame, capacity: int) -> DataFrame:
     the documents `first` to `first + n - 1` of a size go: into consecutive sequences, at one offset.
 
     A round sweeps RANGES ranges of sizes at once. What is left of them, documents without a gap of their range and gaps
-    without a document, comes again in half as many ranges, each of two that lie side by side, and at last in one;
-    only then are sequences opened for what found no place, and the next rounds begin.
+    without a document, is looked over in a second round of one range; only then are sequences opened for what
+    found no place, and the next two rounds begin.
     """
     docs = runs.select(
         F.lit("doc").alias("kind"), "size", F.lit(0).cast("long").alias("first"), "n",
@@ -190,7 +190,7 @@ def place(runs: DataFrame, capacity: int) -> DataFrame:
         ranged = useful.repartitionByRange(parts, "size") if parts > 1 else useful.coalesce(1)
         done = cut(ranged.mapInPandas(_rounds(capacity), _RUN))
         placed.append(done.where("kind = 'match'"))
-        open_new, parts = parts == 1, max(1, parts // 2)
+        open_new, parts = parts == 1, 1
         state = done.where("kind <> 'match'")
     result = placed[0] if placed else state
     for more in placed[1:]:
