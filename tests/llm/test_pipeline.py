@@ -73,7 +73,7 @@ def test_stages_survive_an_empty_table(spark):
 def test_queries_are_registered():
     names = entry_points.queries()
     assert "pipeline" in names
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_components_of_chains_and_stars(spark):
