@@ -15,7 +15,7 @@ from pulse.plans import collector, reception
 from pulse.queries import registry
 from pulse.queries import views as v
 from pulse.schema import MEDIA, RATING_PAYLOAD
-from pulse.session import cut, ensure_checkpoint_dir, literal_rows
+from pulse.session import cut, ensure_checkpoint_dir
 from pulse.sources import catalogue, feed, filenames, listing, surveys
 from pulse.streaming import jobs
 
@@ -98,6 +98,24 @@ def _scratch(spark):
     return f"{ensure_checkpoint_dir(spark)}/files-{uuid.uuid4().hex}"
 
 
+FILE_LINES = 30_000
+
+
+def _write_files(lines, folder, least, head, tail=None, times=1):
+    """Write the lines as so many files at least, and as many as there are lines for, each with its head and tail; all
+    of them as many times as asked for. A file is rows until it is written, so none is in memory as a whole."""
+    (column,) = lines.columns
+    count = max(least, -(-lines.count() // FILE_LINES))
+    page = F.pmod(F.xxhash64(column), F.lit(count))
+    ends = [F.struct(F.lit(i).alias("place"), F.lit(t).alias("value")) for i, t in ((0, head), (2, tail)) if t is not None]
+    pages = lines.sparkSession.range(count).select(F.col("id").alias("page"), F.inline(F.array(*ends)))
+    rows = lines.select(page.alias("page"), F.lit(1).alias("place"), F.col(column).alias("value")).unionByName(pages)
+    rows = rows.withColumn("again", F.explode(F.array(*[F.lit(i) for i in range(times)])))
+    dealt = rows.repartition("again", "page").sortWithinPartitions("again", "page", "place")
+    dealt.select("again", "page", "value").write.partitionBy("again", "page").text(folder)
+    return count * times
+
+
 FED = f"""
   SELECT {_HASH} AS infohash, concat('[G] Order & Co ', o_orderkey, ' - 05 [720p].mkv') AS filename,
          CASE WHEN o_orderkey % 13 = 0 THEN 946684800000000 ELSE epoch_us(o_orderdate) END AS published,
@@ -120,10 +138,7 @@ def feed_rows(spark, sf_dir):
 def feed_files(spark, sf_dir):
     """The same items as XML documents in a folder."""
     folder = _scratch(spark)
-    items = _feed_items(spark, sf_dir)
-    pages = items.groupBy(F.pmod(F.xxhash64("item"), F.lit(7)).alias("page")).agg(F.array_join(F.collect_list("item"), "\n").alias("items"))
-    document = F.concat(F.lit("<rss><channel><title>feed</title>"), "items", F.lit("</channel></rss>"))
-    pages.select("page", document.alias("value")).write.partitionBy("page").text(folder)
+    _write_files(_feed_items(spark, sf_dir), folder, 7, "<rss><channel><title>feed</title>", "</channel></rss>")
     return feed.read_feed(spark, folder, _FEED_NOW).select(
         "infohash", "filename", v.micros("pubdate").alias("published"), "size_bytes", "source_id", "trusted",
         "remake", "seeders", "leechers", "downloads",
@@ -132,14 +147,10 @@ def feed_files(spark, sf_dir):
 
 @registry.add(FED.replace("946684800000000", "NULL"))
 def stream_feed(spark, sf_dir):
-    """The documents arrive one after the other and are listed twice; each item is stored once."""
+    """The documents arrive in three batches and are listed twice; each item is stored once."""
     folder, root = _scratch(spark), _scratch(spark)
-    items = _feed_items(spark, sf_dir).withColumn("page", F.pmod(F.xxhash64("item"), F.lit(4)))
-    pages = items.withColumn("again", F.explode(F.array(F.lit(0), F.lit(1)))).groupBy("again", "page").agg(
-        F.concat(F.lit("<rss>"), F.array_join(F.collect_list("item"), "\n"), F.lit("</rss>")).alias("value")
-    )
-    pages.repartition("again", "page").write.partitionBy("again", "page").text(folder)
-    rows = feed.stream_feed(spark, f"{folder}/again=*/page=*", files=3)
+    files = _write_files(_feed_items(spark, sf_dir), folder, 4, "<rss>", "</rss>", times=2)
+    rows = feed.stream_feed(spark, f"{folder}/again=*/page=*", files=-(-files // 3))
     jobs.first_rows(rows, f"{root}/rows", f"{root}/state", ["infohash"], ["filename"]).awaitTermination()
     published = F.when(F.col("source_id") % 13 != 0, v.micros("pubdate"))
     return spark.read.parquet(f"{root}/rows").select(
@@ -250,12 +261,9 @@ SELECT title, CAST(episode AS BIGINT) AS episode, season_code, very_good_pct, go
 def survey_files(spark, sf_dir):
     """The same lines as CSV files with a header in a folder."""
     folder = _scratch(spark)
-    header = literal_rows(spark, [(",".join(_HEADERS),)], "line string")
-    for i in range(3):
-        part = _survey_lines(spark, sf_dir).filter(F.pmod(F.xxhash64("line"), F.lit(3)) == i)
-        header.unionByName(part).coalesce(1).write.text(f"{folder}/{i}")
+    _write_files(_survey_lines(spark, sf_dir), folder, 3, ",".join(_HEADERS))
     keys = ("title", "episode", "season_code", "very_good_pct", "good_pct")
-    return surveys.read_surveys(spark, f"{folder}/*").groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    return surveys.read_surveys(spark, f"{folder}/again=*/page=*").groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
 
 
 @registry.add(f"""WITH s AS ({_SURVEY_SQL})
