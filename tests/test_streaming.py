@@ -225,3 +225,17 @@ def test_changes_of_due_are_where_the_answer_changes():
         else:
             assert jobs.due_at("active", pubdate, last, found) != answer
             assert all(jobs.due_at("active", pubdate, last, t) == answer for t in range(now, found, 1800))
+
+
+MANY = 2500
+
+
+def test_many_keys_are_few_calls_for_deltas(spark, tmp_path):
+    """A call of Python has a bucket of keys: with a call a key, a batch of many keys took hours."""
+    root = str(tmp_path)
+    rows = [(f"k{i}", START + timedelta(hours=h), i * h) for i in range(MANY) for h in (0, 1, 30)]
+    first, second = jobs.incremental_deltas(source(spark, f"{root}/in", READING, rows), root, f"{root}/state")
+    assert updated(first)[0][0] <= 2 * jobs.SLOT_BUCKETS and updated(second)[0][0] <= jobs.BUCKETS
+    got = jobs.emitted_deltas(spark, root).collect()
+    wanted = counter_deltas(spark.createDataFrame(rows, READING)).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, wanted))
