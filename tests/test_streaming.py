@@ -239,3 +239,17 @@ def test_many_keys_are_few_calls_for_deltas(spark, tmp_path):
     got = jobs.emitted_deltas(spark, root).collect()
     wanted = counter_deltas(spark.createDataFrame(rows, READING)).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, wanted))
+
+
+def test_many_items_are_few_calls_for_due_items(spark, tmp_path):
+    """Items that come due one by one, by timers of their buckets, with nothing read."""
+    root = str(tmp_path)
+    items = [(f"t{i}", START - timedelta(seconds=i), "active", None, None, None, None, START) for i in range(MANY)]
+    reads = [(f"t{i}", None, None, START - timedelta(seconds=i), 1, 1, 1, START) for i in range(MANY)]
+    others = [[(f"other{m}", at := START + timedelta(minutes=m), "guessit_failed", None, None, None, None, at)] for m in (40, 61)]
+    query = jobs.due_changes(source(spark, f"{root}/in", ITEM, items + reads, *others), f"{root}/due", f"{root}/state")
+    query.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress) <= jobs.BUCKETS
+    assert jobs.due_now(spark, f"{root}/due").count() == MANY
+    first = spark.read.parquet(f"{root}/due").agg(F.min("at"), F.max("at")).first()
+    assert [t - int(START.timestamp()) for t in first] == [3600 - MANY + 1, 3600]
