@@ -241,6 +241,17 @@ def test_many_keys_are_few_calls_for_deltas(spark, tmp_path):
     assert sorted(map(tuple, got)) == sorted(map(tuple, wanted))
 
 
+def test_many_keys_are_few_calls_for_dead_detection(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [(f"k{i}", START + timedelta(hours=h), 0, 0, int(i % 5 == 0 and h > 1)) for i in range(MANY) for h in range(4)]
+    query = jobs.dead_detection(source(spark, f"{root}/in", STATS, rows), f"{root}/dead", f"{root}/state")
+    query.awaitTermination()
+    assert updated(query)[0][0] <= jobs.BUCKETS
+    assert jobs.dead_now(spark, f"{root}/dead").count() == MANY * 4 // 5
+    kept = jobs.recent_readings(spark, f"{root}/state")
+    assert kept.count() == 3 * MANY and kept.agg(F.min("timestamp")).first()[0] == START + timedelta(hours=1)
+
+
 def test_many_items_are_few_calls_for_due_items(spark, tmp_path):
     """Items that come due one by one, by timers of their buckets, with nothing read."""
     root = str(tmp_path)
