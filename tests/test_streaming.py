@@ -252,6 +252,19 @@ def test_many_keys_are_few_calls_for_dead_detection(spark, tmp_path):
     assert kept.count() == 3 * MANY and kept.agg(F.min("timestamp")).first()[0] == START + timedelta(hours=1)
 
 
+def test_keys_of_a_bucket_are_forgotten_one_by_one(spark, tmp_path):
+    """All keys in one bucket: those silent for longer than the retention go, the others stay."""
+    schema = STATS + ", arrived timestamp"
+    root = str(tmp_path)
+    names = [r[0] for r in spark.range(20000).select(F.col("id").cast("string").alias("infohash")).filter(jobs._bucket() == 7).limit(3).collect()]
+    row = lambda key, day: (key, START + day * DAY, 1, 1, 1, START + day * DAY)
+    batches = [[row(n, 0) for n in names], [row(names[0], 6)], [row(names[0], 12), row(names[1], 12)], [row(names[0], 13)]]
+    stream = source(spark, f"{root}/in", schema, *batches)
+    jobs.dead_detection(stream, f"{root}/dead", f"{root}/state", "arrived", "10 days").awaitTermination()
+    kept = jobs.recent_readings(spark, f"{root}/state").groupBy("infohash").count().collect()
+    assert sorted(map(tuple, kept)) == sorted([(names[0], 3), (names[1], 2)])
+
+
 def test_many_items_are_few_calls_for_due_items(spark, tmp_path):
     """Items that come due one by one, by timers of their buckets, with nothing read."""
     root = str(tmp_path)
