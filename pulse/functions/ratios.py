@@ -9,10 +9,12 @@ that native filters could not rule out.
 from __future__ import annotations
 
 import sys
+import unicodedata
 from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -131,7 +133,14 @@ def best_in_block(level: int):
     return run
 
 
-@F.pandas_udf(T.StringType())
-def fold_width(text: pd.Series) -> pd.Series:
-    """NFKC, for which Spark has no built-in."""
-    return text.str.normalize("NFKC")
+_FOLDED_AT_ONCE = 64
+
+
+@F.arrow_udf(T.StringType())
+def fold_width(text: pa.Array) -> pa.Array:
+    """NFKC, for which Spark has no built-in. Few texts at a time are Python's; the rest of a batch stays in Arrow."""
+    folded = [pa.array([], pa.string())]
+    for i in range(0, len(text), _FOLDED_AT_ONCE):
+        texts = text.slice(i, _FOLDED_AT_ONCE).to_pylist()
+        folded.append(pa.array([t if t is None else unicodedata.normalize("NFKC", t) for t in texts], pa.string()))
+    return pa.concat_arrays(folded)

@@ -2,10 +2,13 @@
 
 import glob
 import math
+import tracemalloc
 import xml.etree.ElementTree as ET
 
+import pyarrow as pa
 import pytest
 
+from pulse.functions.ratios import fold_width
 from pulse.queries import ingestion, registry
 from tests.conftest import SF_DIR
 
@@ -40,3 +43,15 @@ def test_survey_files_grow_in_number(spark, scratch):
     texts = [open(f).read().splitlines() for f in glob.glob(f"{scratch}/0/again=*/page=*/*.txt")]
     assert len(texts) == math.ceil(lines / 100) and sum(map(len, texts)) == lines + len(texts)
     assert all(t[0] == ",".join(ingestion._HEADERS) for t in texts) and max(map(len, texts)) < 200
+
+
+def test_few_texts_at_a_time_are_folded():
+    """A batch of long texts is not in Python's memory as a whole."""
+    texts = pa.array([None if i % 9 == 0 else f"Ｒ{i}ゼロ" * 10_000 for i in range(640)])
+    size = texts.nbytes
+    tracemalloc.start()
+    folded = fold_width.func(texts)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert folded[1].as_py() == "R1ゼロ" * 10_000 and folded[0].as_py() is None and len(folded) == 640
+    assert peak < size / 2
