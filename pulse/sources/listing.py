@@ -51,15 +51,20 @@ def view_links(html: Column) -> Column:
     return F.filter(links(html), leads_to_item)
 
 
+def _once(rows: DataFrame, *columns: Column | str) -> DataFrame:
+    """The columns behind a generator, so that no filter or column read later matches their patterns again."""
+    return rows.select(F.inline(F.array(F.struct(*columns))))
+
+
 def listing_rows(pages: DataFrame, html: str = "html") -> DataFrame:
     """Rows with at least eight cells, a view link, a magnet link, a readable
     size, time and counters; others are dropped."""
     body = F.regexp_extract(F.col(html), _TABLE, 1)
-    rows = pages.select(
-        F.explode(F.regexp_extract_all(body, F.lit(_ROW), F.lit(1))).alias("_row")
-    ).withColumn("_cells", F.regexp_extract_all("_row", F.lit(_CELL), F.lit(1)))
+    rows = _once(pages, F.regexp_extract_all(body, F.lit(_ROW), F.lit(1)).alias("_rows")).select(F.explode("_rows").alias("_row"))
+    rows = _once(rows, "_row", F.regexp_extract_all("_row", F.lit(_CELL), F.lit(1)).alias("_cells"))
     cell = [F.get("_cells", F.lit(i)) for i in range(8)]
-    picked = rows.filter(F.size("_cells") >= 8).select(
+    picked = _once(
+        rows.filter(F.size("_cells") >= 8),
         "_row",
         F.get(view_links(cell[1]), F.lit(0)).alias("_view"),
         F.get(
@@ -75,7 +80,8 @@ def listing_rows(pages: DataFrame, html: str = "html") -> DataFrame:
         "filename",
         F.coalesce(F.nullif(attribute(F.col("_view"), "title"), F.lit("")), inner_text(F.col("_view"))),
     )
-    out = named.select(
+    out = _once(
+        named,
         magnet_infohash(attribute(F.col("_magnet"), "href")).alias("infohash"),
         "filename",
         F.timestamp_seconds("_epoch").alias("pubdate"),

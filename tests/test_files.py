@@ -10,6 +10,7 @@ import pytest
 
 from pulse.functions.ratios import fold_width
 from pulse.queries import ingestion, registry
+from pulse.sources import listing
 from tests.conftest import SF_DIR
 
 
@@ -45,6 +46,13 @@ def test_survey_files_grow_in_number(spark, scratch):
     assert all(t[0] == ",".join(ingestion._HEADERS) for t in texts) and max(map(len, texts)) < 200
 
 
+def test_listing_patterns_are_not_matched_again_by_filters(spark):
+    rows = listing.listing_rows(spark.createDataFrame([("<html></html>",)], "html string"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if " Filter " in line]
+    assert filters and not any("regexp" in f or "RLIKE" in f for f in filters)
+
+
 def test_few_texts_at_a_time_are_folded():
     """A batch of long texts is not in Python's memory as a whole."""
     texts = pa.array([None if i % 9 == 0 else f"Ｒ{i}ゼロ" * 10_000 for i in range(640)])
