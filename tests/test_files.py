@@ -36,6 +36,15 @@ def test_feed_documents_grow_in_number(spark, scratch):
     assert len(sizes) == math.ceil(orders / 100) and sum(sizes) == orders and max(sizes) < 200
 
 
+def test_streamed_documents_grow_in_number(spark, scratch):
+    orders = spark.read.parquet(f"{SF_DIR}/orders.parquet").count()
+    got = registry.queries["stream_feed"](spark, SF_DIR)
+    assert got.count() == registry.queries["feed_rows"](spark, SF_DIR).count()
+    sizes = _items(f"{scratch}/0")
+    assert len(sizes) == 2 * math.ceil(orders / 100) and sum(sizes) == 2 * orders and max(sizes) < 200
+    assert len(glob.glob(f"{scratch}/1/state/commits/[0-9]*")) <= 5
+
+
 def test_survey_files_grow_in_number(spark, scratch):
     lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").count()
     got = registry.queries["survey_files"](spark, SF_DIR)
