@@ -1,9 +1,12 @@
+import hashlib
+import os
 import random
 
 import numpy as np
 import pytest
 
 from pulse.llm import suffixes
+from pulse.llm.queries import QUERIES
 
 SCHEMA = "doc_id long, text string, x string, start int"
 
@@ -62,6 +65,31 @@ def test_repeated_rows_and_ids(spark):
     assert sorted((r.doc_id or 0, r.n_bytes, len(r.kept)) for r in got) == [(0, 120, 0), (1, 9, 9), (1, 151, 0), (1, 151, 0), (2, 20, 20)]
 
 
+def test_query_catches_passages_of_over_fifty_words_from_400_bytes_on(spark, tmp_path):
+    rng = random.Random(3)
+    # Words of four to nine bytes with their space: 51 of the short ones have under 400 bytes, of the long ones more.
+    prose = lambda n, size: " ".join("".join(rng.choices("abcdeé", k=size)) for _ in range(n))
+    short, under, exact, long = prose(51, 3), prose(70, 7), prose(70, 7), prose(51, 8)
+    under, exact = [p.encode()[: size - 2].decode(errors="ignore") for p, size in ((under, 399), (exact, 400))]
+    under, exact = under.ljust(399 - len(under.encode()) + len(under), "x"), exact.ljust(400 - len(exact.encode()) + len(exact), "x")
+    assert [len(p.encode()) for p in (under, exact)] == [399, 400] and len(short.encode()) < 399 and len(long.encode()) > 400
+    # Other letters around each passage, so that no two documents share a byte more than it.
+    marks = iter("ABCDEFGHIJKLMNOPQRSTUVWX")
+    texts = [f"{prose(30, 5)}{m}{p}{m}{prose(30, 6)}" for p in (short, under, exact, long) for m in (next(marks) for _ in range(6))]
+    texts += [prose(120, 5) for _ in range(6)] + ["", None]
+    rows = list(enumerate(texts))
+    spark.createDataFrame([(i, t, "?", 0) for i, t in rows], SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(QUERIES["op8_suffix_array_dedup"](spark, str(tmp_path)).collect(), key=lambda r: r.doc_id)
+    expected = brute(rows, 400)
+    assert [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.kept_text) for r in got] == [
+        (i, n, sum(b - a for a, b in runs), len(runs), hashlib.sha256(kept).hexdigest(), kept.decode(errors="replace"))
+        for i, n, runs, kept in expected
+    ]
+    # n_bytes is of the input; what was caught shows in n_removed.
+    assert [r.n_bytes for r in got] == [len((t or "").encode()) for t in texts]
+    assert [r.n_removed > 0 for r in got] == [False] * 12 + [True] * 12 + [False] * 8
+
+
 def test_empty_table(spark):
     assert suffixes.remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
 
@@ -84,6 +112,16 @@ def test_suffix_array_and_common_prefixes():
         assert whole == sorted(whole)
 
 
+def test_common_prefixes_behind_a_byte_that_differs():
+    # "Sabc..." comes right after "Rabc..." with no byte in common, and "abc..." right after "abc..." with all of them.
+    data = np.frombuffer(b"Rabcdefgh!Sabcdefgh", np.uint8)
+    text = data.tobytes()
+    order = suffixes.suffix_array(data, 64)
+    shared = suffixes.common_prefixes(data, order)
+    for a, b in zip(order, order[1:], strict=False):
+        assert shared[b] == len(os.path.commonprefix([text[a:], text[b:]]))
+
+
 def test_smallest_in_windows_takes_the_last_of_equals():
     values = np.random.default_rng(1).integers(0, 20, 200).astype(np.uint64) << np.uint64(40)
     for width in (1, 6, 50, 200):
