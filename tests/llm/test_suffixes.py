@@ -114,7 +114,7 @@ def test_suffix_array_and_common_prefixes():
 
 def test_common_prefixes_behind_a_byte_that_differs():
     # "Sabc..." comes right after "Rabc..." with no byte in common, and "abc..." right after "abc..." with all of them.
-    data = np.frombuffer(b"Rabcdefgh!Sabcdefgh", np.uint8)
+    data = np.frombuffer(b"Rabcdefgh!Sabcdefgh~", np.uint8)
     text = data.tobytes()
     order = suffixes.suffix_array(data, 64)
     shared = suffixes.common_prefixes(data, order)
