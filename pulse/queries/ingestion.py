@@ -110,8 +110,9 @@ def _write_files(lines, folder, least, head, tail=None, times=1):
     ends = [F.struct(F.lit(i).alias("place"), F.lit(t).alias("value")) for i, t in ((0, head), (2, tail)) if t is not None]
     pages = lines.sparkSession.range(count).select(F.col("id").alias("page"), F.inline(F.array(*ends)))
     rows = lines.select(page.alias("page"), F.lit(1).alias("place"), F.col(column).alias("value")).unionByName(pages)
-    rows = rows.withColumn("again", F.explode(F.array(*[F.lit(i) for i in range(times)])))
-    dealt = rows.repartition("again", "page").sortWithinPartitions("again", "page", "place")
+    # What is written more than once is shuffled once.
+    dealt = rows.repartition("page").withColumn("again", F.explode(F.array(*[F.lit(i) for i in range(times)])))
+    dealt = dealt.sortWithinPartitions("again", "page", "place")
     dealt.select("again", "page", "value").write.partitionBy("again", "page").text(folder)
     return count * times
 
@@ -150,8 +151,9 @@ def stream_feed(spark, sf_dir):
     """The documents arrive in three batches and are listed twice; each item is stored once."""
     folder, root = _scratch(spark), _scratch(spark)
     files = _write_files(_feed_items(spark, sf_dir), folder, 4, "<rss>", "</rss>", times=2)
-    rows = feed.stream_feed(spark, f"{folder}/again=*/page=*", files=-(-files // 3))
-    jobs.first_rows(rows, f"{root}/rows", f"{root}/state", ["infohash"], ["filename"]).awaitTermination()
+    rows = feed.stream_feed(spark, f"{folder}/again=*/page=*", files=-(-files // 3), named=False)
+    query = jobs.first_rows(rows, f"{root}/rows", f"{root}/state", ["infohash"], ["filename"], finish=feed.with_names)
+    query.awaitTermination()
     published = F.when(F.col("source_id") % 13 != 0, v.micros("pubdate"))
     return spark.read.parquet(f"{root}/rows").select(
         "infohash", "filename", published.alias("published"), "size_bytes", "source_id", "trusted",

@@ -32,10 +32,10 @@ def read_feed(spark: SparkSession, path: str, now: datetime) -> DataFrame:
     return feed_rows(spark.read.format("xml").options(**_XML).schema(FEED_ITEM).load(path), now)
 
 
-def stream_feed(spark: SparkSession, path: str, files: int = 100) -> DataFrame:
+def stream_feed(spark: SparkSession, path: str, files: int = 100, named: bool = True) -> DataFrame:
     """The rows of feed documents as they arrive in a folder; an unreadable date becomes the time of the batch."""
     reader = spark.readStream.format("xml").options(**_XML).schema(FEED_ITEM).option("maxFilesPerTrigger", files)
-    return feed_rows(reader.load(path))
+    return feed_rows(reader.load(path), named=named)
 
 
 def _count(column: str) -> Column:
@@ -43,7 +43,9 @@ def _count(column: str) -> Column:
     return F.when(F.col(column).isNull(), F.lit(0)).otherwise(F.trim(column).try_cast("bigint"))
 
 
-def feed_rows(items: DataFrame, now: datetime | None = None) -> DataFrame:
+def feed_rows(items: DataFrame, now: datetime | None = None, named: bool = True) -> DataFrame:
+    """The items that can be used; ``named`` parses their names, which costs more than all else and can wait
+    (:func:`with_names`) until items listed again are gone."""
     read_at = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
     counts = ("seeders", "leechers", "downloads")
     name = F.trim("title")
@@ -63,7 +65,12 @@ def feed_rows(items: DataFrame, now: datetime | None = None) -> DataFrame:
     kept = rows.filter(
         (F.coalesce("infohash", F.lit("")) != "") & (F.coalesce("filename", F.lit("")) != "") & readable
     )
-    return with_metadata(kept, "filename", "guessit_data").select(*ROW)
+    return with_names(kept).select(*ROW) if named else kept
+
+
+def with_names(rows: DataFrame) -> DataFrame:
+    """The rows with their parsed names."""
+    return with_metadata(rows, "filename", "guessit_data")
 
 
 def failed_names(rows: DataFrame) -> DataFrame:

@@ -45,6 +45,14 @@ def test_streamed_documents_grow_in_number(spark, scratch):
     assert len(glob.glob(f"{scratch}/1/state/commits/[0-9]*")) <= 5
 
 
+def test_streamed_items_are_stored_with_their_names(spark, scratch):
+    """Names are parsed once an item is known to be new; an item listed twice has its name like any other."""
+    registry.queries["stream_feed"](spark, SF_DIR)
+    wanted = ingestion._feed_rows(spark, SF_DIR).select("infohash", "guessit_data")
+    got = spark.read.parquet(f"{scratch}/1/rows").select("infohash", "guessit_data")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wanted.collect()))
+
+
 def test_survey_files_grow_in_number(spark, scratch):
     lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").count()
     got = registry.queries["survey_files"](spark, SF_DIR)

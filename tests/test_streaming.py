@@ -142,6 +142,28 @@ def test_first_rows_of_a_repeated_batch(spark, tmp_path):
     assert sorted(r["infohash"] for r in spark.read.parquet(f"{root}/t").collect()) == ["a", "b", "c"]
 
 
+def test_first_rows_keep_their_keys_out_of_the_heap(spark, tmp_path):
+    """The keys of the horizon are in a store on disk, and only rows that are stored are finished."""
+    store = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(store)
+    root = str(tmp_path)
+    finished = []
+
+    def finish(rows):
+        finished.append(rows.count())
+        return rows.withColumn("named", F.upper("infohash"))
+
+    batches = [[("a", 1), ("b", 2)], [("a", 1), ("b", 2), ("c", 1), ("c", 2)], [("b", 1), ("d", 1)], [("d", 1)]]
+    stream = source(spark, f"{root}/in", "infohash string, at int", *batches)
+    query = jobs.first_rows(stream, f"{root}/t", f"{root}/state", ["infohash"], ["at"], finish=finish)
+    query.awaitTermination()
+    got = spark.read.parquet(f"{root}/t").collect()
+    assert sorted((r["infohash"], r["at"], r["named"]) for r in got) == [("a", 1, "A"), ("b", 2, "B"), ("c", 1, "C"), ("d", 1, "D")]
+    assert finished[:4] == [2, 1, 1, 0] and not any(finished[4:])
+    assert any(m.startswith("rocksdb") for m in query.recentProgress[0]["stateOperators"][0]["customMetrics"])
+    assert spark.conf.get(store) == before
+
+
 TOTALS = "timestamp timestamp, anilist_id bigint, downloads_delta bigint, arrived timestamp"
 
 
