@@ -13,6 +13,7 @@ from pulse.streaming import jobs
 
 PARTS = 4
 FILES = 8
+FILE_ROWS = 500_000
 
 
 def _bounds(rows):
@@ -105,11 +106,13 @@ def stream_due_items(spark, sf_dir):
     events = items.unionByName(stats, allowMissingColumns=True)
     counters = [F.when(F.col("timestamp").isNotNull(), 1).cast(t).alias(c) for c, t in (("seeders", "int"), ("leechers", "int"), ("downloads", "bigint"))]
     events = events.unionByName(tick, allowMissingColumns=True).select("*", *counters)
-    bounds = events.select(F.unix_micros("arrived").alias("t")).approxQuantile("t", [i / PARTS for i in range(1, PARTS)], 0.01)
-    part = sum([(F.unix_micros("arrived") >= c).cast("int") for c in bounds], F.lit(0))
+    arrived = F.unix_micros("arrived")
+    bounds, rows = events.agg(F.percentile_approx(arrived, [i / PARTS for i in range(1, PARTS)], 100), F.count(F.lit(1))).first()
+    files = max(FILES, -(-rows // (PARTS * FILE_ROWS)))
+    part = sum([(arrived >= c).cast("int") for c in bounds], F.lit(0))
     for i in range(PARTS):
-        events.filter(part == i).repartition(FILES).write.parquet(f"{root}/source/at={i}")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES).parquet(f"{root}/source/at=*")
+        events.filter(part == i).repartition(files).write.parquet(f"{root}/source/at={i}")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/source/at=*")
     jobs.due_changes(stream, f"{root}/due", f"{root}/state").awaitTermination()
     return jobs.due_now(spark, f"{root}/due")
 

@@ -3,6 +3,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -249,6 +250,105 @@ def test_changes_of_due_are_where_the_answer_changes():
             assert all(jobs.due_at("active", pubdate, last, t) == answer for t in range(now, found, 1800))
 
 
+class State:
+    """What a group's step is handed, without Spark."""
+
+    exists, get, hasTimedOut, watermark, timer = False, None, False, 0, None  # noqa: N815
+
+    def getCurrentWatermarkMs(self):  # noqa: N802
+        return self.watermark
+
+    def update(self, value):
+        self.exists, self.get, self.timer = True, value, None
+
+    def setTimeoutTimestamp(self, at):  # noqa: N802
+        self.timer = at
+
+
+class PlainItem:
+    """One item at a time, as it is described."""
+
+    def __init__(self):
+        self.status, self.pubdate, self.last, self.columns = "active", None, None, ([], [], [], [])
+        self.is_due, self.clock, self.version = False, None, 0
+
+    def flip(self, at, rows, name):
+        now = jobs.due_at(self.status, self.pubdate, self.last, at)
+        if now != self.is_due:
+            self.is_due, self.version = now, self.version + 1
+            rows.append((name, at, now, self.status, self.version))
+
+    def following(self):
+        return None if self.clock is None else jobs.next_change(self.status, self.pubdate, self.last, self.clock)
+
+    def run_to(self, now, rows, name):
+        while (at := self.following()) is not None and at <= now:
+            self.clock = at
+            self.flip(at, rows, name)
+        self.clock = now
+
+    def take(self, events, rows, name):
+        self.run_to(max(*[e[0] for e in events], self.clock or 0), rows, name)
+        arrived = {}
+        for _, pubdate, status, *reading in events:
+            self.pubdate = pubdate if self.pubdate is None else self.pubdate
+            self.status = self.status if status in (None, "active") else status
+            if reading[0] is not None:
+                seconds = reading[0] // 1_000_000
+                self.last = seconds if self.last is None else max(seconds, self.last)
+                jobs._arrive(arrived, tuple(reading))
+        recent = jobs._newest(self.columns, arrived)
+        self.columns = jobs._columns(recent)
+        self.status = "dead" if self.status == "active" and jobs._all_zero(recent) else self.status
+
+
+def test_items_of_a_bucket_are_as_each_alone():
+    """Nulls, ties, late readings, statuses in any order, and batches without rows: all items of a bucket at once change as
+    each by itself."""
+    pick = random.Random(11)
+    plain, state, clock = {}, State(), -5 * 86400
+    for step in range(60):
+        clock += pick.choice([1, 60, 3600, 86400, 9 * 86400, 70 * 86400])
+        state.hasTimedOut = step > 40 and step % 5 == 0
+        events = []
+        for _ in range(0 if state.hasTimedOut else pick.choice([1, 30, 90])):
+            at = None if pick.random() < 0.3 else (clock - pick.choice([0, 0, 1, 3600, 86400])) * 1_000_000 + pick.choice([0, 0, 7])
+            events.append((
+                f"k{pick.randrange(40)}", clock - pick.choice([0, 0, 5]), clock - pick.randrange(9 * 86400) if pick.random() < 0.5 else None,
+                pick.choice(["guessit_failed", "gone"] if pick.random() < 0.01 else [None, "active"]),
+                at, pick.choice([0, 0, 0, 2]), 0, pick.choice([0, 0, 0, 3, 2**60 + 1]),
+            ))
+        wanted = []
+        now = (state.watermark + 1) // 1000
+        touched = {e[0] for e in events}
+        for name, item in plain.items():
+            if name not in touched and item.following() is not None and item.following() <= now:
+                item.run_to(now, wanted, name)
+                item.flip(item.clock, wanted, name)
+        for name in touched:
+            item = plain.setdefault(name, PlainItem())
+            item.take([e[1:] for e in events if e[0] == name], wanted, name)
+            item.flip(item.clock, wanted, name)
+        names = ("infohash", "arrived", "pubdate", "status", "at", "seeders", "leechers", "downloads")
+        rows = [tuple(jobs._NONE if v is None and c in ("pubdate", "at") else v for c, v in zip(names, e, strict=True)) for e in events]
+        frames = [pd.DataFrame(rows[i : i + 50], columns=names) for i in range(0, len(rows), 50)]
+        got = [tuple(r) for frame in jobs._due_step((0,), iter(frames), state) for r in frame.itertuples(index=False)]
+        assert sorted(got) == sorted(wanted), step
+        first = min((f for i in plain.values() if (f := i.following()) is not None), default=None)
+        assert state.timer == (None if first is None else max(first * 1000 - 2, state.watermark + 1)), step
+        state.watermark = max(state.watermark, clock * 1000 - 1)
+    assert {i.status for i in plain.values()} >= {"active", "dead", "gone"}
+
+
+def test_state_of_many_items_is_small():
+    """An item's three readings, dates and answers were hundreds of bytes on the heap."""
+    n, state = 20_000, State()
+    rows = [(f"{i:040x}", 10 * i, i, "active", (5 * i + r) * 1_000_000, 1, 2, 3) for i in range(n) for r in range(3)]
+    names = ("infohash", "arrived", "pubdate", "status", "at", "seeders", "leechers", "downloads")
+    list(jobs._due_step((0,), iter([pd.DataFrame(rows, columns=names)]), state))
+    assert sum(map(len, state.get)) < 60 * n and type(state.get[0]) is bytes
+
+
 MANY = 2500
 
 
